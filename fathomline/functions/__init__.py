@@ -1 +1,9 @@
+"""Column expressions."""
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def number(x) -> Column:
+    """A name, value or Column as a double."""
+    return (F.col(x) if isinstance(x, str) else x if isinstance(x, Column) else F.lit(x)).cast("double")

@@ -1,9 +1,351 @@
-"""The queries of the radar library over the driver's tables."""
+"""The radar library's queries over the driver's tables, and the SQL that gives the same rows.
 
+embeddings stand for radargrams (label: product, order of vec_id: trace, components: fast-time samples), events for along-track records (user_id: track), lineitem and orders for observations.
+"""
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-def oracle_sql():
-    return {}
+from .functions import geometry, signal, time, traces
+from .operators import aggregates, joins, kernels, selection, windows
+from .plans import catalog
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r6(c) -> F.Column:
+    """To six places, zero without a sign."""
+    return F.round(c, 6) + 0.0
+
+
+def radargram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("label").orderBy("vec_id")
+    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("product"), "vec_id", (F.row_number().over(order) - 1).cast("long").alias("trace"), F.transform("embedding", lambda x: x.cast("double")).alias("samples"))
+
+
+def track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value", (F.row_number().over(order) - 1).cast("long").alias("i"))
+
+
+GRAM = "WITH gram AS (SELECT label AS product, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS trace, list_transform(embedding, lambda x: x::DOUBLE) AS samples FROM embeddings), cells AS (SELECT product, trace, generate_subscripts(samples, 1) - 1 AS k, unnest(samples) AS x FROM gram) "
+TRACK = "WITH track AS (SELECT user_id, event_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events) "
+
+
+@query(
+    GRAM
+    + """, summed AS (SELECT product, trace, k, max(trace) OVER (PARTITION BY product) AS last, x, sum(x) OVER (PARTITION BY product, k ORDER BY trace ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING) AS s FROM cells),
+filtered AS (SELECT product, trace, k, CASE WHEN trace >= 3 AND trace <= last - 3 THEN s ELSE x END AS x FROM summed),
+each AS (SELECT product, trace, max(abs(x)) AS peak, sqrt(sum(CASE WHEN k < 16 THEN x * x END) / 16) AS noise FROM filtered GROUP BY product, trace)
+SELECT product, count(*) AS traces, round(avg(20 * log10(peak / noise)), 6) AS snr_db FROM each GROUP BY product"""
+)
+def radargram_snr(spark, sf_dir):
+    rows = windows.zero_doppler(radargram(spark, sf_dir), "product", "trace", "samples", 3, 2)
+    best = F.array_max(traces.signal_to_noise("samples", 16))
+    return rows.groupBy("product").agg(F.count("*").alias("traces"), r6(F.avg(best)).alias("snr_db"))
+
+
+@query(TRACK + "SELECT user_id, event_id, round(CASE WHEN count(*) OVER w = 5 THEN avg(value) OVER w ELSE 0 END, 6) + 0.0 AS mean FROM track WINDOW w AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
+def running_mean_zero_edges(spark, sf_dir):
+    return windows.centred_mean(track(spark, sf_dir), "user_id", "i", "value", 5, "mean").select("user_id", "event_id", r6("mean").alias("mean"))
+
+
+@query(TRACK + ", n AS (SELECT user_id, max(i) AS last FROM track GROUP BY user_id) SELECT t.user_id, t.event_id, round(avg(u.value), 6) + 0.0 AS mean FROM track t JOIN n USING (user_id), unnest(range(-2, 3)) AS o(d) JOIN track u ON u.user_id = t.user_id AND u.i = greatest(0, least(n.last, t.i + d)) GROUP BY t.user_id, t.event_id")
+def running_mean_repeated_edges(spark, sf_dir):
+    return windows.centred_mean(track(spark, sf_dir), "user_id", "i", "value", 5, "mean", edge="repeat").select("user_id", "event_id", r6("mean").alias("mean"))
+
+
+@query(TRACK + "SELECT user_id, event_id, round(m, 6) + 0.0 AS mean FROM (SELECT user_id, event_id, avg(value) OVER w AS m, count(*) OVER w AS n FROM track WINDOW w AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) WHERE n = 4")
+def running_mean_trailing(spark, sf_dir):
+    return windows.trailing_mean(track(spark, sf_dir), "user_id", "i", "value", 4, "mean").select("user_id", "event_id", r6("mean").alias("mean"))
+
+
+@query(TRACK + "SELECT user_id, event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS total FROM track")
+def along_track_prefix_sum(spark, sf_dir):
+    return windows.prefix_sum(track(spark, sf_dir), "user_id", "i", "value", "total").select("user_id", "event_id", r6("total").alias("total"))
+
+
+@query(TRACK + ", held AS (SELECT user_id, i, floor(value / 20) AS v FROM track), marked AS (SELECT *, coalesce((abs(v - lag(v) OVER (PARTITION BY user_id ORDER BY i)) > 0)::INT, 0) AS new FROM held), runs AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM marked), agg AS (SELECT user_id, island::BIGINT AS island, arg_min(v, i)::BIGINT AS held, count(*) AS n, min(i) AS lo, max(i) AS hi FROM runs GROUP BY user_id, island) SELECT user_id, island, held, n, (lo + hi) / 2.0 AS t FROM agg UNION ALL SELECT user_id, -1, held, n, lo::DOUBLE FROM agg a WHERE (SELECT max(island) FROM agg b WHERE b.user_id = a.user_id) = 0")
+def sample_hold_islands(spark, sf_dir):
+    held = track(spark, sf_dir).withColumn("held", F.floor(F.col("value") / 20))
+    return windows.islands(held, "user_id", "i", "held").select("user_id", "island", F.col("value").alias("held"), "n", "t")
+
+
+@query(TRACK + ", n AS (SELECT user_id, count(*) AS n FROM track GROUP BY user_id) SELECT user_id, event_id, least(i // 16, CASE WHEN n % 16 < 5 AND n > 16 THEN CASE WHEN n % 16 = 0 THEN n // 16 - 2 ELSE n // 16 - 1 END ELSE (n - 1) // 16 END) AS chunk FROM track JOIN n USING (user_id)")
+def fixed_row_chunks(spark, sf_dir):
+    return windows.fixed_chunks(track(spark, sf_dir), "user_id", "i", 16, 5).select("user_id", "event_id", F.col("chunk").cast("long").alias("chunk"))
+
+
+@query()
+def greedy_distance_chunks(spark, sf_dir):
+    gone = windows.prefix_sum(track(spark, sf_dir).withColumn("step", F.abs(F.round("value", 3))), "user_id", "i", "step", "km")
+    return windows.distance_chunks(gone, "user_id", "i", "km", 300.0).groupBy("user_id", "chunk").agg(F.count("*").alias("n"), F.min("i").alias("first_row"), F.max("i").alias("last_row"))
+
+
+@query(GRAM + ", stacks AS (SELECT product, trace // 4 AS block, k, sum(x) AS s, count(*) AS n FROM cells GROUP BY ALL) SELECT product, block, count(*) AS samples, round(max(s), 6) + 0.0 AS peak FROM stacks WHERE n = 4 GROUP BY product, block")
+def coherent_block_stack(spark, sf_dir):
+    out = windows.block_stack(radargram(spark, sf_dir), ["product"], "trace", "samples", 4)
+    return out.select("product", "block", F.size("samples").cast("long").alias("samples"), r6(F.array_max("samples")).alias("peak"))
+
+
+@query(GRAM + ", stacks AS (SELECT product, trace // 5 AS stack, k, sum(x) AS s, count(*) AS n FROM cells WHERE trace % 5 < 4 GROUP BY ALL) SELECT product, stack, k, round(s, 6) + 0.0 AS total FROM stacks WHERE n = 4")
+def fresnel_stacks(spark, sf_dir):
+    rows = radargram(spark, sf_dir).select("product", "trace", F.posexplode("samples").alias("k", "x"))
+    return aggregates.fresnel_stack(rows, ["product", "k"], "trace", "x", 5).select("product", "stack", F.col("k").cast("long").alias("k"), r6("total").alias("total"))
+
+
+@query("SELECT o_orderkey, round(r * cos(lon) * cos(lat), 3) + 0.0 AS x, round(r * sin(lon) * cos(lat), 3) + 0.0 AS y, round(r * sin(lat), 3) + 0.0 AS z FROM (SELECT o_orderkey, lat, lon, h + 1000 * a * a * c / sqrt(pow(a * a * sin(lat), 2) + pow(a * c * cos(lat) * cos(lon), 2) + pow(a * c * cos(lat) * sin(lon), 2)) AS r FROM (SELECT *, 3396.19::DOUBLE AS a, 3376.2::DOUBLE AS c FROM (SELECT o_orderkey, radians((o_orderkey % 179 - 89)::DOUBLE) AS lat, radians((o_custkey % 360)::DOUBLE) AS lon, (o_orderkey % 1000)::DOUBLE AS h FROM orders)))")
+def spherical_to_cartesian(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    x, y, z = geometry.to_cartesian(F.col("o_orderkey") % 179 - 89, F.col("o_custkey") % 360, F.col("o_orderkey") % 1000, axes=(3396.19, 3396.19, 3376.2))
+    return o.select("o_orderkey", *((F.round(c, 3) + 0.0).alias(n) for c, n in ((x, "x"), (y, "y"), (z, "z"))))
+
+
+@query("SELECT o_orderkey, round(degrees(asin(z / r)), 6) + 0.0 AS lat, round(degrees(CASE WHEN a >= 2 * pi() THEN a - 2 * pi() ELSE a END), 6) + 0.0 AS lon, round(r, 6) AS height FROM (SELECT o_orderkey, z, sqrt(x * x + y * y + z * z) AS r, atan2(y, x) + 2 * pi() AS a FROM (SELECT o_orderkey, (o_orderkey % 97 - 48)::DOUBLE AS x, (o_custkey % 89 - 44)::DOUBLE AS y, (o_orderkey % 13 + 1)::DOUBLE AS z FROM orders))")
+def cartesian_to_spherical(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    lat, lon, h = geometry.to_spherical(F.col("o_orderkey") % 97 - 48, F.col("o_custkey") % 89 - 44, F.col("o_orderkey") % 13 + 1)
+    return o.select("o_orderkey", r6(lat).alias("lat"), r6(lon).alias("lon"), r6(h).alias("height"))
+
+
+@query("SELECT o_orderkey, round(3389.5 * 2 * atan2(sqrt(h), sqrt(1 - h)), 6) + 0.0 AS km FROM (SELECT o_orderkey, pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2) AS h FROM (SELECT o_orderkey, (o_orderkey % 179 - 89)::DOUBLE AS lat1, (o_custkey % 360)::DOUBLE AS lon1, (o_custkey % 179 - 89)::DOUBLE AS lat2, (o_orderkey % 360)::DOUBLE AS lon2 FROM orders))")
+def great_circle_distance(spark, sf_dir):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", r6(geometry.haversine_distance(k % 179 - 89, c % 360, c % 179 - 89, k % 360, 3389.5)).alias("km"))
+
+
+MARS = "(SELECT *, ceil(since / (88775.245 * 668.6))::INT AS my FROM (SELECT *, epoch_us(ts) / 1e6 + 464745600 AS since FROM events))"
+
+
+@query(f"SELECT event_id, my, round(epoch_us(ts) / 1e6 - 946728000, 3) AS j2000, round(ls, 6) AS ls FROM (SELECT *, list_reduce(list_transform(range(1, 13), lambda i: CASE WHEN sols >= s[i] AND sols < s[i + 1] THEN 30.0 * (i - 1) + 30.0 * ((sols - s[i]) / (s[i + 1] - s[i])) ELSE 0 END), lambda a, b: a + b) AS ls FROM (SELECT *, (since - (my - 1) * (88775.245 * 668.6)) / 88775.245 AS sols, [0.0, 61.2, 126.6, 193.3, 257.8, 317.5, 371.9, 421.6, 468.5, 514.6, 562.0, 612.9, 668.6]::DOUBLE[] AS s FROM {MARS}))")
+def martian_time(spark, sf_dir):
+    j = time.seconds_since_j2000("ts")
+    return table(spark, sf_dir, "events").select("event_id", F.round(j, 3).alias("j2000"), time.mars_year(j).alias("my"), F.round(time.solar_longitude(j), 6).alias("ls"))
+
+
+@query(GRAM + ", p AS (SELECT product, trace, samples, list_position(samples, list_max(samples)) - 1 AS i FROM gram), y AS (SELECT product, trace, i, samples[i] AS l, samples[i + 1] AS m, samples[i + 2] AS r FROM p WHERE i > 0 AND i < 63) SELECT product, trace, i AS sample, round((r - l) / (2 * (2 * m - r - l)), 6) + 0.0 AS place, round(m - 0.25 * (l - r) * ((r - l) / (2 * (2 * m - r - l))), 6) + 0.0 AS height FROM y")
+def parabolic_peaks(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("sample", traces.argmax("samples")).where("sample > 0 AND sample < 63")
+    at = lambda k: F.get("samples", F.col("sample") + k)
+    return rows.withColumn("p", signal.parabola3(at(-1), at(0), at(1))).select("product", "trace", F.col("sample").cast("long").alias("sample"), r6("p.place").alias("place"), r6("p.height").alias("height"))
+
+
+@query(GRAM + ", p AS (SELECT product, trace, samples AS s, list_position(samples, list_max(samples)) - 1 AS i FROM gram), f AS (SELECT *, (-6 * s[i - 1] + 24 * s[i] + 34 * s[i + 1] + 24 * s[i + 2] - 6 * s[i + 3]) / 70 AS a, (-2 * s[i - 1] - s[i] + s[i + 2] + 2 * s[i + 3]) / 10 AS b, s[i - 1] + s[i] + s[i + 1] + s[i + 2] + s[i + 3] AS t FROM p WHERE i >= 2 AND i <= 61), g AS (SELECT *, (t - 5 * a) / 10 AS c FROM f) SELECT product, trace, round(-b / (2 * c), 5) + 0.0 AS place, round(c, 6) + 0.0 AS curvature FROM g")
+def five_point_peaks(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("i", traces.argmax("samples")).where("i >= 2 AND i <= 61").withColumn("p", signal.peak("samples", "i"))
+    return rows.select("product", "trace", (F.round("p.place", 5) + 0.0).alias("place"), r6("p.curvature").alias("curvature"))
+
+
+@query("SELECT o_orderkey, round(20 * log10(o_totalprice / 250), 6) + 0.0 AS altitude_gain, round(0.41 + 1.62 * x + 1.10 * x * x - 0.65 * x * x * x - 0.66 * x * x * x * x, 6) + 0.0 AS latitude_gain, round(pow(2, ceil(log2(p)) - 8 + 8) / p, 6) AS static_scale FROM (SELECT o_orderkey, o_totalprice, (o_custkey % 181 - 90)::DOUBLE / 90 AS x, [1, 2, 3, 4, 8, 16, 32, 64][o_orderkey % 8 + 1] AS p FROM orders)")
+def instrument_gains(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", r6(signal.altitude_gain("o_totalprice")).alias("altitude_gain"), r6(signal.latitude_gain(F.col("o_custkey") % 181 - 90)).alias("latitude_gain"), r6(signal.static_scale(signal.presum_of((F.col("o_orderkey") % 8).cast("int")), 8)).alias("static_scale"))
+
+
+@query("SELECT l_orderkey AS track, floor((l_linenumber - 1) / 2)::BIGINT AS pair, round(max(CASE WHEN l_linenumber % 2 = 1 THEN l_quantity END) - max(CASE WHEN l_linenumber % 2 = 0 THEN l_quantity END), 6) + 0.0 AS residual FROM (SELECT l_orderkey, l_linenumber, sum(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL) GROUP BY 1, 2 HAVING count(DISTINCT l_linenumber % 2) = 2")
+def crossover_residuals(spark, sf_dir):
+    one = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("q")).select(F.col("l_orderkey").alias("track"), (F.col("l_linenumber") - 1).alias("i"), "q")
+    return joins.crossovers(one, "i", "q", "track").select("track", "pair", r6("residual").alias("residual"))
+
+
+@query("WITH m AS (SELECT l_suppkey, quantile_cont(l_extendedprice, 0.5) AS med FROM lineitem GROUP BY 1), d AS (SELECT l.l_suppkey, abs(l_extendedprice - med) AS d FROM lineitem l JOIN m USING (l_suppkey)), s AS (SELECT l_suppkey, quantile_cont(d, 0.5) AS mad FROM d GROUP BY 1) SELECT l_suppkey, count(*) AS n, count(*) FILTER (0.6745 * d > 2.0 * mad) AS outliers FROM d JOIN s USING (l_suppkey) GROUP BY l_suppkey")
+def mad_outliers(spark, sf_dir):
+    rows = aggregates.outliers(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice"), ["l_suppkey"], "l_extendedprice", 2.0)
+    return rows.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_if("outlier").alias("outliers"))
+
+
+@query(TRACK + "SELECT a.user_id, a.event_id AS event_id, count(*) AS near FROM track a JOIN track b ON a.user_id = b.user_id AND abs(a.i - b.i) <= 5 GROUP BY a.user_id, a.event_id")
+def rows_within_reach(spark, sf_dir):
+    t = track(spark, sf_dir)
+    pairs = joins.within(t.select("user_id", "event_id", "i"), t.select("user_id", F.col("i").alias("j")), ["user_id"], "i", "j", 5)
+    return pairs.groupBy("user_id", "event_id").agg(F.count("*").alias("near"))
+
+
+ASOF = TRACK + ", posts AS (SELECT * FROM track WHERE i % 5 = 0), p AS (SELECT *, epoch_us(ts) / 1e6 AS s FROM track), q AS (SELECT user_id, value AS v, epoch_us(ts) / 1e6 AS s FROM posts) "
+
+
+@query(ASOF + "SELECT p.user_id, p.event_id, round(a.v + coalesce((p.s - a.s) / nullif(b.s - a.s, 0), 0) * (b.v - a.v), 5) + 0.0 AS at_time FROM p ASOF LEFT JOIN q a ON p.user_id = a.user_id AND p.s >= a.s ASOF LEFT JOIN q b ON p.user_id = b.user_id AND p.s <= b.s WHERE p.i % 5 <> 0")
+def interpolated_track(spark, sf_dir):
+    t = track(spark, sf_dir).withColumn("s", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
+    posts = t.where("i % 5 = 0").select("user_id", F.col("s").alias("t"), F.col("value").alias("v"))
+    return joins.interpolated(t.where("i % 5 <> 0").select("user_id", "event_id", "s"), posts, "user_id", "s", "t", "v", "at_time").select("user_id", "event_id", (F.round("at_time", 5) + 0.0).alias("at_time"))
+
+
+@query("WITH posts AS (SELECT l_orderkey AS k, l_extendedprice AS p, l_linenumber AS i FROM lineitem WHERE l_linenumber <= 3), asked AS (SELECT l_orderkey AS k, l_linenumber AS n, l_extendedprice AS x FROM lineitem WHERE l_linenumber > 3) SELECT DISTINCT k, n, cell FROM (SELECT k, n, x, arg_min(i, (abs(p - x), i)) AS cell FROM asked JOIN posts USING (k) GROUP BY k, n, x)")
+def nearest_cells(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_extendedprice")
+    posts = li.where("l_linenumber <= 3").select("k", F.col("l_extendedprice").alias("p"), F.col("l_linenumber").alias("cell"))
+    asked = li.where("l_linenumber > 3").select("k", F.col("l_linenumber").alias("n"), F.col("l_extendedprice").alias("x"))
+    return joins.nearest(asked, posts, "k", "x", "p", "cell").where("cell IS NOT NULL").select("k", "n", "cell").distinct()
+
+
+PLACE = "SELECT o_orderkey, o_custkey, o_custkey % 200 AS orbit, (o_orderkey * 7 % 181 - 90)::DOUBLE AS lat, (o_custkey * 11 % 361)::DOUBLE AS lon FROM orders"
+
+
+def places(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_custkey") % 200).alias("orbit"), (F.col("o_orderkey") * 7 % 181 - 90).cast("double").alias("lat"), (F.col("o_custkey") * 11 % 361).cast("double").alias("lon"))
+
+
+@query("WITH q(quadrangle, south, north, west, east) AS (VALUES " + ", ".join(f"('{a}', {c}, {d}, {e}, {f})" for a, _, c, d, e, f in selection.QUADRANGLES) + f") SELECT quadrangle, count(*) AS n, count(DISTINCT orbit) AS orbits FROM ({PLACE}) JOIN q ON lat > south AND lat < north AND lon > west AND lon < east GROUP BY quadrangle")
+def quadrangle_counts(spark, sf_dir):
+    return selection.in_quadrangles(places(spark, sf_dir), "lat", "lon").groupBy("quadrangle").agg(F.count("*").alias("n"), F.countDistinct("orbit").alias("orbits"))
+
+
+@query(f"SELECT orbit, min(o_orderkey) AS first_seen FROM ({PLACE}) WHERE lat > 0 AND lat < 30 AND lon > 135 AND lon < 180 GROUP BY orbit")
+def orbits_in_box(spark, sf_dir):
+    return selection.orbits_within(places(spark, sf_dir), {"lat": (0, 30), "lon": (135, 180)}, "orbit", "o_orderkey")
+
+
+@query(f"WITH p AS (SELECT * FROM ({PLACE}) WHERE lat BETWEEN -30 AND 30 AND lon BETWEEN 0 AND 180) SELECT orbit, count(*) AS n, round(avg(lat), 6) + 0.0 AS lat FROM p GROUP BY orbit HAVING count(*) > 10")
+def profiles_in_box(spark, sf_dir):
+    rows = selection.profiles_within(places(spark, sf_dir), "orbit", {"lat": (-30, 30), "lon": (0, 180)}, 10)
+    return rows.groupBy("orbit").agg(F.count("*").alias("n"), r6(F.avg("lat")).alias("lat"))
+
+
+@query(f"SELECT orbit, min(o_orderkey) AS first_row, max(o_orderkey) AS last_row, count(*) AS n FROM ({PLACE}) WHERE lat > 0 AND lat < 30 AND lon > 200 AND lon < 300 GROUP BY orbit HAVING count(*) > 2")
+def groundtrack_segments(spark, sf_dir):
+    return selection.segments_within(places(spark, sf_dir), "orbit", "o_orderkey", {"lat": (0, 30), "lon": (200, 300)}, 2)
+
+
+@query("SELECT o_orderkey, c_custkey, round(o_totalprice, 2) AS o_totalprice FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING' AND o_orderstatus <> 'F' AND o_totalprice > 1000 AND o_totalprice < 250000 AND o_orderkey % 3 = 0")
+def gathered_datapoints(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderstatus")
+    customers = table(spark, sf_dir, "customer")
+    bad = orders.where("o_orderstatus = 'F'").select("o_orderkey")
+    rows = selection.every_nth(orders, "o_orderkey", 3).join(customers.where("c_mktsegment = 'BUILDING'").select("c_custkey"), "c_custkey", "left_semi")
+    flags = orders.select("c_custkey", "o_orderkey", "o_orderstatus")
+    out = joins.gather(rows.drop("o_orderstatus"), orders.select("o_orderkey"), bad, flags, "o_orderkey", "c_custkey", {"o_totalprice": (1000, 250000)})
+    return out.select("o_orderkey", "c_custkey", F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
+@query("SELECT a.i AS price_cell, b.j AS quantity_cell, count(*) AS n, round(avg(l_tax), 6) AS mean, min(l_tax) AS least, max(l_tax) AS most, count(DISTINCT l_suppkey) AS sources FROM lineitem, unnest(range(0, 60)) AS a(i), unnest(range(0, 12)) AS b(j) WHERE l_extendedprice >= a.i * 2000 AND l_extendedprice < a.i * 2000 + 5000 AND l_quantity >= b.j * 5 AND l_quantity < b.j * 5 + 10 GROUP BY 1, 2")
+def overlapping_statistics_cube(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"), "l_tax", "l_suppkey")
+    out = aggregates.overlapping_cube(rows, {"price": (0.0, 2000.0, 5000.0), "quantity": (0.0, 5.0, 10.0)}, "l_tax", "l_suppkey")
+    return out.where("price_cell < 60 AND quantity_cell < 12").withColumn("mean", F.round("mean", 6))
+
+
+@query("WITH e AS (SELECT l_returnflag AS flag, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT flag, lo, (hi - lo) / 50 AS w, n, least(floor((l_extendedprice - lo) / ((hi - lo) / 50)), 49)::BIGINT AS bin FROM lineitem JOIN e ON flag = l_returnflag), c AS (SELECT e.flag, lo, (hi - lo) / 50 AS w, n, i, (SELECT count(*) FROM b WHERE b.flag = e.flag AND b.bin <= i) / n AS share FROM e, unnest(range(0, 50)) AS t(i)) SELECT flag, s AS share, round(arg_min(lo + (i + 0.5) * w, (abs(share - s), i)), 4) AS value FROM c, unnest([0.16, 0.5, 0.84]::DOUBLE[]) AS x(s) GROUP BY flag, s")
+def histogram_cdf_quantiles(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), "l_extendedprice")
+    return aggregates.histogram_quantiles(rows, ["flag"], "l_extendedprice").withColumn("value", F.round("value", 4))
+
+
+@query(GRAM + ", z AS (SELECT product, trace, samples[k + 1] AS re, samples[k + 33] AS im FROM gram, unnest(range(0, 32)) AS t(k)), y AS (SELECT a.product, a.re AS r1, a.im AS i1, b.re AS r2, b.im AS i2 FROM (SELECT product, trace, k, samples[k + 1] AS re, samples[k + 33] AS im FROM gram, unnest(range(0, 32)) AS t(k)) a JOIN (SELECT product, trace, k, samples[k + 1] AS re, samples[k + 33] AS im FROM gram, unnest(range(0, 32)) AS t(k)) b ON a.product = b.product AND a.k = b.k AND b.trace = a.trace + 1) SELECT product, round(sqrt(pow(avg(r1 * r2 + i1 * i2), 2) + pow(avg(i1 * r2 - r1 * i2), 2)) / sqrt(avg(r1 * r1 + i1 * i1) * avg(r2 * r2 + i2 * i2)), 6) AS coherence, round(atan2(avg(i1 * r2 - r1 * i2), avg(r1 * r2 + i1 * i2)), 5) + 0.0 AS phase FROM y GROUP BY product")
+def along_track_coherence(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("next", F.lead("samples").over(Window.partitionBy("product").orderBy("trace"))).where("next IS NOT NULL")
+    half = lambda c, name: F.transform(F.slice(c, 1, 32), lambda x, i: F.struct(x.alias("re"), F.get(c, i + 32).alias("im"))).alias(name)
+    cells = rows.select("product", half("samples", "a"), half("next", "b")).select("product", F.explode(F.arrays_zip("a", "b")).alias("z"))
+    flat = cells.select("product", F.col("z.a.re").alias("r1"), F.col("z.a.im").alias("i1"), F.col("z.b.re").alias("r2"), F.col("z.b.im").alias("i2"))
+    return aggregates.coherence(flat, ["product"], "r1", "i1", "r2", "i2").select("product", r6("coherence").alias("coherence"), (F.round("phase", 5) + 0.0).alias("phase"))
+
+
+@query(GRAM + ", d AS (SELECT product, trace, k, abs(x - lag(x) OVER (PARTITION BY product, trace ORDER BY k)) AS d FROM cells), n AS (SELECT product, trace, stddev_pop(d) FILTER (k > 31) * 3 AS noise FROM d GROUP BY ALL), h AS (SELECT d.product, d.trace, l, min(k - 1) AS k FROM d JOIN n USING (product, trace), unnest(range(1, 11)) AS t(l) WHERE d.d > noise * (l / 10.0) AND k - 1 >= 6 AND k - 1 < 46 GROUP BY ALL) SELECT gram.product, gram.trace, arg_max(h.k, l)::INT AS pick FROM gram LEFT JOIN h ON h.product = gram.product AND h.trace = gram.trace GROUP BY ALL")
+def coarse_surface_picks(spark, sf_dir):
+    return radargram(spark, sf_dir).select("product", "trace", traces.coarse_pick("samples", 2, noise_scale=3.0, skip=4, reach=40, tail=32).alias("pick"))
+
+
+@query(GRAM + ", d AS (SELECT product, trace, k - 1 AS k, abs(x - lag(x) OVER (PARTITION BY product, trace ORDER BY k)) AS d FROM cells), n AS (SELECT product, trace, stddev_pop(d) FILTER (k < 16) * 2.5 AS lim FROM d WHERE k >= 0 GROUP BY ALL) SELECT product, trace, coalesce(min(k) FILTER (d > lim), arg_min(k, (-d, k)))::INT AS pick FROM d JOIN n USING (product, trace) WHERE k >= 16 GROUP BY ALL")
+def threshold_surface_picks(spark, sf_dir):
+    return radargram(spark, sf_dir).select("product", "trace", traces.threshold_pick("samples", 16, 16, 2.5).alias("pick"))
+
+
+@query(GRAM + ", m AS (SELECT product, trace, max(abs(x)) AS top, arg_min(k, (-abs(x), k)) AS k, avg(abs(x)) FILTER (k < 16) AS noise FROM cells GROUP BY ALL) SELECT product, trace, CASE WHEN top >= 3 * noise THEN k END::INT AS pick FROM m")
+def amplitude_surface_picks(spark, sf_dir):
+    return radargram(spark, sf_dir).select("product", "trace", traces.surface_pick("samples", 3.0, 0, 16).alias("pick"))
+
+
+@query(GRAM + ", n AS (SELECT a.product, a.trace, lag_ AS lag, avg(abs(a.x - b.x)) AS mad FROM cells a, unnest(range(0, 9)) AS t(lag_) JOIN cells b ON b.product = a.product AND b.trace = a.trace AND b.k = (a.k - lag_ + 64) % 64 WHERE lag_ > 0 GROUP BY ALL) SELECT product, trace, lag, round(mad, 6) AS mad FROM n")
+def rolled_differences(spark, sf_dir):
+    rows = radargram(spark, sf_dir)
+    lags = F.array(*(F.struct(F.lit(k).cast("long").alias("lag"), F.round(traces.shifted_difference("samples", "samples", k, True), 6).alias("mad")) for k in range(1, 9)))
+    return rows.select("product", "trace", F.explode(lags).alias("x")).select("product", "trace", "x.*")
+
+
+@query(GRAM + ", r AS (SELECT product, trace, k, x, row_number() OVER (PARTITION BY product, trace ORDER BY abs(x) DESC, k) AS rank FROM cells) SELECT product, trace, k, rank FROM r WHERE rank <= round_even(64 * 0.2, 0)")
+def strongest_facets(spark, sf_dir):
+    rows = radargram(spark, sf_dir).select("product", "trace", F.posexplode("samples").alias("k", "x")).withColumn("power", F.abs("x"))
+    return aggregates.strongest(rows, ["product", "trace"], "power", "k").select("product", "trace", F.col("k").cast("long").alias("k"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("SELECT o_orderkey, round(atan2(im, re), 5) + 0.0 AS phase, round(10 * log10(re * re + im * im), 5) + 0.0 AS level FROM (SELECT o_orderkey, pow(10, db / 20) * cos(ph) AS re, pow(10, db / 20) * sin(ph) AS im FROM (SELECT o_orderkey, (o_custkey % 60)::DOUBLE AS db, (o_orderkey % 628)::DOUBLE / 100 AS ph FROM orders))")
+def complex_round_trip(spark, sf_dir):
+    re, im = signal.to_complex(F.col("o_custkey") % 60, (F.col("o_orderkey") % 628).cast("double") / 100)
+    level, phase = signal.to_polar(re, im)
+    return table(spark, sf_dir, "orders").select("o_orderkey", (F.round(phase, 5) + 0.0).alias("phase"), (F.round(level, 5) + 0.0).alias("level"))
+
+
+FILES = "SELECT l_orderkey AS product_id, CASE WHEN l_linenumber % 3 = 0 THEN 'out' ELSE 'in' END AS role, CASE WHEN l_quantity < 3 THEN NULL ELSE epoch(l_shipdate)::BIGINT END AS mtime FROM lineitem"
+
+
+@query(f"SELECT product_id, CASE WHEN lo = -1 THEN 'input_missing' ELSE 'input_ok' END AS input_status, CASE WHEN out = -1 THEN 'output_missing' WHEN lo = -1 THEN 'output_exists' WHEN NOT hi < out THEN 'output_stale' ELSE 'output_ok' END AS output_status FROM (SELECT product_id, min(coalesce(mtime, -1)) FILTER (role = 'in') AS lo, max(coalesce(mtime, -1)) FILTER (role = 'in') AS hi, min(coalesce(mtime, -1)) FILTER (role = 'out') AS out FROM ({FILES}) GROUP BY 1 HAVING count(DISTINCT role) = 2)")
+def product_freshness(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    files = li.select(F.col("l_orderkey").alias("product_id"), F.when(F.col("l_linenumber") % 3 == 0, "out").otherwise("in").alias("role"), F.when(F.col("l_quantity") >= 3, F.unix_seconds(F.col("l_shipdate").cast("timestamp"))).alias("mtime"))
+    both = files.groupBy("product_id").agg(F.countDistinct("role").alias("n")).where("n = 2").select("product_id")
+    return catalog.status(files.join(both, "product_id", "left_semi"))
+
+
+@query("SELECT o_custkey AS product, count(*) FILTER (o_orderstatus = 'F') AS \"F\", count(*) FILTER (o_orderstatus = 'O') AS \"O\", count(*) FILTER (o_orderstatus = 'P') AS \"P\" FROM orders GROUP BY 1 UNION ALL SELECT NULL, count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F'), count(DISTINCT o_custkey) FILTER (o_orderstatus = 'O'), count(DISTINCT o_custkey) FILTER (o_orderstatus = 'P') FROM orders")
+def product_status_table(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("product"), "o_orderstatus")
+    return catalog.status_table(o, "product", "o_orderstatus", ["F", "O", "P"])
+
+
+@query("SELECT o_orderkey, lower(rtrim('E_' || lpad((o_orderkey % 10000000)::VARCHAR, 7, '0') || '_001_SS' || lpad((o_custkey % 20)::VARCHAR, 2, '0') || '_700_A  ')) AS product, lpad((o_orderkey % 10000000)::VARCHAR, 7, '0') AS orbit FROM orders")
+def product_names(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    orbit = F.lpad((F.col("o_orderkey") % 10000000).cast("string"), 7, "0")
+    path = F.concat(F.lit("/data/e_"), orbit, F.lit("_001_ss"), F.lpad((F.col("o_custkey") % 20).cast("string"), 2, "0"), F.lit("_700_a_a.dat"))
+    product = catalog.product_of(path)
+    return o.select("o_orderkey", product.alias("product"), F.substring(product, 3, 7).alias("orbit"))
+
+
+@query()
+def range_compression(spark, sf_dir):
+    rows = windows.fixed_chunks(radargram(spark, sf_dir), "product", "trace", 512).withColumn("sza", F.lit(120.0)).withColumn("samples", F.transform("samples", lambda x: x * 1000))
+    out = kernels.range_compress(rows, "product", "chunk", "trace", "samples", "sza")
+    return out.select("product", "trace", F.array_max("re").alias("re_peak"), F.array_max("im").alias("im_peak"), "tec")
+
+
+@query()
+def fractional_shifts(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("offset", F.col("trace") % 7 / 7.0)
+    return kernels.shift(rows, ["product", "trace"], "samples", "offset").select("product", "trace", r6(traces.total("re")).alias("total"), r6(F.array_max("re")).alias("peak"))
+
+
+@query()
+def beta5_retracking(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("power", F.transform("samples", lambda x: x * x + 1e-4)).withColumn("first", F.lit(0))
+    return kernels.retrack(rows, ["product", "trace"], "power", "first").withColumns({"delta": F.round("delta", 3), "snr": F.round("snr", 3)})
+
+
+@query()
+def delay_doppler_focus(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumns({"along": F.col("trace") * 50.0, "t": F.col("trace") / 70.0, "r": F.lit(3.0e5), "v": F.lit(3400.0), "delay": F.lit(0.0)})
+    return kernels.focus(rows, "product", "trace", "samples", "along", "t", "r", "v", "delay", 200.0, 1000.0).select("product", "posting", "traces", r6(F.array_max("sar")).alias("peak"))
