@@ -243,11 +243,11 @@ def gathered_datapoints(spark, sf_dir):
     return out.select("o_orderkey", "c_custkey", F.round("o_totalprice", 2).alias("o_totalprice"))
 
 
-@query("SELECT a.i AS price_cell, b.j AS quantity_cell, count(*) AS n, round(avg(l_tax), 6) AS mean, min(l_tax) AS least, max(l_tax) AS most, count(DISTINCT l_suppkey) AS sources FROM lineitem, unnest(range(0, 60)) AS a(i), unnest(range(0, 12)) AS b(j) WHERE l_extendedprice >= a.i * 2000 AND l_extendedprice < a.i * 2000 + 5000 AND l_quantity >= b.j * 5 AND l_quantity < b.j * 5 + 10 GROUP BY 1, 2")
+@query("SELECT a.i AS price_cell, b.j AS quantity_cell, count(*) AS n, round(avg(l_tax), 9) AS mean, min(l_tax) AS least, max(l_tax) AS most, count(DISTINCT l_suppkey) AS sources FROM lineitem, unnest(range(0, 60)) AS a(i), unnest(range(0, 12)) AS b(j) WHERE l_extendedprice >= a.i * 2000 AND l_extendedprice < a.i * 2000 + 5000 AND l_quantity >= b.j * 5 AND l_quantity < b.j * 5 + 10 GROUP BY 1, 2")
 def overlapping_statistics_cube(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"), "l_tax", "l_suppkey")
     out = aggregates.overlapping_cube(rows, {"price": (0.0, 2000.0, 5000.0), "quantity": (0.0, 5.0, 10.0)}, "l_tax", "l_suppkey")
-    return out.where("price_cell < 60 AND quantity_cell < 12").withColumn("mean", F.round("mean", 6))
+    return out.where("price_cell < 60 AND quantity_cell < 12").withColumn("mean", F.round("mean", 9))
 
 
 @query("WITH e AS (SELECT l_returnflag AS flag, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT flag, lo, (hi - lo) / 50 AS w, n, least(floor((l_extendedprice - lo) / ((hi - lo) / 50)), 49)::BIGINT AS bin FROM lineitem JOIN e ON flag = l_returnflag), c AS (SELECT e.flag, lo, (hi - lo) / 50 AS w, n, i, (SELECT count(*) FROM b WHERE b.flag = e.flag AND b.bin <= i) / n AS share FROM e, unnest(range(0, 50)) AS t(i)) SELECT flag, s AS share, round(arg_min(lo + (i + 0.5) * w, (abs(share - s), i)), 4) AS value FROM c, unnest([0.16, 0.5, 0.84]::DOUBLE[]) AS x(s) GROUP BY flag, s")
