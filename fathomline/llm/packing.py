@@ -4,6 +4,7 @@ Documents are tokenized once, into a table in the shared folder, where each has
 """
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from .frames import written
 
 WINDOW, END = 2048, 1
-#: Words that a task remembers, and how long those are at most.
-REMEMBERED, LONGEST = 200_000, 40
+#: Words that a Python process remembers, and how long those are at most.
+REMEMBERED, LONGEST = 600_000, 40
 
 
 def vocabulary() -> str:
@@ -27,23 +28,45 @@ def vocabulary() -> str:
 
 
 class Words:
-    """Token ids of texts, word by word: this tokenizer's tokens never reach over white space, so that a word's ids can be remembered."""
+    """Token ids of texts, word by word: this tokenizer's tokens never reach over white space, so that a word's ids can be remembered. A task's Python process keeps them for the tasks after it."""
+
+    kept: dict[str, "Words"] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.known: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> "Words":
+        if path not in cls.kept:
+            cls.kept[path] = cls(path)
+        return cls.kept[path]
+
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        """Words of small ASCII letters are one unit of the tokenizer's model; others go through all of it."""
+        unit = self.tokenizer.model.tokenize
+        plain = {w for w in words if w.isascii() and w.isalpha() and w.islower()}
+        other = [w for w in words if w not in plain]
+        out = {w: array(self.type.char, [t.id for t in unit(w)]).tobytes() for w in plain}
+        return out | {w: np.array(e.ids, self.type).tobytes() for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True)}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian integers of this type."""
         split = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set(chain.from_iterable(split)) - self.known.keys())
-        codes = dict(zip(new, (tuple(e.ids) for e in self.tokenizer.encode_batch(new, add_special_tokens=False)), strict=True)) if new else {}
-        long = {w: codes.pop(w) for w in new if len(w) > LONGEST}
-        self.known.update(codes)
-        known = self.known | long if long else self.known
-        return [np.fromiter(chain.from_iterable([known[w] for w in words]), np.uint32) for words in split]
+        new = set(chain.from_iterable(split)) - self.known.keys()
+        # a word with a full stop or comma after a letter is the word and the mark; ASCII letters count as small ones
+        bare = {w: w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in new}
+        bare = {w: (b.lower() if b.isascii() else b, w[len(b) :]) for w, b in bare.items()}
+        codes = self._encoded([b for b in {x for pair in bare.values() for x in pair if x} if b not in self.known])
+        get = lambda x: codes[x] if x in codes else self.known[x]
+        codes |= {w: get(b) + (get(mark) if mark else b"") for w, (b, mark) in bare.items()}
+        if len(self.known) < REMEMBERED:
+            self.known.update((w, c) for w, c in codes.items() if len(w) <= LONGEST)
+        known = self.known
+        return [b"".join([known[w] if w in known else codes[w] for w in words]) for words in split]
 
 
 def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
@@ -52,15 +75,15 @@ def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, words = TaskContext.get().partitionId(), 0, None
         for batch in batches:
-            words = words or Words(path)
-            narrow = words.tokenizer.get_vocab_size() <= 1 << 16
+            words = words or Words.of(path)
+            last = np.array([end], words.type).tobytes()
             for lo in range(0, batch.num_rows, 256):
                 some = batch.slice(lo, 256)
-                ids = [np.append(x, np.uint32(end)) for x in words.ids([t or "" for t in some["text"].to_pylist()])]
-                sizes = np.array([len(x) for x in ids])
+                ids = [x + last for x in words.ids([t or "" for t in some["text"].to_pylist()])]
+                sizes = np.array([len(x) for x in ids]) // words.type.itemsize
                 begins = at + np.cumsum(sizes) - sizes
                 at += int(sizes.sum())
-                yield pa.record_batch([some["doc_id"], pa.array(sizes), pa.array([x.astype("<u2" if narrow else "<u4").tobytes() for x in ids], pa.binary()), pa.array([part] * len(ids), pa.int32()), pa.array(begins), pa.array([2 if narrow else 4] * len(ids), pa.int32())], ["doc_id", "n", "ids", "part", "at", "width"])
+                yield pa.record_batch([some["doc_id"], pa.array(sizes), pa.array(ids, pa.binary()), pa.array([part] * len(ids), pa.int32()), pa.array(begins), pa.array([words.type.itemsize] * len(ids), pa.int32())], ["doc_id", "n", "ids", "part", "at", "width"])
 
     return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, ids binary, part int, at long, width int"))
 
