@@ -2,7 +2,7 @@
 
 A sketch has T coordinates. In round i < T each shingle falls into one bin, with i and a hash as its value; in round T + j all fall into bin j. Rounds go on until no bin is empty, and a bin keeps its least value: each coordinate fills, and a document costs about T log T hashes however long it is. Equal shingle sets are one class from the start. Sketches are banded; classes that share a band are candidates, and a link stands only if the full shingle sets confirm it.
 
-Candidates of a band aren't compared pair by pair. Each bucket compares one member with the others; links make components; only buckets whose members are in different components go on, and what two such rounds leave open is compared in full. A link that isn't looked at joins documents that are joined already. With 64 bands of 6 a pair at 0.75 is overlooked with probability 4e-6.
+Candidates of a band aren't compared pair by pair. Each bucket compares one member with the others; links make components; only buckets whose members are in different components go on. Of those the pairs with similar sketches are confirmed, first a forest of the most alike, then what is left. A link that isn't looked at joins documents that are joined already. With 64 bands of 6 a pair at 0.75 is overlooked with probability 4e-6.
 """
 
 from collections.abc import Iterator
@@ -18,7 +18,8 @@ from .superwindows import marks
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERCENT = 75
-ROUNDS = 2
+#: Bits of a set's bitmap: the bits in which two differ bound their intersection from above.
+BITMAP = 4096
 ENTRY = np.dtype([("key", "i8"), ("cls", "i8")])
 
 
@@ -60,6 +61,7 @@ def sketches(h: np.ndarray, cut: np.ndarray, t: int) -> np.ndarray:
 def classes_of(docs: DataFrame, bands: int, rows: int, words: int) -> tuple[DataFrame, DataFrame]:
     """doc_id, n_shingles and cls (a hash of the shingle set; null without shingles) of each document, and key, cls of the classes that share a band with another."""
     parts = partitions(docs.sparkSession)
+    bits = (bands - 1).bit_length()  # a key ends with its band
     odd, salt = seeds(rows, 23) | np.uint64(1), seeds(bands, 29)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +85,7 @@ def classes_of(docs: DataFrame, bands: int, rows: int, words: int) -> tuple[Data
                 take = np.concatenate([np.arange(cut[i], cut[i + 1]) for i in own])
                 s = sketches(h[take], np.concatenate(([0], np.cumsum(n[own]))), bands * rows).reshape(len(own), bands, rows)
                 with np.errstate(over="ignore"):
-                    keys = mixed((s * odd).sum(axis=2) ^ salt)
+                    keys = mixed((s * odd).sum(axis=2) ^ salt) >> np.uint64(bits) << np.uint64(bits) | np.arange(bands, dtype=np.uint64)
                 entries = np.empty(keys.size, ENTRY)
                 entries["key"], entries["cls"] = keys.ravel().view(np.int64), np.repeat(cls[own], bands)
                 to = (keys.ravel() >> np.uint64(11)) % np.uint64(parts)
@@ -133,31 +135,101 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def links_of(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame | None:
+def likely(members: DataFrame, sets: DataFrame, bands: int, width: int, percent: int, forest: bool) -> DataFrame:
+    """Pairs a, b of a bucket's members with different labels whose sketches agree in enough coordinates: so many that a pair at the threshold falls short with probability 1e-5, and whose bitmaps leave room for the similarity. Each pair comes from the first band that it shares. With forest only the most alike pairs that would join a bucket's labels, fewer than it has members."""
+    coordinates = bands * width
+    share = percent / 100
+    floor = share - 4.3 * np.sqrt(share * (1 - share) / coordinates)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                some = batch.slice(lo, 1000)
+                h = [np.frombuffer(x.as_buffer(), np.uint64) for x in some["items"]]
+                s = (sketches(np.concatenate(h), np.concatenate(([0], np.cumsum([len(x) for x in h]))), coordinates) & np.uint64(0xFFFF)).astype(np.uint16)
+                bits = np.zeros((len(h), BITMAP), bool)
+                for row, x in zip(bits, h, strict=True):
+                    row[(x % np.uint64(BITMAP)).astype(np.int64)] = True
+                yield pa.record_batch([some["cls"], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["cls", "sketch", "bitmap"])
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        cls, n, label = (rows[c].to_numpy() for c in ("cls", "n", "label"))
+        band = rows["key"][0].as_py() & ((1 << (bands - 1).bit_length()) - 1)
+        s = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(len(cls), -1)
+        bits = np.frombuffer(b"".join(rows["bitmap"].to_pylist()), np.uint64).reshape(len(cls), -1)
+        _, group, size = np.unique(label, return_inverse=True, return_counts=True)
+        rank = np.argsort(np.argsort(size[group], kind="stable"), kind="stable")  # members of large components come last: they needn't look at each other
+        found = []
+        for i in np.flatnonzero(group != size.argmax()):
+            j = np.flatnonzero((rank > rank[i]) & (group != group[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent))
+            same = (s[j] == s[i]).mean(axis=1)
+            j, same = j[same >= floor], same[same >= floor]
+            shared = (s[j] == s[i]).reshape(len(j), bands, width).all(axis=2)
+            here = shared.argmax(axis=1) == band
+            j, same = j[here], same[here]
+            common = (n[j] + n[i] - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)) // 2  # or fewer: bits that differ are shingles that do
+            here = 100 * common >= percent * (n[j] + n[i] - common)
+            found.append(np.stack((np.full(len(j), i), j, same))[:, here])
+        i, j, same = np.concatenate(found, axis=1) if found else np.empty((3, 0))
+        i, j = i.astype(np.int64), j.astype(np.int64)
+        if forest:
+            up, keep = np.arange(len(size)), []
+
+            def root(x):
+                while up[x] != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            for k in np.argsort(-same, kind="stable"):
+                x, y = root(group[i[k]]), root(group[j[k]])
+                if x != y:
+                    up[x] = y
+                    keep.append(k)
+            i, j = i[keep], j[keep]
+        return pa.record_batch([pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j]))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:  # in order of key
+            rest = pa.concat_tables([rest, pa.Table.from_batches([batch])]) if rest is not None else pa.Table.from_batches([batch])
+            key = rest["key"].to_numpy()
+            cut = np.flatnonzero(np.append(marks(key), False))
+            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                yield compare(rest.slice(lo, hi - lo))
+            rest = rest.slice(cut[-1]) if len(cut) else rest
+        if rest is not None and rest.num_rows:
+            yield compare(rest)
+
+    of = sets.join(members.select("cls").distinct(), "cls", "left_semi").mapInArrow(sketch, "cls long, sketch binary, bitmap binary")
+    rows = members.join(of, "cls").select("key", "cls", "n", "label", "sketch", "bitmap").repartition(partitions(members.sparkSession), "key").sortWithinPartitions("key")
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def links_of(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, bands: int, width: int, percent: int) -> DataFrame | None:
     """Links a, b that join what the buckets' confirmed links join. sizes: cls, n."""
     ratio = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)  # noqa: E731  sets of other sizes can't be similar
-    members = written(buckets.join(sizes, "cls").select("key", "cls", "n", F.col("cls").alias("label")))
-    links = checked = None
-    for turn in range(ROUNDS + 1):
-        if members.isEmpty():
-            break
-        if turn < ROUNDS:
-            lead = members.groupBy("key").agg(F.min_by(F.struct(F.col("cls").alias("a"), F.col("n").alias("m"), F.col("label").alias("other")), F.xxhash64("cls", F.lit(turn))).alias("lead")).select("key", "lead.*")
-            pairs = members.join(lead, "key").where((F.col("label") != F.col("other")) & ratio(F.col("n"), F.col("m"))).select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
-        else:
-            other = members.select("key", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-            pairs = members.join(other, "key").where((F.col("cls") < F.col("b")) & (F.col("label") != F.col("other")) & ratio(F.col("n"), F.col("m"))).select(F.col("cls").alias("a"), "b")
+    if buckets.isEmpty():
+        return None
+    # the member that shares most buckets with most others leads: in a group of edited copies, what they were made from
+    degree = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("m")), "key").groupBy("cls").agg(F.sum("m").alias("degree"))
+    members = written(buckets.join(sizes, "cls").join(degree, "cls").select("key", "cls", "n", "degree"))
+    lead = members.groupBy("key").agg(F.max(F.struct("degree", "cls", "n")).alias("lead")).select("key", F.col("lead.cls").alias("a"), F.col("lead.n").alias("m"))
+    pairs = members.join(lead, "key").where((F.col("cls") != F.col("a")) & ratio(F.col("n"), F.col("m"))).select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
+    checked = links = None
+    for turn in ("lead", "forest", "rest"):
         pairs = pairs.distinct()
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti") if checked is not None else pairs)
         new = written(confirmed(pairs, sets, percent))
         links = new if links is None else links.unionByName(new)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        if turn == ROUNDS:
+        if turn == "rest":
             break
-        labels = components(links)
-        labelled = members.drop("label").join(labels.withColumnRenamed("id", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        labelled = members.drop("label").join(components(links).withColumnRenamed("id", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         open_ = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l != m").select("key")
         members = written(labelled.join(open_, "key", "left_semi").select("key", "cls", "n", "label"))
+        if members.isEmpty():
+            break
+        pairs = likely(members, sets, bands, width, percent, forest=turn == "lead")
     return links
 
 
@@ -178,7 +250,7 @@ def cluster(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int =
                 yield pa.record_batch([batch["cls"].slice(lo, len(at) - 1), pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["cls", "items"])
 
     sets = written(docs.join(shared, "doc_id").select("cls", "text").mapInArrow(items, "cls long, items binary"))
-    links = links_of(buckets, sets, classes.select("cls", "n"), percent)
+    links = links_of(buckets, sets, classes.select("cls", "n"), bands, rows, percent)
     if links is None:
         found = own.join(classes, "cls", "left").withColumn("component_id", F.coalesce("rep", "doc_id"))
     else:
