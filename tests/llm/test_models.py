@@ -1,0 +1,65 @@
+"""Quality classifier, secret scans, and the pipeline on the smallest tables."""
+
+import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from fathomline.llm import quality, secrets
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_quality_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    rows = quality.score(docs, labels).join(labels.select("doc_id", "quality"), "doc_id", "left").collect()
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    own = [(r["predicted"], r["quality"]) for r in rows if r["held_out"] and r["quality"] is not None]
+    assert np.mean([a == b for a, b in own]) >= 0.95
+
+
+def test_sum_of_squares_identity():
+    r = np.random.default_rng(4)
+    m = quality.Machine(0.3, r.normal(size=quality.SIZE), r.normal(size=(quality.SIZE, quality.RANK)))
+    no, x = np.array([5, 9, 40, 7]), np.array([0.5, 2.0, -1.0, 3.0])
+    want = 0.3 + (m.w[no] * x).sum() + sum(m.v[no[i]] @ m.v[no[j]] * x[i] * x[j] for i in range(4) for j in range(i))
+    assert abs(m.parts(no, x, np.array([0, 4]))[0][0] - want) < 1e-9
+
+
+def odd(spark):
+    return spark.createDataFrame([(1, None, "s", 3), (2, "", None, 3), (2, "x", "s", 3), (None, "a b", "s", 3), (3, "w " * 20000, "s", 3)], "doc_id long, text string, source string, score int")
+
+
+def test_quality_edges(spark):
+    labels = spark.createDataFrame([(1, 1), (2, None), (3, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    assert quality.score(odd(spark), labels).count() == 5
+    assert {r["score"] for r in quality.score(odd(spark), labels.limit(0)).collect()} == {1.0}
+    assert quality.score(odd(spark).limit(0), labels).count() == 0
+
+
+def test_secrets_found_and_redacted(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    planted = {(r["doc_id"], m.start(1)) for r in docs.collect() for m in re.finditer(r'token = "([0-9a-f]{40})"', r["text"])}
+    found = {(r["doc_id"], r["start"]) for r in secrets.scan(docs).where("is_secret").collect()}
+    assert planted and planted <= found and len(found - planted) <= 0.1 * len(planted)
+    out = secrets.redacted(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert out.where(F.col("text").rlike('token = "[0-9a-f]{40}"')).isEmpty()
+    assert out.where("n_chars != length(text)").isEmpty()
+    assert secrets.scan(odd(spark)).where("is_secret").isEmpty() and secrets.redacted(odd(spark)).count() == 5
+    assert secrets.scan(docs.limit(0)).count() == secrets.redacted(docs.limit(0)).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, "/root/testdata/sf0.001").cache()
+        assert kept.columns == docs.columns
+    pieces = corpus_pipeline.STAGES[-1][1](spark, kept, "/root/testdata/sf0.001")
+    assert pieces.agg(F.sum("length")).first()[0] == pieces.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+    assert pieces.where("start = 0").count() == kept.count()
