@@ -3,18 +3,19 @@
 Documents are tokenized once, into a table in the shared folder, where each has its place in its partition's stream of tokens. Prefix sums of the partitions' token totals give global offsets; a second pass cuts each document at multiples of the window. A window that reaches over partitions is made of boundary records, pieces with the same sequence_id: no tokens have to be sent for it.
 """
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import pieces, written
 
 WINDOW, END = 2048, 1
 #: Words that a Python process remembers, and how long those are at most.
@@ -27,8 +28,24 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Words of these characters alone, all but white space, apostrophes and bars of Latin script, are cut by PIECE as the tokenizer cuts them.
+SIMPLE = re.compile("[!-&(-{}~\u00a1\u00ab\u00bb\u00bf-\u012f\u0131-\u017f]+").fullmatch
+PIECE = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall
+
+
+def _byte_level() -> dict[int, str]:
+    """Latin characters as the byte-level alphabet writes their lower case: bytes that print stand for themselves, the others for the characters from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in shown)
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letters[b] for b in chr(c).lower().encode()) for c in range(0x180)}
+
+
+BYTE_LEVEL = _byte_level()
+
+
 class Words:
-    """Token ids of texts, word by word: this tokenizer's tokens never reach over white space, so that a word's ids can be remembered. A task's Python process keeps them for the tasks after it."""
+    """Token ids of texts, word by word: this tokenizer's tokens never reach over white space, so that a word's ids can be remembered, and those of the pieces that it consists of. A task's Python process keeps them for the tasks after it."""
 
     kept: dict[str, "Words"] = {}
 
@@ -36,8 +53,10 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.model._resize_cache(0)  # pieces are remembered here
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "Words":
@@ -45,28 +64,40 @@ class Words:
             cls.kept[path] = cls(path)
         return cls.kept[path]
 
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        """Words of small ASCII letters are one unit of the tokenizer's model; others go through all of it."""
-        unit = self.tokenizer.model.tokenize
-        plain = {w for w in words if w.isascii() and w.isalpha() and w.islower()}
-        other = [w for w in words if w not in plain]
-        out = {w: array(self.type.char, [t.id for t in unit(w)]).tobytes() for w in plain}
-        return out | {w: np.array(e.ids, self.type).tobytes() for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True)}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian integers of this type."""
-        split = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
-        new = set(chain.from_iterable(split)) - self.known.keys()
-        # a word with a full stop or comma after a letter is the word and the mark; ASCII letters count as small ones
-        bare = {w: w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in new}
-        bare = {w: (b.lower() if b.isascii() else b, w[len(b) :]) for w, b in bare.items()}
-        codes = self._encoded([b for b in {x for pair in bare.values() for x in pair if x} if b not in self.known])
-        get = lambda x: codes[x] if x in codes else self.known[x]
-        codes |= {w: get(b) + (get(mark) if mark else b"") for w, (b, mark) in bare.items()}
-        if len(self.known) < REMEMBERED:
-            self.known.update((w, c) for w, c in codes.items() if len(w) <= LONGEST)
-        known = self.known
-        return [b"".join([known[w] if w in known else codes[w] for w in words]) for words in split]
+    def _unit(self, piece: str) -> bytes:
+        """The ids of a piece, which is one unit of the tokenizer's model."""
+        ids = array(self.type.char, [t.id for t in self.tokenizer.model.tokenize(piece.translate(BYTE_LEVEL))]).tobytes()
+        if len(self.units) < REMEMBERED and len(piece) <= LONGEST:
+            self.units[piece] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        units = self.units
+        if word.isascii() and word.isalpha():
+            word = word.lower()
+            return units[word] if word in units else self._unit(word)
+        if not SIMPLE(word):
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.type).tobytes()
+        return b"".join([units[p] if p in units else self._unit(p) for p in PIECE(word.lower())])
+
+    def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with `end` after it, and where each text's ids start (and the last end)."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        at = np.asarray(split.offsets) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        known, codes = self.known, []
+        for w in coded.dictionary.to_pylist():
+            if (code := known.get(w)) is None:
+                code = self._word(w)
+                if len(known) < REMEMBERED and len(w) <= LONGEST:
+                    known[w] = code
+            codes.append(code)
+        codes.append(np.array([end], self.type).tobytes())
+        size = np.array([len(c) for c in codes]) // self.type.itemsize
+        flat, first = np.frombuffer(b"".join(codes), self.type), np.cumsum(size) - size
+        word = np.insert(np.asarray(coded.indices), at[1:], len(codes) - 1)
+        to = np.concatenate(([0], np.cumsum(size[word])))
+        return flat[np.repeat(first[word] - to[:-1], size[word]) + np.arange(to[-1])], to[at + np.arange(len(at))]
 
 
 def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
@@ -76,14 +107,13 @@ def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
         part, at, words = TaskContext.get().partitionId(), 0, None
         for batch in batches:
             words = words or Words.of(path)
-            last = np.array([end], words.type).tobytes()
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                ids = [x + last for x in words.ids([t or "" for t in some["text"].to_pylist()])]
-                sizes = np.array([len(x) for x in ids]) // words.type.itemsize
-                begins = at + np.cumsum(sizes) - sizes
-                at += int(sizes.sum())
-                yield pa.record_batch([some["doc_id"], pa.array(sizes), pa.array(ids, pa.binary()), pa.array([part] * len(ids), pa.int32()), pa.array(begins), pa.array([words.type.itemsize] * len(ids), pa.int32())], ["doc_id", "n", "ids", "part", "at", "width"])
+            texts = batch["text"].fill_null("")
+            for lo, _, edge in pieces(texts, 4 << 20):
+                n = len(edge) - 1
+                ids, cut = words.ids(texts.slice(lo, n), end)
+                binary = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(cut * words.type.itemsize), pa.py_buffer(ids)]).cast(pa.binary())
+                yield pa.record_batch([batch["doc_id"].slice(lo, n), pa.array(np.diff(cut)), binary, pa.array(np.full(n, part, np.int32)), pa.array(at + cut[:-1]), pa.array(np.full(n, words.type.itemsize, np.int32))], ["doc_id", "n", "ids", "part", "at", "width"])
+                at += int(cut[-1])
 
     return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, ids binary, part int, at long, width int"))
 
