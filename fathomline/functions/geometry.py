@@ -57,3 +57,51 @@ def look_angle(surface_delay, feature_delay) -> Column:
 
 def roll_phase(roll, baseline: float, wavelength: float) -> Column:
     return 2 * F.pi() * baseline / wavelength * F.sin(-number(roll))
+
+
+def ellipsoidal_distance(lat1, lon1, lat2, lon2, a: float, b: float, rounds: int = 8) -> Column:
+    """Length of the geodesic on an ellipsoid of revolution with half-axes a and b, by Vincenty's inverse iteration; 0 for equal points. Nearly opposite points may not converge in the rounds."""
+    f = 1 - b / a
+    u1, u2 = (F.atan((1 - f) * F.tan(F.radians(number(x)))) for x in (lat1, lat2))
+    span = F.radians(number(lon2) - number(lon1))
+    s1, c1, s2, c2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
+
+    def arc(lam: Column) -> dict[str, Column]:
+        left, right = c2 * F.sin(lam), c1 * s2 - s1 * c2 * F.cos(lam)
+        sin, cos = F.sqrt(left * left + right * right), s1 * s2 + c1 * c2 * F.cos(lam)
+        azimuth = F.coalesce(F.try_divide(c1 * c2 * F.sin(lam), sin), F.lit(0.0))
+        square = 1 - azimuth * azimuth
+        return {"sin": sin, "cos": cos, "sigma": F.atan2(sin, cos), "azimuth": azimuth, "square": square, "mid": cos - F.coalesce(F.try_divide(2 * s1 * s2, square), F.lit(0.0))}
+
+    def step(lam: Column, _: Column) -> Column:
+        p = arc(lam)
+        c = f / 16 * p["square"] * (4 + f * (4 - 3 * p["square"]))
+        return span + (1 - c) * f * p["azimuth"] * (p["sigma"] + c * p["sin"] * (p["mid"] + c * p["cos"] * (2 * p["mid"] * p["mid"] - 1)))
+
+    p = arc(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), span, step))
+    u = p["square"] * (a * a - b * b) / (b * b)
+    big = 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768))
+    small = u / 1024 * (256 + u * (u * (74 - 47 * u) - 128))
+    mid2, sin2 = p["mid"] * p["mid"], p["sin"] * p["sin"]
+    bend = small * p["sin"] * (p["mid"] + small / 4 * (p["cos"] * (2 * mid2 - 1) - small / 6 * p["mid"] * (4 * sin2 - 3) * (4 * mid2 - 3)))
+    return b * big * (p["sigma"] - bend)
+
+
+def rotated(q: tuple, x, y, z) -> tuple[Column, Column, Column]:
+    """The vector turned by quaternion q = (w, i, j, k) and stretched by its norm; null for a quaternion of zeros."""
+    w, i, j, k = map(number, q)
+    x, y, z = map(number, (x, y, z))
+    norm = F.sqrt(w * w + i * i + j * j + k * k)
+    rows = (
+        ((w * w + i * i - j * j - k * k), 2 * (i * j - w * k), 2 * (i * k + w * j)),
+        (2 * (i * j + w * k), (w * w - i * i + j * j - k * k), 2 * (j * k - w * i)),
+        (2 * (i * k - w * j), 2 * (j * k + w * i), (w * w - i * i - j * j + k * k)),
+    )
+    return tuple(F.try_divide(a * x + b * y + c * z, norm) for a, b, c in rows)
+
+
+def degrees_of(text) -> Column:
+    """Degrees of a text such as 12d30'15.5"W, west and south being negative; null for other texts."""
+    part = lambda i: F.regexp_extract(text, r"(\d+)d\s*(\d+)'\s*([\d.]+)\"\s*([NSEW])", i)
+    value = part(1).try_cast("double") + part(2).try_cast("double") / 60 + part(3).try_cast("double") / 3600
+    return F.when(part(4).isin("W", "S"), -value).otherwise(value)

@@ -103,3 +103,25 @@ def unpack4(packed) -> Column:
     sign = lambda x: F.when(x > 7, x - 16).otherwise(x)
     byte = lambda i: F.conv(F.hex(F.substring(col(packed), i, 1)), 16, 10).cast("int")
     return F.flatten(F.transform(F.sequence(F.lit(1), F.octet_length(col(packed))), lambda i: F.array(sign(F.shiftright(byte(i), 4)), sign(byte(i).bitwiseAND(15)))))
+
+
+def mad(a) -> Column:
+    """Median absolute deviation from the median; the median of an even number is the mean of the middle two."""
+
+    def median(x: Column) -> Column:
+        s = F.array_sort(x)
+        n = F.size(x)
+        low, high = F.get(s, F.floor((n - 1) / 2).cast("int")), F.get(s, F.floor(n / 2).cast("int"))
+        return (low + high) / 2
+
+    a = col(a)
+    middle = median(a)
+    return median(F.transform(a, lambda x: F.abs(x - middle)))
+
+
+def best_lag(a, b, reach: int) -> Column:
+    """Struct lag, residual: the circular shift of b within reach, least first among equals, whose difference from a has the least median absolute deviation."""
+    a, b = col(a), col(b)
+    at = lambda lag: F.struct(mad(F.transform(a, lambda x, i: x - F.get(b, F.pmod(i - lag, F.size(b)).cast("int")))).alias("residual"), lag.alias("lag"))
+    best = F.array_min(F.transform(F.sequence(F.lit(-reach), F.lit(reach)), at))
+    return F.struct(best["lag"].alias("lag"), best["residual"].alias("residual"))

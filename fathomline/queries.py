@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, signal, time, traces
-from .operators import aggregates, joins, kernels, selection, windows
+from .operators import aggregates, clutter, joins, kernels, selection, windows
 from .plans import catalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -349,3 +349,60 @@ def beta5_retracking(spark, sf_dir):
 def delay_doppler_focus(spark, sf_dir):
     rows = radargram(spark, sf_dir).withColumns({"along": F.col("trace") * 50.0, "t": F.col("trace") / 70.0, "r": F.lit(3.0e5), "v": F.lit(3400.0), "delay": F.lit(0.0)})
     return kernels.focus(rows, "product", "trace", "samples", "along", "t", "r", "v", "delay", 200.0, 1000.0).select("product", "posting", "traces", r6(F.array_max("sar")).alias("peak"))
+
+
+SURFACE = GRAM + """, grid AS (SELECT product, trace, k, k * 10.0::DOUBLE AS x, trace * 10.0::DOUBLE AS y, x AS z FROM cells),
+steps AS (SELECT *, coalesce(lead(x) OVER r, x) - coalesce(lag(x) OVER r, x) AS ax, coalesce(lead(z) OVER r, z) - coalesce(lag(z) OVER r, z) AS az, coalesce(lead(y) OVER c, y) - coalesce(lag(y) OVER c, y) AS byy, coalesce(lead(z) OVER c, z) - coalesce(lag(z) OVER c, z) AS bz FROM grid WINDOW r AS (PARTITION BY product, trace ORDER BY k), c AS (PARTITION BY product, k ORDER BY trace)),
+facets AS (SELECT product, trace, k, x, y, z, sqrt(ax * ax + az * az) AS la, sqrt(byy * byy + bz * bz) AS lb, -az * byy / n AS nx, -ax * bz / n AS ny, ax * byy / n AS nz FROM (SELECT *, nullif(sqrt(az * byy * az * byy + ax * bz * ax * bz + ax * byy * ax * byy), 0) AS n FROM steps)) """
+
+
+def surface(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = radargram(spark, sf_dir).select("product", "trace", F.posexplode("samples").alias("k", "z"))
+    grid = cells.select("product", "trace", F.col("k").cast("long").alias("k"), (F.col("k") * 10.0).alias("x"), (F.col("trace") * 10.0).alias("y"), "z")
+    return clutter.facets(grid, ["product"], "trace", "k", "x", "y", "z")
+
+
+@query(SURFACE + "SELECT product, trace, k, round(la, 6) + 0.0 AS la, round(lb, 6) + 0.0 AS lb, round(nx, 6) + 0.0 AS nx, round(ny, 6) + 0.0 AS ny, round(nz, 6) + 0.0 AS nz FROM facets")
+def facet_geometry(spark, sf_dir):
+    return surface(spark, sf_dir).select("product", "trace", "k", *[r6(c).alias(c) for c in ("la", "lb", "nx", "ny", "nz")])
+
+
+@query(
+    SURFACE
+    + """, pairs AS (SELECT product, s.trace, la, lb, sqrt(dx * dx + dy * dy + dz * dz) AS r, abs(nx * dx + ny * dy + nz * dz) / sqrt(dx * dx + dy * dy + dz * dz) AS u FROM (SELECT f.product, g.trace, la, lb, nx, ny, nz, 315.0 - f.x AS dx, g.trace * 10.0 - f.y AS dy, 300.0 - f.z AS dz FROM (SELECT DISTINCT product, trace FROM gram) g JOIN facets f USING (product) WHERE nx IS NOT NULL) s WHERE dx * dx + dy * dy <= 14400.0)
+SELECT product, trace, floor(2 * r / 299792458.0 * 1e8)::BIGINT AS sample, round(1e6 * sum(pow(coalesce(la * lb * exp(-(1 - u * u) / nullif(u * u, 0) / 0.16) / (sqrt(2) * 0.2 * u * u * r * r), 0), 2)), 4) + 0.0 AS power FROM pairs GROUP BY ALL"""
+)
+def surface_clutter(spark, sf_dir):
+    seen = radargram(spark, sf_dir).select("product", "trace", F.lit(315.0).alias("sx"), (F.col("trace") * 10.0).alias("sy"), F.lit(300.0).alias("sz"))
+    out = clutter.echoes(seen, surface(spark, sf_dir), ["product"], "trace", 120.0, 0.2, 1e8)
+    return out.select("product", "trace", "sample", (F.round(F.col("power") * 1e6, 4) + 0.0).alias("power"))
+
+
+@query(
+    GRAM
+    + """, pairs AS (SELECT product, trace, samples AS a, lead(samples) OVER (PARTITION BY product ORDER BY trace) AS b FROM gram),
+diffs AS (SELECT product, trace, lag, k, a[k + 1] - b[((k - lag) % 64 + 64) % 64 + 1] AS d FROM pairs, unnest(range(-3, 4)) AS l(lag), unnest(range(64)) AS o(k) WHERE b IS NOT NULL),
+residuals AS (SELECT product, trace, lag, round(mad(d), 6) + 0.0 AS residual FROM diffs GROUP BY ALL)
+SELECT product, trace, min(residual) AS residual FROM residuals GROUP BY ALL"""
+)
+def range_offsets(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("other", F.lead("samples").over(Window.partitionBy("product").orderBy("trace"))).where("other IS NOT NULL")
+    return rows.select("product", "trace", r6(traces.best_lag("samples", "other", 3)["residual"]).alias("residual"))
+
+
+@query(
+    "SELECT c_custkey, round(((w * w + 0.09 - 0.01 - 0.04) * x + 2 * (0.03 - w * 0.2) * y + 2 * (0.06 + w * 0.1) * z) / n, 6) + 0.0 AS x, round((2 * (0.03 + w * 0.2) * x + (w * w - 0.09 + 0.01 - 0.04) * y + 2 * (0.02 - w * 0.3) * z) / n, 6) + 0.0 AS y, round((2 * (0.06 - w * 0.1) * x + 2 * (0.02 + w * 0.3) * y + (w * w - 0.09 - 0.01 + 0.04) * z) / n, 6) + 0.0 AS z FROM (SELECT c_custkey, x, y, z, w, sqrt(w * w + 0.14) AS n FROM (SELECT c_custkey, (c_custkey % 7)::DOUBLE AS x, (c_custkey % 11)::DOUBLE AS y, (c_custkey % 13)::DOUBLE AS z, 1 + (c_custkey % 5)::DOUBLE / 10 AS w FROM customer))"
+)
+def quaternion_rotation(spark, sf_dir):
+    part = lambda n: (F.col("c_custkey") % n).cast("double")
+    turned = geometry.rotated((1 + part(5) / 10, F.lit(0.3), F.lit(0.1), F.lit(0.2)), part(7), part(11), part(13))
+    return table(spark, sf_dir, "customer").select("c_custkey", *[r6(c).alias(n) for n, c in zip("xyz", turned, strict=True)])
+
+
+@query()
+def groundtrack_lengths(spark, sf_dir):
+    before = Window.partitionBy("user_id").orderBy("i")
+    rows = track(spark, sf_dir).withColumns({"lat": F.pmod(F.col("event_id") * 7, F.lit(120)) - 60.0, "lon": F.pmod(F.col("event_id") * 13, F.lit(90)) + 0.0})
+    rows = rows.withColumns({"lat0": F.lag("lat", 1).over(before), "lon0": F.lag("lon", 1).over(before)}).where("lat0 IS NOT NULL")
+    step = geometry.ellipsoidal_distance("lat0", "lon0", "lat", "lon", 3396190.0, 3376200.0)
+    return rows.groupBy("user_id").agg(F.round(F.sum(step) / 1000, 3).alias("km"))

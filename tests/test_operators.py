@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from fathomline.functions import geometry, signal, time, traces
 from fathomline.operators import aggregates, kernels, windows
 from fathomline.plans import catalog
+from fathomline.sources import binary
+from fathomline.streaming import stacks
 
 
 def track(spark, values, name="v"):
@@ -85,3 +87,41 @@ def test_kernels():
     sent = np.fft.ifft(kernels.chirp_spectrum(3600)).real
     out, tec, _ = kernels.compressed(np.stack([np.roll(sent, 500)] * 4), iono=False)
     assert tec == 0 and set(np.abs(out).argmax(axis=1)) == {500}
+
+
+def test_ellipsoidal_distance(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 90.0), (0.0, 0.0, 90.0, 0.0), (10.0, 20.0, 10.0, 20.0), (40.0, -5.0, -12.0, 60.0)], "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(geometry.ellipsoidal_distance("a", "b", "c", "d", 3396190.0, 3376200.0)).collect()]
+    t = (np.arange(1_000_000) + 0.5) / 1_000_000 * np.pi / 2
+    meridian = np.sqrt((3396190.0 * np.sin(t)) ** 2 + (3376200.0 * np.cos(t)) ** 2).mean() * np.pi / 2
+    assert got[:3] == pytest.approx([3396190.0 * np.pi / 2, meridian, 0], abs=1e-2)
+    sphere = df.select(geometry.ellipsoidal_distance("a", "b", "c", "d", 1000.0, 1000.0), geometry.haversine_distance("a", "b", "c", "d", 1000.0)).collect()
+    assert all(r[0] == pytest.approx(r[1], abs=1e-6) for r in sphere)
+
+
+def test_best_lag(spark):
+    a = [float(i * i % 17) for i in range(32)]
+    got = spark.createDataFrame([(a, a[-2:] + a[:-2])], "a array<double>, b array<double>").select(traces.best_lag("a", "b", 3).alias("x")).first()["x"]
+    assert (got["lag"], got["residual"]) == (-2, 0)
+
+
+def test_degrees(spark):
+    df = spark.createDataFrame([("12d30' 0.0\"W",), ("1d 0'36.0\"N",), ("none",), (None,)], "t string")
+    assert [r[0] for r in df.select(geometry.degrees_of("t")).collect()] == [-12.5, pytest.approx(1.01), None, None]
+
+
+def test_binary_records(spark, tmp_path):
+    layout = np.dtype([("t", ">u4"), ("name", "S4"), ("v", ">i2", (3,))])
+    rows = np.array([(4_000_000_000, b"ab  ", (1, -2, 3)), (7, b"cdef", (0, 0, -9))], layout)
+    (tmp_path / "x.dat").write_bytes(b"head" + rows.tobytes())
+    got = binary.records(spark, str(tmp_path), [("t", ">u4"), ("name", "S4"), ("v", ">i2", (3,))], "*.dat", skip=4).orderBy("record").collect()
+    assert [(r["record"], r["t"], r["name"], r["v"]) for r in got] == [(0, 4_000_000_000, "ab", [1, -2, 3]), (1, 7, "cdef", [0, 0, -9])]
+
+
+def test_streamed_stacks(spark, tmp_path):
+    for part in (range(0, 6), range(6, 11)):
+        spark.createDataFrame([("p", i, [float(i), 1.0]) for i in part], "k string, i long, s array<double>").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k string, i long, s array<double>").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run = stacks.stacks(stream, "k", "i", "s", 4).writeStream.format("memory").queryName("stacked").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    assert run.awaitTermination(120)
+    assert sorted((r["block"], r["s"]) for r in spark.table("stacked").collect()) == [(0, [6.0, 4.0]), (1, [22.0, 4.0])]
