@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import number
+from . import let, number
 
 
 def ellipsoid_radius(lat, lon, axes: tuple[float, float, float] = (0.0, 0.0, 0.0), radius: float = 0.0) -> Column:
@@ -66,25 +66,28 @@ def ellipsoidal_distance(lat1, lon1, lat2, lon2, a: float, b: float, rounds: int
     span = F.radians(number(lon2) - number(lon1))
     s1, c1, s2, c2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
 
-    def arc(lam: Column) -> dict[str, Column]:
+    def angles(x: Column) -> Column:
+        azimuth = F.coalesce(F.try_divide(c1 * c2 * F.sin(x["lam"]), x["sin"]), F.lit(0.0))
+        return let(azimuth, lambda z: F.struct(x["sin"].alias("sin"), x["cos"].alias("cos"), F.atan2(x["sin"], x["cos"]).alias("sigma"), z.alias("azimuth"), (1 - z * z).alias("square"), (x["cos"] - F.coalesce(F.try_divide(2 * s1 * s2, 1 - z * z), F.lit(0.0))).alias("mid")))
+
+    def arc(lam: Column, use) -> Column:
         left, right = c2 * F.sin(lam), c1 * s2 - s1 * c2 * F.cos(lam)
-        sin, cos = F.sqrt(left * left + right * right), s1 * s2 + c1 * c2 * F.cos(lam)
-        azimuth = F.coalesce(F.try_divide(c1 * c2 * F.sin(lam), sin), F.lit(0.0))
-        square = 1 - azimuth * azimuth
-        return {"sin": sin, "cos": cos, "sigma": F.atan2(sin, cos), "azimuth": azimuth, "square": square, "mid": cos - F.coalesce(F.try_divide(2 * s1 * s2, square), F.lit(0.0))}
+        start = F.struct(lam.alias("lam"), F.sqrt(left * left + right * right).alias("sin"), (s1 * s2 + c1 * c2 * F.cos(lam)).alias("cos"))
+        return let(start, lambda x: let(angles(x), use))
 
-    def step(lam: Column, _: Column) -> Column:
-        p = arc(lam)
+    def turned(p: Column) -> Column:
         c = f / 16 * p["square"] * (4 + f * (4 - 3 * p["square"]))
         return span + (1 - c) * f * p["azimuth"] * (p["sigma"] + c * p["sin"] * (p["mid"] + c * p["cos"] * (2 * p["mid"] * p["mid"] - 1)))
 
-    p = arc(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), span, step))
-    u = p["square"] * (a * a - b * b) / (b * b)
-    big = 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768))
-    small = u / 1024 * (256 + u * (u * (74 - 47 * u) - 128))
-    mid2, sin2 = p["mid"] * p["mid"], p["sin"] * p["sin"]
-    bend = small * p["sin"] * (p["mid"] + small / 4 * (p["cos"] * (2 * mid2 - 1) - small / 6 * p["mid"] * (4 * sin2 - 3) * (4 * mid2 - 3)))
-    return b * big * (p["sigma"] - bend)
+    def length(p: Column) -> Column:
+        u = p["square"] * (a * a - b * b) / (b * b)
+        big = 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768))
+        small = u / 1024 * (256 + u * (u * (74 - 47 * u) - 128))
+        mid2, sin2 = p["mid"] * p["mid"], p["sin"] * p["sin"]
+        bend = small * p["sin"] * (p["mid"] + small / 4 * (p["cos"] * (2 * mid2 - 1) - small / 6 * p["mid"] * (4 * sin2 - 3) * (4 * mid2 - 3)))
+        return b * big * (p["sigma"] - bend)
+
+    return arc(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), span, lambda lam, _: arc(lam, turned)), length)
 
 
 def rotated(q: tuple, x, y, z) -> tuple[Column, Column, Column]:

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import let
+
 
 def col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -109,14 +111,10 @@ def mad(a) -> Column:
     """Median absolute deviation from the median; the median of an even number is the mean of the middle two."""
 
     def median(x: Column) -> Column:
-        s = F.array_sort(x)
-        n = F.size(x)
-        low, high = F.get(s, F.floor((n - 1) / 2).cast("int")), F.get(s, F.floor(n / 2).cast("int"))
-        return (low + high) / 2
+        n = F.size
+        return let(F.array_sort(x), lambda s: (F.get(s, F.floor((n(s) - 1) / 2).cast("int")) + F.get(s, F.floor(n(s) / 2).cast("int"))) / 2)
 
-    a = col(a)
-    middle = median(a)
-    return median(F.transform(a, lambda x: F.abs(x - middle)))
+    return let(col(a), lambda v: let(median(v), lambda middle: median(F.transform(v, lambda x: F.abs(x - middle)))))
 
 
 def best_lag(a, b, reach: int) -> Column:
