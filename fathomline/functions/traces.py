@@ -123,3 +123,17 @@ def best_lag(a, b, reach: int) -> Column:
     at = lambda lag: F.struct(mad(F.transform(a, lambda x, i: x - F.get(b, F.pmod(i - lag, F.size(b)).cast("int")))).alias("residual"), lag.alias("lag"))
     best = F.array_min(F.transform(F.sequence(F.lit(-reach), F.lit(reach)), at))
     return F.struct(best["lag"].alias("lag"), best["residual"].alias("residual"))
+
+
+def unpack6(packed) -> Column:
+    """Four signed 6-bit samples of each three bytes, high bits first, as integers; bytes past the last three whole ones are left out."""
+    sign = lambda x: F.when(x > 31, x - 64).otherwise(x)
+    three = lambda i: F.conv(F.hex(F.substring(col(packed), i * 3 + 1, 3)), 16, 10).cast("int")
+    groups = F.floor(F.octet_length(col(packed)) / 3).cast("int")
+    four = lambda i: F.array(*(sign(F.shiftright(three(i), s).bitwiseAND(63)) for s in (18, 12, 6, 0)))
+    return F.when(groups > 0, F.flatten(F.transform(F.sequence(F.lit(0), groups - 1), four))).otherwise(F.array().cast("array<int>"))
+
+
+def standardised(a) -> Column:
+    """Less the mean and over the standard deviation of the population; zeros for a constant."""
+    return let(F.struct(mean(a).alias("m"), F.sqrt(variance(a)).alias("s")), lambda z: F.transform(col(a), lambda x: F.coalesce(F.try_divide(x - z["m"], z["s"]), F.lit(0.0))))

@@ -103,3 +103,18 @@ def block_stack(df: DataFrame, keys: list[str], order: str, samples: str, depth:
     add = F.aggregate(F.slice("all_", 2, depth), F.transform(n, lambda x: x.cast("double")), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
     rows = df.groupBy(*keys, F.floor(F.col(order) / depth).alias("block")).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(samples).alias("s")))), lambda x: x["s"]).alias("all_"))
     return rows.where(F.size("all_") == depth).withColumn(samples, add).drop("all_")
+
+
+def resampled(df: DataFrame, key: str, order: str, distance: str, step: float, values: list[str] = (), arrays: list[str] = ()) -> DataFrame:
+    """key, line (from 0), distance (line * step from the product's start), and the columns linear between the rows before and after. Distances grow with order; rows that stay in place give way to the last of them, and the line at the very end goes."""
+    columns = [*values, *arrays]
+    start = df.groupBy(key).agg(F.min(distance).alias("start_"))
+    rows = df.select(key, order, F.col(distance).cast("double").alias("x_"), *columns)
+    here = F.struct("x_", *columns)
+    rows = sliding(rows, key, order, 0, 1, next_=F.last(here)).where("frame_rows = 2").join(start, key)
+    low, high = F.ceil((F.col("x_") - F.col("start_")) / step), F.ceil((F.col("next_.x_") - F.col("start_")) / step) - 1
+    rows = rows.where(high >= low).withColumn("line", F.explode(F.sequence(low, high)))
+    share = (F.col("start_") + F.col("line") * step - F.col("x_")) / (F.col("next_.x_") - F.col("x_"))
+    mixed = [(F.col(c) + share * (F.col(f"next_.{c}") - F.col(c))).alias(c) for c in values]
+    mixed += [F.zip_with(c, f"next_.{c}", lambda p, q: p + share * (q - p)).alias(c) for c in arrays]
+    return rows.select(key, "line", (F.col("line") * step).alias(distance), *mixed)

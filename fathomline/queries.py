@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, signal, time, traces
-from .operators import aggregates, clutter, joins, kernels, selection, windows
+from .operators import aggregates, clutter, focusing, interferometry, joins, kernels, ranging, selection, terrain, windows
 from .plans import catalog
+from .sources import labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -406,3 +407,137 @@ def groundtrack_lengths(spark, sf_dir):
     rows = rows.withColumns({"lat0": F.lag("lat", 1).over(before), "lon0": F.lag("lon", 1).over(before)}).where("lat0 IS NOT NULL")
     step = geometry.ellipsoidal_distance("lat0", "lon0", "lat", "lon", 3396190.0, 3376200.0)
     return rows.groupBy("user_id").agg(F.round(F.sum(step) / 1000, 3).alias("km"))
+
+
+def antennas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each trace and the next as two antennas: first halves of the samples are real parts."""
+    rows = radargram(spark, sf_dir).withColumn("next", F.lead("samples").over(Window.partitionBy("product").orderBy("trace"))).where("next IS NOT NULL")
+    half = lambda c, i: F.slice(c, i, 32)
+    return rows.select("product", "trace", half("samples", 1).alias("ar"), half("samples", 33).alias("ai"), half("next", 1).alias("br"), half("next", 33).alias("bi"))
+
+
+LOOKS = (
+    GRAM
+    + """, pairs AS (SELECT product, trace, samples AS a, lead(samples) OVER (PARTITION BY product ORDER BY trace) AS b FROM gram),
+z AS (SELECT product, trace, k, a[k + 1] AS ar, a[k + 33] AS ai, b[k + 1] AS br, b[k + 33] AS bi FROM pairs, unnest(range(0, 32)) AS t(k) WHERE b IS NOT NULL),
+m AS (SELECT product, trace, k, count(*) OVER w AS n, avg(ar * br + ai * bi) OVER w AS re, avg(ai * br - ar * bi) OVER w AS im, avg(ar * ar + ai * ai) OVER w AS pa, avg(br * br + bi * bi) OVER w AS pb FROM z WINDOW w AS (PARTITION BY product, trace ORDER BY k ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING)),
+looks AS (SELECT product, trace // 3 AS look, k, atan2(avg(im), avg(re)) AS phase, avg(sqrt(re * re + im * im) / sqrt(pa * pb)) AS correlation FROM m WHERE n = 2 GROUP BY ALL HAVING count(*) = 3) """
+)
+
+
+def looked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interferometry.looks(antennas(spark, sf_dir), "product", "trace", ("ar", "ai"), ("br", "bi"), 4)
+
+
+@query(LOOKS + "SELECT product, look, k, round(phase, 5) + 0.0 AS phase, round(correlation, 6) AS correlation FROM looks")
+def multilook_interferogram(spark, sf_dir):
+    return looked(spark, sf_dir).select("product", "look", F.col("k").cast("long").alias("k"), (F.round("phase", 5) + 0.0).alias("phase"), F.round("correlation", 6).alias("correlation"))
+
+
+@query(
+    LOOKS
+    + """, places AS (SELECT DISTINCT product, look FROM looks), posts AS (SELECT product, look, (look * 7 % 31)::DOUBLE AS y FROM places WHERE look % 3 = 1),
+spots AS (SELECT c.product, c.look, floor(coalesce(lo.y, hi.y) + coalesce((c.look - lo.look) / nullif(hi.look - lo.look, 0), 0) * (coalesce(hi.y, lo.y) - coalesce(lo.y, hi.y)))::BIGINT AS k FROM places c ASOF LEFT JOIN posts lo ON c.product = lo.product AND c.look >= lo.look ASOF LEFT JOIN posts hi ON c.product = hi.product AND c.look <= hi.look)
+SELECT p.product, p.look, p.k, round(p.phase - s.phase, 5) + 0.0 AS phase FROM looks p JOIN spots USING (product, look) JOIN looks s ON s.product = spots.product AND s.look = spots.look AND s.k = spots.k"""
+)
+def surface_normalised_phase(spark, sf_dir):
+    phases = looked(spark, sf_dir).select("product", "look", F.col("k").cast("long").alias("k"), "phase")
+    surface = phases.where("look % 3 = 1").select("product", "look", (F.col("look") * 7 % 31).alias("k")).distinct()
+    return interferometry.normalised(phases, surface, "product").select("product", "look", "k", (F.round("phase", 5) + 0.0).alias("phase"))
+
+
+@query("SELECT o_orderkey, round(-2 * pi() * 5 / 2.5 * sin(acos(s / f) - r), 5) + 0.0 AS phase FROM (SELECT o_orderkey, (100 + o_custkey % 50)::DOUBLE AS s, (151 + o_orderkey % 97)::DOUBLE AS f, (o_orderkey % 21 - 10)::DOUBLE / 100 AS r FROM orders)")
+def off_nadir_phases(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (100 + F.col("o_custkey") % 50).alias("s"), (151 + F.col("o_orderkey") % 97).alias("f"), ((F.col("o_orderkey") % 21 - 10) / 100.0).alias("r"))
+    return o.select("o_orderkey", (F.round(interferometry.off_nadir_phase("s", "f", "r", 5.0, 2.5), 5) + 0.0).alias("phase"))
+
+
+@query()
+def coregistered_traces(spark, sf_dir):
+    out = interferometry.coregister(antennas(spark, sf_dir), "product", "trace", ("ar", "ai"), ("br", "bi"), factor=4, reach=16, subsample=True, adaptive=True, most=3)
+    return out.select("product", "trace", F.round("shift", 3).alias("shift"), F.round("quality", 3).alias("quality"), r6(F.array_max("b_re")).alias("peak"))
+
+
+RANGED = (
+    GRAM
+    + """, pairs AS (SELECT product, trace, samples AS a, coalesce(lag(samples) OVER (PARTITION BY product ORDER BY trace), samples) AS b FROM gram),
+ends AS (SELECT product, max(trace) AS last, max(list_max(a)) AS ta, max(list_max(b)) AS tb, greatest(max(list_max(a)) - 0.4, min(list_min(a))) AS fa, greatest(max(list_max(b)) - 0.5, min(list_min(b))) AS fb FROM pairs GROUP BY product),
+s AS (SELECT product, trace, last, k, (greatest(a[k + 1], fa) - fa) / (ta - fa) AS a, (greatest(b[k + 1], fb) - fb) / (tb - fb) AS b FROM pairs JOIN ends USING (product), unnest(range(0, 64)) AS t(k)),
+m AS (SELECT product, trace, last, k, avg(a) OVER w AS a, avg(b) OVER w AS b FROM s WINDOW w AS (PARTITION BY product, k ORDER BY trace ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)),
+i AS (SELECT * FROM m WHERE trace >= 3 AND trace <= last - 3),
+r AS (SELECT p.product, lag_ AS lag, avg(abs(p.a - q.b)) AS residual FROM i p, unnest(range(-4, 4)) AS l(lag_) JOIN i q ON q.product = p.product AND q.trace = p.trace AND q.k = p.k + greatest(lag_, 0) AND p.k < 64 - abs(lag_) GROUP BY ALL) """
+)
+
+
+@query(RANGED + "SELECT product, lag, round(residual, 6) AS residual FROM r")
+def clutter_residuals(spark, sf_dir):
+    rows = simulated(spark, sf_dir)
+    rows = ranging.scaled(ranging.scaled(rows, "product", "a", 0.4), "product", "b", 0.5)
+    a, b = (ranging.smoothed(rows.select("product", "trace", c), "product", "trace", c, 3) for c in "ab")
+    return ranging.residuals(a.join(b, ["product", "trace"]), "product", "a", "b", 4).select("product", F.col("lag").cast("long").alias("lag"), F.round("residual", 6).alias("residual"))
+
+
+def simulated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before = Window.partitionBy("product").orderBy("trace")
+    return radargram(spark, sf_dir).select("product", "trace", F.col("samples").alias("a"), F.coalesce(F.lag("samples").over(before), "samples").alias("b"))
+
+
+@query()
+def clutter_ranging(spark, sf_dir):
+    out = ranging.best_setting(simulated(spark, sf_dir), "product", "trace", "a", "b", [0.2, 0.4], 0.5, 3, 4)
+    return out.select("product", "setting", *(F.round(c, 4).alias(c) for c in ("delta", "dz", "residual")))
+
+
+@query(GRAM + ", g AS (SELECT product, trace AS row_, k AS col_, x AS z FROM cells), p AS (SELECT o_orderkey, o_custkey % 10 AS product, (o_orderkey % 150)::DOUBLE / 4 AS y, (o_custkey % 250)::DOUBLE / 4 AS x FROM orders), q AS (SELECT DISTINCT o_orderkey, p.product, y, x, r, c FROM p, unnest([floor(y), ceil(y)]) AS a(r), unnest([floor(x), ceil(x)]) AS b(c)), w AS (SELECT o_orderkey, z, 1 - CASE WHEN floor(y) = y OR floor(x) = x THEN abs(y - r) + abs(x - c) ELSE sqrt(pow(y - r, 2) + pow(x - c, 2)) / sqrt(2) END AS w FROM q JOIN g ON g.product = q.product AND g.row_ = r AND g.col_ = c) SELECT o_orderkey, round(h, 6) + 0.0 AS height FROM orders LEFT JOIN (SELECT o_orderkey, sum(w * z) / sum(w) AS h FROM w GROUP BY 1) USING (o_orderkey)")
+def grid_heights(spark, sf_dir):
+    grid = radargram(spark, sf_dir).select(F.col("product").cast("long").alias("product"), F.col("trace").alias("row"), F.posexplode("samples").alias("col", "z"))
+    at = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 10).alias("product"), (40.0 - F.col("o_orderkey") % 150 / 4.0).alias("lat"), (F.col("o_custkey") % 250 / 4.0).alias("lon"))
+    return terrain.heights(at, grid, "o_orderkey", "lat", "lon", 40.0, 0.0, 1.0, keys=("product",)).select("o_orderkey", r6("height").alias("height"))
+
+
+@query("SELECT o_orderkey, round(3396190.0::DOUBLE * p / sqrt(pow(3396190.0::DOUBLE * sin(t), 2) + pow(p * cos(t), 2)), 3) AS radius FROM (SELECT o_orderkey, radians((o_orderkey % 181 - 90)::DOUBLE) AS t, CASE WHEN o_orderkey % 181 < 90 THEN 3373190.0 ELSE 3376200.0 END::DOUBLE AS p FROM orders)")
+def reference_radii(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(terrain.reference_radius(F.col("o_orderkey") % 181 - 90, south_pole=3373190.0), 3).alias("radius"))
+
+
+@query(GRAM + ", d AS (SELECT product, trace, trace * 1.75::DOUBLE AS x, list_sum(samples) AS v FROM gram), n AS (SELECT product, x, v, lead(x) OVER w AS x1, lead(v) OVER w AS v1 FROM d WINDOW w AS (PARTITION BY product ORDER BY trace)) SELECT product, line, round(v + (line - x) / (x1 - x) * (v1 - v), 6) + 0.0 AS total FROM n, unnest(range(ceil(x)::BIGINT, ceil(x1)::BIGINT)) AS t(line) WHERE x1 IS NOT NULL")
+def even_spacing(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("x", F.col("trace") * 1.75)
+    return windows.resampled(rows, "product", "trace", "x", 1.0, arrays=["samples"]).select("product", "line", r6(traces.total("samples")).alias("total"))
+
+
+@query(GRAM + ", s AS (SELECT product, trace, avg(x) AS m, stddev_pop(x) AS s FROM cells GROUP BY ALL) SELECT product, trace, round(max((x - m) / s), 6) AS most, round(min((x - m) / s), 6) AS least FROM cells JOIN s USING (product, trace) GROUP BY ALL")
+def standardised_traces(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("z", traces.standardised("samples"))
+    return rows.select("product", "trace", F.round(F.array_max("z"), 6).alias("most"), F.round(F.array_min("z"), 6).alias("least"))
+
+
+@query("SELECT doc_id, (v >> 20) & 4095 AS early, CASE WHEN (v >> 7) & 31 > 15 THEN ((v >> 7) & 31) - 32 ELSE (v >> 7) & 31 END AS late FROM (SELECT doc_id, ('0x' || substr(md5(text), 1, 8))::BIGINT AS v FROM documents)")
+def bit_string_fields(spark, sf_dir):
+    packed = F.unhex(F.md5(F.col("text").cast("binary")))
+    return table(spark, sf_dir, "documents").select("doc_id", labels.bits(packed, 0, 12).alias("early"), labels.bits(packed, 20, 5, signed=True).alias("late"))
+
+
+@query("SELECT doc_id, list_transform(range(0, 16), lambda i: CASE WHEN (v >> (90 - 6 * i)) & 63 > 31 THEN ((v >> (90 - 6 * i)) & 63)::INT - 64 ELSE ((v >> (90 - 6 * i)) & 63)::INT END) AS samples FROM (SELECT doc_id, (('0x' || substr(md5(text), 1, 12))::HUGEINT << 48) + ('0x' || substr(md5(text), 13, 12))::HUGEINT AS v FROM documents)")
+def packed_samples(spark, sf_dir):
+    packed = F.substring(F.unhex(F.md5(F.col("text").cast("binary"))), 1, 12)
+    return table(spark, sf_dir, "documents").select("doc_id", traces.unpack6(packed).alias("samples"))
+
+
+def aperture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.col("trace") * 50.0
+    rows = radargram(spark, sf_dir).select("product", "trace", F.slice("samples", 1, 32).alias("re"), F.slice("samples", 33, 32).alias("im"), place.alias("along"))
+    return rows.withColumns({"delay": 1e-3 + F.col("trace") % 5 * 1e-8, "lat": F.col("along") / 59160.0, "lon": F.lit(0.0), "radius": F.lit(3.69e6) + F.col("trace"), "ground": F.lit(3.39e6)})
+
+
+@query()
+def matched_filter_focus(spark, sf_dir):
+    out = focusing.matched_filter(aperture_rows(spark, sf_dir), "product", "trace", "re", "im", "along", "delay", 200.0, 1000.0, permittivity=3.1, every=4)
+    return out.select("product", "posting", "traces", r6(F.array_max("sar")).alias("peak"))
+
+
+@query()
+def spherical_delay_doppler(spark, sf_dir):
+    even = windows.resampled(aperture_rows(spark, sf_dir), "product", "trace", "along", 25.0, ["lat", "lon", "radius", "ground"], ["re", "im"])
+    out = focusing.delay_doppler(even, "product", "line", "re", "im", "along", "lat", "lon", "radius", "ground", 200.0, 1000.0)
+    return out.select("product", "posting", "traces", r6(F.array_max("re")).alias("re"), r6(F.array_max("im")).alias("im"))

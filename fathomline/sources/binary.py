@@ -14,9 +14,11 @@ RECORDS = 4096
 
 
 def _column(x: np.ndarray) -> pa.Array:
-    """Values, or arrays of a record, in this machine's byte order; bytes without the blanks that fill them up."""
+    """Values, or arrays of a record, in this machine's byte order; text without the blanks that fill it up; bytes (V) as they are."""
     if x.dtype.kind == "S":
         return pa.array([v.decode("latin-1").rstrip() for v in x.tolist()], pa.string())
+    if x.dtype.kind == "V":
+        return pa.array(x.tolist() if x.ndim == 1 else [bytes(v) for v in x], pa.binary())
     x = np.ascontiguousarray(x.astype(x.dtype.newbyteorder("=")))
     if x.dtype.kind == "u":  # no unsigned types in Spark
         x = x.astype(np.int64 if x.dtype.itemsize > 2 else np.int32)
