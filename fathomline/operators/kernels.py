@@ -208,3 +208,39 @@ def focus(df: DataFrame, key: str, order: str, samples: str, track_m: str, time_
 
     kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     return rows.select(key, "posting", order, samples, track_m, time_s, distance_m, speed, delay_s).groupBy(key, "posting").applyInPandas(run, f"{key} {kind[key]}, posting long, traces long, sar array<double>")
+
+
+def without_tone(spectrum: np.ndarray, at: int) -> np.ndarray:
+    """Spectra (a row for each trace) with one bin replaced by the mean magnitude and the mean phase of its neighbours."""
+    left, right = spectrum[:, at - 1], spectrum[:, (at + 1) % spectrum.shape[1]]
+    p, q = np.angle(left), np.angle(right)
+    p = np.where(np.abs(p - q) > np.pi, p + 2 * np.pi, p)
+    out = spectrum.copy()
+    out[:, at] = (np.abs(left) + np.abs(right)) / 2 * np.exp(1j * (p + q) / 2)
+    return out
+
+
+def dechirped(data: np.ndarray, reference: np.ndarray, tones: tuple[float, ...] = (1 / 5, 4 / 5, 2 / 5, 3 / 5)) -> np.ndarray:
+    """Traces less their linear trend, rolled to their peaks, without coherent tones (shares of the sampling rate), times the reference spectrum, and rolled back."""
+    n = data.shape[1]
+    peak = data.argmax(axis=1)
+    at = (np.arange(n)[None] + peak[:, None]) % n
+    rolled = np.take_along_axis(data, at, axis=1)
+    t = np.arange(n) - (n - 1) / 2
+    rolled = rolled - rolled.mean(axis=1, keepdims=True) - (rolled @ t / max(t @ t, 1e-30))[:, None] * t
+    spectrum = np.fft.fft(rolled)
+    for share in tones:
+        spectrum = without_tone(spectrum, int(n * share + 1) % n)
+    out = np.empty_like(spectrum)
+    np.put_along_axis(out, at, np.fft.ifft(spectrum * reference), axis=1)
+    return out
+
+
+def dechirp(df: DataFrame, columns: list[str], samples: str, reference: np.ndarray, tones: tuple[float, ...] = (1 / 5, 4 / 5, 2 / 5, 3 / 5)) -> DataFrame:
+    """columns and the dechirped trace as re, im. reference: a spectrum as long as the traces."""
+
+    def run(pdf, data):
+        out = dechirped(data, reference, tones)
+        return pdf[columns].assign(re=list(out.real), im=list(out.imag))
+
+    return _traces(df.select(*dict.fromkeys([*columns, samples])), columns, samples, run, "re array<double>, im array<double>")

@@ -541,3 +541,9 @@ def spherical_delay_doppler(spark, sf_dir):
     even = windows.resampled(aperture_rows(spark, sf_dir), "product", "trace", "along", 25.0, ["lat", "lon", "radius", "ground"], ["re", "im"])
     out = focusing.delay_doppler(even, "product", "line", "re", "im", "along", "lat", "lon", "radius", "ground", 200.0, 1000.0)
     return out.select("product", "posting", "traces", r6(F.array_max("re")).alias("re"), r6(F.array_max("im")).alias("im"))
+
+
+@query()
+def dechirped_traces(spark, sf_dir):
+    rows = kernels.dechirp(radargram(spark, sf_dir), ["product", "trace"], "samples", kernels.chirp_spectrum(64))
+    return rows.select("product", "trace", r6(F.array_max("re")).alias("re"), r6(F.array_max("im")).alias("im"))

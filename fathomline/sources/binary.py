@@ -67,3 +67,52 @@ def integer_traces(spark: SparkSession, path: str, samples: int = 3200, glob: st
 def complex_traces(spark: SparkSession, path: str, samples: int = 3600, glob: str = "*", kind: str = "<i2") -> DataFrame:
     """Traces re, im from files whose records hold all real parts, then all imaginary parts."""
     return records(spark, path, [("re", kind, (samples,)), ("im", kind, (samples,))], glob)
+
+
+#: Headers of sounder streams, by the version byte: samples, channels, radar version (2), channel offset, version, reserved; the later version adds place, spacing and the number of time stamps.
+STREAMS = {
+    0: np.dtype([("nsamp", ">u2"), ("nchan", "u1"), ("vr0", "u1"), ("vr1", "u1"), ("choff", "u1"), ("ver", "u1"), ("resvd2", "u1")]),
+    5: np.dtype([("nsamp", ">u2"), ("nchan", "u1"), ("vr0", "u1"), ("vr1", "u1"), ("choff", "u1"), ("ver", "u1"), ("resvd2", "u1"), ("absix", ">f8"), ("relix", ">f8"), ("xinc", ">f4"), ("rseq", ">u4"), ("scount", ">u2"), ("tscount", ">u4")]),
+}
+STREAMS[255] = STREAMS[0]
+
+
+def streams(spark: SparkSession, path: str, channels: tuple[int, ...] | None = None, glob: str = "*") -> DataFrame:
+    """Rows of sounder streams, whose records vary in length: file, record, channel (from 1) and samples, for each of a record's two channels; only those of `channels`, if given.
+
+    A last record that is cut off is left out, as happens when a recording stops. A file of an unknown version raises an error that names it.
+    """
+    schema = "file string, record long, channel int, samples array<int>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                data = memoryview(content.as_buffer())
+                if len(data) < STREAMS[0].itemsize:
+                    continue
+                if (kind := STREAMS.get(data[6])) is None:
+                    raise ValueError(f"{file}: streams of version {data[6]} are unknown")
+                rows, at, record = [], 0, 0
+                while at + kind.itemsize <= len(data):
+                    head = np.frombuffer(data, kind, 1, at)[0]
+                    n, first = int(head["nsamp"]), 0 if head["choff"] == 0xFF else int(head["choff"]) & 15
+                    at += kind.itemsize + (8 * int(head["tscount"]) if "tscount" in kind.names else 0)
+                    if not n or at + 4 * n > len(data):
+                        break
+                    for k in (0, 1):
+                        if channels is None or first + k + 1 in channels:
+                            rows.append((file, record, first + k + 1, np.frombuffer(data, ">i2", n, at + 2 * n * k).astype(np.int32)))
+                    at, record = at + 4 * n, record + 1
+                    if len(rows) >= RECORDS:
+                        yield _stream_batch(rows)
+                        rows = []
+                if rows:
+                    yield _stream_batch(rows)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    return files.select("path", "content").mapInArrow(run, schema)
+
+
+def _stream_batch(rows: list[tuple]) -> pa.RecordBatch:
+    file, record, channel, samples = zip(*rows, strict=True)
+    return pa.record_batch([pa.array(file, pa.string()), pa.array(record, pa.int64()), pa.array(channel, pa.int32()), pa.array(samples, pa.list_(pa.int32()))], ["file", "record", "channel", "samples"])

@@ -152,3 +152,33 @@ def test_even_spacing(spark, monkeypatch):
     assert run() == want
     monkeypatch.setattr(windows, "CHUNK", 2)
     assert run() == want
+
+
+def test_streams_of_varying_records(spark, tmp_path):
+    def record(n, choff, fill, stamps=None):
+        kind = binary.STREAMS[0 if stamps is None else 5]
+        head = np.zeros(1, kind)
+        head["nsamp"], head["choff"], head["ver"] = n, choff, 0 if stamps is None else 5
+        if stamps is not None:
+            head["tscount"] = stamps
+        return head.tobytes() + b"\0" * 8 * (stamps or 0) + np.full(2 * n, fill, ">i2").tobytes()
+
+    (tmp_path / "a.old").write_bytes(record(3, 0xFF, -7) + record(2, 2, 300) + record(4, 0, 1)[:-1])
+    (tmp_path / "b.new").write_bytes(record(1, 0, 5, stamps=2) + record(2, 0, 6, stamps=0))
+    (tmp_path / "c.old").write_bytes(b"")
+    old = binary.streams(spark, str(tmp_path), glob="*.old").orderBy("record", "channel").collect()
+    assert [(r["record"], r["channel"], r["samples"]) for r in old] == [(0, 1, [-7] * 3), (0, 2, [-7] * 3), (1, 3, [300] * 2), (1, 4, [300] * 2)]
+    new = binary.streams(spark, str(tmp_path), channels=(2,), glob="*.new").orderBy("record").collect()
+    assert [(r["channel"], r["samples"]) for r in new] == [(2, [5]), (2, [6, 6])]
+
+
+def test_dechirping_removes_tones():
+    n = 100
+    reference = np.ones(n)
+    pulse = np.zeros((2, n))
+    pulse[0, 30], pulse[1, 70] = 50, 40
+    out = kernels.dechirped(pulse, reference, tones=())
+    assert np.abs(out).argmax(axis=1).tolist() == [30, 70] and np.abs(out.mean(axis=1)).max() < 1e-9
+    spectrum = np.ones((1, n), complex)
+    spectrum[0, 21] = 500
+    assert np.allclose(kernels.without_tone(spectrum, 21), 1)
