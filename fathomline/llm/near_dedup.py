@@ -135,11 +135,49 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def alike(rows: pa.Table, bands: int, width: int, percent: int, forest: bool) -> pa.RecordBatch:
+    """The pairs a, b of one bucket: rows of key, cls, n, label, sketch, bitmap."""
+    share = percent / 100
+    floor = share - 4.3 * np.sqrt(share * (1 - share) / (bands * width))
+    cls, n, label = (rows[c].to_numpy() for c in ("cls", "n", "label"))
+    band = rows["key"][0].as_py() & ((1 << (bands - 1).bit_length()) - 1)
+    s = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(len(cls), -1)
+    bits = np.frombuffer(b"".join(rows["bitmap"].to_pylist()), np.uint64).reshape(len(cls), -1)
+    _, group, size = np.unique(label, return_inverse=True, return_counts=True)
+    rank = np.argsort(np.lexsort((group == size.argmax(), size[group])))  # members of large components come last, and of equally large ones those that needn't look at each other
+    found = []
+    for i in np.flatnonzero(group != size.argmax()):
+        j = np.flatnonzero((rank > rank[i]) & (group != group[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent))
+        same = (s[j] == s[i]).mean(axis=1)
+        j, same = j[same >= floor], same[same >= floor]
+        shared = (s[j] == s[i]).reshape(len(j), bands, width).all(axis=2)
+        here = shared.argmax(axis=1) == band
+        j, same = j[here], same[here]
+        common = (n[j] + n[i] - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)) // 2  # or fewer: bits that differ are shingles that do
+        here = 100 * common >= percent * (n[j] + n[i] - common)
+        found.append(np.stack((np.full(len(j), i), j, same))[:, here])
+    i, j, same = np.concatenate(found, axis=1) if found else np.empty((3, 0))
+    i, j = i.astype(np.int64), j.astype(np.int64)
+    if forest:
+        up, keep = np.arange(len(size)), []
+
+        def root(x):
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for k in np.argsort(-same, kind="stable"):
+            x, y = root(group[i[k]]), root(group[j[k]])
+            if x != y:
+                up[x] = y
+                keep.append(k)
+        i, j = i[keep], j[keep]
+    return pa.record_batch([pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j]))], ["a", "b"])
+
+
 def likely(members: DataFrame, sets: DataFrame, bands: int, width: int, percent: int, forest: bool) -> DataFrame:
     """Pairs a, b of a bucket's members with different labels whose sketches agree in enough coordinates: so many that a pair at the threshold falls short with probability 1e-5, and whose bitmaps leave room for the similarity. Each pair comes from the first band that it shares. With forest only the most alike pairs that would join a bucket's labels, fewer than it has members."""
     coordinates = bands * width
-    share = percent / 100
-    floor = share - 4.3 * np.sqrt(share * (1 - share) / coordinates)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,42 +190,6 @@ def likely(members: DataFrame, sets: DataFrame, bands: int, width: int, percent:
                     row[(x % np.uint64(BITMAP)).astype(np.int64)] = True
                 yield pa.record_batch([some["cls"], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["cls", "sketch", "bitmap"])
 
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        cls, n, label = (rows[c].to_numpy() for c in ("cls", "n", "label"))
-        band = rows["key"][0].as_py() & ((1 << (bands - 1).bit_length()) - 1)
-        s = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(len(cls), -1)
-        bits = np.frombuffer(b"".join(rows["bitmap"].to_pylist()), np.uint64).reshape(len(cls), -1)
-        _, group, size = np.unique(label, return_inverse=True, return_counts=True)
-        rank = np.argsort(np.argsort(size[group], kind="stable"), kind="stable")  # members of large components come last: they needn't look at each other
-        found = []
-        for i in np.flatnonzero(group != size.argmax()):
-            j = np.flatnonzero((rank > rank[i]) & (group != group[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent))
-            same = (s[j] == s[i]).mean(axis=1)
-            j, same = j[same >= floor], same[same >= floor]
-            shared = (s[j] == s[i]).reshape(len(j), bands, width).all(axis=2)
-            here = shared.argmax(axis=1) == band
-            j, same = j[here], same[here]
-            common = (n[j] + n[i] - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)) // 2  # or fewer: bits that differ are shingles that do
-            here = 100 * common >= percent * (n[j] + n[i] - common)
-            found.append(np.stack((np.full(len(j), i), j, same))[:, here])
-        i, j, same = np.concatenate(found, axis=1) if found else np.empty((3, 0))
-        i, j = i.astype(np.int64), j.astype(np.int64)
-        if forest:
-            up, keep = np.arange(len(size)), []
-
-            def root(x):
-                while up[x] != x:
-                    up[x] = x = up[up[x]]
-                return x
-
-            for k in np.argsort(-same, kind="stable"):
-                x, y = root(group[i[k]]), root(group[j[k]])
-                if x != y:
-                    up[x] = y
-                    keep.append(k)
-            i, j = i[keep], j[keep]
-        return pa.record_batch([pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j]))], ["a", "b"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:  # in order of key
@@ -195,10 +197,10 @@ def likely(members: DataFrame, sets: DataFrame, bands: int, width: int, percent:
             key = rest["key"].to_numpy()
             cut = np.flatnonzero(np.append(marks(key), False))
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-                yield compare(rest.slice(lo, hi - lo))
+                yield alike(rest.slice(lo, hi - lo), bands, width, percent, forest)
             rest = rest.slice(cut[-1]) if len(cut) else rest
         if rest is not None and rest.num_rows:
-            yield compare(rest)
+            yield alike(rest, bands, width, percent, forest)
 
     of = sets.join(members.select("cls").distinct(), "cls", "left_semi").mapInArrow(sketch, "cls long, sketch binary, bitmap binary")
     rows = members.join(of, "cls").select("key", "cls", "n", "label", "sketch", "bitmap").repartition(partitions(members.sparkSession), "key").sortWithinPartitions("key")

@@ -1,7 +1,9 @@
+import itertools
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from fathomline.llm import near_dedup
 
@@ -63,3 +65,15 @@ def test_edges(spark):
     assert near_dedup.cluster(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     odd = spark.createDataFrame([(1, "a b", 0), (1, "a b", 1), (None, "a b", 2), (2, None, 3), (3, "A  b", 4)], "doc_id long, text string, cls int").selectExpr("*", "1 AS key", "2 AS label", "3 AS n")
     assert sorted(tuple(x) for x in near_dedup.cluster(odd).collect()) == [(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False)]
+
+
+def test_equally_large_labels_are_compared():
+    sketch, bitmap = np.arange(24, dtype=np.uint16).tobytes(), bytes(near_dedup.BITMAP // 8)
+    for labels in ([1, 1, 2, 2], [1, 2, 3], [1, 1, 2, 2, 3, 3], [1, 2, 2, 3, 3]):
+        for order in set(itertools.permutations(labels)):
+            m = len(order)
+            rows = pa.table({"key": [0] * m, "cls": list(range(m)), "n": [9] * m, "label": list(order), "sketch": [sketch] * m, "bitmap": [bitmap] * m})
+            pairs = near_dedup.alike(rows, 1, 24, 75, False).to_pydict()
+            want = {(i, j) for i, j in itertools.combinations(range(m), 2) if order[i] != order[j]}
+            assert set(zip(pairs["a"], pairs["b"], strict=True)) == want and len(pairs["a"]) == len(want)
+            assert near_dedup.alike(rows, 1, 24, 75, True).num_rows == len(set(order)) - 1
