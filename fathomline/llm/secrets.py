@@ -1,6 +1,8 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-The forest sees a candidate's length, character transitions, dictionary coverage, the path it comes from and its neighbouring words. Dictionary and transitions are counted over all documents, in vectors of fixed size. It is trained from labelled findings; where a caller has none, labels come from the corpus itself: known formats and high-entropy values assigned to a credential's name count as true, candidates with neither assignment nor such a name nearby as false, and the rest stay out of training.
+The forest sees a candidate's length, character transitions, dictionary coverage, the path it comes from and its neighbouring words. Dictionary and transitions are counted over all documents, in vectors of fixed size. It is trained from labelled findings; where a caller has none, labels come from the corpus itself: known formats, private key blocks and high-entropy values assigned to a credential's name count as true, candidates with neither assignment nor such a name nearby as false, and the rest stay out of training.
+
+Of name=value the value alone is the candidate. What is assigned to a credential's name is one from 8 characters on, quoted or not; a private key's block is one candidate.
 """
 
 import re
@@ -26,7 +28,13 @@ CREDENTIAL = re.compile(r"token|secret|passw|passphrase|pwd|credential|auth|bear
 EXAMPLE = re.compile(r"example|sample|dummy|placeholder|changeme|xxxx|test|fake|your", re.I)
 FORMAT = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
 QUIET_PATH = re.compile(r"test|doc|example|vendor|lock|min\.", re.I)
-ASSIGNED = re.compile(r"[:=]\s*[\"']?$|=>\s*[\"']?$")
+ASSIGNED = re.compile(r"[:=]>?\s*(?:(?:bearer|basic)\s+)?[\"'`]?$", re.I)
+#: What follows a separator (looked ahead at, so that values may hold separators), the name before it, and the ends of a private key's block with the lines of one that has no end.
+VALUE = re.compile(r"[:=]>?[ \t]*(?:(?:bearer|basic)[ \t]+)?[\"'`]?(?=((?!\w+://)(?:(?!&\w+=)[^\s\"'`<>]){8,}))", re.I)
+NAME = re.compile(rf"(?:{CREDENTIAL.pattern})[\w.-]*[\"'\]]*\s*$", re.I)
+SPLIT = re.compile(r"[\w./~+-]+=(?=[^=])")
+KEY_EDGE = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----")
+KEY_LINES = re.compile(r"(?:(?:[ \t\r\n]|\\[rn])+[A-Za-z0-9+/]{16,}={0,2})*(?:(?:[ \t\r\n]|\\[rn])+[A-Za-z0-9+/]+={1,2})?")
 REDACTED = "[secret]"
 FEATURES = ["length", "upper", "lower", "digit", "mark", "entropy", "changes", "pairs", "longest_run", "hex", "coverage", "triples", "quoted", "assigned", "named", "example", "format", "path_quiet", "path_depth", "path_length"]
 
@@ -89,11 +97,35 @@ class Dictionary:
         return (self.common[no >> 3] >> (7 - (no & 7)).astype(np.uint8)) & 1
 
 
+def spans_of(text: str) -> list[tuple[int, int, bool]]:
+    """A text's candidates in order: first character, last + 1, and whether it is a private key's block. They don't overlap."""
+    fixed, edges = [], list(KEY_EDGE.finditer(text)) if "PRIVATE KEY" in text else []
+    for k, m in enumerate(edges):
+        if m[1] == "BEGIN":
+            closed = k + 1 < len(edges) and edges[k + 1][1] == "END"
+            fixed.append((m.start(), edges[k + 1].end() if closed else KEY_LINES.match(text, m.end()).end(), True))
+    for m in VALUE.finditer(text):
+        a, b = m.start(1), m.start(1) + len(m[1].rstrip(".,;:)]}"))
+        if b - a >= 8 and NAME.search(text[max(0, m.start() - 48) : m.start()]):
+            fixed.append((a, b, False))
+    out, done = [], 0
+    for a, b, block in [*sorted(fixed, key=lambda x: (x[0], not x[2])), (len(text), len(text), False)]:
+        if a < done:
+            continue
+        for m in CANDIDATE.finditer(text, done, a):
+            name = SPLIT.match(m[0])
+            out.append((m.end() - len(m[0]) + name.end() if name and len(m[0]) - name.end() >= 8 else m.start(), m.end(), False))
+        if b > a:
+            out.append((a, b, block))
+        done = b
+    return out
+
+
 def described(text: str, path: str, words: Dictionary) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
     """A text's candidates: character spans, a row of FEATURES each, and labels from the corpus (1, 0, -1 unknown)."""
     spans, rows, labels = [], [], []
-    for m in CANDIDATE.finditer(text):
-        s = m[0]
+    for a, b, block in spans_of(text):
+        s = text[a:b]
         data = np.frombuffer(s.encode(), np.uint8)
         n = len(data)
         upper, lower, digit = (data >= 65) & (data < 91), (data >= 97) & (data < 123), (data >= 48) & (data < 58)
@@ -105,15 +137,15 @@ def described(text: str, path: str, words: Dictionary) -> tuple[list[tuple[int,
         triple = words.odds[(x[:-2] * LETTERS + x[1:-1]) * LETTERS + x[2:]]
         begin, end, no = letter_runs(data, np.array([0, n]))
         size = (end - begin) * (end - begin >= 4)
-        before = text[max(0, m.start() - 48) : m.start()]
+        before = text[max(0, a - 48) : a]
         near = " ".join(before.split()[-4:])
-        after = text[m.end() : m.end() + 1]
+        after = text[b : b + 1]
         entropy, assigned = float(-(share * np.log2(share)).sum()), bool(ASSIGNED.search(before))
-        named, format_, example = bool(CREDENTIAL.search(near)), bool(FORMAT.search(s)), bool(EXAMPLE.search(near + s))
-        spans.append(m.span())
+        named, format_, example = bool(CREDENTIAL.search(near)), block or bool(FORMAT.search(s)), bool(EXAMPLE.search(near + s))
+        spans.append((a, b))
         rows.append((n, upper.mean(), lower.mean(), digit.mean(), 1 - (kind > 0).mean(), entropy, change.mean(), (data[1:] == data[:-1]).mean(), max(end - begin, default=0) / n, float(re.fullmatch("[0-9a-fA-F]+", s) is not None), float((size * words.known(no)).sum() / n) if len(no) else 0.0, float(triple.mean()), before[-1:] in "\"'" and after in "\"'" and bool(after), assigned, named, example, format_, bool(QUIET_PATH.search(path)), path.count("/"), min(len(path), 200)))
         strong = entropy >= 3 and digit.any() and (upper.any() or lower.any())
-        labels.append(1 if (format_ or (assigned and named and strong)) and not example else 0 if not (assigned or named or format_) else -1)
+        labels.append(1 if (format_ or (assigned and named and strong)) and not example else 0 if not (assigned or format_ or CREDENTIAL.search(before + s)) else -1)
     return spans, np.array(rows, np.float32).reshape(-1, len(FEATURES)), np.array(labels, np.int8)
 
 
