@@ -27,8 +27,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens."""
-    return packing.pack(docs, with_ids=False)
+    """Pieces of sequences of 2048 tokens, with their ids: texts of the stages before are nowhere else."""
+    return packing.pack(docs)
 
 
 STAGES = [("quality", good), ("near_duplicates", distinct), ("secrets", clean), ("mixture", mixed), ("packing", packed)]
