@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import one_per_id, pieces
-from .superwindows import byte_tokens, contents, covered, found, marks, spans_by_document
+from .superwindows import byte_tokens, compared, covered, found, marks, spans_by_document
 
 LENGTH, GRAM = 100, 24
 #: A comparison takes runs of so many bytes at once; all runs of an anchor stay together.
@@ -73,8 +73,7 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Spans doc_id, start, n of docs (doc_id, text; one row per id): the `length` bytes from each of start to start + n - 1 also start earlier."""
     runs = found(docs, byte_tokens, length, gram, within=True)
-    asked = contents(docs, runs.where("ask").drop("ask"), byte_tokens, length, raw=True)
-    more = asked.mapInArrow(lambda b: _compare(b, length), "doc_id long, start long, n long")
+    more = compared(docs, runs.where("ask").drop("ask"), byte_tokens, length, raw=True, within=True, compare=lambda b: _compare(b, length))
     return runs.where("not ask").select("doc_id", "start", "n").unionByName(more)
 
 

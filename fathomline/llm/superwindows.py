@@ -6,6 +6,7 @@ Runs travel packed, a binary value for each pair of tasks, and copies of a run w
 """
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ PACKED = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("runs", pa.b
 FOUND = "ask boolean, doc_id long, start long, n long, h long"
 #: A task packs what it has gathered from so many tokens.
 FLUSH = 12 << 20
+#: Differing runs of one anchor that are compared in one task, at most; those of an anchor with more are cut into windows.
+HOT = 500
 
 
 def byte_tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,8 +146,8 @@ def found(docs: DataFrame, tokens: Callable, length: int, q: int, within: bool)
     return written(packed.repartitionById(parts, "part").mapInArrow(resolve, FOUND))
 
 
-def contents(docs: DataFrame, asked: DataFrame, tokens: Callable, length: int, raw: bool) -> DataFrame:
-    """The tokens of runs to compare, dealt by their anchor: h, doc_id, start, n, run (bytes if raw, else 64-bit codes)."""
+def contents(docs: DataFrame, asked: DataFrame, tokens: Callable, length: int, raw: bool, dealt: bool = True) -> DataFrame:
+    """The tokens of runs to compare, dealt by their anchor unless not dealt: h, doc_id, start, n, run (bytes if raw, else 64-bit codes)."""
     wanted = asked.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "h")).alias("runs"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +167,32 @@ def contents(docs: DataFrame, asked: DataFrame, tokens: Callable, length: int, r
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out[k : k + 20_000], strict=True), (pa.int64(),) * 4 + (pa.binary(),), strict=True)], ["doc_id", "start", "n", "h", "run"])
 
     got = docs.join(wanted, "doc_id").select("doc_id", "text", "runs").mapInArrow(fetch, "doc_id long, start long, n long, h long, run binary")
-    return got.repartition(partitions(docs.sparkSession), "h")
+    return got.repartition(partitions(docs.sparkSession), "h") if dealt else got
+
+
+def compared(docs: DataFrame, asked: DataFrame, tokens: Callable, length: int, raw: bool, within: bool, compare: Callable) -> DataFrame:
+    """Spans of the runs to compare. Anchors with HOT runs at most go to compare, a task for all runs of an anchor; runs of the others become windows, of which Spark finds the least document and start by 128-bit digests."""
+    hot = written(asked.groupBy("h").count().where(F.col("count") > HOT).select("h"))
+    if hot.isEmpty():
+        return contents(docs, asked, tokens, length, raw).mapInArrow(compare, "doc_id long, start long, n long")
+    hot = F.broadcast(hot)  # one in HOT of the runs at most, 8 bytes each
+    few, many = asked.join(hot, "h", "left_anti"), asked.join(hot, "h", "left_semi")
+    size = 1 if raw else 8
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                some = batch.slice(lo, 500)
+                n = some["n"].to_numpy()
+                off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                keys = [blake2b(run[i * size : (i + length) * size], digest_size=16).digest() for run, k in zip(some["run"].to_pylist(), n.tolist(), strict=True) for i in range(k)]
+                yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(np.repeat(some["doc_id"].to_numpy(), n)), pa.array(np.repeat(some["start"].to_numpy(), n) + off)], ["key", "doc_id", "start"])
+
+    each = written(contents(docs, many, tokens, length, raw, dealt=False).mapInArrow(windows, "key binary, doc_id long, start long"))
+    least = each.groupBy("key").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count("*").alias("m")).where("m > 1").select("key", "least")
+    late = F.struct("doc_id", "start") > F.col("least") if within else F.col("doc_id") > F.col("least.doc_id")
+    spans = each.join(least, "key").where(late).select("doc_id", "start", F.lit(1).cast("long").alias("n"))
+    return contents(docs, few, tokens, length, raw).mapInArrow(compare, "doc_id long, start long, n long").unionByName(spans)
 
 
 def spans_by_document(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@ import hashlib
 import random
 import re
 
-from fathomline.llm import substring_dedup, suffix_dedup
+import numpy as np
+import pyarrow as pa
+
+from fathomline.llm import substring_dedup, suffix_dedup, superwindows
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -82,3 +85,24 @@ def test_edges(spark):
     rows = [(1, "a b", 0), (1, "a b", 1), (None, "x", 2), (2, None, 3)]
     odd = spark.createDataFrame(rows, "doc_id long, text string, n_removed int").selectExpr("*", "1 AS start", "2 AS h", "3 AS runs")
     assert sorted(r[0] for r in suffix_dedup.digest(odd).collect()) == sorted(r[0] for r in substring_dedup.digest(odd).collect()) == [1, 2]
+
+
+def test_hot_anchors_are_cut_into_windows(spark, monkeypatch):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def largest(batches):
+        for h in [b["h"].to_numpy() for b in batches if b.num_rows]:
+            yield pa.record_batch([pa.array([-1]), pa.array([int(np.unique(h, return_counts=True)[1].max())]), pa.array([1])], ["doc_id", "start", "n"])
+
+    for module, tokens, length, raw, brute in ((suffix_dedup, superwindows.byte_tokens, 100, True, brute_bytes), (substring_dedup, superwindows.word_tokens, 13, False, brute_words)):
+        asked = superwindows.found(docs, tokens, length, module.GRAM, raw).where("ask").drop("ask")
+        sizes = sorted(r["count"] for r in asked.groupBy("h").count().collect())
+        hot = sizes[-1] // 2
+        assert sizes[0] <= hot < sizes[-1]
+        monkeypatch.setattr(superwindows, "HOT", hot)
+        seen = superwindows.compared(docs, asked, tokens, length, raw, raw, largest).where("doc_id = -1").collect()
+        assert seen and max(r["start"] for r in seen) <= hot
+        for limit in (hot, 0):
+            monkeypatch.setattr(superwindows, "HOT", limit)
+            assert {r[0]: tuple(r)[1:] for r in module.digest(docs).collect()} == brute(rows, length)
