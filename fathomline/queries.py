@@ -329,7 +329,7 @@ def product_names(spark, sf_dir):
 
 @query()
 def range_compression(spark, sf_dir):
-    rows = windows.fixed_chunks(radargram(spark, sf_dir), "product", "trace", 512).withColumn("sza", F.lit(120.0)).withColumn("samples", F.transform("samples", lambda x: x * 1000))
+    rows = windows.fixed_chunks(radargram(spark, sf_dir), "product", "trace", 512).withColumn("sza", 80.0 + F.pmod(F.hash("product", "chunk"), F.lit(5)) * 10).withColumn("samples", F.transform("samples", lambda x: x * 1000))
     out = kernels.range_compress(rows, "product", "chunk", "trace", "samples", "sza")
     return out.select("product", "trace", F.array_max("re").alias("re_peak"), F.array_max("im").alias("im_peak"), "tec")
 

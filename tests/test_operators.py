@@ -89,6 +89,24 @@ def test_kernels():
     assert tec == 0 and set(np.abs(out).argmax(axis=1)) == {500}
 
 
+def test_electron_content_of_a_dispersed_chirp(spark):
+    unit = 1e16 / (kernels.TEC_PER_E * 50)
+    r = np.random.default_rng(1)
+    for share in (10, 30):
+        sent = np.fft.ifft(kernels.chirp_spectrum(3600, share * unit)).real
+        data = np.stack([np.roll(sent, 500)] * 40) + r.normal(0, 1e-3, (40, 3600)) * np.abs(sent).max()
+        out, tec, _ = kernels.compressed(data, iono=True)
+        assert abs(tec * 50 - share) < 1.5
+        assert abs(out).max() > 2 * abs(kernels.compressed(data, iono=False)[0]).max()
+
+
+def test_range_compression_meets_day_and_night(spark):
+    from fathomline import queries
+
+    tec = [r[0] for r in queries.queries()["range_compression"](spark, "/root/testdata/sf0.001").select("tec").collect()]
+    assert min(tec) == 0 < max(tec)
+
+
 def test_ellipsoidal_distance(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 90.0), (0.0, 0.0, 90.0, 0.0), (10.0, 20.0, 10.0, 20.0), (40.0, -5.0, -12.0, 60.0)], "a double, b double, c double, d double")
     got = [r[0] for r in df.select(geometry.ellipsoidal_distance("a", "b", "c", "d", 3396190.0, 3376200.0)).collect()]
