@@ -1,9 +1,11 @@
-"""A stated query set against all rows, block by block: rows are packed into blocks, blocks are dealt to slabs, and each block of queries visits each slab."""
+"""A stated query set against all rows, block by block: rows of one length are packed into blocks, blocks are dealt to slabs, and each block of queries visits each slab that has blocks of its length."""
 
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,42 +17,65 @@ ROWS, QUERIES = 4096, 512
 
 
 def packed(df: DataFrame, rows: int, slabs: int | None, encode: Callable | None = None) -> DataFrame:
-    """df: cid, v. Blocks: slab, cids, block (binary, doubles row by row, or what encode makes of the matrix). With slabs, a block goes to one slab; else slab is null."""
+    """df: cid, v. Blocks of vectors of one length: slab, dims, cids, block (binary, doubles row by row, or what encode makes of the matrix). With slabs, a block goes to one slab; else slab is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, n = None, TaskContext.get().partitionId()
+        rest: dict[int, pa.Table] = {}  # of each length, fewer rows than a block
+        n = TaskContext.get().partitionId()
 
-        def emit(t: pa.Table):
+        def emit(t: pa.Table, dims: int):
             nonlocal n
             n += 1
             m = t["v"].combine_chunks()
-            m = (m.chunk(0) if isinstance(m, pa.ChunkedArray) else m).flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
+            m = (m.chunk(0) if isinstance(m, pa.ChunkedArray) else m).flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, dims)
             block = (encode or np.ndarray.tobytes)(np.ascontiguousarray(m, np.float64))
-            return pa.record_batch([pa.array([n % slabs if slabs else None], pa.int32()), pa.array([t["cid"].to_numpy().astype(np.int64).tobytes()], pa.binary()), pa.array([block], pa.binary())], ["slab", "cids", "block"])
+            return pa.record_batch([pa.array([n % slabs if slabs else None], pa.int32()), pa.array([dims], pa.int32()), pa.array([t["cid"].to_numpy().astype(np.int64).tobytes()], pa.binary()), pa.array([block], pa.binary())], ["slab", "dims", "cids", "block"])
 
         for batch in batches:
-            rest = pa.concat_tables([rest, pa.Table.from_batches([batch])]) if rest is not None else pa.Table.from_batches([batch])
-            while rest.num_rows >= rows:
-                yield emit(rest.slice(0, rows))
-                rest = rest.slice(rows)
-        if rest is not None and rest.num_rows:
-            yield emit(rest)
+            size = pc.list_value_length(batch["v"])
+            for dims in pc.unique(size).to_pylist():
+                t = pa.Table.from_batches([batch.filter(pc.equal(size, dims))])
+                t = pa.concat_tables([rest[dims], t]) if dims in rest else t
+                while t.num_rows >= rows:
+                    yield emit(t.slice(0, rows), dims)
+                    t = t.slice(rows)
+                rest[dims] = t
+        for dims, t in rest.items():
+            if t.num_rows:
+                yield emit(t, dims)
 
-    return df.select("cid", "v").mapInArrow(run, "slab int, cids binary, block binary")
+    return df.select("cid", "v").mapInArrow(run, "slab int, dims int, cids binary, block binary")
 
 
 def meet(queries: DataFrame, index: DataFrame, slabs: int, kernel: Callable, schema: str) -> DataFrame:
-    """kernel(query cids, query block, cids, block) yields record batches of schema, for each block of queries and each block of the index."""
-    visiting = queries.select(F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), F.col("cids").alias("qcids"), F.col("block").alias("qblock"))
-    pairs = visiting.join(index, "slab").select("qcids", "qblock", "cids", "block")
+    """kernel(query cids, query matrix, cids, block) yields record batches of schema, for each block of queries and each block of the index of the same length."""
+    visiting = queries.select(F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), "dims", F.col("cids").alias("qcids"), F.col("block").alias("qblock"))
+    pairs = visiting.join(index, ["slab", "dims"]).select("dims", "qcids", "qblock", "cids", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q, qb, c, b in zip(*(batch[i] for i in range(4)), strict=True):
-                yield from kernel(np.frombuffer(q.as_buffer(), np.int64), qb.as_buffer(), np.frombuffer(c.as_buffer(), np.int64), b.as_buffer())
+            for dims, q, qb, c, b in zip(batch["dims"].to_pylist(), *(batch[i] for i in range(1, 5)), strict=True):
+                yield from kernel(np.frombuffer(q.as_buffer(), np.int64), np.frombuffer(qb.as_buffer(), np.float64).reshape(-1, dims), np.frombuffer(c.as_buffer(), np.int64), b.as_buffer())
 
     return pairs.mapInArrow(run, schema)
 
 
+class Best:
+    """The k greatest values that a task has seen so far for each query of a block; of few blocks, those visited last. What falls below the least of them can't be among the query's best."""
+
+    def __init__(self, k: int, blocks: int = 16):
+        self.k, self.blocks, self.kept = k, blocks, OrderedDict()
+
+    def floor(self, qids: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """values: a row for each query. Takes them in; the kth greatest so far, -inf while there are fewer."""
+        key = qids.tobytes()
+        old = self.kept.pop(key, np.full((len(qids), self.k), -np.inf))
+        all_ = np.concatenate((old, values), axis=1)
+        self.kept[key] = new = np.partition(all_, all_.shape[1] - self.k, axis=1)[:, -self.k :]
+        if len(self.kept) > self.blocks:
+            self.kept.popitem(last=False)
+        return new.min(axis=1)
+
+
 def slabs_of(df: DataFrame) -> int:
     return partitions(df.sparkSession)

@@ -41,6 +41,21 @@ def one_per_id(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(value).alias(value))
 
 
+def prefix_of(df: DataFrame) -> str:
+    """A start for the names of helper columns that no column of df has."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def replaced(df: DataFrame, results: dict[str, Column], prefix: str) -> DataFrame:
+    """df without its helper columns, then the results; these replace columns with the same names."""
+    taken = {c.lower() for c in results}
+    stay = [F.col(f"`{c}`") for c in df.columns if not c.startswith(prefix) and c.lower() not in taken]
+    return df.select(*stay, *(x.alias(c) for c, x in results.items()))
+
+
 def words_of(text: Column | str) -> Column:
     """Number of words; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

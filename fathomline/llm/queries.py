@@ -36,7 +36,7 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.digest(_table(spark, sf_dir, "documents"))
 
 
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(_table(spark, sf_dir, "documents")).selectExpr("doc_id", "size", "text_crc32", "'key' AS law", "shard", "slot", "grown_shard")
+    return sharding.digest(_table(spark, sf_dir, "documents")).selectExpr("doc_id", "size", "text_crc32", "'key' AS law", "shard", "slot", "grown_shard")
 
 
 def concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,4 +118,21 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, ((budget // greatest(source_size, 1)) * size + greatest(0, least(size, budget - (budget // greatest(source_size, 1)) * source_size - start)))::BIGINT AS taken FROM placed
 """
 
-ORACLE = {"op4_minhash_near_dedup": NEAR_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_exact_top_k": EXACT_TOP_K, "op7_mixing": MIXING}
+SHARDING = """
+WITH bits AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t
+), sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM documents
+), summed AS (
+  SELECT doc_id, size::BIGINT AS size, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32 FROM sized, bits
+), bids AS (
+  SELECT *, unnest(range(17)) AS bidder FROM summed
+), hashed AS (
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || bidder), 1, 15))::BIGINT AS u, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || size), 1, 15))::BIGINT AS place FROM bids
+), won AS (
+  SELECT doc_id, size, text_crc32, place, arg_max(bidder, u) FILTER (bidder < 16) AS shard, arg_max(bidder, u) AS grown_shard FROM hashed GROUP BY ALL
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard, row_number() OVER (PARTITION BY shard ORDER BY place, doc_id, text_crc32) - 1 AS slot, grown_shard::INT AS grown_shard FROM won
+"""
+
+ORACLE = {"op9_sharding": SHARDING, "op4_minhash_near_dedup": NEAR_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_exact_top_k": EXACT_TOP_K, "op7_mixing": MIXING}

@@ -1,6 +1,6 @@
 """Exact top-k search with vector-approximation files.
 
-The file holds each vector's cells on a grid of 2^bits per dimension, a byte each. A query scans it for bounds of its inner product with each vector; the kth largest lower bound so far rules out every vector whose upper bound lies below. What is left is read exactly, best bound first, and the kth exact score rules out the rest.
+The file holds each vector's cells, a byte for each dimension, on a grid that spans its block. A query scans it for bounds of its inner product with each vector; the kth largest lower bound so far rules out every vector whose upper bound lies below. What is left is read exactly, best bound first, and the kth exact score rules out the rest. Exact scores are sums of whole numbers of 64 bits.
 """
 
 from collections.abc import Iterator
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import QUERIES, ROWS, meet, packed, slabs_of
+from .blocks import QUERIES, ROWS, Best, meet, packed, slabs_of
 from .frames import written
 from .vectors import distinct, finite, query_vectors, ranked
 
@@ -20,26 +20,31 @@ BITS = 8
 def search(df: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0, bits: int = BITS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row whose id is divisible by `every` the k other rows with the largest inner product of floor(scale * component), ties to the smaller id.
 
-    Vectors null, of less than the greatest length, or with a null or non-finite component take no part, as do rows without id; of rows repeating an id the greatest vector counts. With fewer than k others, all are returned. Other columns are not read.
+    Vectors null, empty, or with a null or non-finite component take no part, as do rows without id; of rows repeating an id the greatest vector counts. Vectors of different lengths have no inner product: each length is searched by itself. With fewer than k others, all are returned. A score, or a scaled component, beyond 64 bits is an error. Other columns are not read.
     """
     rows = finite(df, id_col, vector_col).withColumn("v", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")))
     classes = written(distinct(rows, k))
     queries = written(query_vectors(rows, classes, every))
     asked = classes.join(queries.select(F.col("qid").alias("cid")).distinct(), "cid", "left_semi")
-    grid = np.array([tuple(r) for r in classes.select(F.posexplode("v")).groupBy("pos").agg(F.min("col"), F.max("col")).orderBy("pos").collect()], np.float64).reshape(-1, 3)
-    low, step = grid[:, 1], np.maximum(np.floor((grid[:, 2] - grid[:, 1]) / 2**bits) + 1, 1)  # whole numbers: so are the cells' edges
+    cell = np.uint8 if bits <= 8 else np.uint16
 
     def encode(m: np.ndarray) -> bytes:
-        return ((m - low) // step).astype(np.uint8 if bits <= 8 else np.uint16).tobytes()
+        low = m.min(axis=0)
+        step = np.maximum(np.floor((m.max(axis=0) - low) / 2**bits) + 1, 1)  # whole numbers: so are the cells' edges
+        return low.tobytes() + step.tobytes() + np.minimum((m - low) // step, 2**bits - 1).astype(cell).tobytes()
 
-    def bounds(qids, qblock, cids, block) -> Iterator[pa.RecordBatch]:
-        q = np.frombuffer(qblock, np.float64).reshape(len(qids), -1)
-        lo = np.frombuffer(block, np.uint8 if bits <= 8 else np.uint16).reshape(len(cids), -1) * step + low
+    best = Best(k + 1)
+
+    def bounds(qids, q, cids, block) -> Iterator[pa.RecordBatch]:
+        low, step = np.frombuffer(block, np.float64, 2 * q.shape[1]).reshape(2, -1)
+        lo = np.frombuffer(block, cell, offset=16 * q.shape[1]).reshape(len(cids), -1) * step + low
         hi = lo + step - 1
         up, down = np.maximum(q, 0), np.minimum(q, 0)
         least, most = up @ lo.T + down @ hi.T, up @ hi.T + down @ lo.T
-        kth = np.partition(least, -(k + 1), axis=1)[:, -(k + 1)] if len(cids) > k else np.full(len(qids), -np.inf)
-        i, j = np.nonzero(most >= kth[:, None])
+        slack = np.abs(q) @ np.maximum(np.abs(low), np.abs(low + step * 2**bits)) * q.shape[1] * 2.0**-51  # what doubles may lose; nothing below 2^53
+        slack = np.where(slack < 4, 0, slack)[:, None]
+        least, most = least - slack, most + slack
+        i, j = np.nonzero(most >= best.floor(qids, least)[:, None])
         yield pa.record_batch([pa.array(qids[i]), pa.array(cids[j]), pa.array(least[i, j]), pa.array(most[i, j])], ["qid", "cid", "least", "most"])
 
     slabs = slabs_of(df)
@@ -47,13 +52,14 @@ def search(df: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0, bit
     by_least = Window.partitionBy("qid").orderBy(F.col("least").desc())
     sure = near.withColumn("r", F.row_number().over(by_least)).where(F.col("r") <= k + 1).groupBy("qid").agg(F.when(F.count("*") > k, F.min("least")).otherwise(F.lit(float("-inf"))).alias("kth"))
     left = near.join(sure, "qid").where(F.col("most") >= F.col("kth"))
-    exact = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    whole = lambda x: x.cast("long")
+    exact = F.aggregate(F.zip_with("q", "v", lambda a, b: whole(a) * whole(b)), F.lit(0).cast("long"), lambda a, x: a + x)
     vectors = classes.select("cid", "v")
     first = Window.partitionBy("qid").orderBy(F.col("most").desc(), "cid")
     left = written(left.withColumn("turn", F.row_number().over(first)).select("qid", "cid", "most", "turn"))
 
     def read(part: DataFrame) -> DataFrame:
-        return part.join(vectors, "cid").join(vectors.select(F.col("cid").alias("qid"), F.col("v").alias("q")), "qid").select("qid", "cid", exact.cast("long").alias("score"))
+        return part.join(vectors, "cid").join(vectors.select(F.col("cid").alias("qid"), F.col("v").alias("q")), "qid").select("qid", "cid", exact.alias("score"))
 
     begun = written(read(left.where(F.col("turn") <= k + 1)))
     reached = begun.groupBy("qid").agg(F.min("score").alias("reached"))

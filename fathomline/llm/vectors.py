@@ -7,11 +7,9 @@ from .frames import one_per_id
 
 
 def finite(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id and v (array of double) of the rows that take part: an id, a vector of the greatest length that occurs, and no null, NaN or infinite component. Of rows repeating an id the greatest vector counts."""
+    """vec_id and v (array of double) of the rows that take part: an id, a vector that isn't empty, and no null, NaN or infinite component. Of rows repeating an id the greatest vector counts."""
     df = one_per_id(df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")), "vec_id", "v")
-    df = df.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    size = df.agg(F.max(F.size("v"))).first()[0] or 0
-    return df.where((F.size("v") == size) & (F.size("v") > 0))
+    return df.where((F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
 
 
 def distinct(df: DataFrame, k: int) -> DataFrame:

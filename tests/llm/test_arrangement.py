@@ -19,7 +19,7 @@ def docs(spark):
 
 def odd(spark):
     rows = [(1, "a b c", "s"), (1, "a b c", "s"), (None, "x", "s"), (2, None, None), (3, "", "t"), (4, "w " * 5000, None), (5, "q", None)]
-    return spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"size": F.lit("clash"), "target": F.lit(0), "shard": F.lit(1), "part": F.lit(2), "n": F.lit(3)})
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"size": F.lit("clash"), "target": F.lit(0), "shard": F.lit(1), "part": F.lit(2), "n": F.lit(3), "__key": F.lit(4), "__mine": F.lit("own"), "__range": F.lit(5), "mixed row": F.lit(6)})
 
 
 def shares(sizes, share=1.5, most=2, weights=(3, 1, 2)):
@@ -80,6 +80,13 @@ def test_shards(spark):
     assert sharding.shard(docs(spark).limit(0)).count() == 0
 
 
+def test_columns_stay(spark):
+    mixed, sharded = mixing.mix(odd(spark)), sharding.shard(odd(spark))
+    for out, new in ((mixed, ("source_size", "whole", "taken")), (sharded, ("text_crc32", "slot", "grown_shard"))):
+        assert sorted(out.columns) == sorted([*odd(spark).columns, *new])
+        assert {tuple(r) for r in out.select("__key", "__mine", "__range", "mixed row").collect()} == {(4, "own", 5, 6)}
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 

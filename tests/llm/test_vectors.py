@@ -54,3 +54,31 @@ def test_forest_edges(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (40, [0.0, 0.0]), (3, [9.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in prefix_forest.search(few).collect()] == [(0, 1, 3, 9.0)]
     assert prefix_forest.search(few.limit(0)).count() == 0
+
+
+def test_lengths_are_searched_apart(spark):
+    r = np.random.default_rng(5)
+    two, three, large = r.standard_normal((40, 2)), r.standard_normal((30, 3)), np.round(r.standard_normal((60, 8)) * 1e6)
+    data = [(i * 10, x.tolist()) for i, x in enumerate(two)] + [(1000 + i * 10, x.tolist()) for i, x in enumerate(three)] + [(-7, [1.0] * 5)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    parts = [(list(range(0, 400, 10)), two), (list(range(1000, 1300, 10)), three)]
+    want = set().union(*(brute(ids, (f := np.floor(256 * m)) @ f.T, 5, 50) for ids, m in parts))
+    assert {tuple(x) for x in vafile.search(df).collect()} == want
+    near = set().union(*(brute(ids, m @ m.T, 20, 20) for ids, m in parts))
+    got = prefix_forest.search(df).collect()
+    assert len(got) == len(near) and len({(x[0], x[2]) for x in got} & {(x[0], x[2]) for x in near}) >= 0.9 * len(near)
+    # whole numbers whose products are beyond what a double holds
+    big = spark.createDataFrame([(i * 10, x.tolist()) for i, x in enumerate(large)], "vec_id long, embedding array<double>")
+    whole = [[int(256 * y) for y in x] for x in large.tolist()]
+    score = np.array([[sum(a * b for a, b in zip(x, y, strict=True)) for y in whole] for x in whole], object)
+    assert {tuple(x) for x in vafile.search(big).collect()} == brute(list(range(0, 600, 10)), score, 5, 50)
+
+
+def test_near_vectors_need_few_scores():
+    r = np.random.default_rng(1)
+    m = r.standard_normal((60, 32))[r.integers(0, 60, 3000)] + 0.3 * r.standard_normal((3000, 32))
+    forest = prefix_forest.Forest(prefix_forest.Forest.encode(m, 48, 24, 1), len(m), 32, 48, 24)
+    found = forest.nearest(m[:50], prefix_forest.strings(m[:50], np.zeros(50), 48, 24, 1), 21, 0.05)
+    best = np.argsort(-(m[:50] @ m.T), axis=1)[:, :21]
+    assert np.mean([np.isin(b, f).mean() for b, (f, _) in zip(best, found, strict=True)]) >= 0.95
+    assert np.mean([len(f) for f, _ in found]) <= 0.2 * len(m)
