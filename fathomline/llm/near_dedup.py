@@ -2,7 +2,7 @@
 
 A sketch has T coordinates. In round i < T each shingle falls into one bin, with i and a hash as its value; in round T + j all fall into bin j. Rounds go on until no bin is empty, and a bin keeps its least value: each coordinate fills, and a document costs about T log T hashes however long it is. Equal shingle sets are one class from the start. Sketches are banded; classes that share a band are candidates, and a link stands only if the full shingle sets confirm it.
 
-Candidates of a band aren't compared pair by pair. Each bucket compares one member with the others; links make components; only buckets whose members are in different components go on. Of those the pairs with similar sketches are confirmed, first a forest of the most alike, then what is left. A link that isn't looked at joins documents that are joined already. With 64 bands of 6 a pair at 0.75 is overlooked with probability 4e-6.
+Candidates of a band aren't compared pair by pair. Each bucket compares one member with the others; links make components; only buckets whose members are in different components go on. Of those the pairs with similar sketches are confirmed, first a forest of the most alike, then what is left. A link that isn't looked at joins documents that are joined already. Members of a large bucket meet in cells of bounded size, a task for each. With 64 bands of 6 a pair at 0.75 shares no bucket with probability 4e-6; its sketches agree too little with 3e-7.
 """
 
 from collections.abc import Iterator
@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import mixed, one_per_id, partitions, pieces, seeds, word_hashes, written, Rolling
+from .frames import mixed, one_per_id, partitions, pieces, prefix_of, seeds, word_hashes, written, Rolling
 from .superwindows import marks
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERCENT = 75
 #: Bits of a set's bitmap: the bits in which two differ bound their intersection from above.
 BITMAP = 4096
+#: Members that one side of a cell holds, and what names a cell.
+BLOCK, CELL = 512, ("key", "first", "second")
 ENTRY = np.dtype([("key", "i8"), ("cls", "i8")])
 
 
@@ -135,31 +137,50 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def alike(rows: pa.Table, bands: int, width: int, percent: int, forest: bool) -> pa.RecordBatch:
-    """The pairs a, b of one bucket: rows of key, cls, n, label, sketch, bitmap."""
+def cells(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """members (key, cls, n, label) dealt into cells of their bucket: columns first, second (blocks of members that meet there) and own (the member's block).
+
+    A bucket of `block` members at most is one cell. Of a larger one, the members outside its largest label are cut into blocks of that size, and so are those of the label; blocks of others meet each other and the label's, which needn't meet among themselves. Two members of different labels meet in one cell, and no cell holds more than about two blocks.
+    """
+    counts = members.groupBy("key", "label").agg(F.count("*").alias("rows"))
+    top = counts.groupBy("key").agg(F.max(F.struct("rows", "label")).alias("top"), F.sum("rows").alias("m"))
+    blocks = lambda rows: F.ceil(rows / block).cast("int")
+    small = F.col("m") <= block
+    top = top.select("key", F.when(~small, F.col("top.label")).alias("large"), F.when(small, 1).otherwise(blocks(F.col("m") - F.col("top.rows"))).alias("others"), F.when(small, 0).otherwise(blocks(F.col("top.rows"))).alias("larges"))
+    apart = F.col("large").isNull() | (F.col("label") != F.col("large"))
+    number = lambda n: F.pmod(F.xxhash64("cls"), F.greatest(n, F.lit(1))).cast("int")
+    sized = members.join(top, "key").withColumn("own", F.when(apart, number(F.col("others"))).otherwise(F.col("others") + number(F.col("larges"))))
+    meets = F.sequence(F.lit(0), F.when(apart, F.col("others") + F.col("larges")).otherwise(F.col("others")) - 1)
+    sized = sized.where(F.col("others") > 0).withColumn("with", F.explode(meets))
+    return sized.select("key", "cls", "n", "label", "own", F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second"))
+
+
+def alike(rows: pa.Table, width: int, percent: int, forest: bool) -> pa.RecordBatch:
+    """The pairs a, b of one cell: rows of cls, n, label, own, first, second, sketch, bitmap. width: coordinates of a sketch."""
     share = percent / 100
-    floor = share - 4.3 * np.sqrt(share * (1 - share) / (bands * width))
-    cls, n, label = (rows[c].to_numpy() for c in ("cls", "n", "label"))
-    band = rows["key"][0].as_py() & ((1 << (bands - 1).bit_length()) - 1)
+    floor = share - 5 * np.sqrt(share * (1 - share) / width)
+    cls, n, label, own = (rows[c].to_numpy() for c in ("cls", "n", "label", "own"))
     s = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(len(cls), -1)
     bits = np.frombuffer(b"".join(rows["bitmap"].to_pylist()), np.uint64).reshape(len(cls), -1)
-    _, group, size = np.unique(label, return_inverse=True, return_counts=True)
-    rank = np.argsort(np.lexsort((group == size.argmax(), size[group])))  # members of large components come last, and of equally large ones those that needn't look at each other
+    names, group = np.unique(label, return_inverse=True)
+    x, y = (np.flatnonzero(own == rows[side][0].as_py()) for side in ("first", "second"))
+    same_block = rows["first"][0].as_py() == rows["second"][0].as_py()
+    if len(y) < len(x):
+        x, y = y, x
     found = []
-    for i in np.flatnonzero(group != size.argmax()):
-        j = np.flatnonzero((rank > rank[i]) & (group != group[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent))
+    for i in x:
+        j = y[(group[y] != group[i]) & (np.minimum(n[y], n[i]) * 100 >= np.maximum(n[y], n[i]) * percent)]
+        if same_block:
+            j = j[j > i]
         same = (s[j] == s[i]).mean(axis=1)
         j, same = j[same >= floor], same[same >= floor]
-        shared = (s[j] == s[i]).reshape(len(j), bands, width).all(axis=2)
-        here = shared.argmax(axis=1) == band
-        j, same = j[here], same[here]
         common = (n[j] + n[i] - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)) // 2  # or fewer: bits that differ are shingles that do
         here = 100 * common >= percent * (n[j] + n[i] - common)
         found.append(np.stack((np.full(len(j), i), j, same))[:, here])
     i, j, same = np.concatenate(found, axis=1) if found else np.empty((3, 0))
     i, j = i.astype(np.int64), j.astype(np.int64)
     if forest:
-        up, keep = np.arange(len(size)), []
+        up, keep = np.arange(len(names)), []
 
         def root(x):
             while up[x] != x:
@@ -175,9 +196,8 @@ def alike(rows: pa.Table, bands: int, width: int, percent: int, forest: bool) ->
     return pa.record_batch([pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j]))], ["a", "b"])
 
 
-def likely(members: DataFrame, sets: DataFrame, bands: int, width: int, percent: int, forest: bool) -> DataFrame:
-    """Pairs a, b of a bucket's members with different labels whose sketches agree in enough coordinates: so many that a pair at the threshold falls short with probability 1e-5, and whose bitmaps leave room for the similarity. Each pair comes from the first band that it shares. With forest only the most alike pairs that would join a bucket's labels, fewer than it has members."""
-    coordinates = bands * width
+def likely(members: DataFrame, sets: DataFrame, coordinates: int, percent: int, forest: bool, block: int = BLOCK) -> DataFrame:
+    """Pairs a, b of a bucket's members with different labels whose sketches agree in enough coordinates: so many that a pair at the threshold falls short with probability 3e-7, and whose bitmaps leave room for the similarity. A pair may come from each band that it shares. With forest only the most alike pairs that would join a cell's labels, fewer than it has members."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,23 +211,26 @@ def likely(members: DataFrame, sets: DataFrame, bands: int, width: int, percent:
                 yield pa.record_batch([some["cls"], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["cls", "sketch", "bitmap"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:  # in order of key
-            rest = pa.concat_tables([rest, pa.Table.from_batches([batch])]) if rest is not None else pa.Table.from_batches([batch])
-            key = rest["key"].to_numpy()
-            cut = np.flatnonzero(np.append(marks(key), False))
+        rest = []  # of the cell that the last batch ended in
+        for batch in batches:  # in order of cell
+            if not batch.num_rows:
+                continue
+            cut = np.append(np.flatnonzero(marks(*(batch[c].to_numpy() for c in CELL))), batch.num_rows)
             for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-                yield alike(rest.slice(lo, hi - lo), bands, width, percent, forest)
-            rest = rest.slice(cut[-1]) if len(cut) else rest
-        if rest is not None and rest.num_rows:
-            yield alike(rest, bands, width, percent, forest)
+                part = batch.slice(lo, hi - lo)
+                if rest and any(rest[0][c][0] != part[c][0] for c in CELL):
+                    yield alike(pa.Table.from_batches(rest), coordinates, percent, forest)
+                    rest = []
+                rest.append(part)
+        if rest:
+            yield alike(pa.Table.from_batches(rest), coordinates, percent, forest)
 
     of = sets.join(members.select("cls").distinct(), "cls", "left_semi").mapInArrow(sketch, "cls long, sketch binary, bitmap binary")
-    rows = members.join(of, "cls").select("key", "cls", "n", "label", "sketch", "bitmap").repartition(partitions(members.sparkSession), "key").sortWithinPartitions("key")
+    rows = cells(members, block).join(of, "cls").select(*CELL, "own", "cls", "n", "label", "sketch", "bitmap").repartition(partitions(members.sparkSession), *CELL).sortWithinPartitions(*CELL)
     return rows.mapInArrow(run, "a long, b long")
 
 
-def links_of(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, bands: int, width: int, percent: int) -> DataFrame | None:
+def links_of(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, coordinates: int, percent: int) -> DataFrame | None:
     """Links a, b that join what the buckets' confirmed links join. sizes: cls, n."""
     ratio = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)  # noqa: E731  sets of other sizes can't be similar
     if buckets.isEmpty():
@@ -231,7 +254,7 @@ def links_of(buckets: DataFrame, sets: DataFrame, sizes: DataFrame, bands: int,
         members = written(labelled.join(open_, "key", "left_semi").select("key", "cls", "n", "label"))
         if members.isEmpty():
             break
-        pairs = likely(members, sets, bands, width, percent, forest=turn == "lead")
+        pairs = likely(members, sets, coordinates, percent, forest=turn == "lead")
     return links
 
 
@@ -252,7 +275,7 @@ def cluster(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int =
                 yield pa.record_batch([batch["cls"].slice(lo, len(at) - 1), pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["cls", "items"])
 
     sets = written(docs.join(shared, "doc_id").select("cls", "text").mapInArrow(items, "cls long, items binary"))
-    links = links_of(buckets, sets, classes.select("cls", "n"), bands, rows, percent)
+    links = links_of(buckets, sets, classes.select("cls", "n"), bands * rows, percent)
     if links is None:
         found = own.join(classes, "cls", "left").withColumn("component_id", F.coalesce("rep", "doc_id"))
     else:
@@ -264,10 +287,14 @@ def cluster(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int =
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The rows of docs, with all their columns, of the document that each group keeps; one row of those that repeat an id."""
+    """The rows of docs, with all their columns, of the document that each group keeps; one row of those that repeat an id, with the greatest text.
+
+    Rows with a null id end here. Documents of null, empty or blank texts stay. An empty table gives none.
+    """
     kept = cluster(docs, id_col=id_col, text_col=text_col, **params).where("kept").select(F.col("doc_id").alias(id_col))
     rows = docs.join(kept, id_col, "left_semi").select(docs.columns)
     if docs.groupBy(id_col).count().where("count > 1").isEmpty():
         return rows
+    turn = prefix_of(docs) + "turn"
     first = Window.partitionBy(id_col).orderBy(F.col(text_col).desc_nulls_last())
-    return rows.withColumn("__turn", F.row_number().over(first)).where("__turn = 1").drop("__turn")
+    return rows.withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1).drop(turn)

@@ -67,13 +67,47 @@ def test_edges(spark):
     assert sorted(tuple(x) for x in near_dedup.cluster(odd).collect()) == [(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False)]
 
 
-def test_equally_large_labels_are_compared():
+def test_labels_of_a_cell_are_compared():
     sketch, bitmap = np.arange(24, dtype=np.uint16).tobytes(), bytes(near_dedup.BITMAP // 8)
     for labels in ([1, 1, 2, 2], [1, 2, 3], [1, 1, 2, 2, 3, 3], [1, 2, 2, 3, 3]):
         for order in set(itertools.permutations(labels)):
             m = len(order)
-            rows = pa.table({"key": [0] * m, "cls": list(range(m)), "n": [9] * m, "label": list(order), "sketch": [sketch] * m, "bitmap": [bitmap] * m})
-            pairs = near_dedup.alike(rows, 1, 24, 75, False).to_pydict()
+            rows = pa.table({"first": [0] * m, "second": [0] * m, "own": [0] * m, "cls": list(range(m)), "n": [9] * m, "label": list(order), "sketch": [sketch] * m, "bitmap": [bitmap] * m})
+            pairs = near_dedup.alike(rows, 24, 75, False).to_pydict()
             want = {(i, j) for i, j in itertools.combinations(range(m), 2) if order[i] != order[j]}
             assert set(zip(pairs["a"], pairs["b"], strict=True)) == want and len(pairs["a"]) == len(want)
-            assert near_dedup.alike(rows, 1, 24, 75, True).num_rows == len(set(order)) - 1
+            assert near_dedup.alike(rows, 24, 75, True).num_rows == len(set(order)) - 1
+
+
+def test_members_of_different_labels_meet_once(spark):
+    r = random.Random(4)
+    rows = [(k, k * 1000 + i, 9, label) for k, labels in enumerate(([1] * 90 + [2] * 30 + list(range(10, 50)), list(range(70)), [5] * 60, [1, 2], [1] * 9 + [2] * 9)) for i, label in enumerate(r.sample(labels, len(labels)))]
+    members = spark.createDataFrame(rows, "key long, cls long, n long, label long").repartition(3)
+    for block in (1, 7, 20, 1000):
+        own, cell = {}, {}
+        for x in near_dedup.cells(members, block).collect():
+            cell.setdefault((x["key"], x["first"], x["second"]), []).append((x["own"], x["cls"], x["label"]))
+            assert own.setdefault((x["key"], x["cls"]), x["own"]) == x["own"]
+        met = [(a[1], b[1]) for (_, first, second), m in cell.items() for a, b in itertools.permutations(m, 2) if a[2] != b[2] and (a[0], b[0]) == (first, second) and (first != second or a[1] < b[1])]
+        want = {tuple(sorted((a[1], b[1]))) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and a[3] != b[3]}
+        assert len(met) == len(want) and {tuple(sorted(x)) for x in met} == want
+        assert max(map(len, cell.values())) <= 2 * max(3 * block, block + 12)
+
+
+def test_dense_families(spark, monkeypatch):
+    for seed, block in ((1, 512), (2, 6)):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup.likely, "__defaults__", (block,))
+        r = random.Random(seed)
+        words = [f"w{i}" for i in range(900)]
+        rows = []
+        for f in range(25):
+            base = [r.choice(words) for _ in range(90)]
+            for _ in range(20):
+                w = list(base)
+                for k in r.sample(range(90), r.choice((1, 2, 3, 4))):
+                    w[k] = r.choice(words)
+                rows.append((len(rows), " ".join(w)))
+        for parts in (2, 5):
+            got = {x[0]: tuple(x)[1:] for x in near_dedup.cluster(spark.createDataFrame(r.sample(rows, len(rows)), "doc_id long, text string").repartition(parts)).collect()}
+            assert got == brute(rows)
