@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import one_per_id, pieces, word_slices
-from .superwindows import compared, covered, found, marks, spans_by_document, word_tokens
+from .superwindows import covered, marks, spans_by_document, spans_of, word_tokens
 
 LENGTH, GRAM = 13, 5
 #: Words of a shard; all passages of an anchor stay together.
@@ -113,9 +113,7 @@ def _stream(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Spans doc_id, start, n of docs (doc_id, text; one row per id): the `length` words from each of start to start + n - 1 also occur in a document with a smaller id."""
-    runs = found(docs, word_tokens, length, gram, within=False)
-    more = compared(docs, runs.where("ask").drop("ask"), word_tokens, length, raw=False, within=False, compare=lambda b: _stream(b, length))
-    return runs.where("not ask").select("doc_id", "start", "n").unionByName(more)
+    return spans_of(docs, word_tokens, word_tokens, length, gram, raw=False, within=False, compare=lambda b: _stream(b, length))
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

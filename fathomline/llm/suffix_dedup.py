@@ -1,8 +1,8 @@
 """Suffix-array dedup by bucket-pointer refinement.
 
-Suffixes are bucketed by a q-gram first; a bucket with one member is final. Those left are refined by sorting on the bucket identifiers of later offsets: a bucket of 8-grams and that 8 bytes on give the buckets of 16-grams, these those of 32, and so on up to the threshold, each round reusing what the round before has updated. Suffixes in one bucket then share their first `length` bytes; all but the earliest mark bytes to remove.
+The suffixes of a group of passages are bucketed by their first 8 bytes; each has a pointer, the place in order at which its bucket starts. A bucket with one member is final. Those left open are refined by sorting on the pointers of later offsets, 8 bytes on, then 16, 32 and so on up to the threshold; new pointers are written at once, so that buckets refined later in a round already sort by them. The order that results is that of a suffix array, in which suffixes that share their first `length` bytes are neighbours; neighbours are compared byte by byte, and of those that agree all but the earliest mark bytes to remove.
 
-The initial buckets are those of sampled suffixes, the anchors of superwindows.py, for a corpus has far too many suffixes to shuffle; the sample is such that no repeat of `length` bytes escapes it.
+Passages are grouped by sampled suffixes, the anchors of superwindows.py, for a corpus has far too many suffixes to shuffle; the sample is such that no repeat of `length` bytes escapes it.
 """
 
 from collections.abc import Iterator
@@ -13,30 +13,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import one_per_id, pieces
-from .superwindows import byte_tokens, compared, covered, found, marks, spans_by_document
+from .superwindows import byte_tokens, covered, marks, spans_by_document, spans_of
 
 LENGTH, GRAM = 100, 24
 #: A comparison takes runs of so many bytes at once; all runs of an anchor stay together.
 SHARD = 4 << 20
+#: Suffixes of open buckets that are sorted at once, whole buckets at least.
+SLICE = 1 << 19
+
+
+def ordered(text: np.ndarray, eights: np.ndarray, length: int) -> np.ndarray:
+    """Pointers of all suffixes of text, in the order of their first `length` bytes at least. eights: the 8 bytes from each place as a number."""
+    n = len(text)
+    order = np.argsort(eights, kind="stable")
+    new = marks(eights[order])
+    pointer = np.empty(n + 1, np.int64)
+    pointer[n] = -1  # beyond the end
+    pointer[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    alone = new & np.append(new[1:], True)
+    open_, depth = order[~alone], 8  # members of open buckets, in order of bucket
+    while depth < length and len(open_):
+        edge = np.flatnonzero(marks(pointer[open_]))
+        cuts = [*dict.fromkeys(edge[np.searchsorted(edge, range(0, len(open_), SLICE), "right") - 1].tolist()), len(open_)]
+        left = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):  # whole buckets, the pointers of earlier slices renewed
+            some = open_[lo:hi]
+            key = pointer[some] * (n + 1) + pointer[np.minimum(some + depth, n)] + 1
+            turn = np.argsort(key, kind="stable")
+            some, key = some[turn], key[turn]
+            first, new = marks(pointer[some]), marks(key)
+            place = np.arange(len(some))
+            pointer[some] += np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(first, place, 0))
+            left.append(some[~(new & np.append(new[1:], True))])
+        open_, depth = np.concatenate(left), 2 * depth
+    return pointer[:n]
 
 
 def refined(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """Buckets of the suffixes of text at places by their first `length` bytes; -1 for one that is alone in its bucket."""
+    """Buckets of the suffixes of text at places by their first `length` bytes, of which each has so many; -1 for one that is alone in its bucket."""
     n = len(text)
     padded = np.concatenate((text, np.zeros(8, np.uint8)))
-    pointer = np.zeros(n, np.uint64)
+    eights = np.zeros(n, np.uint64)
     for i in range(8):
-        pointer = (pointer << np.uint64(8)) | padded[i : i + n]
-    _, pointer = np.unique(pointer, return_inverse=True)
-    depth = 8
-    while depth < length:
-        step = min(depth, length - depth)
-        later = np.minimum(np.arange(n) + step, n - 1)
-        _, pointer = np.unique(pointer.astype(np.uint64) * np.uint64(n + 1) + pointer[later].astype(np.uint64), return_inverse=True)
-        depth += step
-    own = pointer[places]
-    alone = np.bincount(own, minlength=1)[own] == 1
-    return np.where(alone, -1, own)
+        eights = (eights << np.uint64(8)) | padded[i : i + n]
+    turn = np.argsort(ordered(text, eights, length)[places], kind="stable")
+    at = places[turn]
+    same = np.ones(max(len(at) - 1, 0), bool)
+    for off in (*range(0, length - 8, 8), max(length - 8, 0)):
+        same &= eights[at[1:] + off] == eights[at[:-1] + off]
+    bucket = np.cumsum(np.concatenate((np.zeros(min(len(at), 1), bool), ~same)))
+    out = np.empty(len(places), np.int64)
+    out[turn] = np.where(np.bincount(bucket, minlength=1)[bucket] == 1, -1, bucket)
+    return out
 
 
 def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -72,9 +100,7 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Spans doc_id, start, n of docs (doc_id, text; one row per id): the `length` bytes from each of start to start + n - 1 also start earlier."""
-    runs = found(docs, byte_tokens, length, gram, within=True)
-    more = compared(docs, runs.where("ask").drop("ask"), byte_tokens, length, raw=True, within=True, compare=lambda b: _compare(b, length))
-    return runs.where("not ask").select("doc_id", "start", "n").unionByName(more)
+    return spans_of(docs, byte_tokens, lambda data, at: (data, at), length, gram, raw=True, within=True, compare=lambda b: _compare(b, length))
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,5 +133,3 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str =
 def digest(docs: DataFrame, **params) -> DataFrame:
     out = dedup(docs, **params)
     return out.select("doc_id", "n_bytes", F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
-
-

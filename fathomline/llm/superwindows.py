@@ -1,12 +1,11 @@
 """Repeated windows of a fixed length without a row for each position.
 
-Every window of L tokens has one anchor: the q-gram with the least hash in it. Neighbouring windows mostly share theirs, so a document falls into runs of windows ("super-windows"), some 2/(L-q+2) of its length in number. Equal windows have equal anchors at equal distances, so runs are dealt out by the anchor's hash: a run whose anchor occurs nowhere else holds no repeated window and is final at once; runs that are equal throughout are settled by the order of their documents; and only runs that share an anchor but differ have to be compared token by token, which is left to the operator.
+Every window of L tokens has one anchor: the q-gram with the least hash in it. Neighbouring windows mostly share theirs, so a document falls into runs of windows ("super-windows"), some 2/(L-q+2) of its length in number. Equal windows have equal anchors at equal distances, so runs are dealt out by the anchor's hash: a run whose anchor occurs nowhere else holds no repeated window and is final at once; runs that are equal throughout are settled by the order of their documents; and only runs that share an anchor but differ have to be compared token by token, which is left to the operator. Two runs count as equal if anchor and run have equal 64-bit hashes each.
 
-Runs travel packed, a binary value for each pair of tasks, and copies of a run within a task are settled there: neither many documents nor large groups of copies make many rows.
+Runs travel packed, a binary value for each pair of tasks, and copies of a run within a task are settled there: neither many documents nor large groups of copies make many rows. An anchor that many runs share in different surroundings is hot: its runs are dealt again by longer anchors, which tell those surroundings apart.
 """
 
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +14,15 @@ from pyspark.sql import functions as F
 
 from .frames import Rolling, partitions, pieces, seeds, word_slices, BYTE_CODES, written
 
-RUN = np.dtype([("h", "u8"), ("g", "u8"), ("doc", "i8"), ("start", "u4"), ("n", "u2")])
-PACKED = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("runs", pa.binary())])
-FOUND = "ask boolean, doc_id long, start long, n long, h long"
+RUN = np.dtype([("h", "u8"), ("g", "u8"), ("doc", "i8"), ("base", "u4"), ("start", "u4"), ("n", "u2")])
+PACKED = pa.schema([("part", pa.int32()), ("kind", pa.int8()), ("runs", pa.binary())])
+#: What is packed: runs to settle by their anchor, runs that are settled, runs of anchors that are hot already.
+OPEN, SETTLED, HEATED = range(3)
+FOUND = "ask boolean, hot boolean, doc_id long, base long, start long, n long, h long"
 #: A task packs what it has gathered from so many tokens.
 FLUSH = 12 << 20
-#: Differing runs of one anchor that are compared in one task, at most; those of an anchor with more are cut into windows.
-HOT = 500
+#: Differing runs of one anchor that are compared in one task, at most, and that a task sends on by the anchor; those of an anchor with more are dealt again by longer anchors.
+HOT, LOCAL = 500, 32
 
 
 def byte_tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -34,10 +35,12 @@ def word_tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def runs_of(codes: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int, q: int) -> np.ndarray:
-    """The runs of some documents, whose tokens are codes[at[i]:at[i + 1]]."""
+    """The runs of some texts, whose tokens are codes[at[i]:at[i + 1]]; doc is ids[i], start counts from at[i]."""
     w = length - q + 1
     if len(codes) < length:
         return np.empty(0, RUN)
+    if len(codes) >= 1 << 30:
+        raise ValueError(f"a text of {len(codes)} tokens: places have 30 bits")
     rolling = Rolling(codes)
     grams = np.arange(len(codes) - q + 1)
     h = rolling.of(grams, grams + q)
@@ -82,27 +85,61 @@ def settle(runs: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
     return runs[new], runs[~new]
 
 
-def found(docs: DataFrame, tokens: Callable, length: int, q: int, within: bool) -> DataFrame:
-    """docs: doc_id and text, one row per id. A written table of spans (ask false): windows start to start + n - 1 of doc_id are repeats; and of runs to compare (ask true), with their anchor's hash h."""
-    parts = partitions(docs.sparkSession)
+def texts_of(tokens: Callable) -> Callable:
+    """For batches of doc_id and text: tokens of runs of texts, where each text's start, ids, and the token of the document at which each begins."""
+
+    def read(batch: pa.RecordBatch) -> Iterator[tuple]:
+        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+        for lo, data, at in pieces(batch["text"]):
+            yield *tokens(data, at), ids[lo : lo + len(at) - 1], np.zeros(len(at) - 1, np.int64)
+
+    return read
+
+
+def passages_of(raw: bool, plain: bool) -> Callable:
+    """The same for batches of doc_id, base and run (bytes if raw, else codes), as contents() returns them. plain: bytes stay bytes."""
+
+    def read(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for lo in range(0, batch.num_rows, 5000):
+            some = batch.slice(lo, 5000)
+            runs = some["run"].to_pylist()
+            codes = np.frombuffer(b"".join(runs), np.uint8 if raw else np.uint64)
+            at = np.concatenate(([0], np.cumsum([len(x) for x in runs]))) // codes.itemsize
+            yield BYTE_CODES[codes] if raw and not plain else codes, at, some["doc_id"].to_numpy(), some["base"].to_numpy()
+
+    return read
+
+
+def found(texts: DataFrame, read: Callable, length: int, q: int, within: bool) -> DataFrame:
+    """A written table of spans (ask false): windows start to start + n - 1 of doc_id are repeats; and of runs to compare (ask true), with their anchor's hash h, their text's base, and whether the anchor is hot.
+
+    An anchor that is common in a task's texts is hot at once: its runs don't travel by the anchor, whose task only hears of it. Another is hot if its task finds more than HOT differing runs.
+    """
+    parts, local, hot = partitions(texts.sparkSession), LOCAL, HOT
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
 
         def flush():
             stay, known = settle(np.concatenate(kept), within)
-            for settled, x in ((False, stay), (True, known)):
-                to = (x["h"] >> np.uint64(11)) % np.uint64(parts)
+            anchor, differs = marks(stay["h"]), marks(stay["h"], stay["g"])
+            group = np.cumsum(anchor) - 1
+            common = np.bincount(group, differs)[group] > local if len(stay) else anchor
+            told = stay[common & anchor].copy()
+            told["n"] = 0  # news of a hot anchor
+            for kind, x in ((OPEN, np.concatenate((stay[~common], told))), (SETTLED, known), (HEATED, stay[common])):
+                to = (x["g" if kind else "h"] >> np.uint64(11)) % np.uint64(parts)
                 x = x[np.argsort(to, kind="stable")]
                 cut = np.searchsorted(np.sort(to), np.arange(parts + 1, dtype=np.uint64))
                 if full := [p for p in range(parts) if cut[p] < cut[p + 1]]:
-                    yield pa.record_batch([pa.array(full, pa.int32()), pa.array([settled] * len(full)), pa.array([x[cut[p] : cut[p + 1]].tobytes() for p in full], pa.binary())], schema=PACKED)
+                    yield pa.record_batch([pa.array(full, pa.int32()), pa.array([kind] * len(full), pa.int8()), pa.array([x[cut[p] : cut[p + 1]].tobytes() for p in full], pa.binary())], schema=PACKED)
 
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            for lo, data, at in pieces(batch["text"]):
-                codes, starts = tokens(data, at)
-                kept.append(runs_of(codes, starts, ids[lo : lo + len(at) - 1], length, q))
+            for codes, at, ids, base in read(batch):
+                x = runs_of(codes, at, np.arange(len(ids)), length, q)
+                no = x["doc"].copy()
+                x["doc"], x["base"], x["start"] = ids[no], base[no], x["start"] + base[no]
+                kept.append(x)
                 size += len(codes)
                 if size >= FLUSH:
                     yield from flush()
@@ -110,21 +147,22 @@ def found(docs: DataFrame, tokens: Callable, length: int, q: int, within: bool)
         if kept:
             yield from flush()
 
+    def rows(x: np.ndarray, ask: bool, hot: np.ndarray | bool = False) -> Iterator[pa.RecordBatch]:
+        hot = np.broadcast_to(hot, len(x))
+        for i in range(0, len(x), 50_000):
+            y = x[i : i + 50_000]
+            whole = [pa.array(np.ascontiguousarray(y[c]).view(np.int64) if c == "h" else y[c].astype(np.int64)) for c in ("doc", "base", "start", "n", "h")]
+            yield pa.record_batch([pa.array(np.full(len(y), ask)), pa.array(hot[i : i + 50_000]), *whole], ["ask", "hot", "doc_id", "base", "start", "n", "h"])
+
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = []
-
-        def rows(x: np.ndarray, ask: bool):
-            for i in range(0, len(x), 50_000):
-                y = x[i : i + 50_000]
-                yield pa.record_batch([pa.array(np.full(len(y), ask)), pa.array(y["doc"]), pa.array(y["start"].astype(np.int64)), pa.array(y["n"].astype(np.int64)), pa.array(y["h"].view(np.int64) if y["h"].flags.c_contiguous else np.ascontiguousarray(y["h"]).view(np.int64))], ["ask", "doc_id", "start", "n", "h"])
-
         for batch in batches:
-            for settled, x in zip(batch["settled"].to_pylist(), batch["runs"], strict=True):
+            for kind, x in zip(batch["kind"].to_pylist(), batch["runs"], strict=True):
                 x = np.frombuffer(x.as_buffer(), RUN)
-                if settled:
-                    yield from rows(x, False)
-                else:
+                if kind == OPEN:
                     kept.append(x)
+                else:
+                    yield from rows(x, kind == HEATED, kind == HEATED)
         if not kept:
             return
         order = np.argsort(h := np.concatenate([x["h"] for x in kept]), kind="stable")
@@ -135,64 +173,63 @@ def found(docs: DataFrame, tokens: Callable, length: int, q: int, within: bool)
         twice[order] = again  # an anchor that occurs once is final
         ends = np.cumsum([len(x) for x in kept])
         runs = np.concatenate([x[twice[e - len(x) : e]] for x, e in zip(kept, ends, strict=True)])
-        stay, known = settle(runs, within)
+        news = np.unique(runs["h"][runs["n"] == 0])
+        stay, known = settle(runs[runs["n"] > 0], within)
         yield from rows(known, False)
         if len(stay):
             group = np.cumsum(marks(stay["h"])) - 1
-            texts = np.bincount(group, marks(stay["h"], stay["g"]))
-            yield from rows(stay[texts[group] > 1], True)
+            texts = np.bincount(group, marks(stay["h"], stay["g"]))[group]
+            heated = np.isin(stay["h"], news) | (texts > hot)
+            ask = heated | (texts > 1)
+            yield from rows(stay[ask], True, heated[ask])
 
-    packed = docs.select("doc_id", "text").mapInArrow(deal, "part int, settled boolean, runs binary")
+    packed = texts.mapInArrow(deal, "part int, kind byte, runs binary")
     return written(packed.repartitionById(parts, "part").mapInArrow(resolve, FOUND))
 
 
-def contents(docs: DataFrame, asked: DataFrame, tokens: Callable, length: int, raw: bool, dealt: bool = True) -> DataFrame:
-    """The tokens of runs to compare, dealt by their anchor unless not dealt: h, doc_id, start, n, run (bytes if raw, else 64-bit codes)."""
-    wanted = asked.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "h")).alias("runs"))
+def contents(texts: DataFrame, asked: DataFrame, read: Callable, length: int, raw: bool, keys: list[str]) -> DataFrame:
+    """The tokens of runs to compare: h, hot, doc_id, start, n, run (bytes if raw, else 64-bit codes). keys: columns that name a text."""
+    wanted = asked.groupBy(*keys).agg(F.collect_list(F.struct("start", "n", "h", "hot")).alias("runs"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            runs = batch["runs"]
-            edge, flat = runs.offsets.to_numpy(), runs.values
-            start, n, h = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "n", "h"))
-            for lo, data, at in pieces(batch["text"]):
-                codes, begins = (data, at) if raw else tokens(data, at)
+            edge, flat, no = batch["runs"].offsets.to_numpy(), batch["runs"].values, 0
+            start, n, h, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "n", "h", "hot"))
+            for codes, at, ids, base in read(batch):
                 out = []
-                for i in range(len(at) - 1):
-                    for j in range(edge[lo + i], edge[lo + i + 1]):
-                        a = begins[i] + start[j]
-                        out.append((ids[lo + i], start[j], n[j], h[j], codes[a : a + n[j] - 1 + length].tobytes()))
+                for i in range(len(ids)):
+                    for j in range(edge[no + i], edge[no + i + 1]):
+                        a = at[i] + start[j] - base[i]
+                        out.append((h[j], hot[j], ids[i], start[j], n[j], codes[a : a + n[j] - 1 + length].tobytes()))
+                no += len(ids)
                 for k in range(0, len(out), 20_000):
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out[k : k + 20_000], strict=True), (pa.int64(),) * 4 + (pa.binary(),), strict=True)], ["doc_id", "start", "n", "h", "run"])
-
-    got = docs.join(wanted, "doc_id").select("doc_id", "text", "runs").mapInArrow(fetch, "doc_id long, start long, n long, h long, run binary")
-    return got.repartition(partitions(docs.sparkSession), "h") if dealt else got
-
-
-def compared(docs: DataFrame, asked: DataFrame, tokens: Callable, length: int, raw: bool, within: bool, compare: Callable) -> DataFrame:
-    """Spans of the runs to compare. Anchors with HOT runs at most go to compare, a task for all runs of an anchor; runs of the others become windows, of which Spark finds the least document and start by 128-bit digests."""
-    hot = written(asked.groupBy("h").count().where(F.col("count") > HOT).select("h"))
-    if hot.isEmpty():
-        return contents(docs, asked, tokens, length, raw).mapInArrow(compare, "doc_id long, start long, n long")
-    hot = F.broadcast(hot)  # one in HOT of the runs at most, 8 bytes each
-    few, many = asked.join(hot, "h", "left_anti"), asked.join(hot, "h", "left_semi")
-    size = 1 if raw else 8
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                some = batch.slice(lo, 500)
-                n = some["n"].to_numpy()
-                off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                keys = [blake2b(run[i * size : (i + length) * size], digest_size=16).digest() for run, k in zip(some["run"].to_pylist(), n.tolist(), strict=True) for i in range(k)]
-                yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(np.repeat(some["doc_id"].to_numpy(), n)), pa.array(np.repeat(some["start"].to_numpy(), n) + off)], ["key", "doc_id", "start"])
-
-    each = written(contents(docs, many, tokens, length, raw, dealt=False).mapInArrow(windows, "key binary, doc_id long, start long"))
-    least = each.groupBy("key").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count("*").alias("m")).where("m > 1").select("key", "least")
-    late = F.struct("doc_id", "start") > F.col("least") if within else F.col("doc_id") > F.col("least.doc_id")
-    spans = each.join(least, "key").where(late).select("doc_id", "start", F.lit(1).cast("long").alias("n"))
-    return contents(docs, few, tokens, length, raw).mapInArrow(compare, "doc_id long, start long, n long").unionByName(spans)
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out[k : k + 20_000], strict=True), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["h", "hot", "doc_id", "start", "n", "run"])
+
+    return texts.join(wanted, keys).mapInArrow(fetch, "h long, hot boolean, doc_id long, start long, n long, run binary")
+
+
+def spans_of(docs: DataFrame, tokens: Callable, plain: Callable, length: int, q: int, raw: bool, within: bool, compare: Callable) -> DataFrame:
+    """Spans doc_id, start, n of docs (doc_id, text; one row per id): windows start to start + n - 1 are repeats. plain: tokens as contents() keeps them, bytes if raw.
+
+    compare gets all runs of an anchor in one task. Runs of hot anchors are dealt again by anchors twice as near to the window's length, and so on: anchors as long as the window leave nothing to compare.
+    """
+    texts, read, of, keys, out = docs.select("doc_id", "text"), texts_of(tokens), texts_of(plain), ["doc_id"], []
+    while True:
+        runs = found(texts, read, length, q, within)
+        out.append(runs.where("not ask").select("doc_id", "start", "n"))
+        asked = runs.where("ask")
+        got = contents(texts, asked, of, length, raw, keys)
+        last = asked.where("hot").isEmpty()
+        got = got if last else written(got)
+        out.append(got.where("not hot").select("h", "doc_id", "start", "n", "run").repartition(partitions(docs.sparkSession), "h").mapInArrow(compare, "doc_id long, start long, n long"))
+        if last:
+            break
+        texts, q = got.where("hot").select("doc_id", F.col("start").alias("base"), "run"), (q + length + 1) // 2
+        read, of, keys = passages_of(raw, False), passages_of(raw, True), ["doc_id", "base"]
+    spans = out[0]
+    for more in out[1:]:
+        spans = spans.unionByName(more)
+    return spans
 
 
 def spans_by_document(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
+from pyspark.sql import functions as F
 
 from fathomline.llm import substring_dedup, suffix_dedup, superwindows
 
@@ -87,22 +87,29 @@ def test_edges(spark):
     assert sorted(r[0] for r in suffix_dedup.digest(odd).collect()) == sorted(r[0] for r in substring_dedup.digest(odd).collect()) == [1, 2]
 
 
-def test_hot_anchors_are_cut_into_windows(spark, monkeypatch):
+def test_hot_anchors_are_dealt_again(spark, monkeypatch):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-
-    def largest(batches):
-        for h in [b["h"].to_numpy() for b in batches if b.num_rows]:
-            yield pa.record_batch([pa.array([-1]), pa.array([int(np.unique(h, return_counts=True)[1].max())]), pa.array([1])], ["doc_id", "start", "n"])
-
     for module, tokens, length, raw, brute in ((suffix_dedup, superwindows.byte_tokens, 100, True, brute_bytes), (substring_dedup, superwindows.word_tokens, 13, False, brute_words)):
-        asked = superwindows.found(docs, tokens, length, module.GRAM, raw).where("ask").drop("ask")
-        sizes = sorted(r["count"] for r in asked.groupBy("h").count().collect())
-        hot = sizes[-1] // 2
-        assert sizes[0] <= hot < sizes[-1]
-        monkeypatch.setattr(superwindows, "HOT", hot)
-        seen = superwindows.compared(docs, asked, tokens, length, raw, raw, largest).where("doc_id = -1").collect()
-        assert seen and max(r["start"] for r in seen) <= hot
-        for limit in (hot, 0):
-            monkeypatch.setattr(superwindows, "HOT", limit)
+        for hot, local in ((5, 10**6), (10**6, 3), (1, 1)):
+            monkeypatch.setattr(superwindows, "HOT", hot)
+            monkeypatch.setattr(superwindows, "LOCAL", local)
+            asked = superwindows.found(docs, superwindows.texts_of(tokens), length, module.GRAM, raw).where("ask")
+            assert not asked.where("hot").isEmpty()
+            assert asked.where("not hot").isEmpty() or max(r["count"] for r in asked.where("not hot").groupBy("h").agg(F.countDistinct("doc_id", "start").alias("count")).collect()) <= max(hot, 40)
             assert {r[0]: tuple(r)[1:] for r in module.digest(docs).collect()} == brute(rows, length)
+
+
+def test_refined_buckets(monkeypatch):
+    r = np.random.default_rng(2)
+    for slice_ in (1, 64, 1 << 19):
+        monkeypatch.setattr(suffix_dedup, "SLICE", slice_)
+        for letters, n, length in ((2, 400, 9), (3, 3000, 16), (1, 300, 100), (4, 5000, 100), (2, 50, 8)):
+            text = r.integers(97, 97 + letters, n).astype(np.uint8)
+            text[n // 2 :] = text[: n - n // 2]
+            places = r.permutation(n - length + 1)[: n // 2]
+            got = suffix_dedup.refined(text, places, length).tolist()
+            whole = [text[p : p + length].tobytes() for p in places]
+            assert [g == -1 for g in got] == [whole.count(w) == 1 for w in whole]
+            assert len({*zip(got, whole, strict=True)} - {(-1, w) for w in whole}) == len({g for g in got if g >= 0}) == len({w for w in whole if whole.count(w) > 1})
+    assert not len(suffix_dedup.refined(text, places[:0], 8))
