@@ -79,17 +79,22 @@ class Forest:
             for step in np.unique(level[todo]):
                 some = todo[level[todo] == step]
                 b, e = self.ranges(own[:, some], int(step))
-                for i, q_ in enumerate(some):
-                    match = np.zeros(self.n, bool)
-                    for t in range(trees):
-                        match[self.order[t, b[t, i] : e[t, i]]] = True
-                    new = np.flatnonzero(match & (score[q_] == -np.inf))
-                    score[q_, new] = self.m[new] @ q[q_]
+                match = np.zeros((len(some), self.n), bool)
+                for order, lo, size in zip(self.order, b, e - b, strict=True):
+                    at = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+                    match.ravel()[order[at] + np.repeat(np.arange(len(some)) * self.n, size)] = True
+                match &= score[some] == -np.inf
+                if match.sum() > match.size // 16:  # so many that reading the block through is cheaper
+                    score[some] = np.where(match, q[some] @ self.m.T, score[some])
+                    continue
+                for i, row in zip(some, match, strict=True):
+                    new = np.flatnonzero(row)
+                    score[i, new] = self.m[new] @ q[i]
             kth = np.partition(score[todo], self.n - min(k, self.n), axis=1)[:, self.n - min(k, self.n)]
             want = np.where(kth == -np.inf, 0, level_for(kth / np.maximum(length[todo], 1e-300), trees, miss))
             open_ = want < level[todo]
             todo, want = todo[open_], want[open_]
-            level[todo] = np.maximum((level[todo] + want) // 2, 0)  # the angle still falls: half of the way
+            level[todo] = np.maximum((level[todo] + 2 * want) // 3, 0)  # the angle still falls: most of the way
         return [(f := np.flatnonzero(s > -np.inf), s[f]) for s in score]
 
 
