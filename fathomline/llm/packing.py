@@ -3,6 +3,7 @@
 Documents are tokenized once, into a table in the shared folder, where each has its place in its partition's stream of tokens. Prefix sums of the partitions' token totals give global offsets; a second pass cuts each document at multiples of the window. A window that reaches over partitions is made of boundary records, pieces with the same sequence_id: no tokens have to be sent for it.
 """
 
+import json
 import re
 import zlib
 from array import array
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from .frames import pieces, written
 
 WINDOW, END = 2048, 1
+#: Offsets, 12 bytes a partition, that are broadcast at most; more are joined.
+SENT = 2_000_000
 #: Words that a Python process remembers, and how long those are at most.
 REMEMBERED, LONGEST = 600_000, 40
 
@@ -28,6 +31,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The rules under which texts can be cut into words first. A tokenizer file with others gets whole texts.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 #: Words of these characters alone, all but white space, apostrophes and bars of Latin script, are cut by PIECE as the tokenizer cuts them.
 SIMPLE = re.compile("[!-&(-{}~\u00a1\u00ab\u00bb\u00bf-\u012f\u0131-\u017f]+").fullmatch
 PIECE = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall
@@ -45,15 +53,20 @@ BYTE_LEVEL = _byte_level()
 
 
 class Words:
-    """Token ids of texts, word by word: this tokenizer's tokens never reach over white space, so that a word's ids can be remembered, and those of the pieces that it consists of. A task's Python process keeps them for the tasks after it."""
+    """Token ids of texts. Under RULES tokens never reach over white space, so that a word's ids can be remembered, and those of the pieces that it consists of; a task's Python process keeps them for the tasks after it."""
 
     kept: dict[str, "Words"] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            own = json.load(f)
+        self.by_word = {k: own.get(k) for k in RULES} == RULES and own["model"]["type"] == "BPE" and not own["model"].get("dropout") and all("|" in t["content"] and not re.search(r"\s", t["content"]) for t in own["added_tokens"])  # words with a bar go to the tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.model._resize_cache(0)  # pieces are remembered here
+        self.tokenizer.no_truncation(), self.tokenizer.no_padding()
+        if self.by_word:
+            self.tokenizer.model._resize_cache(0)  # pieces are remembered here
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
@@ -82,6 +95,9 @@ class Words:
 
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with `end` after it, and where each text's ids start (and the last end)."""
+        if not self.by_word:
+            got = [[*x.ids, end] for x in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for x in got for i in x], self.type), np.cumsum([0, *map(len, got)])
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         at = np.asarray(split.offsets) - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
@@ -126,7 +142,9 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
     table = tokenized(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), path or vocabulary(), end)
     totals = table.groupBy("part").agg(F.max(F.col("at") + F.col("n")).alias("tokens"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
-    offsets = totals.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
+    offsets = written(totals.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base")))
+    if offsets.count() <= SENT:
+        offsets = F.broadcast(offsets)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

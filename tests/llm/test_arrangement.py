@@ -108,3 +108,26 @@ def test_packing(spark):
             assert x[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(x, x[1:])) and (sum(x[-1]) == 2048 or s == len(by_seq) - 1)
         assert packing.sequences(pieces).where("size(ids) != 2048").count() == 0
     assert packing.pack(docs(spark).limit(0)).count() == 0
+
+
+def test_tokenizers_of_other_rules(spark, tmp_path):
+    import json
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    keeps_case = json.loads(Path(packing.vocabulary()).read_text(encoding="utf-8"))
+    keeps_case["normalizer"] = None
+    (tmp_path / "case.json").write_text(json.dumps(keeps_case), encoding="utf-8")
+    r = np.random.default_rng(8)
+    letters = [chr(c) for c in (*range(32, 127), *range(0xA0, 0x250), 0x301, 0x308, 0x3A3, 0x130, 0x2028, 0x3000, 0x4E2D, 0x1F600, 0x200D, 9, 10, 13)]
+    rows = [(i, "".join(r.choice(letters, r.integers(0, 60)))) for i in range(300)] + [(900, "Don't THEY'LL 1234 ab12 <|endoftext|> x"), (901, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for path in (packing.vocabulary(), str(Path(packing.vocabulary()).with_name("byte_bpe_50k.json")), str(tmp_path / "case.json")):
+        t, whole = Tokenizer.from_file(path), defaultdict(list)
+        assert packing.Words.of(path).by_word == (path == packing.vocabulary())
+        for x in sorted(packing.pack(df, path=path).collect(), key=lambda x: x["start"]):
+            whole[x["doc_id"]] += x["ids"]
+        assert dict(whole) == {i: [*t.encode(x or "", add_special_tokens=False).ids, 1] for i, x in rows}
+    plan = packing.pack(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
