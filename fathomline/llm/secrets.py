@@ -1,11 +1,12 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-The forest sees a candidate's length, character transitions, dictionary coverage, the path it comes from and its neighbouring words. Dictionary and transitions are counted over all documents, in vectors of fixed size. It is trained from labelled findings; where a caller has none, labels come from the corpus itself: known formats, private key blocks and high-entropy values assigned to a credential's name count as true, candidates with neither assignment nor such a name nearby as false, and the rest stay out of training.
+The forest sees a candidate's length, character transitions, dictionary coverage, the path it comes from and its neighbouring words. Dictionary and transitions are counted over all documents, in vectors of fixed size. It is trained from labelled findings. Where a caller has none, secrets and look-alikes of known kinds are planted into a sample of the documents: what was planted gives the label, and no pattern that the features use does.
 
 Of name=value the value alone is the candidate. What is assigned to a credential's name is one from 8 characters on, quoted or not; a private key's block is one candidate.
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,8 @@ LETTERS = 27
 WORDS = 1 << 18
 #: Counts are summed in so many slices.
 SLICES = 64
-#: Labelled findings to train on, at most: those with the least hashes.
-SAMPLE, TREES, DEPTH = 20_000, 24, 8
+#: Labelled findings to train on, at most: those with the least hashes. Planted ones: so many in each sampled document.
+SAMPLE, TREES, DEPTH, EACH = 20_000, 24, 10, 16
 #: What can be a secret, the names of credentials, words that mark examples, formats of providers, paths.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}|(?<=[\"'=:])[^\s\"'<>]{8,}(?=[\"'])")
 CREDENTIAL = re.compile(r"token|secret|passw|passphrase|pwd|credential|auth|bearer|api.?key|access.?key|private.?key|client.?key", re.I)
@@ -35,8 +36,9 @@ NAME = re.compile(rf"(?:{CREDENTIAL.pattern})[\w.-]*[\"'\]]*\s*$", re.I)
 SPLIT = re.compile(r"[\w./~+-]+=(?=[^=])")
 KEY_EDGE = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----")
 KEY_LINES = re.compile(r"(?:(?:[ \t\r\n]|\\[rn])+[A-Za-z0-9+/]{16,}={0,2})*(?:(?:[ \t\r\n]|\\[rn])+[A-Za-z0-9+/]+={1,2})?")
+HEX = re.compile("[0-9a-fA-F]+").fullmatch
 REDACTED = "[secret]"
-FEATURES = ["length", "upper", "lower", "digit", "mark", "entropy", "changes", "pairs", "longest_run", "hex", "coverage", "triples", "quoted", "assigned", "named", "example", "format", "path_quiet", "path_depth", "path_length"]
+FEATURES = ["length", "upper", "lower", "digit", "mark", "entropy", "changes", "pairs", "longest_run", "hex", "coverage", "triples", "quoted", "assigned", "named", "own_name", "example", "format", "path_quiet", "path_depth", "path_length"]
 
 
 def letters(data: np.ndarray) -> np.ndarray:
@@ -113,6 +115,8 @@ def spans_of(text: str) -> list[tuple[int, int, bool]]:
         if a < done:
             continue
         for m in CANDIDATE.finditer(text, done, a):
+            if m.end() == a and b > a and m[0].endswith("="):
+                continue  # the name of the value that follows
             name = SPLIT.match(m[0])
             out.append((m.end() - len(m[0]) + name.end() if name and len(m[0]) - name.end() >= 8 else m.start(), m.end(), False))
         if b > a:
@@ -121,32 +125,39 @@ def spans_of(text: str) -> list[tuple[int, int, bool]]:
     return out
 
 
-def described(text: str, path: str, words: Dictionary) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """A text's candidates: character spans, a row of FEATURES each, and labels from the corpus (1, 0, -1 unknown)."""
-    spans, rows, labels = [], [], []
-    for a, b, block in spans_of(text):
-        s = text[a:b]
-        data = np.frombuffer(s.encode(), np.uint8)
-        n = len(data)
-        upper, lower, digit = (data >= 65) & (data < 91), (data >= 97) & (data < 123), (data >= 48) & (data < 58)
-        kind = upper + 2 * lower + 3 * digit
-        change = kind[1:] != kind[:-1]
-        share = np.bincount(data) / n
-        share = share[share > 0]
-        x = letters(data)
-        triple = words.odds[(x[:-2] * LETTERS + x[1:-1]) * LETTERS + x[2:]]
-        begin, end, no = letter_runs(data, np.array([0, n]))
-        size = (end - begin) * (end - begin >= 4)
-        before = text[max(0, a - 48) : a]
-        near = " ".join(before.split()[-4:])
-        after = text[b : b + 1]
-        entropy, assigned = float(-(share * np.log2(share)).sum()), bool(ASSIGNED.search(before))
-        named, format_, example = bool(CREDENTIAL.search(near)), block or bool(FORMAT.search(s)), bool(EXAMPLE.search(near + s))
-        spans.append((a, b))
-        rows.append((n, upper.mean(), lower.mean(), digit.mean(), 1 - (kind > 0).mean(), entropy, change.mean(), (data[1:] == data[:-1]).mean(), max(end - begin, default=0) / n, float(re.fullmatch("[0-9a-fA-F]+", s) is not None), float((size * words.known(no)).sum() / n) if len(no) else 0.0, float(triple.mean()), before[-1:] in "\"'" and after in "\"'" and bool(after), assigned, named, example, format_, bool(QUIET_PATH.search(path)), path.count("/"), min(len(path), 200)))
-        strong = entropy >= 3 and digit.any() and (upper.any() or lower.any())
-        labels.append(1 if (format_ or (assigned and named and strong)) and not example else 0 if not (assigned or format_ or CREDENTIAL.search(before + s)) else -1)
-    return spans, np.array(rows, np.float32).reshape(-1, len(FEATURES)), np.array(labels, np.int8)
+def described(texts: list[str | None], paths: list[str | None], words: Dictionary) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """The candidates of some texts, in order: number of the text, first character, last + 1; and a row of FEATURES each."""
+    spans, found, facts = [], [], []
+    for k, (text, path) in enumerate(zip(texts, paths, strict=True)):
+        for a, b, block in spans_of(text) if text else ():
+            s, before, after, path = text[a:b], text[max(0, a - 48) : a], text[b : b + 1], path or ""
+            near, sign = " ".join(before.split()[-4:]), ASSIGNED.search(before)
+            spans.append((k, a, b))
+            found.append(s.encode())
+            facts.append((HEX(s) is not None, before[-1:] in "\"'" and after in "\"'" and bool(after), sign is not None, CREDENTIAL.search(near) is not None, sign is not None and NAME.search(before[: sign.start()]) is not None, EXAMPLE.search(near + s) is not None, block or FORMAT.search(s) is not None, QUIET_PATH.search(path) is not None, path.count("/"), min(len(path), 200)))
+    if not spans:
+        return spans, np.zeros((0, len(FEATURES)), np.float32)
+    data = np.frombuffer(b"".join(found), np.uint8)
+    at = np.concatenate(([0], np.cumsum([len(x) for x in found])))
+    n = np.diff(at)
+    of = np.repeat(np.arange(len(n)), n)
+    sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[at])  # noqa: E731  over each candidate
+    upper, lower, digit = (data >= 65) & (data < 91), (data >= 97) & (data < 123), (data >= 48) & (data < 58)
+    kind = upper + 2 * lower + 3 * digit
+    inner = lambda x, width: sums(np.append(x * (of[width - 1 :] == of[: len(of) - width + 1]), np.zeros(width - 1))) / (n - width + 1)  # noqa: E731  over pairs or triples within it
+    whose, count = np.unique(of * 256 + data, return_counts=True)
+    whose //= 256
+    share = count / n[whose]
+    entropy = -np.bincount(whose, share * np.log2(share), len(n))
+    begin, end, no = letter_runs(data, at)
+    size, longest = end - begin, np.zeros(len(n))
+    np.maximum.at(longest, of[begin], size)
+    coverage = np.bincount(of[begin], size * (size >= 4) * words.known(no), len(n))
+    x = letters(data)
+    triple = words.odds[(x[:-2] * LETTERS + x[1:-1]) * LETTERS + x[2:]]
+    f = np.array(facts, np.float32).T
+    columns = [n, sums(upper) / n, sums(lower) / n, sums(digit) / n, 1 - sums(kind > 0) / n, entropy, inner(kind[1:] != kind[:-1], 2), inner(data[1:] == data[:-1], 2), longest / n, f[0], coverage / n, inner(triple, 3), *f[1:]]
+    return spans, np.stack(columns, axis=1).astype(np.float32)
 
 
 class Forest:
@@ -166,7 +177,7 @@ class Forest:
         if not depth or len(y) < 4 or p in (0, 1):
             return float(p)
         best = (1e-7, 0, 0)
-        for f in r.choice(x.shape[1], max(1, int(np.sqrt(x.shape[1]))), replace=False):
+        for f in r.choice(x.shape[1], max(1, x.shape[1] // 3), replace=False):
             n = np.cumsum(np.bincount(x[:, f], minlength=32))[:-1]
             one = np.cumsum(np.bincount(x[:, f], y, minlength=32))[:-1]
             m, rest = len(y) - n, y.sum() - one
@@ -194,30 +205,108 @@ class Forest:
         return out
 
 
-FINDING = "doc_id long, start long, length long, features array<float>, label int"
+LOWERS, UPPERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALNUM, HEXES, BASE64 = LOWERS + UPPERS + DIGITS, DIGITS + "abcdef", LOWERS + UPPERS + DIGITS + "+/"
+#: How credentials are called, what is called otherwise, how a value is assigned, and the beginnings of provider formats.
+NAMES = ["token", "api_key", "apiKey", "API_KEY", "secret", "client_secret", "SECRET_KEY", "AWS_SECRET_ACCESS_KEY", "access_key", "auth_token", "password", "passwd", "db_password", "DB_PASSWORD", "credential", "private_key", "TOKEN", "Token"]
+PLAIN = ["commit", "sha256", "md5", "etag", "checksum", "id", "request_id", "build", "version", "digest", "revision", "uuid", "file", "ref", "session", "order", "number", "image"]
+FORMS = ['{n} = "{v}"', "{n} = '{v}'", "{n}={v}", "{n}: {v}", '"{n}": "{v}"', "export {n}={v}", "{n} => '{v}'", "--{n}={v}", "{n} {v}", "?{n}={v}&page=2"]
+PREFIXES = [("AKIA", UPPERS + DIGITS, 16), ("ASIA", UPPERS + DIGITS, 16), ("ghp_", ALNUM, 36), ("gho_", ALNUM, 36), ("xoxb-", DIGITS + LOWERS, 24), ("sk_live_", ALNUM, 24), ("AIza", ALNUM + "_-", 35)]
 
 
-def candidates(docs: DataFrame, words: Dictionary) -> DataFrame:
-    """docs: doc_id, text, path. A row for each candidate, with its features and its label from the corpus (null: unknown)."""
+class Planter:
+    """Secrets and look-alikes of known kinds, in the words of a text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, out = batch["doc_id"].to_pylist(), []
-            for i, text, path in zip(ids, batch["text"].to_pylist(), batch["path"].to_pylist(), strict=True):
-                spans, x, y = described(text or "", path or "", words)
-                out += [(i, a, b - a, f.tolist(), None if k < 0 else int(k)) for (a, b), f, k in zip(spans, x, y, strict=True)]
-                if len(out) > 20_000:
-                    yield _findings(out)
-                    out = []
-            if out:
-                yield _findings(out)
+    def __init__(self, r: np.random.Generator, words: list[str]):
+        self.r, self.words = r, words or ["word"]
+
+    def of(self, letters: str, n: int) -> str:
+        return "".join(letters[i] for i in self.r.integers(0, len(letters), n))
 
-    return docs.mapInArrow(run, FINDING)
+    def one(self, options: list):
+        return options[self.r.integers(len(options))]
+
+    def put(self, name: str, value: str, forms: list[str] = FORMS) -> tuple[str, str]:
+        return self.one(forms).format(n=name, v=value), value
+
+    def glued(self, by: str, least: int) -> str:
+        out = self.one(self.words)
+        while len(out) < least:
+            out += by + self.one(self.words)
+        return out
 
+    def secret(self) -> tuple[str, str, str]:
+        """Kind, the text that holds it, the secret."""
+        kind = self.one(["hex", "alnum", "base64", "password", "format", "bearer", "jwt", "block"])
+        if kind == "format":
+            start, letters, n = self.one(PREFIXES)
+            value = start + self.of(letters, n)
+            return kind, *self.put(self.one([*NAMES, *PLAIN]), value, [*FORMS, "{v}"])
+        if kind == "block":
+            lines = "\n".join(self.of(BASE64, 64) for _ in range(self.r.integers(3, 9)))
+            value = f"-----BEGIN {self.one(['RSA ', 'EC ', ''])}PRIVATE KEY-----\n{lines}\n-----END PRIVATE KEY-----"
+            return kind, value, value
+        if kind == "bearer":
+            return kind, *self.put("Authorization", self.of(ALNUM, self.r.integers(12, 48)), ["{n}: Bearer {v}", '"{n}": "Bearer {v}"'])
+        if kind == "jwt":
+            return kind, *self.put(self.one(NAMES), f"eyJ{self.of(ALNUM, 20)}.eyJ{self.of(ALNUM, 40)}.{self.of(ALNUM, 43)}")
+        value = {"hex": lambda: self.of(self.one([HEXES, HEXES.upper()]), self.one([32, 40, 64])), "alnum": lambda: self.of(ALNUM, self.r.integers(16, 48)), "base64": lambda: self.of(BASE64, self.one([40, 43, 64])), "password": lambda: self.of(ALNUM, self.r.integers(7, 14)) + self.of(DIGITS, 1) + self.of("!$%*@Aax", self.r.integers(1, 3))}[kind]()
+        return kind, *self.put(self.one(NAMES), value, FORMS[:9] if kind != "base64" else FORMS[:6])
+
+    def look_alike(self) -> tuple[str, str, str]:
+        """Kind, the text that holds it, what looks like a secret."""
+        kind = self.one(["digest", "uuid", "number", "mail", "address", "path", "time", "identifier", "glued", "placeholder", "reference", "rule", "image", "word"])
+        hexes = lambda n: self.of(HEXES, n)
+        value = {
+            "digest": lambda: hexes(self.one([32, 40, 64])),
+            "uuid": lambda: "-".join(hexes(n) for n in (8, 4, 4, 4, 12)),
+            "number": lambda: self.of(DIGITS, self.r.integers(16, 24)),
+            "mail": lambda: f"{self.one(self.words)}.{self.of(DIGITS, 2)}@mail{self.of(DIGITS, 1)}.example.com",
+            "address": lambda: f"https://{self.one(self.words)}.org/{self.glued('/', 16)}?page={self.of(DIGITS, 2)}",
+            "path": lambda: self.glued("/", 20) + ".txt",
+            "time": lambda: f"20{self.of(DIGITS, 2)}-0{self.of(DIGITS[1:], 1)}-1{self.of(DIGITS, 1)}T1{self.of(DIGITS, 1)}:2{self.of(DIGITS, 1)}:3{self.of(DIGITS, 1)}Z",
+            "identifier": lambda: self.glued("_", 16),
+            "glued": lambda: self.glued("", 16),
+            "word": lambda: self.glued("-", 16),
+            "placeholder": lambda: self.one(["changeme-changeme", "your_secret_goes_here", "xxxxxxxxxxxxxxxx", "********************", "<insert-token-here>", "example-example-1234", "REPLACE_WITH_YOUR_KEY", "dummy-dummy-dummy-00", "test-test-test-test"]),
+            "reference": lambda: self.one(["os.environ[{}]", "${{{}}}", "config.get_value({})", "process.env.{}", "vault:kv/data/{}", "{{{{ {} }}}}"]).format(self.glued("_", 12)),
+            "rule": lambda: self.one("=-_~.") * int(self.r.integers(16, 60)),
+            "image": lambda: self.of(BASE64, 120),
+        }[kind]()
+        if kind in ("placeholder", "reference"):
+            return kind, *self.put(self.one(NAMES), value)
+        if kind == "image":
+            return kind, f"data:image/png;base64,{value}", value
+        return kind, *self.put(self.one(PLAIN), value, [*FORMS, "{v}", "{v}", "{v}"])
+
+
+FINDING = "kind string, features array<float>, label int"
+
+
+def planted(docs: DataFrame, words: Dictionary, sample: int = SAMPLE, seed: int = 1) -> DataFrame:
+    """docs: text, path. Labelled findings (kind, features, label 1 or 0), `sample` at most: EACH of the documents with the least hashes get a secret or a look-alike in an excerpt of theirs, half of either."""
+    few = docs.where("text IS NOT NULL").orderBy(F.xxhash64(F.lit(seed), "text"), "text").limit(sample // EACH)
 
-def _findings(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float32()), pa.int32())
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "start", "length", "features", "label"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, kinds = [], []
+            for text in batch["text"].to_pylist():
+                r = np.random.default_rng([seed, zlib.crc32(text.encode())])
+                for k in range(EACH):
+                    lo = int(r.integers(0, max(1, len(text) - 400)))
+                    own = text[lo : lo + 400].split()
+                    p = Planter(r, [w for w in own[1:-1] if w.isalpha()][:60])
+                    kind, put, value = p.secret() if k % 2 else p.look_alike()
+                    cut = int(r.integers(0, len(own) + 1))
+                    before = " ".join(own[:cut])
+                    texts.append(f"{before}{p.one([' ', chr(10)])}{put}{p.one([' ', chr(10), ' '])}{' '.join(own[cut:])}")
+                    at = len(before) + 1 + put.index(value)
+                    kinds.append((kind, k % 2, at, at + len(value)))
+            spans, x = described(texts, [path for path in batch["path"].to_pylist() for _ in range(EACH)], words)
+            mine = [(kinds[k], f) for (k, a, b), f in zip(spans, x, strict=True) if max(a, kinds[k][2]) < min(b, kinds[k][3])]
+            yield pa.record_batch([pa.array([k[0] for k, _ in mine], pa.string()), pa.array([f for _, f in mine], pa.list_(pa.float32())), pa.array([k[1] for k, _ in mine], pa.int32())], ["kind", "features", "label"])
+
+    return few.mapInArrow(run, FINDING)
 
 
 def train(findings: DataFrame, sample: int = SAMPLE) -> Forest:
@@ -229,60 +318,57 @@ def train(findings: DataFrame, sample: int = SAMPLE) -> Forest:
     return Forest(x, got["y"].to_numpy(float))
 
 
-def _prepared(docs: DataFrame, findings: DataFrame | None, sample: int, id_col: str, text_col: str, path_col: str | None) -> tuple[DataFrame, Dictionary, Forest]:
+def _prepared(docs: DataFrame, findings: DataFrame | None, sample: int, text_col: str, path_col: str | None) -> tuple[Dictionary, Forest]:
     words = Dictionary(counts(docs, text_col))
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
-    return plain, words, train(findings if findings is not None else candidates(plain, words), sample)
+    if findings is None:
+        plain = docs.select(F.col(text_col).alias("text"), (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
+        findings = planted(plain, words, sample)
+    return words, train(findings, sample)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """A row for each candidate: doc_id, start and length in characters, sha256 of the candidate, score and is_secret (score >= threshold).
 
-    findings: labelled ones (features, label), such as candidates() returns and a reviewer corrects. A null or empty text has no candidates; with no labelled findings nothing is a secret. Rows that repeat an id, or have none, are scanned each for itself. Other columns are not read.
+    findings: labelled ones (features of described(), label), such as a reviewer has marked; else planted ones. A null or empty text has no candidates; with no labelled findings nothing is a secret. Rows that repeat an id, or have none, are scanned each for itself. An empty table gives none. Other columns are not read.
     """
-    plain, words, forest = _prepared(docs, findings, sample, id_col, text_col, path_col)
+    words, forest = _prepared(docs, findings, sample, text_col, path_col)
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            meta, rows = [], []
-            for i, text, path in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), batch["path"].to_pylist(), strict=True):
-                spans, x, _ = described(text or "", path or "", words)
-                meta += [(i, a, b - a, text[a:b].encode()) for a, b in spans]
-                rows.append(x)
-                if len(meta) > 20_000:
-                    yield emit(meta, rows)
-                    meta, rows = [], []
-            if meta:
-                yield emit(meta, rows)
-
-    def emit(meta: list[tuple], rows: list[np.ndarray]) -> pa.RecordBatch:
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        return pa.record_batch([*(pa.array(c, t) for c, t in zip(zip(*meta, strict=True), types, strict=True)), pa.array(forest.score(np.concatenate(rows)))], ["doc_id", "start", "length", "found", "score"])
+            for lo, _, at in pieces(batch["text"], 4 << 20):
+                some = batch.slice(lo, len(at) - 1)
+                texts = some["text"].to_pylist()
+                spans, x = described(texts, some["path"].to_pylist(), words)
+                whose, start, stop = np.array(spans, np.int64).reshape(-1, 3).T
+                yield pa.record_batch([some["doc_id"].take(pa.array(whose)), pa.array(start), pa.array(stop - start), pa.array([texts[k][a:b].encode() for k, a, b in spans], pa.binary()), pa.array(forest.score(x))], ["doc_id", "start", "length", "found", "score"])
 
     out = plain.mapInArrow(run, "doc_id long, start long, length long, found binary, score double")
     return out.select("doc_id", "start", "length", F.sha2("found", 256).alias("sha256"), "score", (F.col("score") >= threshold).alias("is_secret"))
 
 
-def redacted(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """docs, all rows and columns, with each secret in the text replaced by [secret]; n_chars, where there is one, follows."""
-    _, words, forest = _prepared(docs, findings, sample, id_col, text_col, path_col)
+def redacted(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, sample: int = SAMPLE, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
+    """docs, all rows and columns, with each secret in the text replaced by [secret]; n_chars, where there is one, follows.
+
+    Null and empty texts stay as they are, as do rows that repeat an id or have none. An empty table gives none.
+    """
+    words, forest = _prepared(docs, findings, sample, text_col, path_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, sizes = batch[text_col].to_pylist(), batch["n_chars"].to_pylist() if "n_chars" in batch.schema.names else None
-            paths = batch[path_col].to_pylist() if path_col else [None] * len(texts)
-            for k, (text, path) in enumerate(zip(texts, paths, strict=True)):
-                spans, x, _ = described(text or "", path or "", words)
-                for (a, b), s in sorted(zip(spans, forest.score(x).tolist(), strict=True), reverse=True):
-                    if s >= threshold:
-                        text = text[:a] + REDACTED + text[b:]
-                if text is not texts[k]:
-                    texts[k] = text
-                    if sizes:
-                        sizes[k] = len(text)
-            out = batch.set_column(batch.schema.get_field_index(text_col), batch.schema.field(text_col), pa.array(texts, batch.schema.field(text_col).type))
-            if sizes:
-                out = out.set_column(out.schema.get_field_index("n_chars"), out.schema.field("n_chars"), pa.array(sizes, out.schema.field("n_chars").type))
-            yield out
+            at = batch.schema.get_field_index
+            for lo, _, edge in pieces(batch[text_col], 4 << 20):
+                some = batch.slice(lo, len(edge) - 1)
+                texts = some[text_col].to_pylist()
+                sizes = some["n_chars"].to_pylist() if "n_chars" in some.schema.names else None
+                paths = [None if x is None else str(x) for x in some[path_col].to_pylist()] if path_col else [None] * len(texts)
+                spans, x = described(texts, paths, words)
+                for (k, a, b), score in zip(reversed(spans), reversed(forest.score(x).tolist()), strict=True):
+                    if score >= threshold:
+                        texts[k] = texts[k][:a] + REDACTED + texts[k][b:]
+                        if sizes:
+                            sizes[k] = len(texts[k])
+                some = some.set_column(at(text_col), some.schema.field(text_col), pa.array(texts, some.schema.field(text_col).type))
+                yield some.set_column(at("n_chars"), some.schema.field("n_chars"), pa.array(sizes, some.schema.field("n_chars").type)) if sizes else some
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,5 +1,6 @@
 """Quality classifier, secret scans, and the pipeline on the smallest tables."""
 
+import hashlib
 import re
 import zlib
 
@@ -59,12 +60,59 @@ def test_secrets_of_other_forms():
     block = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
     cases = [(f"API_KEY={token}", token), (f"run token={token} now", token), (f"AWS_SECRET_ACCESS_KEY={key}", key), ("password: Tr0ub4dor9x", "Tr0ub4dor9x"), ("(db_password=Tr0ub4dor9x).", "Tr0ub4dor9x"), ("Authorization: Bearer 9xk2mQ7w1Lz", "9xk2mQ7w1Lz"), ('{"passwd": "p4ss!W0rd$x1"}', "p4ss!W0rd$x1"), (block, block), (f"a\n{block[:-30]}\nb", block[:-30]), (f"-----BEGIN PRIVATE KEY-----\n{body}\n\nthe end", f"-----BEGIN PRIVATE KEY-----\n{body}")]
     for text, want in cases:
-        spans, x, y = secrets.described(text, "", words)
-        assert (want, 1) in [(text[a:b], k) for (a, b), k in zip(spans, y, strict=True)], text
-        assert len(x) == len(spans) and all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
-    spans, _, y = secrets.described(f"the token is, as of today and until further notice {token}", "", words)
-    assert y.tolist() == [-1]
-    assert secrets.described("see articles/some/long/path/of/words", "", words)[2].tolist() == [0]
+        spans, x = secrets.described(["nothing", None, text], ["", "", ""], words)
+        assert (2, want) in [(k, text[a:b]) for k, a, b in spans], text
+        assert len(x) == len(spans) and all(b <= c for (_, _, b), (_, c, _) in zip(spans, spans[1:], strict=False))
+
+
+def test_features_one_by_one():
+    """described() over many texts at once against each candidate by itself."""
+    r = np.random.default_rng(6)
+    counted = r.integers(0, 40, secrets.WORDS + secrets.LETTERS**3)
+    words = secrets.Dictionary(counted)
+    p = secrets.Planter(r, ["some", "words", "ähnlich"])
+    texts = [" ".join((p.secret if r.random() < 0.5 else p.look_alike)()[1] for _ in range(4)) for _ in range(60)]
+    spans, x = secrets.described(texts, ["a/test/b"] * len(texts), words)
+    names = secrets.FEATURES
+    for (k, a, b), f in zip(spans, x, strict=True):
+        s = texts[k][a:b].encode()
+        kind = [1 if 65 <= c < 91 else 2 if 97 <= c < 123 else 3 if 48 <= c < 58 else 0 for c in s]
+        shares = [s.count(c) / len(s) for c in set(s)]
+        letter = [i if (i := (c | 32) - 96) in range(1, 27) and chr(c).isalpha() and c < 128 else 0 for c in s]
+        triple = [words.odds[(letter[i] * 27 + letter[i + 1]) * 27 + letter[i + 2]] for i in range(len(s) - 2)]
+        want = {"length": len(s), "upper": kind.count(1) / len(s), "digit": kind.count(3) / len(s), "mark": kind.count(0) / len(s), "entropy": -sum(q * np.log2(q) for q in shares), "changes": np.mean([u != v for u, v in zip(kind, kind[1:])]), "pairs": np.mean([u == v for u, v in zip(s, s[1:])]), "longest_run": max((len(m) for m in re.findall(rb"[A-Za-z]+", s)), default=0) / len(s), "triples": np.mean(triple), "path_quiet": 1, "path_depth": 2}
+        got = dict(zip(names, f.tolist(), strict=True))
+        assert all(abs(got[c] - v) < 1e-4 for c, v in want.items()), (s, got, want)
+    alone = np.concatenate([secrets.described([t], ["a/test/b"], words)[1] for t in texts])
+    assert np.allclose(alone, x, atol=1e-5)
+
+
+def test_secrets_held_out(spark):
+    """Trained on plantings in some documents, judged on other plantings in others, kind by kind."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", F.col("source").alias("path"))
+    words = secrets.Dictionary(secrets.counts(docs, "text"))
+    forest = secrets.train(secrets.planted(docs.where("crc32(cast(text AS binary)) % 2 = 0"), words, seed=1))
+    kinds: dict[str, list] = {}
+    for r in secrets.planted(docs.where("crc32(cast(text AS binary)) % 2 = 1"), words, seed=2).collect():
+        kinds.setdefault((r["label"], r["kind"]), []).append(r["features"])
+    caught = {k: (forest.score(np.array(x, np.float32)) >= 0.5).mean() for k, x in kinds.items()}
+    assert len(caught) >= 20
+    assert all(share >= 0.85 for (label, _), share in caught.items() if label) and all(share <= 0.2 for (label, _), share in caught.items() if not label), caught
+    n = {k: len(x) for k, x in kinds.items()}
+    hits, false = (sum(n[k] * caught[k] for k in n if k[0] == label) for label in (1, 0))
+    assert hits / sum(n[k] for k in n if k[0]) >= 0.95 and hits / (hits + false) >= 0.95
+
+
+def test_scan_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(odd(spark).selectExpr("doc_id", "text", "NULL AS lang", "source", "0L AS n_chars"))
+    words, forest = secrets._prepared(docs, None, secrets.SAMPLE, "text", "source")
+    want = []
+    for r in docs.collect():
+        spans, x = secrets.described([r["text"]], [r["source"]], words)
+        want += [(r["doc_id"], a, b - a, hashlib.sha256(r["text"][a:b].encode()).hexdigest(), round(s, 6)) for (_, a, b), s in zip(spans, forest.score(x).tolist(), strict=True)]
+    got = [(r["doc_id"], r["start"], r["length"], r["sha256"], round(r["score"], 6)) for r in secrets.scan(docs).collect()]
+    key = lambda x: (x[0] is None, *(y or 0 for y in x[:3]))
+    assert sorted(got, key=key) == sorted(want, key=key) and len(got) > 100
 
 
 def test_secrets_of_other_forms_are_redacted(spark):
