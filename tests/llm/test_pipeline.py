@@ -64,3 +64,22 @@ def test_run_against_plain_python(spark):
         got[-1][1].extend(r["ids"])
     assert Counter((i, tuple(x)) for i, x in got) == tokens
     assert len(want) > len(kept) > 0 and 0 < len(good) < docs.count()
+
+
+def test_odd_tables(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated ids and rows, columns that no stage knows, and no rows at all; without labels all rows pass the first stage."""
+    rows = [(1, "some words of a text", "en", "s", 20, "a"), (1, "some words of a text", "en", "s", 20, "b"), (None, "x", "en", "s", 1, "c"), (2, None, None, None, None, None), (3, "", "en", "t", 0, "d"), (4, "w " * 20000, "de", None, 40000, "e"), (5, "another text", "en", "t", 12, "f"), (6, " \n", "en", "t", 2, "g")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `__turn` string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for at, docs in (("odd", odd), ("none", odd.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{at}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{at}/labels.parquet")
+    kept = odd
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, f"{tmp_path}/odd").cache()
+        assert kept.columns == odd.columns
+        assert {r["doc_id"] for r in kept.collect()} <= {1, 2, 3, 4, 5, 6}
+    assert {2, 3, 6} <= {r["doc_id"] for r in kept.collect()}
+    pieces = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert sorted(r["doc_id"] for r in pieces if r["ids"] == [packing.END] and not r["start"]) == [2, 3, 6]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
