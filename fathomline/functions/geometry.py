@@ -1,6 +1,6 @@
 """Coordinates and distances on spheres and ellipsoids, as Column expressions. Angles are in degrees."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import let, number
@@ -108,3 +108,45 @@ def degrees_of(text) -> Column:
     part = lambda i: F.regexp_extract(text, r"(\d+)d\s*(\d+)'\s*([\d.]+)\"\s*([NSEW])", i)
     value = part(1).try_cast("double") + part(2).try_cast("double") / 60 + part(3).try_cast("double") / 3600
     return F.when(part(4).isin("W", "S"), -value).otherwise(value)
+
+
+def box_around(lon, lat, r_circle: float, r_sphere: float) -> Column:
+    """Struct west, east, south, north of the box around a circle on a sphere: latitudes by the angle, longitudes by the sine theorem; all longitudes where a pole lies inside."""
+    a, lon, lat = r_circle / r_sphere, number(lon), number(lat)
+    south, north = lat - F.degrees(F.lit(a)), lat + F.degrees(F.lit(a))
+    polar = (north >= 90) | (south <= -90) | F.lit(a >= 1.5707963267948966)
+    span = F.degrees(F.asin(F.sin(F.lit(a)) / F.sin(F.radians(90 - F.abs(lat)))))
+    return F.struct(F.when(polar, 0.0).otherwise(lon - span).alias("west"), F.when(polar, 360.0).otherwise(lon + span).alias("east"), F.greatest(south, F.lit(-90.0)).alias("south"), F.least(north, F.lit(90.0)).alias("north"))
+
+
+def to_line_sample(lat, lon, height, top: float, left: float, per_degree: float) -> tuple[Column, Column, Column]:
+    """Line, sample and height on a raster whose rows and columns are equal parts of a degree: top and left are the latitude and longitude of its first cell's middle."""
+    return (top - number(lat)) * per_degree, (number(lon) - left) * per_degree, number(height)
+
+
+def from_line_sample(line, sample, height, top: float, left: float, per_degree: float) -> tuple[Column, Column, Column]:
+    """Latitude, longitude and height."""
+    return top - number(line) / per_degree, left + number(sample) / per_degree, number(height)
+
+
+def line_sample_to_cartesian(line, sample, height, top: float, left: float, per_degree: float, **ellipsoid) -> tuple[Column, Column, Column]:
+    return to_cartesian(*from_line_sample(line, sample, height, top, left, per_degree), **ellipsoid)
+
+
+def cartesian_to_line_sample(x, y, z, top: float, left: float, per_degree: float, **ellipsoid) -> tuple[Column, Column, Column]:
+    return to_line_sample(*to_spherical(x, y, z, **ellipsoid), top, left, per_degree)
+
+
+def quaternion(rows: tuple) -> tuple[Column, Column, Column, Column]:
+    """(w, i, j, k) of a rotation matrix that may be stretched: norm is the cube root of its determinant. Null for a singular one."""
+    (a, b, c), (d, e, f), (g, h, i) = ([number(x) for x in row] for row in rows)
+    det = a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
+    size = F.when(det != 0, F.sign(det) * F.pow(F.abs(det), 1 / 3))
+    half = lambda p, q, r: size / 2 * F.sqrt(F.greatest(1 + (p * a + q * e + r * i) / size, F.lit(0.0)))
+    signed = lambda x, y: F.sign((x - y) / size)
+    return half(1, 1, 1), signed(h, f) * half(1, -1, -1), signed(c, g) * half(-1, 1, -1), signed(d, b) * half(-1, -1, 1)
+
+
+def change_of_radius(df: DataFrame, key: str, radius: str, out: str) -> DataFrame:
+    """df with out, the radius above the least of its product."""
+    return df.join(df.groupBy(key).agg(F.min(radius).alias("least_")), key).withColumn(out, F.col(radius) - F.col("least_")).drop("least_")

@@ -1,5 +1,7 @@
 """Scalar signal arithmetic: peaks, gains, complex numbers as pairs, code tables."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,3 +101,31 @@ def presum_of(code) -> Column:
 def pri_of(code, unknown: float | None = None) -> Column:
     code = F.col(code) if isinstance(code, str) else code
     return F.coalesce(F.element_at(F.create_map(*(F.lit(y) for x in PRI_US.items() for y in x)), code), F.lit(unknown).cast("double"))
+
+
+#: Speed of light, and what precedes the receive window besides the pulse repetition interval.
+LIGHT, BEFORE_WINDOW_S = 299792458.0, 11.98e-6
+
+
+def window_opening(samples, code, climb_km=0.0, sample_s: float = 0.0375e-6) -> Column:
+    """Seconds from pulse to the receive window of `samples` before its opening, as seen from the lowest radius of the track. An unknown interval code adds nothing."""
+    return number(samples) * sample_s + pri_of(code, 0.0) / 1e6 - BEFORE_WINDOW_S - 2000 * number(climb_km) / LIGHT
+
+
+def distance_to_window(samples, code, climb_m=0.0, sample_s: float = 0.0375e-6) -> Column:
+    """One-way metres from the lowest radius of the track to the first sample."""
+    return (number(samples) * sample_s + pri_of(code, 0.0) / 1e6 - BEFORE_WINDOW_S) * LIGHT / 2 - number(climb_m)
+
+
+def channel_specs(text: str) -> list[tuple[int, int, float, int, float]]:
+    """Rows chanout, chan0in, scalef0, chan1in, scalef1 of a number (that channel as it is) or of a list such as [1,1,0.5,2,0.5; 2,3,1,0,0]."""
+    text = re.sub(r"[\\\s\[\]]", "", str(text)).rstrip(";")
+    if re.fullmatch(r"[+-]?\d+", text):
+        return [(int(text), int(text), 1.0, 0, 0.0)]
+    out = []
+    for line in text.split(";"):
+        parts = line.split(",")
+        if len(parts) != 5:
+            raise ValueError(f"{line!r} has {len(parts)} values, not 5")
+        out.append((int(parts[0]), int(parts[1]), float(parts[2]), int(parts[3]), float(parts[4])))
+    return out

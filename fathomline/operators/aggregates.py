@@ -62,3 +62,26 @@ def strongest(df: DataFrame, keys: list[str], power: str, tie: str, share: float
     n = df.groupBy(*keys).agg(F.rint(F.count("*") * share).alias("keep_"))
     by = Window.partitionBy(*keys).orderBy(F.col(power).desc(), tie)
     return df.withColumn("rank", F.row_number().over(by)).join(n, keys).where(F.col("rank") <= F.col("keep_")).drop("keep_")
+
+
+def paired_stacks(stacks: DataFrame, specs: DataFrame, block: str, samples: str, depth: int) -> DataFrame:
+    """chanout, block, samples: weighted sums of two channels' stacks, over the depth. stacks: block, channel, samples. specs: chanout, chan0in, scalef0, chan1in, scalef1, few rows; a channel of 0 takes no part. A block that lacks a channel asked for goes."""
+    each = specs.select("chanout", F.explode(F.filter(F.array(*(F.struct(F.col(f"chan{i}in").alias("channel"), F.col(f"scalef{i}").cast("double").alias("scale")) for i in (0, 1))), lambda x: x["channel"] > 0)).alias("s"), ((F.col("chan0in") > 0).cast("int") + (F.col("chan1in") > 0).cast("int")).alias("want_")).select("chanout", "s.*", "want_")
+    rows = stacks.join(F.broadcast(each), "channel")  # a row for each input of a configuration written by hand
+    scaled = rows.withColumn("x_", F.transform(samples, lambda x: x * F.col("scale") / depth))
+    out = scaled.groupBy("chanout", block, "want_").agg(F.count("*").alias("n_"), F.min_by("x_", "channel").alias("a_"), F.max_by("x_", "channel").alias("b_")).where(F.col("n_") == F.col("want_"))
+    return out.select("chanout", block, F.when(F.col("n_") == 1, F.col("a_")).otherwise(F.zip_with("a_", "b_", lambda p, q: p + q)).alias(samples))
+
+
+def incoherent_stack(df: DataFrame, keys: list[str], order: str, re: str, im: str, depth: int) -> DataFrame:
+    """keys, block, k, magnitude (the mean) and phase (of the trace in the middle, the later of two) of whole blocks of `depth` traces. df: a row for each sample, k its place."""
+    middle = F.col(order) % depth == int(depth / 2 + 0.5) - 1 if depth > 1 else F.lit(True)
+    rows = df.groupBy(*keys, F.floor(F.col(order) / depth).alias("block"), "k").agg(F.count("*").alias("n_"), F.avg(F.hypot(re, im)).alias("magnitude"), F.max(F.when(middle, F.atan2(im, re))).alias("phase"))
+    return rows.where(F.col("n_") == depth).drop("n_")
+
+
+def shift_differences(df: DataFrame, name: str, baseline: str, keys: list[str], shift: str) -> DataFrame:
+    """name and the median of |shift - baseline's shift| over rows with equal keys, for all names but the baseline."""
+    base = df.where(F.col(name) == baseline).select(*keys, F.col(shift).alias("base_"))
+    rows = df.where(F.col(name) != baseline).join(base, keys)
+    return rows.groupBy(name).agg(F.percentile(F.abs(F.col(shift) - F.col("base_")), F.lit(0.5)).alias("difference"))

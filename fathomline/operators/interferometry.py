@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import number, traces
+from ..functions import number, signal, traces
+from .aggregates import coherence, fresnel_stack
 from .kernels import delayed, upsampled
 from .windows import CHUNK
 
@@ -68,6 +69,41 @@ def phase_density(phase, centre, correlation: float, looks: float, terms: int =
     return (even + odd) * F.pow(1 - z, F.lit(-n - 0.5))
 
 
+def power_image(df: DataFrame, key: str, order: str, a: tuple[str, str], b: tuple[str, str], width: int, mode: str = "averaged") -> DataFrame:
+    """key, stack, k, power: magnitude in dB of a conj(b), summed or averaged over stacks of traces `width` apart (made odd; the last of an odd width's traces is left out). a and b: columns of magnitudes (dB) and phases, arrays of samples. 'averaged' divides the sum by the width."""
+    width = max(1, width - 1 + width % 2)
+    rows = df.select(key, order, F.posexplode(F.zip_with(a[0], b[0], lambda x, y: x.cast("double") + y)).alias("k", "x_"))  # magnitudes multiply, phases only turn
+    if width == 1:
+        return rows.select(key, F.col(order).alias("stack"), "k", F.col("x_").alias("power"))
+    out = fresnel_stack(rows, [key, "k"], order, "x_", width)
+    return out.select(key, "stack", "k", (F.col("total") / width if mode == "averaged" else F.col("total")).alias("power"))
+
+
+def pixel_coherence(cells: DataFrame, key: str, order: str, re: str, im: str, reach: int) -> DataFrame:
+    """key, k, lag, coherence of each row of samples with itself rolled by 0 to reach traces. cells: key, order (from 0 without gaps), k, re, im."""
+    n = cells.groupBy(key, "k").agg(F.count("*").alias("n_"))
+    rolled = cells.join(n, [key, "k"]).select(key, "k", F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("lag"), "n_", order, F.col(re).alias("re2_"), F.col(im).alias("im2_"))
+    rolled = rolled.withColumn(order, F.pmod(F.col(order) + F.col("lag"), F.col("n_"))).drop("n_")
+    return coherence(cells.select(key, "k", order, re, im).join(rolled, [key, "k", order]), [key, "k", "lag"], re, im, "re2_", "im2_").drop("phase")
+
+
+def feature(image: DataFrame, mask: DataFrame, keys: list[str], picked: str) -> DataFrame:
+    """Cells of an image at which a mask with the same keys is 1."""
+    return image.join(mask.where(F.col(picked) == 1).select(*keys).distinct(), keys, "left_semi")
+
+
+def picked_length(mask: DataFrame, key: str, order: str, picked: str) -> DataFrame:
+    """key and the number of traces with a cell of 1."""
+    return mask.where(F.col(picked) == 1).groupBy(key).agg(F.countDistinct(order).alias("length"))
+
+
+def phase_differences(df: DataFrame, name: str, keys: list[str], phase: str, baseline: str | None = None) -> DataFrame:
+    """first, second, keys and the wrapped difference (second less first) of interferograms by name: all pairs in order of name, or all others against a baseline. Names are few."""
+    one, two = (df.select(F.col(name).alias(n), *keys, number(phase).alias(f"{n}_p")) for n in ("first", "second"))
+    pairs = F.col("first") < F.col("second") if baseline is None else (F.col("first") == baseline) & (F.col("second") != baseline)
+    return one.join(two, keys).where(pairs).select("first", "second", *keys, signal.wrap_phase(F.col("second_p") - F.col("first_p")).alias("difference"))
+
+
 def _offset(a: np.ndarray, b: np.ndarray, factor: int, reach: int, zero_mean: bool, subsample: bool) -> tuple[float, float]:
     """Shift of b, in finer samples, that fits a best within reach, and the peak of their correlation over its mean."""
     a, b = upsampled(a[None], factor)[0], upsampled(b[None], factor)[0]

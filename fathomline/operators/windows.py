@@ -118,3 +118,30 @@ def resampled(df: DataFrame, key: str, order: str, distance: str, step: float, v
     mixed = [(F.col(c) + share * (F.col(f"next_.{c}") - F.col(c))).alias(c) for c in values]
     mixed += [F.zip_with(c, f"next_.{c}", lambda p, q: p + share * (q - p)).alias(c) for c in arrays]
     return rows.select(key, "line", (F.col("line") * step).alias(distance), *mixed)
+
+
+def skipped(df: DataFrame, key: str, order: str, first: int, last: int) -> DataFrame:
+    """Without the first and last traces of each product."""
+    ends = df.groupBy(key).agg(F.min(order).alias("lo_"), F.max(order).alias("hi_"))
+    return df.join(ends, key).where((F.col(order) >= F.col("lo_") + first) & (F.col(order) <= F.col("hi_") - last)).drop("lo_", "hi_")
+
+
+def region(df: DataFrame, order: str, start: int, stop: int, most: int | None = None) -> DataFrame:
+    """Rows from start to before stop, the first `most` of them; 0 or None is no bound."""
+    return df.where((F.col(order) >= start) & (F.col(order) < (min(stop, start + most) if most else stop)))
+
+
+def padded(df: DataFrame, key: str, order: str, samples: str, before: int, after: int, mode: str = "edge") -> DataFrame:
+    """key, order (from 0 again), samples: each product with traces added at its ends, copies of the end ones or zeros."""
+    if mode not in ("edge", "zeros"):
+        raise ValueError(f"no such mode: {mode}")
+    rows = df.select(key, order, samples)
+    ends = rows.groupBy(key).agg(F.min(order).alias("lo_"), F.max(order).alias("hi_"), F.min_by(samples, order).alias("first_"), F.max_by(samples, order).alias("last_"))
+    edge = lambda c: F.col(c) if mode == "edge" else F.transform(c, lambda x: x * 0)
+    added = []
+    for n, trace, at in ((before, "first_", lambda i: F.col("lo_") - i), (after, "last_", lambda i: F.col("hi_") + i)):
+        if n > 0:
+            added.append(ends.withColumn("i_", F.explode(F.sequence(F.lit(1), F.lit(n)))).select(key, at(F.col("i_")).alias(order), edge(trace).alias(samples)))
+    for more in added:
+        rows = rows.unionByName(more)
+    return rows.join(ends.select(key, "lo_"), key).withColumn(order, F.col(order) - F.col("lo_") + before).drop("lo_")

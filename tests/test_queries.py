@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from fathomline import queries
+from fathomline import queries, queries_echoes, queries_products  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
