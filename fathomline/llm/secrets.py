@@ -284,8 +284,15 @@ FINDING = "kind string, features array<float>, label int"
 
 
 def planted(docs: DataFrame, words: Dictionary, sample: int = SAMPLE, seed: int = 1) -> DataFrame:
-    """docs: text, path. Labelled findings (kind, features, label 1 or 0), `sample` at most: EACH of the documents with the least hashes get a secret or a look-alike in an excerpt of theirs, half of either."""
-    few = docs.where("text IS NOT NULL").orderBy(F.xxhash64(F.lit(seed), "text"), "text").limit(sample // EACH)
+    """docs: text, path. Labelled findings (kind, features, label 1 or 0), `sample` at most: documents with the least hashes get EACH secrets or look-alikes in an excerpt of theirs, half of either.
+
+    Only documents below a bound on the hash are sorted, about twice as many as it takes.
+    """
+    docs, many = docs.where("text IS NOT NULL").withColumn("h", F.xxhash64(F.lit(seed), "text")), sample // EACH
+    share = 2 * many / max(1, docs.count())
+    if share < 1:
+        docs = docs.where(F.col("h").bitwiseAND((1 << 62) - 1) < int(share * (1 << 62)))
+    few = docs.orderBy(F.col("h").bitwiseAND((1 << 62) - 1), "text").limit(many).select("text", "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
