@@ -102,7 +102,13 @@ def fixed_row_chunks(spark, sf_dir):
     return windows.fixed_chunks(track(spark, sf_dir), "user_id", "i", 16, 5).select("user_id", "event_id", F.col("chunk").cast("long").alias("chunk"))
 
 
-@query()
+@query(
+    TRACK.replace("WITH track", "WITH RECURSIVE track")
+    + """, gone AS (SELECT user_id, i, sum(abs(round(value, 3))) OVER (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS km, max(i) OVER (PARTITION BY user_id) AS last FROM track),
+walk AS (SELECT user_id, i, km, last, km AS start, 0 AS chunk FROM gone WHERE i = 0 UNION ALL SELECT g.user_id, g.i, g.km, g.last, CASE WHEN g.km > w.start + 300 THEN g.km ELSE w.start END, w.chunk + (g.km > w.start + 300)::INT FROM walk w JOIN gone g ON g.user_id = w.user_id AND g.i = w.i + 1),
+ends AS (SELECT user_id, chunk AS most, chunk > 0 AND km - start < 150 AS short FROM walk WHERE i = last)
+SELECT user_id, least(chunk, most - short::INT) AS chunk, count(*) AS n, min(i) AS first_row, max(i) AS last_row FROM walk JOIN ends USING (user_id) GROUP BY ALL"""
+)
 def greedy_distance_chunks(spark, sf_dir):
     gone = windows.prefix_sum(track(spark, sf_dir).withColumn("step", F.abs(F.round("value", 3))), "user_id", "i", "step", "km")
     return windows.distance_chunks(gone, "user_id", "i", "km", 300.0).groupBy("user_id", "chunk").agg(F.count("*").alias("n"), F.min("i").alias("first_row"), F.max("i").alias("last_row"))
@@ -327,6 +333,19 @@ def product_names(spark, sf_dir):
     return o.select("o_orderkey", product.alias("product"), F.substring(product, 3, 7).alias("orbit"))
 
 
+#: The chirp's spectrum over 64 samples; the window of its band; the two as a filter in time.
+CHIRP = """, chirp AS (SELECT 63 - j AS j, -sin(a) AS re, cos(a) AS im FROM (SELECT j, 2 * pi() * (15e6 * j * 0.0375e-6 + 1e7 / 85.05e-6 / 2 * pow(j * 0.0375e-6, 2)) AS a FROM unnest(range(64)) t(j))),
+spectrum AS (SELECT k, sum(re * cos(w) + im * sin(w)) AS re, sum(im * cos(w) - re * sin(w)) AS im FROM (SELECT k, re, im, 2 * pi() * (j * k % 64) / 64 AS w FROM chirp, unnest(range(64)) t(k)) GROUP BY k) """
+FILTER = """, filter AS (SELECT d, sum(b * (re * cos(w) + im * sin(w))) / 64 AS re, sum(b * (re * sin(w) - im * cos(w))) / 64 AS im FROM (SELECT k, d, re, im, 2 * pi() * (k * d % 64) / 64 AS w, CASE WHEN 63 - k BETWEEN 36 AND 60 THEN sin(pi() * (63 - k - 36) / 24) ELSE 0 END AS b FROM spectrum, unnest(range(64)) t(d)) GROUP BY d) """
+
+
+@query(GRAM + CHIRP + FILTER + ", out AS (SELECT product, trace, n, round(1000 * sum(x * re)) AS re, round(1000 * sum(x * im)) AS im FROM cells, unnest(range(64)) t(n), filter WHERE d = (n - k + 64) % 64 GROUP BY ALL) SELECT product, trace, max(re) AS re_peak, max(im) AS im_peak, 0.0::DOUBLE AS tec FROM out GROUP BY ALL")
+def night_range_compression(spark, sf_dir):
+    rows = windows.fixed_chunks(radargram(spark, sf_dir), "product", "trace", 512).withColumn("sza", F.lit(120.0)).withColumn("samples", F.transform("samples", lambda x: x * 1000))
+    out = kernels.range_compress(rows, "product", "chunk", "trace", "samples", "sza")
+    return out.select("product", "trace", (F.array_max("re") + 0.0).alias("re_peak"), (F.array_max("im") + 0.0).alias("im_peak"), "tec")
+
+
 @query()
 def range_compression(spark, sf_dir):
     rows = windows.fixed_chunks(radargram(spark, sf_dir), "product", "trace", 512).withColumn("sza", 80.0 + F.pmod(F.hash("product", "chunk"), F.lit(5)) * 10).withColumn("samples", F.transform("samples", lambda x: x * 1000))
@@ -334,7 +353,7 @@ def range_compression(spark, sf_dir):
     return out.select("product", "trace", F.array_max("re").alias("re_peak"), F.array_max("im").alias("im_peak"), "tec")
 
 
-@query()
+@query(GRAM + ", kernel AS (SELECT o, d, (1 + 2 * sum(cos(2 * pi() * f * (d - o / 7.0::DOUBLE) / 64))) / 64 AS w FROM unnest(range(7)) a(o), unnest(range(64)) b(d), unnest(range(1, 32)) c(f) GROUP BY o, d), out AS (SELECT product, trace, n, sum(x * w) AS re FROM cells, unnest(range(64)) t(n), kernel WHERE d = (n - k + 64) % 64 AND o = trace % 7 GROUP BY ALL) SELECT product, trace, round(sum(re), 6) + 0.0 AS total, round(max(re), 6) + 0.0 AS peak FROM out GROUP BY ALL")
 def fractional_shifts(spark, sf_dir):
     rows = radargram(spark, sf_dir).withColumn("offset", F.col("trace") % 7 / 7.0)
     return kernels.shift(rows, ["product", "trace"], "samples", "offset").select("product", "trace", r6(traces.total("re")).alias("total"), r6(F.array_max("re")).alias("peak"))
@@ -346,7 +365,14 @@ def beta5_retracking(spark, sf_dir):
     return kernels.retrack(rows, ["product", "trace"], "power", "first").withColumns({"delta": F.round("delta", 3), "snr": F.round("snr", 3)})
 
 
-@query()
+#: Apertures of 1000 m, 200 m apart, over traces 50 m apart; what a trace so many places from the middle is turned by.
+APERTURES = """, ends AS (SELECT product, max(trace) AS last FROM gram GROUP BY product),
+members AS (SELECT product, posting, trace, trace - greatest(0, least(last, 4 * posting)) AS off FROM gram JOIN ends USING (product), unnest(range(-5, 200)) t(posting) WHERE posting >= ceil((trace * 50.0 - 500) / 200) AND posting <= floor((trace * 50.0 + 500) / 200)),
+weighed AS (SELECT *, CASE WHEN m = 1 THEN 1 ELSE 0.5 - 0.5 * cos(2 * pi() * r / nullif(m - 1, 0)) END AS weight FROM (SELECT *, count(*) OVER (PARTITION BY product, posting) AS m, row_number() OVER (PARTITION BY product, posting ORDER BY trace) - 1 AS r FROM members)),
+turns AS (SELECT off, d, (sum(cos(a)) * cos(p) + sum(sin(a)) * sin(p)) / 64 AS re, (sum(sin(a)) * cos(p) - sum(cos(a)) * sin(p)) / 64 AS im FROM (SELECT off, d, 4 * pi() * 25e6::DOUBLE / 299792458 * away AS p, 2 * pi() * f * (d + 2 * away / 299792458 / 0.0375e-6::DOUBLE) / 64 AS a FROM (SELECT off, sqrt(9e10::DOUBLE + pow(off / 70.0::DOUBLE * 3400, 2)) - 3e5 AS away FROM unnest(range(-40, 41)) t(off)), unnest(range(64)) u(d), unnest(range(-32, 32)) v(f)) GROUP BY off, d, p) """
+
+
+@query(GRAM + APERTURES + ", out AS (SELECT product, posting, any_value(m) AS traces, n, sum(weight * x * re) AS re, sum(weight * x * im) AS im FROM weighed JOIN cells USING (product, trace), unnest(range(64)) t(n), turns WHERE turns.off = weighed.off AND d = (n - k + 64) % 64 GROUP BY product, posting, n) SELECT product, posting, any_value(traces) AS traces, round(max(sqrt(re * re + im * im)), 6) + 0.0 AS peak FROM out GROUP BY product, posting")
 def delay_doppler_focus(spark, sf_dir):
     rows = radargram(spark, sf_dir).withColumns({"along": F.col("trace") * 50.0, "t": F.col("trace") / 70.0, "r": F.lit(3.0e5), "v": F.lit(3400.0), "delay": F.lit(0.0)})
     return kernels.focus(rows, "product", "trace", "samples", "along", "t", "r", "v", "delay", 200.0, 1000.0).select("product", "posting", "traces", r6(F.array_max("sar")).alias("peak"))
@@ -400,7 +426,19 @@ def quaternion_rotation(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", *[r6(c).alias(n) for n, c in zip("xyz", turned, strict=True)])
 
 
-@query()
+def vincenty(rounds: int) -> str:
+    """The inverse iteration, a subquery for each round; a and b are the half-axes, f the flattening."""
+    state = "l, sqrt(pow(c2 * sin(l), 2) + pow(c1 * s2 - s1 * c2 * cos(l), 2)) AS sn, s1 * s2 + c1 * c2 * cos(l) AS cs"
+    sql = f"SELECT *, {state} FROM (SELECT *, span AS l FROM (SELECT *, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2, radians(lon - lon0) AS span FROM (SELECT *, atan((1 - f) * tan(radians(lat0))) AS u1, atan((1 - f) * tan(radians(lat))) AS u2 FROM placed)))"
+    angles = "SELECT *, atan2(sn, cs) AS sigma, 1 - z * z AS sq, cs - coalesce(2 * s1 * s2 / nullif(1 - z * z, 0), 0) AS mid FROM (SELECT *, coalesce(c1 * c2 * sin(l) / nullif(sn, 0), 0) AS z FROM ({}))"
+    for _ in range(rounds):
+        turned = f"SELECT user_id, a, b, f, s1, c1, s2, c2, span, span + (1 - c) * f * z * (sigma + c * sn * (mid + c * cs * (2 * mid * mid - 1))) AS l FROM (SELECT *, f / 16 * sq * (4 + f * (4 - 3 * sq)) AS c FROM ({angles.format(sql)}))"
+        sql = f"SELECT *, {state.removeprefix('l, ')} FROM ({turned})"
+    bent = f"SELECT *, 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768)) AS big, u / 1024 * (256 + u * (u * (74 - 47 * u) - 128)) AS small FROM (SELECT *, sq * (a * a - b * b) / (b * b) AS u FROM ({angles.format(sql)}))"
+    return f"SELECT user_id, b * big * (sigma - small * sn * (mid + small / 4 * (cs * (2 * mid * mid - 1) - small / 6 * mid * (4 * sn * sn - 3) * (4 * mid * mid - 3)))) AS m FROM ({bent})"
+
+
+@query(TRACK + ", spots AS (SELECT user_id, i, (event_id * 7 % 120 - 60)::DOUBLE AS lat, (event_id * 13 % 90)::DOUBLE AS lon FROM track), placed AS (SELECT *, 1 - b / a AS f FROM (SELECT user_id, lat, lon, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0, 3396190.0::DOUBLE AS a, 3376200.0::DOUBLE AS b FROM spots WINDOW w AS (PARTITION BY user_id ORDER BY i)) WHERE lat0 IS NOT NULL) SELECT user_id, round(sum(m) / 1000, 3) AS km FROM (" + vincenty(8) + ") GROUP BY user_id")
 def groundtrack_lengths(spark, sf_dir):
     before = Window.partitionBy("user_id").orderBy("i")
     rows = track(spark, sf_dir).withColumns({"lat": F.pmod(F.col("event_id") * 7, F.lit(120)) - 60.0, "lon": F.pmod(F.col("event_id") * 13, F.lit(90)) + 0.0})
@@ -452,6 +490,16 @@ def off_nadir_phases(spark, sf_dir):
     return o.select("o_orderkey", (F.round(interferometry.off_nadir_phase("s", "f", "r", 5.0, 2.5), 5) + 0.0).alias("phase"))
 
 
+@query(GRAM + "SELECT product, trace, (trace % 9 - 4)::DOUBLE AS shift FROM gram")
+def planted_shifts(spark, sf_dir):
+    """Pulses amid zeros against themselves, rolled by as many samples as the trace's number says."""
+    back = (F.col("trace") % 9 - 4).cast("int")
+    pulse = F.concat(F.array_repeat(F.lit(0.0), 28), F.slice("samples", 1, 8), F.array_repeat(F.lit(0.0), 28))
+    rows = radargram(spark, sf_dir).select("product", "trace", pulse.alias("ar"), F.array_repeat(F.lit(0.0), 64).alias("ai")).withColumns({"br": traces.roll("ar", -back), "bi": F.col("ai")})
+    out = interferometry.coregister(rows, "product", "trace", ("ar", "ai"), ("br", "bi"), factor=4, reach=24)
+    return out.select("product", "trace", F.round("shift", 3).alias("shift"))
+
+
 @query()
 def coregistered_traces(spark, sf_dir):
     out = interferometry.coregister(antennas(spark, sf_dir), "product", "trace", ("ar", "ai"), ("br", "bi"), factor=4, reach=16, subsample=True, adaptive=True, most=3)
@@ -482,7 +530,14 @@ def simulated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radargram(spark, sf_dir).select("product", "trace", F.col("samples").alias("a"), F.coalesce(F.lag("samples").over(before), "samples").alias("b"))
 
 
-@query()
+@query(
+    RANGED.replace("greatest(max(list_max(a)) - 0.4, min(list_min(a))) AS fa", "greatest(max(list_max(a)) - setting, min(list_min(a))) AS fa, setting").replace("FROM pairs GROUP BY product)", "FROM pairs, unnest([0.2, 0.4]::DOUBLE[]) AS u(setting) GROUP BY product, setting)").replace("SELECT product, trace, last, k,", "SELECT product, setting, trace, last, k,").replace("PARTITION BY product, k", "PARTITION BY product, setting, k").replace("SELECT p.product, lag_", "SELECT p.product, p.setting, lag_").replace("ON q.product = p.product", "ON q.product = p.product AND q.setting = p.setting")
+    + """, curves AS (SELECT product, setting, list(-residual ORDER BY lag) AS y FROM r GROUP BY product, setting), tops AS (SELECT *, list_position(y, list_max(y)) - 1 AS i FROM curves),
+fits AS (SELECT *, CASE WHEN i BETWEEN 2 AND 5 THEN (-6 * y[i - 1] + 24 * y[i] + 34 * y[i + 1] + 24 * y[i + 2] - 6 * y[i + 3]) / 70 END AS e, CASE WHEN i BETWEEN 2 AND 5 THEN (-2 * y[i - 1] - y[i] + y[i + 2] + 2 * y[i + 3]) / 10 END AS g, CASE WHEN i BETWEEN 2 AND 5 THEN y[i - 1] + y[i] + y[i + 1] + y[i + 2] + y[i + 3] END AS t FROM tops),
+peaks AS (SELECT *, (t - 5 * e) / 10 AS h FROM fits), places AS (SELECT *, CASE WHEN i BETWEEN 2 AND 5 THEN -g / nullif(2 * h, 0) WHEN i IN (1, 6) THEN (y[i + 2] - y[i]) / nullif(2 * (2 * y[i + 1] - y[i + 2] - y[i]), 0) ELSE 0 END AS p FROM peaks),
+heights AS (SELECT product, setting, i - 4 + coalesce(p, 0) AS delta, -CASE WHEN i BETWEEN 2 AND 5 THEN e + g * p + h * p * p WHEN i IN (1, 6) THEN y[i + 1] - 0.25 * (y[i] - y[i + 2]) * p ELSE y[i + 1] END AS residual FROM places)
+SELECT product, (x).setting AS setting, round((x).delta, 4) AS delta, round((x).delta * 0.0375e-6::DOUBLE * 299792458 / 2, 4) AS dz, round((x).residual, 4) AS residual FROM (SELECT product, min({'residual': residual, 'setting': setting, 'delta': delta}) AS x FROM heights GROUP BY product)"""
+)
 def clutter_ranging(spark, sf_dir):
     out = ranging.best_setting(simulated(spark, sf_dir), "product", "trace", "a", "b", [0.2, 0.4], 0.5, 3, 4)
     return out.select("product", "setting", *(F.round(c, 4).alias(c) for c in ("delta", "dz", "residual")))
@@ -536,14 +591,40 @@ def matched_filter_focus(spark, sf_dir):
     return out.select("product", "posting", "traces", r6(F.array_max("sar")).alias("peak"))
 
 
-@query()
+@query(
+    GRAM
+    + """, fine AS (SELECT product, line, k, a.re + line % 2 / 2.0::DOUBLE * (b.re - a.re) AS re, a.im + line % 2 / 2.0::DOUBLE * (b.im - a.im) AS im FROM (SELECT product, trace, unnest([2 * trace, 2 * trace + 1]) AS line, k, samples[k + 1] AS re, samples[k + 33] AS im FROM gram, unnest(range(32)) t(k)) a JOIN (SELECT product, trace - 1 AS trace, k, samples[k + 1] AS re, samples[k + 33] AS im FROM gram, unnest(range(32)) t(k)) b USING (product, trace, k)),
+wide AS (SELECT product, max(line) AS last FROM fine GROUP BY product),
+members AS (SELECT product, posting, j, 8 * posting + j - 20 AS line FROM wide, unnest(range(200)) t(posting), unnest(range(41)) u(j) WHERE 8 * posting - 20 >= 0 AND 8 * posting + 20 <= last),
+ways AS (SELECT *, sqrt(r * r + 3.39e6::DOUBLE * 3.39e6 - 2 * r * 3.39e6 * (cos(p) * cos(q) + sin(p) * sin(q))) AS way FROM (SELECT *, 3.69e6::DOUBLE + line / 2.0::DOUBLE AS r, radians(line * 25 / 59160.0::DOUBLE) AS p, radians(posting * 200 / 59160.0::DOUBLE) AS q FROM members)),
+bins AS (SELECT product, posting, arg_min(f, (abs(CASE WHEN f <= 20 THEN f ELSE f - 41 END * 175 / 41.0::DOUBLE - shift), f)) AS bin FROM (SELECT product, posting, -2 * 25e6::DOUBLE / 299792458 * (max(way) FILTER (j = 22) - max(way) FILTER (j = 21)) * 175 AS shift FROM ways GROUP BY product, posting), unnest(range(41)) t(f) GROUP BY product, posting),
+away AS (SELECT w.product, posting, j, line, way - max(way) FILTER (j = 21) OVER (PARTITION BY w.product, posting) AS away, (41 - bin) % 41 AS bin FROM ways w JOIN bins USING (product, posting)),
+turns AS (SELECT product, posting, line, d, any_value(2 * pi() * (j * bin % 41) / 41 + 4 * pi() * 25e6::DOUBLE / 299792458 * away) AS p, any_value(0.5 - 0.5 * cos(2 * pi() * ((bin + 20) % 41) / 40)) AS h, sum(cos(2 * pi() * f * (d + 2 * away / 299792458 / 0.0375e-6::DOUBLE) / 32)) / 32 AS re, sum(sin(2 * pi() * f * (d + 2 * away / 299792458 / 0.0375e-6::DOUBLE) / 32)) / 32 AS im FROM away, unnest(range(32)) t(d), unnest(range(-16, 16)) u(f) GROUP BY product, posting, line, d),
+kernel AS (SELECT product, posting, line, d, h * (re * cos(p) + im * sin(p)) / sqrt(41) AS re, h * (im * cos(p) - re * sin(p)) / sqrt(41) AS im FROM turns),
+out AS (SELECT product, posting, n, sum(x.re * t.re - x.im * t.im) AS re, sum(x.re * t.im + x.im * t.re) AS im FROM kernel t JOIN fine x USING (product, line), unnest(range(32)) u(n) WHERE t.d = (n - x.k + 32) % 32 GROUP BY product, posting, n)
+SELECT product, posting, 41 AS traces, round(max(re), 6) + 0.0 AS re, round(max(im), 6) + 0.0 AS im FROM out GROUP BY product, posting"""
+)
 def spherical_delay_doppler(spark, sf_dir):
     even = windows.resampled(aperture_rows(spark, sf_dir), "product", "trace", "along", 25.0, ["lat", "lon", "radius", "ground"], ["re", "im"])
     out = focusing.delay_doppler(even, "product", "line", "re", "im", "along", "lat", "lon", "radius", "ground", 200.0, 1000.0)
     return out.select("product", "posting", "traces", r6(F.array_max("re")).alias("re"), r6(F.array_max("im")).alias("im"))
 
 
-@query()
+TONES = "(13, 52, 26, 39)"
+
+
+@query(
+    GRAM
+    + CHIRP
+    + f""", peaks AS (SELECT product, trace, list_position(samples, list_max(samples)) - 1 AS top FROM gram), rolled AS (SELECT product, trace, (k - top + 64) % 64 AS n, x FROM cells JOIN peaks USING (product, trace)),
+trend AS (SELECT product, trace, avg(x) AS m, sum(x * (n - 31.5)) / 21840 AS slope FROM rolled GROUP BY ALL), flat AS (SELECT product, trace, n, x - m - slope * (n - 31.5) AS x FROM rolled JOIN trend USING (product, trace)),
+f AS (SELECT product, trace, q, sum(x * cos(2 * pi() * (n * q % 64) / 64)) AS re, -sum(x * sin(2 * pi() * (n * q % 64) / 64)) AS im FROM flat, unnest(range(64)) t(q) GROUP BY ALL),
+near AS (SELECT product, trace, q, sqrt(pow(lag(re) OVER w, 2) + pow(lag(im) OVER w, 2)) AS ma, sqrt(pow(lead(re) OVER w, 2) + pow(lead(im) OVER w, 2)) AS mb, atan2(lag(im) OVER w, lag(re) OVER w) AS pa, atan2(lead(im) OVER w, lead(re) OVER w) AS pb, re, im FROM f WINDOW w AS (PARTITION BY product, trace ORDER BY q)),
+clean AS (SELECT product, trace, q, CASE WHEN q IN {TONES} THEN (ma + mb) / 2 * cos(p) ELSE re END AS re, CASE WHEN q IN {TONES} THEN (ma + mb) / 2 * sin(p) ELSE im END AS im FROM (SELECT *, (CASE WHEN abs(pa - pb) > pi() THEN pa + 2 * pi() ELSE pa END + pb) / 2 AS p FROM near)),
+times AS (SELECT product, trace, q, c.re * s.re - c.im * s.im AS re, c.re * s.im + c.im * s.re AS im FROM clean c JOIN spectrum s ON s.k = q),
+out AS (SELECT product, trace, n, sum(re * cos(2 * pi() * (n * q % 64) / 64) - im * sin(2 * pi() * (n * q % 64) / 64)) / 64 AS re, sum(im * cos(2 * pi() * (n * q % 64) / 64) + re * sin(2 * pi() * (n * q % 64) / 64)) / 64 AS im FROM times, unnest(range(64)) t(n) GROUP BY ALL)
+SELECT product, trace, round(max(re), 6) + 0.0 AS re, round(max(im), 6) + 0.0 AS im FROM out GROUP BY ALL"""
+)
 def dechirped_traces(spark, sf_dir):
     rows = kernels.dechirp(radargram(spark, sf_dir), ["product", "trace"], "samples", kernels.chirp_spectrum(64))
     return rows.select("product", "trace", r6(F.array_max("re")).alias("re"), r6(F.array_max("im")).alias("im"))
