@@ -63,11 +63,19 @@ def first_above(a, limit) -> Column:
 
 def coarse_pick(a, shift, noise_scale: float = 1.0, skip: int = 20, reach: int = 1000, tail: int = 1000) -> Column:
     """First step, from `skip` past the shift on, above a share of the noise that falls from 1.0 by tenths until one is found; null if none is."""
-    d = steps(a)
-    noise = F.sqrt(variance(F.slice(d, F.greatest(F.size(d) - tail + 1, F.lit(1)), tail))) * noise_scale
     low = (F.lit(shift) if isinstance(shift, int) else col(shift)) + skip
-    window = F.slice(d, low + 1, reach)
-    return (F.coalesce(*(first_above(window, noise * (t / 10.0)) for t in range(10, 0, -1))) + low).cast("int")
+
+    def window(d: Column) -> Column:
+        noise = F.sqrt(variance(F.slice(d, F.greatest(F.size(d) - tail + 1, F.lit(1)), tail))) * noise_scale
+        return F.struct(F.slice(d, low + 1, reach).alias("w"), noise.alias("noise"))
+
+    def limited(x: Column) -> Column:
+        """The first share that the largest step is above is the one at which a step is found."""
+        most = F.array_max(x["w"])
+        return F.struct(x["w"].alias("w"), F.coalesce(*(F.when(most > x["noise"] * (t / 10.0), x["noise"] * (t / 10.0)) for t in range(10, 0, -1))).alias("limit"))
+
+    found = let(let(let(steps(a), window), limited), lambda x: first_above(x["w"], x["limit"]))
+    return (found + low).cast("int")
 
 
 def threshold_pick(a, skip: int = 128, noise: int = 128, scale: float = 4.5) -> Column:

@@ -7,13 +7,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import number, signal, traces
 from .aggregates import coherence, fresnel_stack
 from .kernels import delayed, upsampled
-from .windows import CHUNK
+from .windows import CHUNK, neighbours
 
 
 def looks(df: DataFrame, key: str, order: str, a: tuple[str, str], b: tuple[str, str], width: int, smooth: int = 2, roll_phase: str | None = None) -> DataFrame:
@@ -39,10 +39,8 @@ def normalised(phases: DataFrame, surface: DataFrame, key: str) -> DataFrame:
 
     Between looks that have a surface its sample is interpolated and cut to a whole number; outside them the nearest counts. A product without a surface goes.
     """
-    ahead = Window.partitionBy(key).orderBy("look").rowsBetween(Window.unboundedPreceding, 0)
-    behind = Window.partitionBy(key).orderBy("look").rowsBetween(0, Window.unboundedFollowing)
     at = phases.groupBy(key, "look").agg(F.lit(1).alias("one_")).drop("one_").join(surface.select(key, "look", F.struct(number("look").alias("x"), number("k").alias("y")).alias("s_")), [key, "look"], "left")
-    at = at.withColumns({"lo_": F.last("s_", ignorenulls=True).over(ahead), "hi_": F.first("s_", ignorenulls=True).over(behind)})
+    at = neighbours(at, key, "look", "s_", "lo_", "hi_")
     lo, hi = F.coalesce("lo_", "hi_"), F.coalesce("hi_", "lo_")
     place = lo["y"] + F.coalesce(F.try_divide(F.col("look") - lo["x"], hi["x"] - lo["x"]), F.lit(0.0)) * (hi["y"] - lo["y"])
     at = at.select(key, "look", F.floor(place).alias("k"))

@@ -1,8 +1,10 @@
 """Joins by place along track, by range and by nearness. Range conditions become equi-joins on buckets, so that no side is paired with the whole of the other."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .windows import neighbours, united
+
 
 def within(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, reach: float) -> DataFrame:
     """Pairs of rows with equal keys and |left_at - right_at| <= reach."""
@@ -14,13 +16,11 @@ def within(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, rig
 
 def interpolated(points: DataFrame, track: DataFrame, key: str, at: str, t: str, value: str, out: str) -> DataFrame:
     """points with `value` of the track, linear between the track's rows before and after; null outside it."""
-    both = points.select("*", F.lit(None).cast("double").alias("t_"), F.lit(None).cast("double").alias("v_"), F.col(at).cast("double").alias("at_"))
-    both = both.unionByName(track.select(key, F.col(t).cast("double").alias("t_"), F.col(value).cast("double").alias("v_"), F.col(t).cast("double").alias("at_")), allowMissingColumns=True)
-    before = Window.partitionBy(key).orderBy("at_").rangeBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(key).orderBy(F.col("at_").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    both = both.withColumns({k: F.last(c, ignorenulls=True).over(w) for k, c, w in (("t0", "t_", before), ("v0", "v_", before), ("t1", "t_", after), ("v1", "v_", after))})
-    blend = F.col("v0") + F.coalesce(F.try_divide(F.col("at_") - F.col("t0"), F.col("t1") - F.col("t0")), F.lit(0.0)) * (F.col("v1") - F.col("v0"))
-    return both.where("t_ IS NULL").withColumn(out, blend).drop("t_", "v_", "at_", "t0", "v0", "t1", "v1")
+    posts = track.select(key, F.col(t).cast("double").alias("at_"), F.struct(F.col(t).cast("double").alias("t"), F.col(value).cast("double").alias("v")).alias("post_"))
+    both = points.withColumn("at_", F.col(at).cast("double")).withColumn("asks_", F.lit(True))
+    rows = neighbours(united(both, posts, key), key, "at_", "post_", "lo_", "hi_").where("asks_")
+    blend = F.col("lo_.v") + F.coalesce(F.try_divide(F.col("at_") - F.col("lo_.t"), F.col("hi_.t") - F.col("lo_.t")), F.lit(0.0)) * (F.col("hi_.v") - F.col("lo_.v"))
+    return rows.withColumn(out, blend).drop("at_", "asks_", "post_", "lo_", "hi_")
 
 
 def crossovers(df: DataFrame, order: str, value: str, key: str | None = None) -> DataFrame:
@@ -33,14 +33,12 @@ def crossovers(df: DataFrame, order: str, value: str, key: str | None = None) ->
 
 def nearest(points: DataFrame, grid: DataFrame, key: str, at: str, place: str, index: str) -> DataFrame:
     """points with the index of the grid's nearest place, the lowest of equally near ones. The rows before and after are looked at, not the grid."""
-    g = grid.select(key, F.col(place).cast("double").alias("at_"), F.struct(F.col(place).cast("double").alias("p"), F.col(index).alias("i")).alias("g_"))
-    g = g.groupBy(key, "at_").agg(F.min("g_").alias("g_"))
-    both = points.withColumn("at_", F.col(at).cast("double")).withColumn("q_", F.lit(True)).unionByName(g, allowMissingColumns=True)
-    before = Window.partitionBy(key).orderBy("at_").rangeBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(key).orderBy(F.col("at_").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    both = both.withColumns({"lo_": F.last("g_", ignorenulls=True).over(before), "hi_": F.last("g_", ignorenulls=True).over(after)})
+    g = grid.groupBy(key, F.col(place).cast("double").alias("at_")).agg(F.min(index).alias("i_"))
+    g = g.select(key, "at_", F.struct(F.col("at_").alias("p"), F.col("i_").alias("i")).alias("g_"))
+    both = points.withColumn("at_", F.col(at).cast("double")).withColumn("q_", F.lit(True))
+    rows = neighbours(united(both, g, key), key, "at_", "g_", "lo_", "hi_").where("q_")
     choice = lambda g: F.when(F.col(g).isNotNull(), F.struct(F.abs(F.col(f"{g}.p") - F.col("at_")), F.col(f"{g}.i").alias("i")))
-    return both.where("q_").withColumn(index, F.least(choice("lo_"), choice("hi_"))["i"]).drop("at_", "q_", "g_", "lo_", "hi_")
+    return rows.withColumn(index, F.least(choice("lo_"), choice("hi_"))["i"]).drop("at_", "q_", "g_", "lo_", "hi_")
 
 
 def gather(facts: DataFrame, orbits: DataFrame, bad: DataFrame, flags: DataFrame, key: str, order: str, conditions: dict[str, tuple[float, float]]) -> DataFrame:

@@ -20,12 +20,10 @@ def scaled(df: DataFrame, key: str, samples: str, depth_db: float) -> DataFrame:
 
 def smoothed(df: DataFrame, key: str, order: str, samples: str, n: int) -> DataFrame:
     """Each trace the mean of n traces around it; traces without so many on either side go."""
-    before, after = n // 2, n - 1 - n // 2
     last = df.groupBy(key).agg(F.max(order).alias("last_"))
-    rows = windows.sliding(df, key, order, before, after, frame_=F.collect_list(samples)).join(last, key)
-    add = F.aggregate(F.slice("frame_", 2, n), F.get("frame_", F.lit(0)), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
+    rows = windows.trace_sums(df, key, order, samples, n // 2, n - 1 - n // 2).join(last, key)
     inner = (F.col(order) >= n) & (F.col(order) <= F.col("last_") - n)
-    return rows.where(inner).withColumn(samples, F.transform(add, lambda x: x / n)).drop("frame_", "frame_rows", "last_")
+    return rows.where(inner).withColumn(samples, F.transform(samples, lambda x: x / n)).drop("last_")
 
 
 def residuals(df: DataFrame, key: str, simulated: str, measured: str, reach: int) -> DataFrame:
@@ -66,6 +64,6 @@ def best_setting(df: DataFrame, key: str, order: str, simulated: str, measured:
     all_ = None
     for depth in settings:
         one = offset(df, key, order, simulated, measured, depth, depth_measured, average, reach).withColumn("setting", F.lit(float(depth)))
-        all_ = one if all_ is None else all_.unionByName(one)
+        all_ = one if all_ is None else windows.united(all_, one, key)
     pick = all_.groupBy(key).agg(F.min(F.struct("residual", "setting", "delta", "dz")).alias("x"))
     return pick.select(key, "x.setting", "x.delta", "x.dz", "x.residual")

@@ -3,16 +3,26 @@
 A product may be long: sliding sums work on chunks of its index, each with the few rows around it that its windows reach, so that a window never needs a whole product in one task.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = 4096
+#: Traces of a chunk whose samples are summed in one task.
+TRACES = 256
 
 
-def _chunked(df: DataFrame, order: str, before: int, after: int) -> DataFrame:
+def united(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """The rows of both, with nulls for columns that one lacks. Spark 4.1 takes a union of sides that are dealt by one key for dealt by it too, even where adaptive coalescing has cut them differently, and then gives wrong groups; a key that comes from a generator isn't taken so."""
+    return one.unionByName(other.withColumn(key, F.explode(F.array(key))), allowMissingColumns=True)
+
+
+def _chunked(df: DataFrame, order: str, before: int, after: int, size: int | None = None) -> DataFrame:
     """Rows once for each chunk that needs them; own: whether the row is the chunk's."""
-    home = F.floor(F.col(order) / CHUNK)
-    first, last = F.floor((F.col(order) - after) / CHUNK), F.floor((F.col(order) + before) / CHUNK)
+    size = size or CHUNK
+    home = F.floor(F.col(order) / size)
+    first, last = F.floor((F.col(order) - after) / size), F.floor((F.col(order) + before) / size)
     return df.withColumn("chunk_", F.explode(F.sequence(first, last))).withColumn("own_", F.col("chunk_") == home)
 
 
@@ -50,25 +60,71 @@ def prefix_sum(df: DataFrame, key: str, order: str, value: str, out: str) -> Dat
     return rows.join(base, [key, "chunk_"]).withColumn(out, F.col("base_") + F.sum(value).over(own)).drop("base_", "chunk_")
 
 
+def trace_sums(df: DataFrame, key: str, order: str, samples: str, before: int, after: int) -> DataFrame:
+    """df with samples (array of double) summed over `before` traces before to `after` traces after, where all of those are there; other traces have null.
+
+    Differences of running sums over a chunk of TRACES traces and the few around it: a trace is added once, whatever the window's length.
+    """
+    rows = _chunked(df.withColumn(samples, F.col(samples).cast("array<double>")), order, before, after, TRACES)
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by(order).combine_chunks()
+        at, own = t[order].to_numpy(), t["own_"].to_numpy()
+        data = t[samples].chunk(0).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
+        total = np.concatenate((np.zeros((1, data.shape[1])), np.cumsum(data, axis=0)))
+        place = np.arange(len(at))
+        whole = (place >= before) & (place + after < len(at))
+        low, high = np.maximum(place - before, 0), np.minimum(place + after, len(at) - 1)
+        whole &= (at[high] - at[low] == before + after)
+        out = (total[high + 1] - total[low])[own & whole]
+        size = np.where(whole[own], data.shape[1], 0)
+        sums = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(out.ravel()), mask=pa.array(~whole[own]))
+        t = t.filter(pa.array(own)).drop_columns(["own_", "chunk_"])
+        return t.set_column(t.schema.get_field_index(samples), samples, sums)
+
+    schema = rows.drop("own_", "chunk_").schema
+    return rows.groupBy(key, "chunk_").applyInArrow(run, schema)
+
+
 def zero_doppler(df: DataFrame, key: str, order: str, samples: str, before: int = 30, after: int = 29) -> DataFrame:
     """Each trace becomes the sum of the traces around it (the zero-frequency bin along track); the first `before` and last `before` stay as they are."""
     last = df.groupBy(key).agg(F.max(order).alias("last_"))
-    rows = sliding(df, key, order, before, after, frame_=F.collect_list(samples)).join(last, key)
-    add = F.aggregate(F.slice("frame_", 2, before + after + 1), F.get("frame_", F.lit(0)), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
+    rows = trace_sums(df.withColumn("own_trace_", F.col(samples)), key, order, samples, before, after).join(last, key)
     inner = (F.col(order) >= before) & (F.col(order) <= F.col("last_") - before)
-    return rows.withColumn(samples, F.when(inner, add).otherwise(F.col(samples))).drop("frame_", "frame_rows", "last_")
+    return rows.withColumn(samples, F.when(inner & F.col(samples).isNotNull(), F.col(samples)).otherwise(F.col("own_trace_").cast("array<double>"))).drop("own_trace_", "last_")
 
 
 def islands(df: DataFrame, key: str, order: str, value: str, epsilon: float = 0.0) -> DataFrame:
     """Runs of neighbours that differ by epsilon at most: key, island, value (the first), t (the middle of the run), n. A product of one run gives a second point at its start."""
-    by = Window.partitionBy(key).orderBy(order)
-    rows = df.withColumn("new_", F.coalesce((F.abs(F.col(value) - F.lag(value).over(by)) > epsilon).cast("int"), F.lit(0)))
-    rows = rows.withColumn("island", F.sum("new_").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = sliding(df, key, order, 1, 0, before_=F.first(value))
+    rows = rows.withColumn("new_", F.coalesce(((F.col("frame_rows") == 2) & (F.abs(F.col(value) - F.col("before_")) > epsilon)).cast("int"), F.lit(0))).drop("frame_rows", "before_")
+    rows = prefix_sum(rows, key, order, "new_", "island")
     runs = rows.groupBy(key, "island").agg(F.min_by(value, order).alias("value"), F.min(order).alias("lo_"), F.max(order).alias("hi_"), F.count("*").alias("n"))
     runs = runs.withColumn("t", (F.col("lo_") + F.col("hi_")) / 2)
     single = runs.groupBy(key).agg(F.max("island").alias("m")).where("m = 0").select(key)
     start = runs.join(single, key, "left_semi").withColumn("t", F.col("lo_").cast("double")).withColumn("island", F.lit(-1).cast("long"))
-    return runs.unionByName(start).drop("lo_", "hi_")
+    return united(runs, start, key).drop("lo_", "hi_")
+
+
+def neighbours(df: DataFrame, key: str, at: str, post: str, before: str, after: str) -> DataFrame:
+    """df with before and after, the last post at or before each row's place and the first at or after it; post: a struct column whose first field is its place, null in rows that are none.
+
+    A key's places are cut into parts of about CHUNK rows each. Parts hand their last and first posts on, so that no key is a single task.
+    """
+    x = F.col(at).cast("double")
+    ends = df.groupBy(key).agg(F.min(x).alias("lo_"), F.max(x).alias("hi_"), F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts_"))
+    share = F.coalesce(F.try_divide(x - F.col("lo_"), F.col("hi_") - F.col("lo_")), F.lit(0.0))
+    rows = df.join(ends, key).withColumn("part_", F.least(F.floor(share * F.col("parts_")), F.col("parts_") - 1)).drop("lo_", "hi_", "parts_")
+    heads = rows.groupBy(key, "part_").agg(F.max(post).alias("last_"), F.min(post).alias("first_"))
+    earlier = Window.partitionBy(key).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(key).orderBy("part_").rowsBetween(1, Window.unboundedFollowing)
+    heads = heads.select(key, "part_", F.last("last_", ignorenulls=True).over(earlier).alias("carried_"), F.first("first_", ignorenulls=True).over(later).alias("coming_"))
+    here = Window.partitionBy(key, "part_").orderBy(x)
+    there = Window.partitionBy(key, "part_").orderBy(x.desc())
+    last = F.last(post, ignorenulls=True).over(here.rangeBetween(Window.unboundedPreceding, 0))
+    first = F.last(post, ignorenulls=True).over(there.rangeBetween(Window.unboundedPreceding, 0))
+    rows = rows.join(heads, [key, "part_"]).withColumns({before: last, after: first})
+    return rows.withColumns({before: F.coalesce(before, "carried_"), after: F.coalesce(after, "coming_")}).drop("part_", "carried_", "coming_")
 
 
 def fixed_chunks(df: DataFrame, key: str, order: str, size: int = 512, least: int = 32, out: str = "chunk") -> DataFrame:
@@ -83,18 +139,27 @@ def fixed_chunks(df: DataFrame, key: str, order: str, size: int = 512, least: in
 def distance_chunks(df: DataFrame, key: str, order: str, distance: str, length: float = 30.0, out: str = "chunk") -> DataFrame:
     """Greedy chunks by distance: one ends where the distance has grown by more than `length`; a last one shorter than half joins the one before. An error where the track goes back before the chunk's start.
 
-    The fold over a track's distances is short (numbers only); samples stay out of it.
+    Where a chunk begins depends on all before it: a track's places and distances, two numbers for each trace, are looked at in one task, which jumps from cut to cut. Samples stay out of it.
     """
-    step = lambda s, x: F.when(x < s["from"], F.raise_error(F.lit("the track goes backwards")).cast(kind)).when(x > s["from"] + length, F.struct(x.alias("from"), (s["no"] + 1).alias("no"), F.concat(s["starts"], F.array(x)).alias("starts"))).otherwise(s)
-    kind = "struct<from:double,no:int,starts:array<double>>"
-    track = df.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(distance).cast("double").alias("d")))), lambda x: x["d"]).alias("d"))
-    first = F.get("d", F.lit(0))
-    begin = F.struct(first.alias("from"), F.lit(0).alias("no"), F.array(first).alias("starts")).cast(kind)
-    cuts = track.withColumn("fold_", F.aggregate("d", begin, step)).select(key, F.element_at("d", -1).alias("end_"), F.col("fold_.starts").alias("starts"))
-    short = (F.size("starts") > 1) & (F.col("end_") - F.element_at("starts", -1) < length / 2)
-    cuts = cuts.withColumn("starts", F.when(short, F.slice("starts", 1, F.size("starts") - 1)).otherwise(F.col("starts"))).drop("end_")
-    number = F.size(F.filter("starts", lambda s: s <= F.col(distance))) - 1
-    return df.join(cuts, key).withColumn(out, number).drop("starts")
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by(order)
+        d = t["d_"].to_numpy()
+        most = np.maximum.accumulate(d)
+        cuts = [0]
+        while (nxt := int(np.searchsorted(most, d[cuts[-1]] + length, "right"))) < len(d):
+            cuts.append(nxt)
+        begin = d[cuts]
+        if len(cuts) > 1 and d[-1] - begin[-1] < length / 2:
+            cuts.pop()
+        chunk = np.searchsorted(cuts, np.arange(len(d)), "right") - 1
+        if (d < d[cuts][chunk]).any():
+            raise ValueError("the track goes backwards")
+        return t.drop_columns(["d_"]).append_column(out, pa.array(chunk.astype(np.int32)))
+
+    places = df.select(key, order, F.col(distance).cast("double").alias("d_"))
+    schema = places.drop("d_").withColumn(out, F.lit(None).cast("int")).schema
+    return df.join(places.groupBy(key).applyInArrow(run, schema), [key, order])
 
 
 def block_stack(df: DataFrame, keys: list[str], order: str, samples: str, depth: int) -> DataFrame:
@@ -143,5 +208,5 @@ def padded(df: DataFrame, key: str, order: str, samples: str, before: int, after
         if n > 0:
             added.append(ends.withColumn("i_", F.explode(F.sequence(F.lit(1), F.lit(n)))).select(key, at(F.col("i_")).alias(order), edge(trace).alias(samples)))
     for more in added:
-        rows = rows.unionByName(more)
+        rows = united(rows, more, key)
     return rows.join(ends.select(key, "lo_"), key).withColumn(order, F.col(order) - F.col("lo_") + before).drop("lo_")
