@@ -31,7 +31,7 @@ def argmax(a) -> Column:
 
 def roll(a, n) -> Column:
     """Circular shift to the right."""
-    a, n = col(a), F.lit(n) if isinstance(n, int) else col(n)
+    a, n = col(a), F.lit(n) if isinstance(n, int) else col(n)  # a name, number or Column
     k = F.pmod(n, F.size(a)).cast("int")
     return F.concat(F.slice(a, F.size(a) - k + 1, k), F.slice(a, 1, F.size(a) - k))
 
@@ -145,3 +145,12 @@ def unpack6(packed) -> Column:
 def standardised(a) -> Column:
     """Less the mean and over the standard deviation of the population; zeros for a constant."""
     return let(F.struct(mean(a).alias("m"), F.sqrt(variance(a)).alias("s")), lambda z: F.transform(col(a), lambda x: F.coalesce(F.try_divide(x - z["m"], z["s"]), F.lit(0.0))))
+
+
+def correlation(a, b) -> Column:
+    """Pearson's coefficient of two traces; null if one is constant."""
+    a, b = col(a), col(b)
+    centred = lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), mean(x["a"]).alias("ma"), mean(x["b"]).alias("mb"))
+    parts = lambda x: F.aggregate(F.arrays_zip(x["a"].alias("p"), x["b"].alias("q")), F.struct(F.lit(0.0).alias("pq"), F.lit(0.0).alias("pp"), F.lit(0.0).alias("qq")), lambda s, z: F.struct((s["pq"] + (z["p"] - x["ma"]) * (z["q"] - x["mb"])).alias("pq"), (s["pp"] + (z["p"] - x["ma"]) * (z["p"] - x["ma"])).alias("pp"), (s["qq"] + (z["q"] - x["mb"]) * (z["q"] - x["mb"])).alias("qq")))
+    both = F.struct(a.alias("a"), b.alias("b"))
+    return let(let(let(both, centred), parts), lambda s: F.try_divide(s["pq"], F.sqrt(s["pp"] * s["qq"])))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import number, signal, traces
 from .aggregates import coherence, fresnel_stack
+from .joins import interpolated
 from .kernels import delayed, upsampled
 from .windows import CHUNK, neighbours
 
@@ -67,6 +68,26 @@ def phase_density(phase, centre, correlation: float, looks: float, terms: int =
     return (even + odd) * F.pow(1 - z, F.lit(-n - 0.5))
 
 
+def roll_along(traces_: DataFrame, navigation: DataFrame, key: str, time: str, distance: str, roll: str, shift_deg: float = 0.0) -> DataFrame:
+    """key, metre, roll (radians): navigation's roll (degrees, by time) at each trace, then at each whole metre of the traces' distance. Outside either the end values hold. traces_: key, time, distance; navigation: key, time, roll."""
+    nav = navigation.select(key, number(time).alias("t"), number(roll).alias("v"))
+    at = interpolated(traces_.select(key, number(time).alias("at"), number(distance).alias("d")), nav, key, "at", "t", "v", "roll", hold=True)
+    ends = at.groupBy(key).agg(F.floor(F.min("d")).alias("lo_"), F.ceil(F.max("d")).alias("hi_")).where("hi_ > lo_")
+    metres = ends.select(key, F.explode(F.sequence(F.col("lo_"), F.col("hi_") - 1)).alias("metre"))
+    out = interpolated(metres, at.select(key, F.col("d").alias("t"), F.col("roll").alias("v")), key, "metre", "t", "v", "roll", hold=True)
+    return out.select(key, "metre", F.radians(F.col("roll") + shift_deg).alias("roll"))
+
+
+def chirp_stability(df: DataFrame, key: str, order: str, samples: str, reach: int) -> DataFrame:
+    """df with lag: by how many samples, from -reach to reach - 1, a loop-back chirp in decibels has to be rolled to correlate best, with either sign, with the product's first; the least of equals."""
+    first = df.groupBy(key).agg(F.min_by(samples, order).alias("first_"))
+    level = lambda c: F.transform(c, lambda x: signal.decibel(F.abs(x.cast("double"))))
+    lags = F.sequence(F.lit(-reach), F.lit(reach - 1))
+    rows = df.join(first, key).withColumns({"a_": level("first_"), "b_": level(samples)})
+    fit = F.transform(lags, lambda lag: F.struct((-F.abs(traces.correlation(F.col("a_"), traces.roll(F.col("b_"), lag)))).alias("c"), lag.alias("lag")))
+    return rows.withColumn("lag", F.array_min(fit)["lag"]).drop("first_", "a_", "b_")
+
+
 def power_image(df: DataFrame, key: str, order: str, a: tuple[str, str], b: tuple[str, str], width: int, mode: str = "averaged") -> DataFrame:
     """key, stack, k, power: magnitude in dB of a conj(b), summed or averaged over stacks of traces `width` apart (made odd; the last of an odd width's traces is left out). a and b: columns of magnitudes (dB) and phases, arrays of samples. 'averaged' divides the sum by the width."""
     width = max(1, width - 1 + width % 2)

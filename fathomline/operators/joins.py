@@ -14,12 +14,13 @@ def within(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, rig
     return a.join(b, [*keys, "bucket_"]).where(F.abs(F.col(left_at) - F.col(right_at)) <= reach).drop("bucket_")
 
 
-def interpolated(points: DataFrame, track: DataFrame, key: str, at: str, t: str, value: str, out: str) -> DataFrame:
-    """points with `value` of the track, linear between the track's rows before and after; null outside it."""
+def interpolated(points: DataFrame, track: DataFrame, key: str, at: str, t: str, value: str, out: str, hold: bool = False) -> DataFrame:
+    """points with `value` of the track, linear between the track's rows before and after; outside it null, or the end's value with hold."""
     posts = track.select(key, F.col(t).cast("double").alias("at_"), F.struct(F.col(t).cast("double").alias("t"), F.col(value).cast("double").alias("v")).alias("post_"))
     both = points.withColumn("at_", F.col(at).cast("double")).withColumn("asks_", F.lit(True))
     rows = neighbours(united(both, posts, key), key, "at_", "post_", "lo_", "hi_").where("asks_")
     blend = F.col("lo_.v") + F.coalesce(F.try_divide(F.col("at_") - F.col("lo_.t"), F.col("hi_.t") - F.col("lo_.t")), F.lit(0.0)) * (F.col("hi_.v") - F.col("lo_.v"))
+    blend = F.coalesce(blend, "lo_.v", "hi_.v") if hold else blend
     return rows.withColumn(out, blend).drop("at_", "asks_", "post_", "lo_", "hi_")
 
 

@@ -3,9 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import geometry, signal
+from .functions import geometry, rotation, signal
 from .operators import aggregates, interferometry, ionosphere, surface, windows
-from .queries import GRAM, query, r6, radargram, table
+from .queries import GRAM, MARS, TRACK, query, r6, radargram, table, track
+from .sources import products
 
 #: Half a radargram's components are real parts; altimetry and auxiliary data follow from the trace's number.
 SURFACE = (
@@ -183,3 +184,115 @@ def quaternions_of_matrices(spark, sf_dir):
     rows = ((w * w + i * i - j * j - k * k, 2 * (i * j - w * k), 2 * (i * k + w * j)), (2 * (i * j + w * k), w * w - i * i + j * j - k * k, 2 * (j * k - w * i)), (2 * (i * k - w * j), 2 * (j * k + w * i), w * w - i * i - j * j + k * k))
     out = geometry.quaternion(tuple(tuple(s * x for x in row) for row in rows))
     return q.select("c_custkey", *(r6(x).alias(n) for n, x in zip("wijk", out, strict=True)))
+
+
+@query("SELECT event_id, event_id % 1000000 AS whole, (event_id % 60000)::INT AS frac, event_id * 1000 - 5 AS et, left(event_type || '-2026', 23) AS epoch, round(value, 6) + 0.0 AS longitude, (event_id % 300 - 150)::INT AS orbit, round((event_id % 997 / 8.0)::DOUBLE, 6) AS temperature, (event_id % 200)::INT AS flag FROM events")
+def auxiliary_records(spark, sf_dir):
+    """Records packed as the archive has them, and read again."""
+    i = F.col("event_id")
+    fields = {"SCET_BLOCK_WHOLE": i % 1000000, "SCET_BLOCK_FRAC": (i % 60000).cast("int"), "EPHEMERIS_TIME": i * 1000 - 5, "GEOMETRY_EPOCH": F.substring(F.concat("event_type", F.lit("-2026")), 1, 23), "SOLAR_LONGITUDE": F.col("value"), "ORBIT_NUMBER": (i % 300 - 150).cast("int"), "DES_TEMP": (i % 997 / 8).cast("float"), "CORRUPTED_DATA_FLAG2": (i % 200).cast("int")}
+    packed = products.encoded(table(spark, sf_dir, "events").select("event_id", *(c.alias(n) for n, c in fields.items())), ["event_id"], "packed", products.AUXILIARY)
+    out = products.decoded(packed, ["event_id"], "packed", products.AUXILIARY)
+    return out.select("event_id", F.col("SCET_BLOCK_WHOLE").alias("whole"), F.col("SCET_BLOCK_FRAC").alias("frac"), F.col("EPHEMERIS_TIME").alias("et"), F.col("GEOMETRY_EPOCH").alias("epoch"), r6("SOLAR_LONGITUDE").alias("longitude"), F.col("ORBIT_NUMBER").alias("orbit"), F.round(F.col("DES_TEMP").cast("double"), 6).alias("temperature"), F.col("CORRUPTED_DATA_FLAG2").alias("flag"))
+
+
+DAYS = "(epoch_us(ts) / 1e6 - 946728000) / 86400.0::DOUBLE"
+
+
+def terms(s: rotation.Series, t: str, wave: str) -> str:
+    return " + ".join(f"{a!r}::DOUBLE * {wave}(radians({p!r}::DOUBLE + {r!r}::DOUBLE * {t}))" for a, p, r in zip(s.amplitude, s.phase, s.rate, strict=True))
+
+
+def euler(m: rotation.Rotation) -> str:
+    power = lambda x, t: " + ".join(f"{c!r}::DOUBLE * pow({t}, {i})" for i, c in enumerate(x))
+    plus = lambda s, t, wave: f" + {terms(s, t, wave)}" if s.amplitude else ""
+    return f"{power(m.ascension, 't / 36525')}{plus(m.ascension_terms, 't / 36525', 'sin')} + 90 AS alpha, 90 - ({power(m.declination, 't / 36525')}{plus(m.declination_terms, 't / 36525', 'cos')}) AS delta, {power(m.meridian, 't')}{plus(m.meridian_terms, 't', 'sin')} AS omega"
+
+
+KUCHYNKA, IAU = rotation.MODELS["Kuchynka2014"], rotation.MODELS["IAU2000"]
+
+
+def days(c: str = "ts"):
+    return (F.unix_micros(F.col(c).cast("timestamp")) / 1e6 - 946728000) / 86400.0
+
+
+@query(f"SELECT event_id, round(alpha, 6) + 0.0 AS alpha, round(delta, 6) + 0.0 AS delta, round(omega, 4) + 0.0 AS omega FROM (SELECT event_id, {euler(KUCHYNKA)} FROM (SELECT event_id, {DAYS} AS t FROM events))")
+def pole_and_meridian(spark, sf_dir):
+    alpha, delta, omega = rotation.angles("t", KUCHYNKA)
+    return table(spark, sf_dir, "events").withColumn("t", days()).select("event_id", r6(alpha).alias("alpha"), r6(delta).alias("delta"), (F.round(omega, 4) + 0.0).alias("omega"))
+
+
+@query(f"SELECT event_id, round(cos(w) * u + sin(w) * cos(d) * v + sin(w) * sin(d) * z, 4) + 0.0 AS x, round(-sin(w) * u + cos(w) * cos(d) * v + cos(w) * sin(d) * z, 4) + 0.0 AS y, round(-sin(d) * v + cos(d) * z, 4) + 0.0 AS z FROM (SELECT *, cos(a) * x + sin(a) * y AS u, -sin(a) * x + cos(a) * y AS v FROM (SELECT event_id, x, y, z, radians(alpha) AS a, radians(delta) AS d, radians(omega) AS w FROM (SELECT *, {euler(IAU)} FROM (SELECT event_id, {DAYS} AS t, (event_id % 97 - 48)::DOUBLE AS x, (event_id % 89 - 44)::DOUBLE AS y, value AS z FROM events))))")
+def body_fixed_places(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", days().alias("t"), (F.col("event_id") % 97 - 48).cast("double").alias("x"), (F.col("event_id") % 89 - 44).cast("double").alias("y"), F.col("value").alias("z"))
+    out = rotation.to_body("t", "x", "y", "z", IAU)
+    return rows.select("event_id", *((F.round(c, 4) + 0.0).alias(n) for n, c in zip("xyz", out, strict=True)))
+
+
+ROLLS = TRACK + """, spots AS (SELECT user_id, epoch_us(ts) / 1e6 AS s, i * 1.7::DOUBLE AS d FROM track WHERE i % 3 = 1), nav AS (SELECT user_id, epoch_us(ts) / 1e6 AS s, value AS v FROM track WHERE i % 7 = 0),
+rolls AS (SELECT p.user_id, d, coalesce(a.v + coalesce((p.s - a.s) / nullif(b.s - a.s, 0), 0) * (b.v - a.v), a.v, b.v) AS v FROM spots p ASOF LEFT JOIN nav a ON p.user_id = a.user_id AND p.s >= a.s ASOF LEFT JOIN nav b ON p.user_id = b.user_id AND p.s <= b.s),
+metres AS (SELECT user_id, unnest(range(lo, hi)) AS metre FROM (SELECT user_id, floor(min(d))::BIGINT AS lo, ceil(max(d))::BIGINT AS hi FROM rolls GROUP BY user_id)) """
+
+
+@query(ROLLS + "SELECT m.user_id, metre, round(radians(coalesce(a.v + coalesce((metre - a.d) / nullif(b.d - a.d, 0), 0) * (b.v - a.v), a.v, b.v) + 0.5), 6) + 0.0 AS roll FROM metres m ASOF LEFT JOIN rolls a ON m.user_id = a.user_id AND metre >= a.d ASOF LEFT JOIN rolls b ON m.user_id = b.user_id AND metre <= b.d")
+def roll_at_metres(spark, sf_dir):
+    t = track(spark, sf_dir).withColumn("s", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
+    spots = t.where("i % 3 = 1").select("user_id", "s", (F.col("i") * 1.7).alias("d"))
+    out = interferometry.roll_along(spots, t.where("i % 7 = 0").select("user_id", "s", "value"), "user_id", "s", "d", "value", 0.5)
+    return out.select("user_id", "metre", r6("roll").alias("roll"))
+
+
+@query(GRAM + ", db AS (SELECT product, trace, k, 20 * log10(abs(x)) AS v FROM cells), fits AS (SELECT b.product, b.trace, lag, abs(corr(a.v, b.v)) AS c FROM db b, unnest(range(-3, 3)) AS l(lag), db a WHERE a.product = b.product AND a.trace = 0 AND a.k = (b.k + lag + 64) % 64 GROUP BY ALL) SELECT product, trace, arg_max(lag, (c, -lag))::BIGINT AS lag FROM fits GROUP BY product, trace")
+def chirp_stabilities(spark, sf_dir):
+    out = interferometry.chirp_stability(radargram(spark, sf_dir), "product", "trace", "samples", 3)
+    return out.select("product", "trace", F.col("lag").cast("long").alias("lag"))
+
+
+#: 32 complex samples of each trace; the lower sounder's chirp, 12 samples long.
+HALVES = GRAM + ", z AS (SELECT product, trace, k, samples[k + 1] AS re, samples[k + 33] AS im FROM gram, unnest(range(32)) AS r(k)) "
+LOW_CHIRP = ionosphere.Chirp(4e6, 1.4e6, 12 / 1.4e6, 1e6, early=False)
+
+
+def halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radargram(spark, sf_dir).select("product", "trace", F.slice("samples", 1, 32).alias("re"), F.slice("samples", 33, 32).alias("im"), (F.col("trace") % 5 * 1e-6).alias("delay"))
+
+
+def ends(out: DataFrame) -> DataFrame:
+    """The first sample, the last and the largest parts of each trace."""
+    at = lambda c, i: r6(F.get(c, F.lit(i)))
+    return out.select("product", "trace", at("re", 0).alias("first_re"), at("im", 31).alias("last_im"), r6(F.array_max("re")).alias("most_re"), r6(F.array_min("im")).alias("least_im"))
+
+
+ENDS = " SELECT product, trace, round(max(CASE WHEN n = 0 THEN re END), 6) + 0.0 AS first_re, round(max(CASE WHEN n = 31 THEN im END), 6) + 0.0 AS last_im, round(max(re), 6) + 0.0 AS most_re, round(min(im), 6) + 0.0 AS least_im FROM out GROUP BY product, trace"
+
+
+@query(
+    HALVES
+    + """, c AS (SELECT k, sum(cos(p - 2 * pi() * k * (11 - t) / 32)) / sqrt(32) AS re, sum(sin(p - 2 * pi() * k * (11 - t) / 32)) / sqrt(32) AS im FROM (SELECT t, 2 * pi() * (3.5e6::DOUBLE * (t / 1.4e6::DOUBLE) + 1e6::DOUBLE / (12 / 1.4e6::DOUBLE) / 2 * pow(t / 1.4e6::DOUBLE, 2)) AS p FROM unnest(range(12)) a(t)), unnest(range(32)) b(k) GROUP BY k),
+y AS (SELECT product, trace, k, z.re * c.re + z.im * c.im AS re, z.im * c.re - z.re * c.im AS im FROM z JOIN c USING (k)),
+out AS (SELECT product, trace, n, sum(re * cos(2 * pi() * (k * n % 32) / 32) - im * sin(2 * pi() * (k * n % 32) / 32)) / sqrt(32) AS re, sum(im * cos(2 * pi() * (k * n % 32) / 32) + re * sin(2 * pi() * (k * n % 32) / 32)) / sqrt(32) AS im FROM y, unnest(range(32)) a(n) GROUP BY ALL)"""
+    + ENDS
+)
+def spectra_compressed(spark, sf_dir):
+    return ends(ionosphere.compressed(halves(spark, sf_dir), ["product", "trace"], "re", "im", LOW_CHIRP))
+
+
+#: Circular convolution of each trace with a kernel h of a lag d, and of a trace's own number o.
+CONVOLVED = ", out AS (SELECT product, trace, n, sum(z.re * h.re - z.im * h.im) AS re, sum(z.re * h.im + z.im * h.re) AS im FROM z, unnest(range(32)) a(n), h WHERE d = (n - k + 32) % 32 AND o = trace % 5 GROUP BY ALL)"
+
+
+@query(HALVES + ", h AS (SELECT o, d, sum(cos(2 * pi() * (k * d % 32) / 32 - p)) / 32 AS re, sum(sin(2 * pi() * (k * d % 32) / 32 - p)) / 32 AS im FROM (SELECT k, CASE WHEN k >= 20 THEN -1.69e-6::DOUBLE * 2e12 / (4.5e6::DOUBLE - 1e6::DOUBLE / (12 / 1.4e6::DOUBLE) * ((k - 20) / 1.4e6::DOUBLE)) ELSE 0 END AS p FROM unnest(range(32)) a(k)), unnest(range(32)) b(d), unnest(range(5)) c(o) GROUP BY o, d)" + CONVOLVED + ENDS)
+def ionosphere_corrections(spark, sf_dir):
+    return ends(ionosphere.corrected(halves(spark, sf_dir), ["product", "trace"], "re", "im", LOW_CHIRP, 2e12))
+
+
+@query(HALVES + ", h AS (SELECT o, d, sum(cos(2 * pi() * f * (d - o * 1e-6::DOUBLE * 1.4e6) / 32)) / 32 AS re, sum(sin(2 * pi() * f * (d - o * 1e-6::DOUBLE * 1.4e6) / 32)) / 32 AS im FROM unnest(range(-16, 16)) a(f), unnest(range(32)) b(d), unnest(range(5)) c(o) GROUP BY o, d)" + CONVOLVED + ENDS)
+def aligned_windows(spark, sf_dir):
+    return ends(ionosphere.aligned(halves(spark, sf_dir), ["product", "trace"], "re", "im", "delay", 1 / 1.4e6))
+
+
+@query(f"SELECT event_id, round(value * 0.29, 6) + 0.0 AS tecu, my AS mars_year, round(ls, 6) AS ls FROM (SELECT *, list_reduce(list_transform(range(1, 13), lambda i: CASE WHEN sols >= s[i] AND sols < s[i + 1] THEN 30.0 * (i - 1) + 30.0 * ((sols - s[i]) / (s[i + 1] - s[i])) ELSE 0 END), lambda a, b: a + b) AS ls FROM (SELECT *, (since - (my - 1) * (88775.245 * 668.6)) / 88775.245 AS sols, [0.0, 61.2, 126.6, 193.3, 257.8, 317.5, 371.9, 421.6, 468.5, 514.6, 562.0, 612.9, 668.6]::DOUBLE[] AS s FROM {MARS} WHERE event_id * 7 % 181 - 90 >= -30 AND event_id * 7 % 181 - 90 < 30))")
+def contents_by_martian_time(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("lat", F.col("event_id") * 7 % 181 - 90)
+    out = ionosphere.by_martian_time(rows, "lat", "value", "ts", -30, 30)
+    return out.select("event_id", r6("tecu").alias("tecu"), "mars_year", F.round("solar_longitude", 6).alias("ls"))
