@@ -86,3 +86,59 @@ def test_one_channel_is_scaled(spark):
     specs = spark.createDataFrame(signal.channel_specs("[1,1,1,2,0.5; 2,1,2,0,0]"), "chanout int, chan0in int, scalef0 double, chan1in int, scalef1 double")
     got = {(r["chanout"], r["block"]): r["samples"] for r in aggregates.paired_stacks(stacks, specs, "block", "samples", 2).collect()}
     assert got == {(1, 0): [6.0, 12.0], (2, 0): [10.0, 20.0], (2, 1): [1.0, 1.0]}
+
+
+def test_rotation_models(spark):
+    """Round trips, another epoch, librations, and the published angles at the epoch."""
+    import math
+
+    from fathomline.functions import rotation
+
+    rows = spark.createDataFrame([(0.0, 1.0, 2.0, 3.0), (7305.5, -4.0, 0.5, 9.0), (-300.25, 0.0, 0.0, 0.0)], "t double, x double, y double, z double")
+    for model in rotation.MODELS.values():
+        moved = rotation.at_epoch(model, 3652.5)
+        out = rows.withColumns(dict(zip("uvw", rotation.to_body("t", "x", "y", "z", model), strict=True))).withColumns(dict(zip("abc", rotation.to_inertial("t", "u", "v", "w", model), strict=True)))
+        out = out.withColumns(dict(zip(("d1", "d2", "d3"), rotation.angles("t", model), strict=True)) | dict(zip(("e1", "e2", "e3"), rotation.angles("t", moved), strict=True)))
+        for r in out.collect():
+            assert all(abs(r[p] - r[q]) < 1e-9 for p, q in zip("xyz", "abc", strict=True))
+            assert all(abs(r[f"d{i}"] - r[f"e{i}"]) < 1e-6 for i in (1, 2, 3))
+            assert math.isclose(r["x"] ** 2 + r["y"] ** 2 + r["z"] ** 2, r["u"] ** 2 + r["v"] ** 2 + r["w"] ** 2, abs_tol=1e-9)
+    at = rows.where("t = 0").select(*rotation.angles("t", rotation.MODELS["IAU2000"])).first()
+    assert [round(x, 6) for x in at] == [407.68143, 37.1135, 176.63]
+    lib = rotation.librations(2.18e-4, 0.2056, (174.79, 4.09))
+    assert len(lib.amplitude) == 5 and abs(lib.amplitude[0] - math.degrees(1.5 * 2.18e-4) * (1 - 11 * 0.2056**2 + 959 / 48 * 0.2056**4 - 3641 / 288 * 0.2056**6 + 11359 / 2880 * 0.2056**8 - 247799 / 345600 * 0.2056**10)) < 1e-12
+    assert lib.phase[1] == pytest.approx(349.58) and lib.rate[4] == pytest.approx(20.45)
+
+
+def test_product_tables(spark, tmp_path):
+    from fathomline.operators.surface import TABLE
+    from fathomline.sources import products
+
+    (tmp_path / "x_TECU.txt").write_text("0.3 0.1\n0.5 0.2\n")
+    assert [tuple(r) for r in products.electron_content(spark, str(tmp_path / "x_TECU.txt")).collect()] == [(0.3, 0.1), (0.5, 0.2)]
+    alt = spark.createDataFrame([[float(i) for i in range(8)], [1.0, 2.0, 3.0, 4.0, 5.0, -1.0, 7.0, 8.0]], products.ALTIMETRY)
+    products.stored(alt, str(tmp_path / "alt"), "csv")
+    assert {(r["idx_fine"], r["flag"]) for r in products.altimetry(spark, str(tmp_path / "alt"), quality=True).collect()} == {(5.0, 0), (-1.0, 1)}
+    srf = spark.createDataFrame([[float(i) for i in range(len(TABLE))]], TABLE)
+    products.stored(surface.archived(srf.withColumn("more", srf["flag"])), str(tmp_path / "srf"), "csv")
+    assert [tuple(r) for r in products.surface_echoes(spark, str(tmp_path / "srf")).collect()] == [tuple(float(i) for i in range(len(TABLE)))]
+    with pytest.raises(ValueError, match="no such kind"):
+        products.stored(srf, str(tmp_path / "z"), "hdf")
+    with pytest.raises(Exception, match="already exists"):
+        products.stored(srf, str(tmp_path / "srf"), "csv")
+
+
+def test_auxiliary_files(spark, tmp_path):
+    import numpy as np
+
+    from fathomline.sources import products
+
+    rows = np.zeros(3, products.AUXILIARY)
+    rows["EPHEMERIS_TIME"], rows["GEOMETRY_EPOCH"], rows["SC_ROLL_ANGLE"], rows["CORRUPTED_DATA_FLAG1"] = [5, -6, 7], b"2006-12-06T02:22:01.945", [0.5, -1.5, 2.0], [0, 1, 255]
+    (tmp_path / "e_1_a.dat").write_bytes(rows.tobytes())
+    got = products.auxiliary(spark, str(tmp_path)).orderBy("record").collect()
+    assert [(r["EPHEMERIS_TIME"], r["GEOMETRY_EPOCH"], r["SC_ROLL_ANGLE"], r["CORRUPTED_DATA_FLAG1"]) for r in got] == [(5, "2006-12-06T02:22:01.945", 0.5, 0), (-6, "2006-12-06T02:22:01.945", -1.5, 1), (7, "2006-12-06T02:22:01.945", 2.0, 255)]
+    packed = spark.createDataFrame([(1, bytearray(rows.tobytes())), (2, None), (3, bytearray())], "id int, packed binary")
+    assert [(r["id"], r["record"]) for r in products.decoded(packed, ["id"], "packed", products.AUXILIARY).orderBy("record").collect()] == [(1, 0), (1, 1), (1, 2)]
+    with pytest.raises(Exception, match="no whole number"):
+        products.decoded(spark.createDataFrame([(1, bytearray(b"abc"))], "id int, packed binary"), ["id"], "packed", products.AUXILIARY).collect()
