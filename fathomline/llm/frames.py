@@ -26,9 +26,21 @@ def shared_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """This application's work tables."""
+    return f"{shared_folder(spark)}/fathomline/{spark.sparkContext.applicationId}"
+
+
+def cleared(spark: SparkSession) -> None:
+    """Deletes this application's work tables; frames that still read them fail from then on."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """df as a table in the shared folder: it is computed once, and a lost executor costs no more than reading it again."""
-    path = f"{shared_folder(df.sparkSession)}/fathomline/{uuid.uuid4().hex}"
+    path = f"{work_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -113,3 +113,16 @@ def test_refined_buckets(monkeypatch):
             assert [g == -1 for g in got] == [whole.count(w) == 1 for w in whole]
             assert len({*zip(got, whole, strict=True)} - {(-1, w) for w in whole}) == len({g for g in got if g >= 0}) == len({w for w in whole if whole.count(w) > 1})
     assert not len(suffix_dedup.refined(text, places[:0], 8))
+
+
+def test_work_tables_are_cleared(spark):
+    """Last in this file: a frame whose tables are gone can't be read, a new one can."""
+    from pathlib import Path
+
+    from fathomline.llm import frames
+
+    at = Path(frames.work_folder(spark).removeprefix("file:"))
+    kept = frames.written(spark.range(5))
+    assert kept.count() == 5 and any(at.iterdir())
+    frames.cleared(spark)
+    assert not at.exists() and frames.written(spark.range(6)).count() == 6
