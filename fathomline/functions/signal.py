@@ -129,3 +129,18 @@ def channel_specs(text: str) -> list[tuple[int, int, float, int, float]]:
             raise ValueError(f"{line!r} has {len(parts)} values, not 5")
         out.append((int(parts[0]), int(parts[1]), float(parts[2]), int(parts[3]), float(parts[4])))
     return out
+
+
+#: What magnitudes and phases of processed lines are divided by when they are read, and phases multiplied by when they are written.
+MAGNITUDE_UNIT, PHASE_UNIT, PHASE_SCALE = 10000.0, 65536.0, 16777216.0
+
+
+def written_integers(magnitude, phase, scale: float) -> tuple[Column, Column]:
+    """Whole numbers (cut, not rounded) of a magnitude's decadic logarithm times scale, and of a phase in radians; null for a magnitude of 0."""
+    m = number(magnitude)
+    return F.when(m > 0, scale * F.log10(m)).cast("int"), (number(phase) * PHASE_SCALE).cast("int")
+
+
+def read_integers(magnitude, phase) -> tuple[Column, Column]:
+    """Decibels and radians of the whole numbers that processed lines hold."""
+    return number(magnitude) / MAGNITUDE_UNIT, number(phase) / PHASE_UNIT

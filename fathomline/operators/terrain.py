@@ -49,3 +49,10 @@ def heights(points: DataFrame, grid: DataFrame, id_col: str, lat: str, lon: str,
     weight = 1 - F.when(onto, dy + dx).otherwise(F.hypot(dy, dx) / F.sqrt(F.lit(2.0)))
     value = met.withColumn("w_", weight).groupBy(*keys, id_col).agg(F.try_divide(F.sum(F.col("w_") * F.col("z_")), F.sum("w_")).alias(out))
     return points.join(value, [*keys, id_col], "left")
+
+
+def echo_cells(cells: DataFrame, echoes: DataFrame, keys: list[str], distance: str, echo: str) -> DataFrame:
+    """echoes with the cells of the same keys whose distance comes nearest to the echo's; all of equally near ones. Each range line has its own few cells across track."""
+    gap = F.abs(F.col(distance) - F.col(echo))
+    least = echoes.join(cells.select(*keys, distance), keys).groupBy(*keys, echo).agg(F.min(gap).alias("least_"))
+    return echoes.join(least, [*keys, echo]).join(cells, keys).where(gap == F.col("least_")).drop("least_")

@@ -210,3 +210,22 @@ def padded(df: DataFrame, key: str, order: str, samples: str, before: int, after
     for more in added:
         rows = united(rows, more, key)
     return rows.join(ends.select(key, "lo_"), key).withColumn(order, F.col(order) - F.col("lo_") + before).drop("lo_")
+
+
+def gap_filled(df: DataFrame, key: str, order: str, samples: str, width: int) -> DataFrame:
+    """key, order, samples (array of double), filled: traces, and what fills the gaps between them: silence, with cosine tapers of `width` traces from the trace before and to the trace after, laid over each other in gaps shorter than both. In gaps shorter than `width`, the weight of the trace before grows with the distance from it over the gap's length, and that of the trace after likewise.
+
+    Only the edges of gaps are put in order, not the traces.
+    """
+    rows = df.select(key, order, F.col(samples).cast("array<double>").alias(samples))
+    there = rows.select(key, F.col(order).alias("other_"), F.lit(True).alias("there_"))
+    edges = lambda step: rows.withColumn("other_", F.col(order) + step).join(there, [key, "other_"], "left").where("there_ IS NULL")
+    turn = Window.partitionBy(key).orderBy(order)
+    begin = edges(1).select(key, F.col(order).alias("from_"), F.col(samples).alias("a_"), F.row_number().over(turn).alias("no_"))
+    stop = edges(-1).select(key, F.col(order).alias("to_"), F.col(samples).alias("b_"), (F.row_number().over(turn) - 1).alias("no_"))
+    gaps = begin.join(stop, [key, "no_"]).withColumn("n_", F.col("to_") - F.col("from_") - 1)
+    x = F.col(order) - F.col("from_")
+    weight = lambda d: F.when(F.col("n_") < width, d / F.col("n_")).otherwise(0.5 * F.cos(F.pi() / width * F.least(d, F.lit(width))) + 0.5)
+    new = gaps.withColumn(order, F.explode(F.sequence(F.col("from_") + 1, F.col("to_") - 1))).withColumns({"u_": weight(x), "v_": weight(F.col("n_") + 1 - x)})
+    new = new.select(key, order, F.zip_with("a_", "b_", lambda p, q: p * F.col("u_") + q * F.col("v_")).alias(samples), F.lit(True).alias("filled"))
+    return united(rows.withColumn("filled", F.lit(False)), new, key)

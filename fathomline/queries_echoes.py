@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, rotation, signal
-from .operators import aggregates, interferometry, ionosphere, surface, windows
+from .operators import aggregates, interferometry, ionosphere, surface, terrain, windows
 from .queries import GRAM, MARS, TRACK, query, r6, radargram, table, track
 from .sources import products
 
@@ -296,3 +296,31 @@ def contents_by_martian_time(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("lat", F.col("event_id") * 7 % 181 - 90)
     out = ionosphere.by_martian_time(rows, "lat", "value", "ts", -30, 30)
     return out.select("event_id", r6("tecu").alias("tecu"), "mars_year", F.round("solar_longitude", 6).alias("ls"))
+
+
+@query(
+    GRAM
+    + """, kept AS (SELECT product, trace, samples[1] AS first, samples[64] AS last FROM gram WHERE trace % 11 NOT IN (4, 5, 6, 7, 8) AND trace % 17 <> 9), edges AS (SELECT *, lead(trace) OVER w AS nxt, lead(first) OVER w AS first1, lead(last) OVER w AS last1 FROM kept WINDOW w AS (PARTITION BY product ORDER BY trace)),
+gaps AS (SELECT *, nxt - trace - 1 AS n, unnest(range(1, nxt - trace)) AS d FROM edges WHERE nxt > trace + 1), weighed AS (SELECT *, CASE WHEN n < 3 THEN d / n ELSE 0.5 * cos(pi() / 3 * least(d, 3)) + 0.5 END AS u, CASE WHEN n < 3 THEN (n + 1 - d) / n ELSE 0.5 * cos(pi() / 3 * least(n + 1 - d, 3)) + 0.5 END AS v FROM gaps)
+SELECT product, trace, round(first, 6) + 0.0 AS first, round(last, 6) + 0.0 AS last, false AS filled FROM kept UNION ALL SELECT product, trace + d, round(first * u + first1 * v, 6) + 0.0, round(last * u + last1 * v, 6) + 0.0, true FROM weighed"""
+)
+def gaps_filled(spark, sf_dir):
+    kept = radargram(spark, sf_dir).where("trace % 11 NOT IN (4, 5, 6, 7, 8) AND trace % 17 <> 9")
+    out = windows.gap_filled(kept, "product", "trace", "samples", 3)
+    return out.select("product", "trace", r6(F.get("samples", F.lit(0))).alias("first"), r6(F.get("samples", F.lit(63))).alias("last"), "filled")
+
+
+@query(GRAM + ", echoes AS (SELECT product, trace, unnest([0.05, 0.15]::DOUBLE[]) AS echo FROM gram), gaps AS (SELECT c.product, c.trace, echo, k, abs(x - echo) AS gap FROM cells c JOIN echoes e ON e.product = c.product AND e.trace = c.trace) SELECT product, trace, echo, k FROM gaps QUALIFY rank() OVER (PARTITION BY product, trace, echo ORDER BY gap) = 1")
+def nearest_echo_cells(spark, sf_dir):
+    gram = radargram(spark, sf_dir)
+    cells = gram.select("product", "trace", F.posexplode("samples").alias("k", "x"))
+    echoes_ = gram.select("product", "trace", F.explode(F.array(F.lit(0.05), F.lit(0.15))).alias("echo"))
+    return terrain.echo_cells(cells, echoes_, ["product", "trace"], "x", "echo").select("product", "trace", "echo", F.col("k").cast("long").alias("k"))
+
+
+@query("SELECT o_orderkey, trunc(20000 * log10(o_totalprice))::INT AS magnitude, trunc(x * 16777216)::INT AS phase, round(trunc(20000 * log10(o_totalprice)) / 10000, 6) + 0.0 AS db, round(trunc(x * 16777216) / 65536, 6) + 0.0 AS radians FROM (SELECT o_orderkey, o_totalprice, (o_custkey % 629 - 314)::DOUBLE / 100 AS x FROM orders)")
+def line_integers(spark, sf_dir):
+    magnitude, phase = signal.written_integers("o_totalprice", (F.col("o_custkey") % 629 - 314) / 100, 20000.0)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", magnitude.alias("magnitude"), phase.alias("phase"))
+    db, radians = signal.read_integers("magnitude", "phase")
+    return rows.withColumns({"db": r6(db), "radians": r6(radians)})

@@ -85,3 +85,12 @@ def ranging_pairs(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     text = F.when(F.col("s_suppkey") % 5 == 0, F.when(F.col("s_suppkey") % 2 == 0, "   ").otherwise("# a comment")).otherwise(F.format_string(" e_%d   %d\t%d ", "s_nationkey", "s_suppkey", F.col("s_suppkey") + 100))
     return paths.ranging_tracks(s.select((F.col("s_suppkey") * 2).alias("line"), text.alias("value")))
+
+
+@query(INDEX + "SELECT kind, count(*) AS n, min(product_id) AS least, max(product_id) AS most FROM (SELECT DISTINCT CASE o_orderkey % 4 WHEN 0 THEN 'cmp' WHEN 1 THEN 'srf' WHEN 2 THEN 'clu' ELSE 'alt' END AS kind, product_id FROM idx) WHERE kind <> 'clu' GROUP BY kind")
+def processed_products(spark, sf_dir):
+    rows = index(spark, sf_dir)
+    files = paths.files(rows, RAW, MADE).join(rows.select("product_id", "o_orderkey"), "product_id")
+    there = files.where("(name LIKE 'cmp%' AND o_orderkey % 4 = 0) OR (name = 'srf_txt' AND o_orderkey % 4 = 1) OR (kind = 'clu' AND o_orderkey % 4 = 2) OR (name = 'alt_h5' AND o_orderkey % 4 = 3)")
+    out = catalog.processed(there.select("kind", "path"))
+    return out.select("kind", F.size("products").cast("long").alias("n"), F.element_at("products", 1).alias("least"), F.element_at("products", -1).alias("most"))
