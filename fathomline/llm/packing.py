@@ -21,8 +21,8 @@ from .frames import pieces, written
 WINDOW, END = 2048, 1
 #: Offsets, 12 bytes a partition, that are broadcast at most; more are joined.
 SENT = 2_000_000
-#: Words that a Python process remembers, and how long those are at most.
-REMEMBERED, LONGEST = 600_000, 40
+#: Words that a Python process remembers, and how long those are at most. More make it no faster.
+REMEMBERED, LONGEST = 200_000, 40
 
 
 def vocabulary() -> str:
@@ -148,24 +148,30 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch["base"].to_numpy() + batch["at"].to_numpy()
-            width = batch["width"].to_numpy()
-            n = batch["n"].to_numpy()
-            first = np.concatenate(([0], np.cumsum((place + n - 1) // window - place // window + 1)))
-            doc = np.repeat(np.arange(len(n)), np.diff(first))
-            seq = place[doc] // window + np.arange(len(doc)) - first[doc]
-            begin = np.maximum(seq * window, place[doc])
-            size = np.minimum((seq + 1) * window, (place + n)[doc]) - begin
-            start = begin - place[doc]
-            crc, ids, flat = [], [], [np.frombuffer(x.as_buffer(), f"<u{w}") for x, w in zip(batch["ids"], width, strict=True)]
-            for d, s, k in zip(doc.tolist(), start.tolist(), size.tolist(), strict=True):
-                some = flat[d][s : s + k].astype("<u4")
-                crc.append(zlib.crc32(some))
-                if with_ids:
-                    ids.append(some.astype(np.int32))
-            out = [batch["doc_id"].take(pa.array(doc)), pa.array(start), pa.array(size), pa.array(crc, pa.int64()), pa.array(n[doc]), pa.array(seq), pa.array(begin - seq * window)]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            yield pa.record_batch([*out, pa.array(ids, pa.list_(pa.int32()))] if with_ids else out, [*names, "ids"] if with_ids else names)
+            edge = np.cumsum(batch["n"].to_numpy())
+            lo = 0
+            while lo < batch.num_rows:  # some documents of a million tokens together, one at least
+                hi = max(lo + 1, int(np.searchsorted(edge, (edge[lo - 1] if lo else 0) + (1 << 20), "right")))
+                yield pieces_of(batch.slice(lo, hi - lo))
+                lo = hi
+
+    def pieces_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        place = batch["base"].to_numpy() + batch["at"].to_numpy()
+        n = batch["n"].to_numpy()
+        first = np.concatenate(([0], np.cumsum((place + n - 1) // window - place // window + 1)))
+        doc = np.repeat(np.arange(len(n)), np.diff(first))
+        seq = place[doc] // window + np.arange(len(doc)) - first[doc]
+        begin = np.maximum(seq * window, place[doc])
+        size = np.minimum((seq + 1) * window, (place + n)[doc]) - begin
+        kinds = {w: np.dtype(f"<u{w}") for w in batch["width"].unique().to_pylist()}
+        flat = np.concatenate([np.frombuffer(x.as_buffer(), kinds[w]).astype("<u4") for x, w in zip(batch["ids"], batch["width"].to_pylist(), strict=True)])
+        at = np.concatenate(([0], np.cumsum(size)))  # a document's pieces follow each other, as its tokens do
+        crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        out = [batch["doc_id"].take(pa.array(doc)), pa.array(begin - place[doc]), pa.array(size), pa.array(crc, pa.int64()), pa.array(n[doc]), pa.array(seq), pa.array(begin - seq * window)]
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        if not with_ids:
+            return pa.record_batch(out, names)
+        return pa.record_batch([*out, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int32)))], [*names, "ids"])
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return table.join(offsets, "part").select("doc_id", "n", "ids", "at", "width", "base").mapInArrow(cut, schema + (", ids array<int>" if with_ids else ""))
