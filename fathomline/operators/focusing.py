@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import nearest
 from .kernels import HIGH_HZ, LIGHT, SAMPLE_S
 
 
@@ -131,3 +132,15 @@ def delay_doppler(df: DataFrame, key: str, order: str, re: str, im: str, track_m
         return pd.DataFrame({key: [pdf[key].iloc[0]], "posting": [pdf["posting"].iloc[0]], "traces": [len(pdf)], "re": [out.real], "im": [out.imag]})
 
     return rows.groupBy(key, "posting").applyInPandas(run, f"{key} {_kinds(df)[key]}, posting long, traces long, re array<double>, im array<double>")
+
+
+def apertures(df: DataFrame, key: str, order: str, track_m: str, every: int, aperture_m: float) -> DataFrame:
+    """key, first, middle, last: traces at the ends and the middle of apertures that lie within the product, whose middles are `every` traces apart; ends are the traces nearest to half an aperture away, the lower of two as near."""
+    rows, half = df.select(key, order, F.col(track_m).cast("double").alias("d_")), aperture_m / 2
+    end = rows.groupBy(key).agg(F.max_by("d_", order).alias("end_"))
+    inner = rows.join(end, key).where((F.col("d_") >= half) & (F.col("d_") - F.col("end_") <= -half))
+    first = inner.groupBy(key).agg(F.min(order).alias("lo_"), F.max(order).alias("hi_"))
+    middles = inner.join(first, key).where((F.col(order) < F.col("hi_")) & ((F.col(order) - F.col("lo_")) % every == 0)).select(key, F.col(order).alias("middle"), (F.col("d_") - half).alias("from_"), (F.col("d_") + half).alias("to_"))
+    for name, at in (("first", "from_"), ("last", "to_")):
+        middles = nearest(middles, rows.select(key, "d_", F.col(order).alias(name)), key, at, "d_", name)
+    return middles.select(key, "first", "middle", "last")

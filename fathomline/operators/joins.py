@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .windows import neighbours, united
+from .windows import islands, neighbours, sliding, united
 
 
 def within(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, reach: float) -> DataFrame:
@@ -48,3 +48,25 @@ def gather(facts: DataFrame, orbits: DataFrame, bad: DataFrame, flags: DataFrame
     for name, (low, high) in conditions.items():
         rows = rows.where((F.col(name) > low) & (F.col(name) < high))
     return rows.join(flags, [key, order])
+
+
+def crossings(pairs: DataFrame, tracks: DataFrame, key: str, order: str, value: str, above: float) -> DataFrame:
+    """pairs (key1, order1, key2, order2, of two tracks that cross) with value1 and value2 of the tracks there, where both are above a bound."""
+    side = lambda i: tracks.select(F.col(key).alias(f"{key}{i}"), F.col(order).alias(f"{order}{i}"), F.col(value).alias(f"{value}{i}")).where(F.col(f"{value}{i}") > above)
+    return pairs.join(side(1), [f"{key}1", f"{order}1"]).join(side(2), [f"{key}2", f"{order}2"])
+
+
+def smoothed_hold(df: DataFrame, key: str, order: str, value: str, out: str, epsilon: float = 0.0) -> DataFrame:
+    """df with out: values that were sampled and held, linear between the middles of their runs and beyond the first and last. A product of one run keeps its value."""
+    runs = islands(df, key, order, value, epsilon).select(key, "island", F.col("t").cast("double").alias("t"), F.col("value").cast("double").alias("v"))
+    point = F.struct("t", "v")
+    runs = sliding(runs, key, "island", 1, 1, before_=F.first(point), after_=F.last(point))
+    slope = lambda p, q: F.try_divide(q["v"] - p["v"], q["t"] - p["t"])
+    here = F.struct("t", "v")
+    posts = runs.select(key, F.col("t").alias("at_"), F.struct("t", "v", slope(F.col("before_"), here).alias("behind"), slope(here, F.col("after_")).alias("ahead")).alias("post_"))
+    asks = df.withColumn("at_", F.col(order).cast("double")).withColumn("asks_", F.lit(True))
+    rows = neighbours(united(asks, posts, key), key, "at_", "post_", "lo_", "hi_").where("asks_")
+    lo, hi, x = F.col("lo_"), F.col("hi_"), F.col("at_")
+    inside = lo["v"] + F.coalesce(F.try_divide(x - lo["t"], hi["t"] - lo["t"]), F.lit(0.0)) * (hi["v"] - lo["v"])
+    level = F.coalesce(inside, hi["v"] + F.coalesce(hi["ahead"], F.lit(0.0)) * (x - hi["t"]), lo["v"] + F.coalesce(lo["behind"], F.lit(0.0)) * (x - lo["t"]))
+    return rows.withColumn(out, level).drop("at_", "asks_", "post_", "lo_", "hi_")

@@ -174,11 +174,15 @@ def retracked(window_db: np.ndarray, start: tuple[float, float, float] = (100.0,
 def retrack(df: DataFrame, columns: list[str], power: str, first: str) -> DataFrame:
     """columns, delta (the echo's place in the trace), snr (its fitted amplitude in dB). power: a window of the trace that starts at index `first`."""
 
-    def run(pdf, data):
-        fits = np.array([retracked(10 * np.log10(np.maximum(w, 1e-30)), start=(len(w) / 2, 3.0, 0.05), floor=len(w) // 3) for w in data])
-        return pdf[columns].assign(delta=fits[:, 2] + pdf[first].to_numpy(float), snr=fits[:, 1])
+    def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            windows = [10 * np.log10(np.maximum(np.asarray(w, float), 1e-30)) for w in pdf[power]]  # those at a trace's end are shorter
+            fits = np.array([retracked(w, start=(len(w) / 2, 3.0, 0.05), floor=len(w) // 3) for w in windows]).reshape(-1, 5)
+            yield pdf[columns].assign(delta=fits[:, 2] + pdf[first].to_numpy(float), snr=fits[:, 1])
 
-    return _traces(df.select(*dict.fromkeys([*columns, power, first])), columns, power, run, "delta double, snr double")
+    kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = df.select(*dict.fromkeys([*columns, power, first]))
+    return rows.mapInPandas(each, ", ".join([*(f"{c} {kind[c]}" for c in columns), "delta double, snr double"]))
 
 
 def focused(traces: np.ndarray, delay_s: np.ndarray, distance_m: float, time_s: np.ndarray, speed: np.ndarray) -> np.ndarray:

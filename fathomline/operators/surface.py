@@ -68,3 +68,11 @@ def circles(rows: DataFrame, lon: str, lat: str, value: str, r: float, limits: t
     inside = cells.where((F.col("x") - F.col("lon")) * (F.col("x") - F.col("lon")) + (F.col("y") - F.col("lat")) * (F.col("y") - F.col("lat")) <= r * r)
     out = inside.groupBy("col", "row").agg(F.min("lon").alias("lon"), F.min("lat").alias("lat"), F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("deviation"), F.avg(F.col("v") * F.col("v")).alias("power"))
     return out.where(F.col("n") >= least)
+
+
+def specularity(short: DataFrame, long: DataFrame, key: str, time: str, samples: str, pick: str, reach: int = 5) -> DataFrame:
+    """key, time, specularity: the short aperture's sample over the long one's, at the short one's pick, for traces of equal time; null unless both picks exist and lie within reach of each other."""
+    a, b = (df.select(key, time, F.col(samples).alias(f"{n}_"), F.col(pick).alias(f"{n}_at_")) for n, df in (("short", short), ("long", long)))
+    rows = a.join(b, [key, time])
+    ratio = F.try_divide(F.get("short_", F.col("short_at_").cast("int")), F.get("long_", F.col("short_at_").cast("int")))
+    return rows.select(key, time, F.when(F.abs(F.col("short_at_") - F.col("long_at_")) <= reach, ratio).alias("specularity"))

@@ -56,3 +56,10 @@ def echo_cells(cells: DataFrame, echoes: DataFrame, keys: list[str], distance: s
     gap = F.abs(F.col(distance) - F.col(echo))
     least = echoes.join(cells.select(*keys, distance), keys).groupBy(*keys, echo).agg(F.min(gap).alias("least_"))
     return echoes.join(least, [*keys, echo]).join(cells, keys).where(gap == F.col("least_")).drop("least_")
+
+
+def nearest_cell(lat, lon, area: tuple[float, float, float, float], rows: int, columns: int):
+    """Row and column of the cell nearest to a point on a grid over area (south, north, west, east) whose rows begin in the north; the lower of two as near, the edge for points outside."""
+    south, north, west, east = map(float, area)
+    index = lambda x, step, n: F.least(F.greatest(F.ceil(x / step - 0.5), F.lit(0)), F.lit(n - 1)).cast("int")
+    return index(north - number(lat), (north - south) / (rows - 1), rows), index(number(lon) - west, (east - west) / (columns - 1), columns)

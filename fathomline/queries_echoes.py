@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, rotation, signal
-from .operators import aggregates, interferometry, ionosphere, surface, terrain, windows
+from .operators import aggregates, altimetry, focusing, interferometry, ionosphere, joins, surface, terrain, windows
 from .queries import GRAM, MARS, TRACK, query, r6, radargram, table, track
 from .sources import products
 
@@ -324,3 +324,63 @@ def line_integers(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", magnitude.alias("magnitude"), phase.alias("phase"))
     db, radians = signal.read_integers("magnitude", "phase")
     return rows.withColumns({"db": r6(db), "radians": r6(radians)})
+
+
+@query(
+    GRAM
+    + """, geo AS (SELECT product, trace, 3696 + trace % 7 / 100.0::DOUBLE AS sc, 1100 + trace * 3 % 50 AS rx, trace % 8 AS code, trace % 10 / 10.0::DOUBLE AS tecu, trace % 10 = 3 AS corrupted FROM gram),
+phases AS (SELECT *, rx - floor(2000 * sc / 299792458 / 0.0375e-6::DOUBLE)::BIGINT AS phase FROM geo), lags AS (SELECT *, min(phase) OVER (PARTITION BY product) AS tx0, max(trace) OVER (PARTITION BY product) AS last FROM phases),
+rolled AS (SELECT product, trace, (k + phase - tx0) % 64 AS k, abs(x) AS x FROM cells JOIN lags USING (product, trace)),
+means AS (SELECT l.product, l.trace, (phase - tx0) % 64 AS shift, k, avg(x) AS x FROM lags l, unnest(range(-1, 2)) t(o), rolled r WHERE r.product = l.product AND r.trace = greatest(0, least(last, l.trace + o)) GROUP BY ALL),
+d AS (SELECT product, trace, shift, k, abs(x - lag(x) OVER (PARTITION BY product, trace ORDER BY k)) AS d FROM means), n AS (SELECT product, trace, stddev_pop(d) FILTER (k > 31) * 2 AS noise FROM d GROUP BY ALL),
+h AS (SELECT d.product, d.trace, l, min(k - 1) AS k FROM d JOIN n USING (product, trace), unnest(range(1, 11)) AS t(l) WHERE d.d > noise * (l / 10.0) AND k - 1 >= shift + 2 AND k - 1 < shift + 42 GROUP BY ALL),
+picks AS (SELECT product, trace, arg_max(k, l) AS k FROM h GROUP BY ALL)
+SELECT product, trace, round(CASE WHEN corrupted THEN -1 ELSE sc - ((rx + c - phase + tx0) * 0.0375e-6::DOUBLE + coalesce("""
+    + PRI
+    + """[code], 1428) / 1e6 - 11.98e-6 - 1.69e-6 * tecu * 1e16 / 20e6 / (2 * pi() * 20e6)) * 299792458 / 2000 END, 5) + 0.0 AS spot_radius, CASE WHEN corrupted THEN -1 ELSE c - (phase - tx0) % 64 END::DOUBLE AS idx_coarse FROM (SELECT *, coalesce(k, 0) AS c FROM lags LEFT JOIN picks USING (product, trace))"""
+)
+def altimetry_spots(spark, sf_dir):
+    gram, trace = radargram(spark, sf_dir), F.col("trace")
+    geometry_ = gram.select("product", "trace", trace.cast("double").alias("et"), F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), (3696 + trace % 7 / 100).alias("radius_km"), (1100 + trace * 3 % 50).alias("window"), (trace % 8).cast("int").alias("pri_code"), (trace % 10 / 10).alias("tecu"), (trace % 10 == 3).alias("corrupted"))
+    rows = gram.withColumn("im", F.array_repeat(F.lit(0.0), 64))
+    out = altimetry.spots(rows, geometry_, "product", "trace", "samples", "im", 3, smooth=None, noise_scale=2.0, fine=False, skip=2, reach=40, tail=32)
+    return out.select("product", "trace", (F.round("spot_radius", 5) + 0.0).alias("spot_radius"), "idx_coarse")
+
+
+@query(TRACK + ", pairs AS (SELECT o_orderkey, o_custkey % 50 + 1 AS user_id1, o_orderkey % 40 AS i1, o_custkey % 37 + 1 AS user_id2, o_orderkey % 30 AS i2 FROM orders) SELECT o_orderkey, round(a.value, 6) + 0.0 AS value1, round(b.value, 6) + 0.0 AS value2 FROM pairs JOIN track a ON a.user_id = user_id1 AND a.i = i1 JOIN track b ON b.user_id = user_id2 AND b.i = i2 WHERE a.value > 30 AND b.value > 30")
+def dark_crossings(spark, sf_dir):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pairs = table(spark, sf_dir, "orders").select("o_orderkey", (c % 50 + 1).alias("user_id1"), (k % 40).alias("i1"), (c % 37 + 1).alias("user_id2"), (k % 30).alias("i2"))
+    return joins.crossings(pairs, track(spark, sf_dir), "user_id", "i", "value", 30.0).select("o_orderkey", r6("value1").alias("value1"), r6("value2").alias("value2"))
+
+
+@query(
+    TRACK
+    + """, held AS (SELECT user_id, event_id, i, floor(value / 20) AS v FROM track), marked AS (SELECT *, coalesce((v <> lag(v) OVER (PARTITION BY user_id ORDER BY i))::INT, 0) AS new FROM held), runs AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+posts AS (SELECT user_id, island, (min(i) + max(i)) / 2.0::DOUBLE AS t, arg_min(v, i)::DOUBLE AS v FROM runs GROUP BY user_id, island), sloped AS (SELECT *, (v - lag(v) OVER w) / (t - lag(t) OVER w) AS behind, (lead(v) OVER w - v) / (lead(t) OVER w - t) AS ahead FROM posts WINDOW w AS (PARTITION BY user_id ORDER BY t))
+SELECT h.user_id, event_id, round(coalesce(a.v + coalesce((h.i - a.t) / nullif(b.t - a.t, 0), 0) * (b.v - a.v), b.v + coalesce(b.ahead, 0) * (h.i - b.t), a.v + coalesce(a.behind, 0) * (h.i - a.t)), 6) + 0.0 AS smooth FROM (SELECT *, i::DOUBLE AS x FROM held) h ASOF LEFT JOIN sloped a ON h.user_id = a.user_id AND h.x >= a.t ASOF LEFT JOIN sloped b ON h.user_id = b.user_id AND h.x <= b.t"""
+)
+def smoothed_holds(spark, sf_dir):
+    held = track(spark, sf_dir).withColumn("held", F.floor(F.col("value") / 20))
+    return joins.smoothed_hold(held, "user_id", "i", "held", "smooth").select("user_id", "event_id", r6("smooth").alias("smooth"))
+
+
+@query(GRAM + ", places AS (SELECT product, trace, trace * 47.0::DOUBLE + trace % 3 AS d, max(trace * 47.0::DOUBLE + trace % 3) OVER (PARTITION BY product) AS last FROM gram), inner_ AS (SELECT *, min(trace) OVER (PARTITION BY product) AS lo, max(trace) OVER (PARTITION BY product) AS hi FROM places WHERE d >= 250 AND d - last <= -250), middles AS (SELECT product, trace AS middle, d FROM inner_ WHERE trace < hi AND (trace - lo) % 3 = 0) SELECT product, middle, (SELECT arg_min(p.trace, (abs(p.d - (m.d - 250)), p.trace)) FROM places p WHERE p.product = m.product) AS first, (SELECT arg_min(p.trace, (abs(p.d - (m.d + 250)), p.trace)) FROM places p WHERE p.product = m.product) AS last FROM middles m")
+def aperture_bounds(spark, sf_dir):
+    rows = radargram(spark, sf_dir).withColumn("d", F.col("trace") * 47.0 + F.col("trace") % 3)
+    return focusing.apertures(rows, "product", "trace", "d", 3, 500.0)
+
+
+@query("SELECT o_orderkey, greatest(0, least(360, ceil((45 - lat) / 0.25 - 0.5)))::INT AS row, greatest(0, least(1440, ceil(lon / 0.25 - 0.5)))::INT AS col FROM (SELECT o_orderkey, (o_orderkey % 9700 - 4850)::DOUBLE / 100 AS lat, (o_custkey * 37 % 36100)::DOUBLE / 100 AS lon FROM orders)")
+def nearest_grid_cells(spark, sf_dir):
+    row, column = terrain.nearest_cell((F.col("o_orderkey") % 9700 - 4850) / 100, F.col("o_custkey") * 37 % 36100 / 100, (-45, 45, 0, 360), 361, 1441)
+    return table(spark, sf_dir, "orders").select("o_orderkey", row.alias("row"), column.alias("col"))
+
+
+@query(GRAM + ", long AS (SELECT product, trace, samples, list_position(samples, list_max(samples)) - 1 AS pick FROM gram), short AS (SELECT product, trace, list_transform(samples, lambda x, i: x * (1 + i / 64.0)) AS samples FROM gram WHERE trace % 3 = 0), picked AS (SELECT *, list_position(samples, list_max(samples)) - 1 AS pick FROM short) SELECT s.product, s.trace, CASE WHEN abs(s.pick - l.pick) <= 5 THEN round(s.samples[s.pick + 1] / l.samples[s.pick + 1], 6) END AS specularity FROM picked s JOIN long l USING (product, trace)")
+def specularities(spark, sf_dir):
+    from .functions import traces
+
+    long = radargram(spark, sf_dir).withColumn("pick", traces.argmax("samples"))
+    short = radargram(spark, sf_dir).where("trace % 3 = 0").withColumn("samples", F.transform("samples", lambda x, i: x * (1 + (i + 1) / 64.0))).withColumn("pick", traces.argmax("samples"))
+    return surface.specularity(short, long, "product", "trace", "samples", "pick").select("product", "trace", F.round("specularity", 6).alias("specularity"))

@@ -83,3 +83,11 @@ def bits(packed, start: int, length: int, signed: bool = False) -> Column:
     value = F.conv(F.hex(F.substring(c, first + 1, last - first + 1)), 16, 10).cast("long")
     value = F.shiftright(value, (last + 1) * 8 - start - length).bitwiseAND(F.lit((1 << length) - 1))
     return F.when(value >= 1 << (length - 1), value - (1 << length)).otherwise(value) if signed else value
+
+
+def type_bytes(bits_: int) -> int:
+    """Bytes of the least whole-number type that holds so many bits."""
+    for size in SIZES["i"]:
+        if bits_ <= 8 * size:
+            return size
+    raise ValueError(f"no type of {bits_} bits")

@@ -142,3 +142,35 @@ def test_auxiliary_files(spark, tmp_path):
     assert [(r["id"], r["record"]) for r in products.decoded(packed, ["id"], "packed", products.AUXILIARY).orderBy("record").collect()] == [(1, 0), (1, 1), (1, 2)]
     with pytest.raises(Exception, match="no whole number"):
         products.decoded(spark.createDataFrame([(1, bytearray(b"abc"))], "id int, packed binary"), ["id"], "packed", products.AUXILIARY).collect()
+
+
+def test_altimetry_finds_a_planted_echo(spark):
+    """The whole chain over a flat ground: every pick near the echo, every radius the spacecraft's less the flight, corrupted traces -1."""
+    import numpy as np
+
+    from fathomline.functions.signal import LIGHT
+    from fathomline.operators import altimetry
+
+    r, n, at = np.random.default_rng(3), 400, 220
+    shape = np.where(np.arange(n) >= at, 60 * np.exp(-(np.arange(n) - at) / 25.0), 0)
+    rows = [("p", i, (shape + r.normal(0, 0.4, n)).tolist(), r.normal(0, 0.4, n).tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "product string, trace int, re array<double>, im array<double>")
+    geo = spark.createDataFrame([("p", i, float(i), 1.0, 2.0, 3700.0, 5000, 1, 0.0, i == 40) for i in range(90)], "product string, trace int, et double, latitude double, longitude double, radius_km double, window int, pri_code int, tecu double, corrupted boolean")
+    got = altimetry.spots(df, geo, "product", "trace", "re", "im", 3, smooth=10, noise_scale=20.0, skip=20, reach=300, tail=100).orderBy("trace").collect()
+    assert len(got) == 90 and got[40]["spot_radius"] == got[40]["idx_fine"] == -1
+    phase = 5000 - int(2000 * 3700.0 / LIGHT / 0.0375e-6)
+    for x in got[:40] + got[41:]:
+        assert abs(x["idx_coarse"] - at) <= 14 and abs(x["idx_fine"] - at) <= 60 and x["snr"] > 0  # the echo is no echo of the model
+        flight = (5000 + x["idx_fine"] - phase + phase) * 0.0375e-6 + 1428e-6 - 11.98e-6
+        assert abs(x["spot_radius"] - (3700.0 - flight * LIGHT / 2000)) < 1e-6 and x["range"] == x["spot_radius"]
+
+
+def test_filtered_ends(spark):
+    from fathomline.operators import altimetry
+
+    x = [float(i % 7) for i in range(60)]
+    got = altimetry.filtered(spark.createDataFrame([(x,)], "a array<double>"), ["a"], 3).first()["a"]
+    mean = [0.0] + [sum(x[i - 1 : i + 2]) / 3 for i in range(1, 59)] + [0.0]
+    want = [m - sum(mean) / 60 for m in mean]
+    want[:10], want[-10:] = want[20:30], want[-30:-20]
+    assert got == pytest.approx(want)
