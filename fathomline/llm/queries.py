@@ -135,4 +135,17 @@ WITH bits AS (
 SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard, row_number() OVER (PARTITION BY shard ORDER BY place, doc_id, text_crc32) - 1 AS slot, grown_shard::INT AS grown_shard FROM won
 """
 
-ORACLE = {"op9_sharding": SHARDING, "op4_minhash_near_dedup": NEAR_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_exact_top_k": EXACT_TOP_K, "op7_mixing": MIXING}
+SUFFIX_DEDUP = """
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents), sized AS (SELECT doc_id, b, octet_length(b) AS n FROM texts),
+windows AS (SELECT doc_id, s, array_slice(b, s + 1, s + 100) AS w FROM sized, unnest(range(n - 99)) AS t(s)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS turn FROM windows) WHERE turn > 1),
+marked AS (SELECT doc_id, s, coalesce((s > lag(s) OVER w + 100)::INT, 1) AS new FROM late WINDOW w AS (PARTITION BY doc_id ORDER BY s)),
+runs AS (SELECT doc_id, min(s) AS start, max(s) + 100 AS stop FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM marked) GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, start, stop FROM runs UNION ALL SELECT doc_id, n, n FROM sized),
+parts AS (SELECT doc_id, start, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start, stop), 0) AS begin FROM cuts),
+kept AS (SELECT doc_id, unhex(string_agg(CASE WHEN start > begin THEN hex(array_slice(b, begin + 1, start)) ELSE '' END, '' ORDER BY start)) AS k FROM parts JOIN sized USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(stop - start)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(k) AS kept_sha256 FROM sized JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE = {"op1_suffix_array_dedup": SUFFIX_DEDUP, "op9_sharding": SHARDING, "op4_minhash_near_dedup": NEAR_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_exact_top_k": EXACT_TOP_K, "op7_mixing": MIXING}
