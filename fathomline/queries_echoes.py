@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from .functions import geometry, rotation, signal
 from .operators import aggregates, altimetry, focusing, interferometry, ionosphere, joins, surface, terrain, windows
-from .queries import GRAM, MARS, TRACK, query, r6, radargram, table, track
+from .plans import chains
+from .queries import CHIRP, FILTER, GRAM, MARS, TRACK, query, r6, radargram, table, track
 from .sources import products
 
 #: Half a radargram's components are real parts; altimetry and auxiliary data follow from the trace's number.
@@ -384,3 +385,12 @@ def specularities(spark, sf_dir):
     long = radargram(spark, sf_dir).withColumn("pick", traces.argmax("samples"))
     short = radargram(spark, sf_dir).where("trace % 3 = 0").withColumn("samples", F.transform("samples", lambda x, i: x * (1 + (i + 1) / 64.0))).withColumn("pick", traces.argmax("samples"))
     return surface.specularity(short, long, "product", "trace", "samples", "pick").select("product", "trace", F.round("specularity", 6).alias("specularity"))
+
+
+@query(GRAM + CHIRP + FILTER + ", scales AS (SELECT product, pow(2, ceil(log2(p))) / p AS scale FROM (SELECT DISTINCT product, ([1, 2, 3, 4, 8, 16, 32, 64]::DOUBLE[])[product % 8 + 1] AS p FROM gram)), out AS (SELECT product, trace, n, round(sum(x * re) * 1000 * any_value(scale)) AS re, round(sum(x * im) * 1000 * any_value(scale)) AS im FROM cells JOIN scales USING (product), unnest(range(64)) t(n), filter WHERE d = (n - k + 64) % 64 GROUP BY product, trace, n) SELECT product, trace, least(trace // 5, any_value(last) // 5 - (any_value(last) % 5 <= 2 AND any_value(last) >= 5)::INT) AS chunk, max(re) AS re_peak, min(im) AS im_least FROM out JOIN (SELECT product, max(trace) AS last FROM gram GROUP BY product) USING (product) GROUP BY product, trace")
+def telemetry_compressed(spark, sf_dir):
+    """Traces 7 km apart, so that five make a chunk of more than 30 km; a short last chunk would join the one before."""
+    trace = F.col("trace")
+    rows = radargram(spark, sf_dir).select("product", "trace", F.transform("samples", lambda x: x * 1000).alias("samples"), F.lit(120.0).alias("sza"), F.when(trace == 0, 0).otherwise(1).alias("kind"), F.when(trace == 0, F.col("product") % 8).otherwise(7).alias("code"), (trace * 7.0).alias("km"))
+    out = chains.compressed(rows, "product", "trace", "samples", "sza", "kind", "code", "km")
+    return out.select("product", "trace", F.col("chunk").cast("long").alias("chunk"), (F.array_max("re") + 0.0).alias("re_peak"), (F.array_min("im") + 0.0).alias("im_least"))

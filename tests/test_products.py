@@ -174,3 +174,16 @@ def test_filtered_ends(spark):
     want = [m - sum(mean) / 60 for m in mean]
     want[:10], want[-10:] = want[20:30], want[-30:-20]
     assert got == pytest.approx(want)
+
+
+def test_telemetry_chain(spark):
+    from fathomline.plans import chains
+
+    rows = [("p", i, [float(i + j) for j in range(64)], 80.0, 0, 3, float(i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "product string, trace int, samples array<double>, sza double, kind int, code int, km double")
+    plain = chains.decompressed(df, "product", "trace", "samples", "kind", "code").orderBy("trace").collect()
+    assert plain[2]["samples"][:3] == [2.0, 3.0, 4.0]  # four pulses: 2^2 / 4
+    out = chains.compressed(df, "product", "trace", "samples", "sza", "kind", "code", rows=512)
+    assert out.count() == 4 and chains.contents(out, "product").count() == 1
+    with pytest.raises(Exception, match="dynamic scaling"):
+        chains.decompressed(df.withColumn("kind", df["kind"] + 1), "product", "trace", "samples", "kind", "code").collect()
