@@ -20,6 +20,8 @@ WORDS, BANDS, ROWS = 5, 64, 6
 PERCENT = 75
 #: Bits of a set's bitmap: the bits in which two differ bound their intersection from above.
 BITMAP = 4096
+#: Sets that are sketched together.
+SKETCHED = 1000
 #: Members that one side of a cell holds, and what names a cell.
 BLOCK, CELL = 512, ("key", "first", "second")
 ENTRY = np.dtype([("key", "i8"), ("cls", "i8")])
@@ -66,6 +68,13 @@ def classes_of(docs: DataFrame, bands: int, rows: int, words: int) -> tuple[Data
     bits = (bands - 1).bit_length()  # a key ends with its band
     odd, salt = seeds(rows, 23) | np.uint64(1), seeds(bands, 29)
 
+    def band_keys(h: np.ndarray, cut: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """A row of keys, one for each band, for each of the sets `own`."""
+        take = np.concatenate([np.arange(cut[i], cut[i + 1]) for i in own])
+        s = sketches(h[take], np.concatenate(([0], np.cumsum(np.diff(cut)[own]))), bands * rows).reshape(len(own), bands, rows)
+        with np.errstate(over="ignore"):
+            return mixed((s * odd).sum(axis=2) ^ salt) >> np.uint64(bits) << np.uint64(bits) | np.arange(bands, dtype=np.uint64)
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -84,10 +93,7 @@ def classes_of(docs: DataFrame, bands: int, rows: int, words: int) -> tuple[Data
                     continue
                 if len(seen) < 200_000:
                     seen.update(cls[own].tolist())
-                take = np.concatenate([np.arange(cut[i], cut[i + 1]) for i in own])
-                s = sketches(h[take], np.concatenate(([0], np.cumsum(n[own]))), bands * rows).reshape(len(own), bands, rows)
-                with np.errstate(over="ignore"):
-                    keys = mixed((s * odd).sum(axis=2) ^ salt) >> np.uint64(bits) << np.uint64(bits) | np.arange(bands, dtype=np.uint64)
+                keys = np.concatenate([band_keys(h, cut, own[k : k + SKETCHED]) for k in range(0, len(own), SKETCHED)])
                 entries = np.empty(keys.size, ENTRY)
                 entries["key"], entries["cls"] = keys.ravel().view(np.int64), np.repeat(cls[own], bands)
                 to = (keys.ravel() >> np.uint64(11)) % np.uint64(parts)
