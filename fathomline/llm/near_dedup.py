@@ -75,17 +75,31 @@ def classes_of(docs: DataFrame, bands: int, rows: int, words: int) -> tuple[Data
         with np.errstate(over="ignore"):
             return mixed((s * odd).sum(axis=2) ^ salt) >> np.uint64(bits) << np.uint64(bits) | np.arange(bands, dtype=np.uint64)
 
+    names = ["doc_id", "n_shingles", "cls", "part", "entries"]
+
+    def packed(cls: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+        all_ = np.concatenate(keys)
+        entries = np.empty(all_.size, ENTRY)
+        entries["key"], entries["cls"] = all_.ravel().view(np.int64), np.repeat(np.concatenate(cls), bands)
+        to = (all_.ravel() >> np.uint64(11)) % np.uint64(parts)
+        entries = entries[np.argsort(to, kind="stable")]
+        edge = np.searchsorted(np.sort(to), np.arange(parts + 1, dtype=np.uint64))
+        some = [p for p in range(parts) if edge[p] < edge[p + 1]]
+        nothing = pa.nulls(len(some), pa.int64())
+        return pa.record_batch([nothing, nothing, nothing, pa.array(some, pa.int32()), pa.array([entries[edge[p] : edge[p + 1]].tobytes() for p in some], pa.binary())], names)
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        kept, size = ([], []), 0
         for batch in batches:
-            for lo, data, at in pieces(batch["text"], 4 << 20):
+            for lo, data, at in pieces(batch["text"]):
                 h, cut = shingles(data, at, words)
                 n = np.diff(cut)
                 with np.errstate(over="ignore"):
                     cls = np.add.reduceat(np.append(mixed(h), np.uint64(0)), cut[:-1])
                     cls = mixed(cls + n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
                 full = n > 0
-                yield pa.record_batch([batch["doc_id"].slice(lo, len(n)), pa.array(n), pa.array(cls, mask=~full), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], ["doc_id", "n_shingles", "cls", "part", "entries"])
+                yield pa.record_batch([batch["doc_id"].slice(lo, len(n)), pa.array(n), pa.array(cls, mask=~full), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
                 own = np.flatnonzero(full)
                 own = own[np.unique(cls[own], return_index=True)[1]]
                 own = own[[c not in seen for c in cls[own].tolist()]]
@@ -93,15 +107,14 @@ def classes_of(docs: DataFrame, bands: int, rows: int, words: int) -> tuple[Data
                     continue
                 if len(seen) < 200_000:
                     seen.update(cls[own].tolist())
-                keys = np.concatenate([band_keys(h, cut, own[k : k + SKETCHED]) for k in range(0, len(own), SKETCHED)])
-                entries = np.empty(keys.size, ENTRY)
-                entries["key"], entries["cls"] = keys.ravel().view(np.int64), np.repeat(cls[own], bands)
-                to = (keys.ravel() >> np.uint64(11)) % np.uint64(parts)
-                entries = entries[np.argsort(to, kind="stable")]
-                edge = np.searchsorted(np.sort(to), np.arange(parts + 1, dtype=np.uint64))
-                some = [p for p in range(parts) if edge[p] < edge[p + 1]]
-                nothing = pa.nulls(len(some), pa.int64())
-                yield pa.record_batch([nothing, nothing, nothing, pa.array(some, pa.int32()), pa.array([entries[edge[p] : edge[p + 1]].tobytes() for p in some], pa.binary())], ["doc_id", "n_shingles", "cls", "part", "entries"])
+                kept[0].append(cls[own])
+                kept[1].extend(band_keys(h, cut, own[k : k + SKETCHED]) for k in range(0, len(own), SKETCHED))
+                size += len(own)
+                if size >= 2 * SKETCHED:
+                    yield packed(*kept)
+                    kept, size = ([], []), 0
+        if size:
+            yield packed(*kept)
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [np.frombuffer(x.as_buffer(), ENTRY) for b in batches for x in b["entries"]]
