@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dedup, packing, prefix_forest, quality, secrets, sharding, substring_dedup, suffix_dedup, vafile
+from . import mixing, near_dedup, packing, piece_tokens, prefix_forest, quality, secrets, sharding, spelling, substring_dedup, suffix_dedup, vafile, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,18 @@ def concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens.digest(_table(spark, sf_dir, "documents"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": suffix_array_dedup,
@@ -63,6 +75,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nearest_neighbours": nearest_neighbours,
         "op9_sharding": rendezvous_shards,
         "op10_packing": concatenate_and_cut,
+        "op11_whitening": whitened_embeddings,
+        "op12_sentencepiece": sentencepiece_round_trip,
+        "op13_spelling_variants": spelling_variants,
     }
 
 
@@ -148,4 +163,31 @@ gone AS (SELECT doc_id, sum(stop - start)::BIGINT AS n_removed, count(*) AS n_sp
 SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(k) AS kept_sha256 FROM sized JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op1_suffix_array_dedup": SUFFIX_DEDUP, "op9_sharding": SHARDING, "op4_minhash_near_dedup": NEAR_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_exact_top_k": EXACT_TOP_K, "op7_mixing": MIXING}
+SPELLING = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents
+), counted AS (
+  SELECT doc_id, w, count(*) AS c FROM runs GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, c, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)), '..'), lambda x: ('0x' || x)::BIGINT), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM counted, crc
+), words AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN h % 97 = 0 THEN w[: h % length(w)] || w[h % length(w) + 2 :] ELSE w END AS word FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), cuts AS (
+  SELECT word, n, i, word[: i - 1] || word[i + 1 :] AS rest FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(m) AS m, first(other ORDER BY m DESC, other) AS other FROM near GROUP BY word
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM forms UNION ALL SELECT walk.word, form FROM walk JOIN forms ON forms.word = walk.at WHERE form IS NOT NULL
+)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN walk ON walk.word = f.word JOIN forms e ON e.word = walk.at WHERE e.form IS NULL
+"""
+
+ORACLE = {"op13_spelling_variants": SPELLING, "op1_suffix_array_dedup": SUFFIX_DEDUP, "op9_sharding": SHARDING, "op4_minhash_near_dedup": NEAR_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_exact_top_k": EXACT_TOP_K, "op7_mixing": MIXING}
