@@ -7,6 +7,8 @@ import numpy as np
 
 #: Positions of the text to a row of symbol counts.
 ROW = 32
+#: Patterns whose counts are taken together.
+STATES = 1 << 16
 
 
 def ranks(text: np.ndarray, bits: int) -> np.ndarray:
@@ -49,16 +51,21 @@ class Half:
         self.counts = np.zeros((rows + 1, symbols + 1), np.int32)
         self.counts[1:, :-1], self.counts[1:, -1] = np.cumsum(smaller, 0), np.cumsum(count.sum(1))
         self.start = self.counts[-1].astype(np.int64)
-        self.padded = np.concatenate((self.before, np.full(ROW, symbols, self.before.dtype)))
+        small = np.uint8 if symbols < 256 else np.int32
+        self.rows = np.concatenate((self.before, np.full(ROW - n % ROW, symbols))).astype(small).reshape(-1, ROW)
 
     def smaller(self, at: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many of the first `at` suffixes are preceded by a smaller symbol, and by this or a smaller one."""
-        row, rest = at // ROW, at % ROW
-        inside = np.arange(ROW) < rest[:, None]
-        near = self.padded[(row * ROW)[:, None] + np.arange(ROW)]
-        less, same = inside & (near < symbol[:, None]), inside & (near == symbol[:, None])
-        first = self.counts[row, symbol] + less.sum(1)
-        return first, self.counts[row, symbol + 1] + less.sum(1) + same.sum(1)
+        first, last = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        for lo in range(0, len(at), STATES):
+            some = slice(lo, lo + STATES)
+            row, c = at[some] // ROW, symbol[some]
+            near, wanted = self.rows[row], c.astype(self.rows.dtype)[:, None]
+            inside = np.arange(ROW) < (at[some] % ROW)[:, None]
+            less = ((near < wanted) & inside).sum(1)
+            first[some] = self.counts[row, c] + less
+            last[some] = self.counts[row, c + 1] + less + ((near == wanted) & inside).sum(1)
+        return first, last
 
 
 class Index:
