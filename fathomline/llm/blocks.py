@@ -1,4 +1,4 @@
-"""A stated query set against all rows, block by block: rows of one length are packed into blocks, blocks are dealt to slabs, and each block of queries visits each slab that has blocks of its length."""
+"""A stated query set against all rows, block by block: rows of one length are packed into blocks, blocks are dealt to slabs, and each block of queries visits each slab."""
 
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
@@ -14,6 +14,8 @@ from .frames import partitions
 
 #: Rows of a block, of vectors and of queries.
 ROWS, QUERIES = 4096, 512
+#: Blocks of the index that a task holds, some 40 MB of vectors of 64 components.
+HELD = 16
 
 
 def packed(df: DataFrame, rows: int, slabs: int | None, encode: Callable | None = None) -> DataFrame:
@@ -48,16 +50,29 @@ def packed(df: DataFrame, rows: int, slabs: int | None, encode: Callable | None
 
 
 def meet(queries: DataFrame, index: DataFrame, slabs: int, kernel: Callable, schema: str) -> DataFrame:
-    """kernel(query cids, query matrix, cids, block) yields record batches of schema, for each block of queries and each block of the index of the same length."""
-    visiting = queries.select(F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), "dims", F.col("cids").alias("qcids"), F.col("block").alias("qblock"))
-    pairs = visiting.join(index, ["slab", "dims"]).select("dims", "qcids", "qblock", "cids", "block")
+    """kernel(query cids, query matrix, cids, block) yields record batches of schema, for each block of queries and each block of the index of the same length.
+
+    A slab's index blocks, about HELD, reach its task once and wait there; the blocks of queries pass by them one by one.
+    """
+    visiting = queries.select(F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), "dims", F.lit(1).alias("turn"), "cids", "block")
+    both = index.select("slab", "dims", F.lit(0).alias("turn"), "cids", "block").unionByName(visiting)
+    dealt = both.repartition(slabs, "slab").sortWithinPartitions("slab", "dims", "turn").select("slab", "dims", "turn", "cids", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
         for batch in batches:
-            for dims, q, qb, c, b in zip(batch["dims"].to_pylist(), *(batch[i] for i in range(1, 5)), strict=True):
-                yield from kernel(np.frombuffer(q.as_buffer(), np.int64), np.frombuffer(qb.as_buffer(), np.float64).reshape(-1, dims), np.frombuffer(c.as_buffer(), np.int64), b.as_buffer())
+            for slab, dims, turn, c, b in zip(*(batch[i].to_pylist() for i in range(3)), batch["cids"], batch["block"], strict=True):
+                if here != (slab, dims):
+                    here, held = (slab, dims), []
+                cids = np.frombuffer(c.as_buffer(), np.int64)
+                if turn == 0:
+                    held.append((cids.copy(), bytes(b.as_buffer())))
+                    continue
+                q = np.frombuffer(b.as_buffer(), np.float64).reshape(-1, dims)
+                for own, block in held:
+                    yield from kernel(cids, q, own, block)
 
-    return pairs.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)
 
 
 class Best:
@@ -77,5 +92,6 @@ class Best:
         return new.min(axis=1)
 
 
-def slabs_of(df: DataFrame) -> int:
-    return partitions(df.sparkSession)
+def slabs_of(rows: DataFrame) -> int:
+    """As many slabs as the session has shuffle partitions, and more where these would hold more than HELD blocks each. rows: a written table."""
+    return max(partitions(rows.sparkSession), -(-rows.count() // (ROWS * HELD)))

@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import QUERIES, ROWS, Best, meet, packed, slabs_of
@@ -19,6 +19,8 @@ from .vectors import distinct, finite, query_vectors, ranked
 
 #: Trees, bits of a string, and the chance with which a neighbour as near as the kth may be missed.
 TREES, BITS, MISS = 48, 24, 0.05
+#: Scores this near to each other, as a share, may change places when they are summed in another order.
+NEAR = 1e-9
 
 
 @lru_cache(4)
@@ -99,7 +101,7 @@ class Forest:
 
 
 def search(df: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, bits: int = BITS, miss: float = MISS, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: for each row whose id is divisible by `every` the k other rows found with the largest inner product, ties to the smaller id.
+    """query_id, rank (from 1), vec_id, score: for each row whose id is divisible by `every` the k other rows found with the largest inner product, ties to the smaller id. A score is the sum of the products of components in their order.
 
     Vectors null, empty, zero, or with a null or non-finite component take no part, as do rows without id; of rows repeating an id the greatest vector counts. Vectors of different lengths have no inner product: each length is searched by itself. Other columns are not read.
     """
@@ -117,10 +119,16 @@ def search(df: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, bits
         for row, (_, s) in zip(top, out, strict=True):
             row[: min(len(s), k + 1)] = np.partition(s, len(s) - k - 1)[-(k + 1) :] if len(s) > k else s
         floor = best.floor(qids, top)
-        keep = [s >= f for (_, s), f in zip(out, floor, strict=True)]  # with all ties
+        keep = [s >= f - NEAR * (abs(f) if f > -np.inf else 0) for (_, s), f in zip(out, floor, strict=True)]  # with all ties
         yield pa.record_batch([pa.array(np.repeat(qids, [x.sum() for x in keep])), pa.array(np.concatenate([cids[f[x]] for (f, _), x in zip(out, keep, strict=True)])), pa.array(np.concatenate([s[x] for (_, s), x in zip(out, keep, strict=True)]))], ["qid", "cid", "score"])
 
-    slabs = slabs_of(df)
+    slabs = slabs_of(classes)
     index = packed(classes, ROWS, slabs, lambda m: Forest.encode(m, trees, bits, seed))
-    found = meet(packed(asked, QUERIES, None), index, slabs, nearest, "qid long, cid long, score double")
-    return ranked(found, classes, queries, k)
+    found = written(meet(packed(asked, QUERIES, None), index, slabs, nearest, "qid long, cid long, score double"))
+    kth = found.withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc()))).where(F.col("r") == k + 1).select("qid", (F.col("score") - NEAR * F.abs("score")).alias("kth"))
+    few = found.join(kth, "qid", "left").where(F.col("kth").isNull() | (F.col("score") >= F.col("kth"))).select("qid", "cid")
+    # block products add up in orders of their own: the scores that count are summed again, component by component
+    vectors = classes.select("cid", "v")
+    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    pairs = few.join(vectors, "cid").join(asked.select(F.col("cid").alias("qid"), F.col("v").alias("q")), "qid")
+    return ranked(pairs.select("qid", "cid", score.alias("score")), classes, queries, k)

@@ -82,3 +82,45 @@ def test_near_vectors_need_few_scores():
     best = np.argsort(-(m[:50] @ m.T), axis=1)[:, :21]
     assert np.mean([np.isin(b, f).mean() for b, (f, _) in zip(best, found, strict=True)]) >= 0.95
     assert np.mean([len(f) for f, _ in found]) <= 0.2 * len(m)
+
+
+def test_large_components(spark):
+    """Scores beyond 64 bits are no results, the pairs that fit stay, whatever other rows hold."""
+    three = spark.createDataFrame([(0, [1 / 256, 0.0]), (1, [1.0, 0.0]), (61, [1e30, 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in vafile.search(three).collect()] == [(0, 1, 1, 256)]
+    r = np.random.default_rng(8)
+    m = r.standard_normal((80, 4))
+    m[10], m[20], m[30], m[40] = [1e30, 0, 0, 0], [-1e200, 1e200, 0, 0], [2.0**54, -(2.0**54), 1, 0], [2.0**30, 2.0**30, 0, 0]
+    m[50] = [1e307, 0, 0, 0]  # not finite once it is scaled
+    m[60] = [1e15, 1e15, 0, 0]
+    ids = [i * 10 for i in range(80)]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, m, strict=True)], "vec_id long, embedding array<double>").repartition(3)
+    whole = [[int(np.floor(256 * c)) for c in x] for x in m.tolist() if abs(x[0]) < 1e300]
+    own = [i for i, x in zip(ids, m.tolist(), strict=True) if abs(x[0]) < 1e300]
+    want = set()
+    for i, q in enumerate(own):
+        if q % 50 == 0:
+            near = [(-sum(a * b for a, b in zip(whole[i], whole[j], strict=True)), own[j]) for j in range(len(own)) if j != i]
+            near = sorted(x for x in near if -(2**63) <= -x[0] < 2**63)[:5]
+            want |= {(q, n + 1, v, -s) for n, (s, v) in enumerate(near)}
+    assert {tuple(x) for x in vafile.search(df).collect()} == want
+
+
+def test_bounds_are_read_until_the_result_is_certain(spark):
+    """Coarse cells, so that many bounds lie above the best scores and several portions are read."""
+    r = np.random.default_rng(2)
+    m = r.uniform(-1, 1, (700, 6))
+    ids = [i * 5 for i in range(700)]
+    ints = np.floor(256 * m)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, m, strict=True)], "vec_id long, embedding array<double>").repartition(2)
+    assert {tuple(x) for x in vafile.search(df, k=2, bits=1).collect()} == brute(ids, ints @ ints.T, 2, 50)
+
+
+def test_scores_are_sums_in_order(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    v = {r["vec_id"]: [float(x) for x in r["embedding"]] for r in df.collect()}
+    for r in prefix_forest.search(df).collect():
+        total = 0.0
+        for a, b in zip(v[r["query_id"]], v[r["vec_id"]], strict=True):
+            total += a * b
+        assert r["score"] == total
