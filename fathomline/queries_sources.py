@@ -7,9 +7,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import signal
 from .operators import terrain
+from .plans import incremental
 from .queries import GRAM, query, r6, radargram
 from .sources import rasters, splits
+from .streaming import channels
 
 
 def folder(spark: SparkSession) -> str:
@@ -103,3 +106,43 @@ def heights_from_rasters(spark, sf_dir) -> DataFrame:
     points = radargram(spark, sf_dir).select("vec_id", (F.col("product") * 10 - 50 - (F.col("trace") + 0.8) / 8).alias("lat"), ((F.col("vec_id") % 60 + 1.2) / 8).alias("lon"))
     out = terrain.heights(points, grid, "vec_id", "lat", "lon", 49.9375, 0.0625, 0.125).where("height IS NOT NULL")
     return out.select("vec_id", (F.round("height", 5) + 0.0).alias("height"))
+
+
+# Vectors arrive as records of two channels; three outputs, of one channel and of two.
+@query(
+    """WITH outs(chanout, a, sa, b, sb) AS (VALUES (1, 1, 1.0, 0, 0.0), (2, 2, 0.5, 0, 0.0), (3, 1, 1.0, 2, -1.0)),
+traces AS (SELECT vec_id // 2 AS record, 1 + vec_id % 2 AS channel, generate_subscripts(embedding, 1) - 1 AS k, unnest(embedding)::DOUBLE AS x FROM embeddings),
+scaled AS (SELECT chanout, record, k, x * CASE WHEN channel = a THEN sa ELSE sb END AS x, CASE WHEN b = 0 THEN 1 ELSE 2 END AS parts FROM traces JOIN outs ON channel = a OR channel = b),
+coherent AS (SELECT chanout, record // 6 AS block, record // 3 AS stack, k, sum(x) AS x, count(*) AS n, any_value(parts) AS parts FROM scaled GROUP BY ALL),
+looks AS (SELECT chanout, block, k, avg(abs(x)) AS m FROM coherent GROUP BY chanout, block, k, parts HAVING sum(n) = 6 * parts)
+SELECT chanout::INT AS chanout, block, round(sum(m), 5) AS total, round(max(m), 5) AS peak FROM looks GROUP BY chanout, block"""
+)
+def streamed_channel_looks(spark, sf_dir) -> DataFrame:
+    at = folder(spark)
+    spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").write.parquet(f"{at}/in")
+    stream = spark.readStream.schema("vec_id long, embedding array<float>").option("maxFilesPerTrigger", 2).parquet(f"{at}/in")
+    rows = stream.select(F.lit("all").alias("line"), F.floor(F.col("vec_id") / 2).alias("record"), (1 + F.col("vec_id") % 2).cast("int").alias("channel"), "embedding")
+    out = channels.looks(rows, "line", "record", "channel", "embedding", signal.channel_specs("[1,1,1,0,0; 2,2,0.5,0,0; 3,1,1,2,-1]"), 3, 2)
+    out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    total = F.aggregate("magnitude", F.lit(0.0), lambda a, x: a + x)
+    done = spark.read.schema("line string, chanout int, block long, magnitude array<double>").parquet(f"{at}/out")
+    return done.select("chanout", "block", F.round(total, 5).alias("total"), F.round(F.array_max("magnitude"), 5).alias("peak"))
+
+
+# Three runs of two stages: all products, none, then those whose version has grown.
+@query("WITH p AS (SELECT label AS product, count(*) AS n, sum(embedding[1]) AS x FROM embeddings GROUP BY label), runs AS (SELECT 1 AS run, product FROM p UNION ALL SELECT 3, product FROM p WHERE product % 3 = 1) SELECT run, stage, product::BIGINT AS product, CASE stage WHEN 'sums' THEN round(x, 4) ELSE round(x / n, 4) END + 0.0 AS value FROM runs JOIN p USING (product), (VALUES ('sums'), ('means')) AS s(stage)")
+def incremental_runs(spark, sf_dir) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("label").alias("product"), F.col("embedding")[0].cast("double").alias("x"))
+    products, at, journals = rows.select("product").distinct(), folder(spark), []
+    stages = [
+        incremental.Stage("sums", ("rows",), lambda i: i["rows"].groupBy("product").agg(F.sum("x").alias("value"))),
+        incremental.Stage("means", ("sums", "rows"), lambda i: i["rows"].groupBy("product").count().join(i["sums"], "product").select("product", (F.col("value") / F.col("count")).alias("value"))),
+    ]
+    made = spark.createDataFrame([], "run int, stage string, product string")
+    for no in (1, 2, 3):
+        version = F.when((F.lit(no) == 3) & (F.col("product") % 3 == 1), 2).otherwise(1)
+        pipeline = incremental.Pipeline(spark, at, {"rows": rows}, {"rows": products.withColumn("version", version)}, stages)
+        pipeline.run().where("error IS NULL").select(F.lit(no).alias("run"), "stage", "product").write.parquet(f"{at}/made/{no}")
+        made = made.unionByName(spark.read.schema(made.schema).parquet(f"{at}/made/{no}"))
+    values = pipeline.output("sums").withColumn("stage", F.lit("sums")).unionByName(pipeline.output("means").withColumn("stage", F.lit("means")))
+    return made.join(values, ["stage", "product"]).select("run", "stage", F.col("product").cast("long").alias("product"), (F.round("value", 4) + 0.0).alias("value"))
