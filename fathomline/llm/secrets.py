@@ -1,8 +1,8 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-The forest sees a candidate's length, character transitions, dictionary coverage, the path it comes from and its neighbouring words. Dictionary and transitions are counted over all documents, in vectors of fixed size. It is trained from labelled findings. Where a caller has none, secrets and look-alikes of known kinds are planted into a sample of the documents: what was planted gives the label, and no pattern that the features use does.
+The forest sees a candidate's length, character transitions, dictionary coverage, the path it comes from and its neighbouring words. Dictionary and transitions are counted over all documents, in vectors of fixed size. What neighbouring words, words within a candidate and parts of its path speak for is learned from the labelled findings, as the forest is: no feature knows a name of a credential, a word of an example or a provider's format. Findings are texts in which a span is marked as a secret or as none. Where a caller has none, secrets and look-alikes of known kinds are planted into a sample of the documents; issuers' prefixes and names are drawn at random, so that other ones are recognised by their build.
 
-Of name=value the value alone is the candidate. What is assigned to a credential's name is one from 8 characters on, quoted or not; a private key's block is one candidate.
+Of name=value the value alone is the candidate. What is assigned to a credential's name is one from 8 characters on, quoted or not, as is the password of an address from 6 on; a private key's block is one candidate.
 """
 
 import re
@@ -10,12 +10,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import BYTE_CODES, LOWER, Rolling, pieces
+from .frames import BYTE_CODES, LOWER, Rolling, pieces, written
 
 LETTERS = 27
 WORDS = 1 << 18
@@ -23,22 +22,26 @@ WORDS = 1 << 18
 SLICES = 64
 #: Labelled findings to train on, at most: those with the least hashes. Planted ones: so many in each sampled document.
 SAMPLE, TREES, DEPTH, EACH = 20_000, 24, 10, 16
-#: What can be a secret, the names of credentials, words that mark examples, formats of providers, paths.
+#: Hashed words whose evidence is learned.
+EVIDENCE = 1 << 15
+#: What can be a secret, and names after which short values can be one.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}|(?<=[\"'=:])[^\s\"'<>]{8,}(?=[\"'])")
 CREDENTIAL = re.compile(r"token|secret|passw|passphrase|pwd|credential|auth|bearer|api.?key|access.?key|private.?key|client.?key", re.I)
-EXAMPLE = re.compile(r"example|sample|dummy|placeholder|changeme|xxxx|test|fake|your", re.I)
-FORMAT = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-QUIET_PATH = re.compile(r"test|doc|example|vendor|lock|min\.", re.I)
 ASSIGNED = re.compile(r"[:=]>?\s*(?:(?:bearer|basic)\s+)?[\"'`]?$", re.I)
 #: What follows a separator (looked ahead at, so that values may hold separators), the name before it, and the ends of a private key's block with the lines of one that has no end.
 VALUE = re.compile(r"[:=]>?[ \t]*(?:(?:bearer|basic)[ \t]+)?[\"'`]?(?=((?!\w+://)(?:(?!&\w+=)[^\s\"'`<>]){8,}))", re.I)
+PASSWORD = re.compile(r"\w://[^\s:/@\"'<>]*:(?=([^\s/@\"'<>]{6,})@)")
 NAME = re.compile(rf"(?:{CREDENTIAL.pattern})[\w.-]*[\"'\]]*\s*$", re.I)
 SPLIT = re.compile(r"[\w./~+-]+=(?=[^=])")
 KEY_EDGE = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----")
 KEY_LINES = re.compile(r"(?:(?:[ \t\r\n]|\\[rn])+[A-Za-z0-9+/]{16,}={0,2})*(?:(?:[ \t\r\n]|\\[rn])+[A-Za-z0-9+/]+={1,2})?")
 HEX = re.compile("[0-9a-fA-F]+").fullmatch
+PIECES = re.compile("[A-Z]?[a-z]+|[A-Z]+").findall
+PARTS = re.compile(r"[^A-Za-z0-9]+").split
 REDACTED = "[secret]"
-FEATURES = ["length", "upper", "lower", "digit", "mark", "entropy", "changes", "pairs", "longest_run", "hex", "coverage", "triples", "quoted", "assigned", "named", "own_name", "example", "format", "path_quiet", "path_depth", "path_length"]
+FEATURES = ["length", "upper", "lower", "digit", "mark", "entropy", "changes", "pairs", "longest_run", "hex", "coverage", "triples", "quoted", "assigned", "block", "in_address", "parts", "body", "body_entropy", "body_kinds", "head", "path_depth", "path_length", "near_evidence", "own_evidence", "path_evidence"]
+#: Of these, those that Evidence fills in.
+LEARNED = 3
 
 
 def letters(data: np.ndarray) -> np.ndarray:
@@ -110,6 +113,8 @@ def spans_of(text: str) -> list[tuple[int, int, bool]]:
         a, b = m.start(1), m.start(1) + len(m[1].rstrip(".,;:)]}"))
         if b - a >= 8 and NAME.search(text[max(0, m.start() - 48) : m.start()]):
             fixed.append((a, b, False))
+    if "://" in text:
+        fixed += [(m.start(1), m.end(1), False) for m in PASSWORD.finditer(text)]
     out, done = [], 0
     for a, b, block in [*sorted(fixed, key=lambda x: (x[0], not x[2])), (len(text), len(text), False)]:
         if a < done:
@@ -125,18 +130,48 @@ def spans_of(text: str) -> list[tuple[int, int, bool]]:
     return out
 
 
-def described(texts: list[str | None], paths: list[str | None], words: Dictionary) -> tuple[list[tuple[int, int, int]], np.ndarray]:
-    """The candidates of some texts, in order: number of the text, first character, last + 1; and a row of FEATURES each."""
-    spans, found, facts = [], [], []
+def hashed(words: list[str]) -> list[int]:
+    """Numbers of some words, each once."""
+    return sorted({zlib.crc32(w.lower().encode()) % EVIDENCE for w in words})
+
+
+class Evidence:
+    """How much more often a word stands by secrets than by look-alikes, as a logarithm; of rare words little."""
+
+    def __init__(self, words: list[list[list[int]]], labels: np.ndarray):
+        count = np.zeros((2, LEARNED, EVIDENCE))
+        for own, y in zip(words, labels.tolist(), strict=True):
+            for c, group in enumerate(own):
+                count[y, c, group] += 1
+        all_ = np.bincount(labels, minlength=2) + 1.0
+        self.odds = np.clip(np.log((count[1] + 4 * all_[1] / all_.sum()) / (count[0] + 4 * all_[0] / all_.sum())) - np.log(all_[1] / all_[0]), -4, 4)
+
+    def of(self, words: list[list[list[int]]]) -> np.ndarray:
+        """A row of LEARNED features for each finding."""
+        out = np.array([[self.odds[c, group].sum() if group else 0.0 for c, group in enumerate(own)] for own in words], np.float32)
+        return np.clip(out, -8, 8).reshape(-1, LEARNED)
+
+
+def described(texts: list[str | None], paths: list[str | None], words: Dictionary) -> tuple[list[tuple[int, int, int]], np.ndarray, list[list[list[int]]]]:
+    """The candidates of some texts, in order: number of the text, first character, last + 1; a row of FEATURES each, the learned ones 0; and the numbers of the words near it, in it, and in its path."""
+    spans, found, facts, bodies, near_words = [], [], [], [], []
+    known_paths: dict[str, list[int]] = {}
     for k, (text, path) in enumerate(zip(texts, paths, strict=True)):
         for a, b, block in spans_of(text) if text else ():
             s, before, after, path = text[a:b], text[max(0, a - 48) : a], text[b : b + 1], path or ""
-            near, sign = " ".join(before.split()[-4:]), ASSIGNED.search(before)
+            if path not in known_paths:
+                known_paths[path] = hashed(PIECES(path))
             spans.append((k, a, b))
             found.append(s.encode())
-            facts.append((HEX(s) is not None, before[-1:] in "\"'" and after in "\"'" and bool(after), sign is not None, CREDENTIAL.search(near) is not None, sign is not None and NAME.search(before[: sign.start()]) is not None, EXAMPLE.search(near + s) is not None, block or FORMAT.search(s) is not None, QUIET_PATH.search(path) is not None, path.count("/"), min(len(path), 200)))
+            parts = [x for x in PARTS(s) if x]
+            body = max(parts, key=len, default="")
+            bodies.append(body)
+            near = " ".join(before.split()[-4:])
+            near_words.append([hashed(PIECES(near)), hashed([x for x in PIECES(s) if len(x) >= 4]), known_paths[path]])
+            in_address = after == "@" and "://" in before
+            facts.append((HEX(s) is not None, before[-1:] in "\"'" and after in "\"'" and bool(after), ASSIGNED.search(before) is not None, block, in_address, len(parts), len(body) / len(s), (len(parts[0]) if len(parts) > 1 and parts[0].isalpha() else 0), path.count("/"), min(len(path), 200)))
     if not spans:
-        return spans, np.zeros((0, len(FEATURES)), np.float32)
+        return spans, np.zeros((0, len(FEATURES)), np.float32), near_words
     data = np.frombuffer(b"".join(found), np.uint8)
     at = np.concatenate(([0], np.cumsum([len(x) for x in found])))
     n = np.diff(at)
@@ -156,8 +191,14 @@ def described(texts: list[str | None], paths: list[str | None], words: Dictionar
     x = letters(data)
     triple = words.odds[(x[:-2] * LETTERS + x[1:-1]) * LETTERS + x[2:]]
     f = np.array(facts, np.float32).T
-    columns = [n, sums(upper) / n, sums(lower) / n, sums(digit) / n, 1 - sums(kind > 0) / n, entropy, inner(kind[1:] != kind[:-1], 2), inner(data[1:] == data[:-1], 2), longest / n, f[0], coverage / n, inner(triple, 3), *f[1:]]
-    return spans, np.stack(columns, axis=1).astype(np.float32)
+    body_entropy, body_kinds = np.zeros(len(n)), np.zeros(len(n))
+    for i, body in enumerate(bodies):
+        if body:
+            times = np.array([body.count(c) for c in set(body)]) / len(body)
+            body_entropy[i] = -(times * np.log2(times)).sum()
+            body_kinds[i] = (body.lower() != body and body.upper() != body) + any(c.isdigit() for c in body) + any(c.isalpha() for c in body)
+    columns = [n, sums(upper) / n, sums(lower) / n, sums(digit) / n, 1 - sums(kind > 0) / n, entropy, inner(kind[1:] != kind[:-1], 2), inner(data[1:] == data[:-1], 2), longest / n, f[0], coverage / n, inner(triple, 3), *f[1:7], body_entropy, body_kinds, *f[7:], *np.zeros((LEARNED, len(n)))]
+    return spans, np.stack(columns, axis=1).astype(np.float32), near_words
 
 
 class Forest:
@@ -207,11 +248,10 @@ class Forest:
 
 LOWERS, UPPERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ALNUM, HEXES, BASE64 = LOWERS + UPPERS + DIGITS, DIGITS + "abcdef", LOWERS + UPPERS + DIGITS + "+/"
-#: How credentials are called, what is called otherwise, how a value is assigned, and the beginnings of provider formats.
-NAMES = ["token", "api_key", "apiKey", "API_KEY", "secret", "client_secret", "SECRET_KEY", "AWS_SECRET_ACCESS_KEY", "access_key", "auth_token", "password", "passwd", "db_password", "DB_PASSWORD", "credential", "private_key", "TOKEN", "Token"]
+#: How credentials are called, what is called otherwise, and how a value is assigned.
+NAMES = ["token", "api_key", "apiKey", "API_KEY", "secret", "client_secret", "SECRET_KEY", "access_key", "auth_token", "password", "passwd", "db_password", "DB_PASSWORD", "credential", "private_key", "TOKEN", "Token"]
 PLAIN = ["commit", "sha256", "md5", "etag", "checksum", "id", "request_id", "build", "version", "digest", "revision", "uuid", "file", "ref", "session", "order", "number", "image"]
 FORMS = ['{n} = "{v}"', "{n} = '{v}'", "{n}={v}", "{n}: {v}", '"{n}": "{v}"', "export {n}={v}", "{n} => '{v}'", "--{n}={v}", "{n} {v}", "?{n}={v}&page=2"]
-PREFIXES = [("AKIA", UPPERS + DIGITS, 16), ("ASIA", UPPERS + DIGITS, 16), ("ghp_", ALNUM, 36), ("gho_", ALNUM, 36), ("xoxb-", DIGITS + LOWERS, 24), ("sk_live_", ALNUM, 24), ("AIza", ALNUM + "_-", 35)]
 
 
 class Planter:
@@ -237,25 +277,31 @@ class Planter:
 
     def secret(self) -> tuple[str, str, str]:
         """Kind, the text that holds it, the secret."""
-        kind = self.one(["hex", "alnum", "base64", "password", "format", "bearer", "jwt", "block"])
-        if kind == "format":
-            start, letters, n = self.one(PREFIXES)
-            value = start + self.of(letters, n)
-            return kind, *self.put(self.one([*NAMES, *PLAIN]), value, [*FORMS, "{v}"])
+        kind = self.one(["hex", "alnum", "base64", "password", "issued", "issued", "dotted", "bearer", "address", "block"])
+        if kind in ("issued", "dotted"):  # an issuer's letters, and what it has drawn
+            letters = self.one([ALNUM, ALNUM, ALNUM + "_-", UPPERS + DIGITS, DIGITS + LOWERS])
+            start = self.of(self.one([LOWERS, UPPERS]), self.r.integers(2, 7)) + self.one(["-", "_", ".", "", "_" + self.of(LOWERS, 4) + "_"])
+            size = (18, 49) if kind == "issued" else (16, 30)
+            value = start + self.of(letters, self.r.integers(*size))
+            if kind == "dotted":
+                value += self.one([".", "-"]) + self.of(letters, self.r.integers(20, 48))
+                value += "." + self.of(letters, 43) if self.r.random() < 0.4 else ""
+            return kind, *self.put(self.one([*NAMES, *PLAIN]), value, [*FORMS, "{v}", "{v}", "{v}", "{v}"])
+        if kind == "address":
+            value = self.of(self.one([ALNUM, ALNUM + "!$%*-_"]), self.r.integers(7, 20)) + self.of(DIGITS, 1)
+            return kind, f"{self.of(LOWERS, self.r.integers(3, 9))}://{self.one([self.one(self.words), self.of(LOWERS, 5)])}:{value}@{self.one(self.words)}.{self.of(LOWERS, 3)}:{self.of(DIGITS, 4)}/{self.of(LOWERS, 4)}", value
         if kind == "block":
             lines = "\n".join(self.of(BASE64, 64) for _ in range(self.r.integers(3, 9)))
             value = f"-----BEGIN {self.one(['RSA ', 'EC ', ''])}PRIVATE KEY-----\n{lines}\n-----END PRIVATE KEY-----"
             return kind, value, value
         if kind == "bearer":
             return kind, *self.put("Authorization", self.of(ALNUM, self.r.integers(12, 48)), ["{n}: Bearer {v}", '"{n}": "Bearer {v}"'])
-        if kind == "jwt":
-            return kind, *self.put(self.one(NAMES), f"eyJ{self.of(ALNUM, 20)}.eyJ{self.of(ALNUM, 40)}.{self.of(ALNUM, 43)}")
         value = {"hex": lambda: self.of(self.one([HEXES, HEXES.upper()]), self.one([32, 40, 64])), "alnum": lambda: self.of(ALNUM, self.r.integers(16, 48)), "base64": lambda: self.of(BASE64, self.one([40, 43, 64])), "password": lambda: self.of(ALNUM, self.r.integers(7, 14)) + self.of(DIGITS, 1) + self.of("!$%*@Aax", self.r.integers(1, 3))}[kind]()
         return kind, *self.put(self.one(NAMES), value, FORMS[:9] if kind != "base64" else FORMS[:6])
 
     def look_alike(self) -> tuple[str, str, str]:
         """Kind, the text that holds it, what looks like a secret."""
-        kind = self.one(["digest", "uuid", "number", "mail", "address", "path", "time", "identifier", "glued", "placeholder", "reference", "rule", "image", "word"])
+        kind = self.one(["digest", "uuid", "number", "mail", "address", "path", "time", "identifier", "glued", "placeholder", "reference", "rule", "image", "word", "release", "login"])
         hexes = lambda n: self.of(HEXES, n)
         value = {
             "digest": lambda: hexes(self.one([32, 40, 64])),
@@ -270,21 +316,25 @@ class Planter:
             "word": lambda: self.glued("-", 16),
             "placeholder": lambda: self.one(["changeme-changeme", "your_secret_goes_here", "xxxxxxxxxxxxxxxx", "********************", "<insert-token-here>", "example-example-1234", "REPLACE_WITH_YOUR_KEY", "dummy-dummy-dummy-00", "test-test-test-test"]),
             "reference": lambda: self.one(["os.environ[{}]", "${{{}}}", "config.get_value({})", "process.env.{}", "vault:kv/data/{}", "{{{{ {} }}}}"]).format(self.glued("_", 12)),
+            "release": lambda: f"{self.one(self.words)}-{self.of(DIGITS, 1)}.{self.of(DIGITS, 2)}.{self.of(DIGITS, 1)}-{self.one(self.words)}.{self.of(LOWERS, 3)}",
+            "login": lambda: self.one(["password", "changeme", "PASSWORD", "<password>", "${PASSWORD}", "$DB_PASS", "xxxxxxxx", "********"]),
             "rule": lambda: self.one("=-_~.") * int(self.r.integers(16, 60)),
             "image": lambda: self.of(BASE64, 120),
         }[kind]()
         if kind in ("placeholder", "reference"):
             return kind, *self.put(self.one(NAMES), value)
+        if kind == "login":
+            return kind, f"{self.of(LOWERS, self.r.integers(3, 9))}://{self.one(self.words)}:{value}@{self.one(self.words)}.{self.of(LOWERS, 3)}/", value
         if kind == "image":
             return kind, f"data:image/png;base64,{value}", value
         return kind, *self.put(self.one(PLAIN), value, [*FORMS, "{v}", "{v}", "{v}"])
 
 
-FINDING = "kind string, features array<float>, label int"
+FINDING = "kind string, path string, text string, start int, length int, label int"
 
 
 def planted(docs: DataFrame, words: Dictionary, sample: int = SAMPLE, seed: int = 1) -> DataFrame:
-    """docs: text, path. Labelled findings (kind, features, label 1 or 0), `sample` at most: documents with the least hashes get EACH secrets or look-alikes in an excerpt of theirs, half of either.
+    """docs: text, path. Labelled findings (FINDING), `sample` at most: documents with the least hashes get EACH secrets or look-alikes in an excerpt of theirs, as drawn.
 
     Only documents below a bound on the hash are sorted, about twice as many as it takes.
     """
@@ -296,49 +346,82 @@ def planted(docs: DataFrame, words: Dictionary, sample: int = SAMPLE, seed: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, kinds = [], []
-            for text in batch["text"].to_pylist():
+            rows = []
+            for text, path in zip(batch["text"].to_pylist(), batch["path"].to_pylist(), strict=True):
                 r = np.random.default_rng([seed, zlib.crc32(text.encode())])
-                for k in range(EACH):
+                for _ in range(EACH):
                     lo = int(r.integers(0, max(1, len(text) - 400)))
                     own = text[lo : lo + 400].split()
                     p = Planter(r, [w for w in own[1:-1] if w.isalpha()][:60])
-                    kind, put, value = p.secret() if k % 2 else p.look_alike()
+                    label = int(r.integers(2))
+                    kind, put, value = p.secret() if label else p.look_alike()
                     cut = int(r.integers(0, len(own) + 1))
                     before = " ".join(own[:cut])
-                    texts.append(f"{before}{p.one([' ', chr(10)])}{put}{p.one([' ', chr(10), ' '])}{' '.join(own[cut:])}")
-                    at = len(before) + 1 + put.index(value)
-                    kinds.append((kind, k % 2, at, at + len(value)))
-            spans, x = described(texts, [path for path in batch["path"].to_pylist() for _ in range(EACH)], words)
-            mine = [(kinds[k], f) for (k, a, b), f in zip(spans, x, strict=True) if max(a, kinds[k][2]) < min(b, kinds[k][3])]
-            yield pa.record_batch([pa.array([k[0] for k, _ in mine], pa.string()), pa.array([f for _, f in mine], pa.list_(pa.float32())), pa.array([k[1] for k, _ in mine], pa.int32())], ["kind", "features", "label"])
+                    rows.append((kind, path, f"{before}{p.one([' ', chr(10)])}{put}{p.one([' ', chr(10), ' '])}{' '.join(own[cut:])}", len(before) + 1 + put.index(value), len(value), label))
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["kind", "path", "text", "start", "length", "label"])
 
     return few.mapInArrow(run, FINDING)
 
 
-def train(findings: DataFrame, sample: int = SAMPLE) -> Forest:
-    """findings: features and label (0 or 1; others don't count). As many of either label as the sample holds, by hash: half the sample each at most."""
-    known = findings.where(F.col("label").isin(0, 1)).select("features", "label", F.xxhash64("features").alias("h"))
-    half = [known.where(F.col("label") == y).orderBy("h").limit(sample // 2) for y in (0, 1)]
-    got = pd.DataFrame([(r["features"], r["label"]) for d in half for r in d.collect()], columns=["x", "y"])
-    x = np.array(got["x"].tolist(), np.float32).reshape(-1, len(FEATURES))
-    return Forest(x, got["y"].to_numpy(float))
+def candidates(findings: DataFrame, words: Dictionary) -> DataFrame:
+    """findings with features and near (of described()): of each the first candidate that overlaps its span; findings that no candidate meets are left out."""
+    rows = findings.select(*(F.col(c) for c in ("kind", "path", "text")), F.col("start").cast("int"), F.col("length").cast("int"), F.col("label").cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans, x, near = described(batch["text"].to_pylist(), batch["path"].to_pylist(), words)
+            start, stop, own = batch["start"].to_pylist(), [a + n for a, n in zip(batch["start"].to_pylist(), batch["length"].to_pylist(), strict=True)], {}
+            for i, (k, a, b) in enumerate(spans):
+                if start[k] is not None and a < stop[k] and b > start[k]:
+                    own.setdefault(k, i)
+            took = batch.take(pa.array(list(own), pa.int64()))
+            yield pa.record_batch([*took.columns, pa.array(list(x[list(own.values())]), pa.list_(pa.float32())), pa.array([near[i] for i in own.values()], pa.list_(pa.list_(pa.int32())))], [*took.schema.names, "features", "near"])
+
+    return rows.mapInArrow(run, FINDING + ", features array<float>, near array<array<int>>")
+
+
+class Model:
+    """What neighbouring words speak for, and a forest over all features. In training each half of the findings gets the evidence of the other, so that none speaks for itself."""
+
+    def __init__(self, x: np.ndarray, near: list[list[list[int]]], labels: np.ndarray, seed: int = 4):
+        x, half = x.copy(), np.random.default_rng(seed).random(len(labels)) < 0.5
+        for one, other in ((half, ~half), (~half, half)):
+            if one.any():
+                x[one, -LEARNED:] = Evidence([near[i] for i in np.flatnonzero(other)], labels[other]).of([near[i] for i in np.flatnonzero(one)])
+        self.evidence, self.forest = Evidence(near, labels), Forest(x, labels.astype(float))
+
+    def score(self, x: np.ndarray, near: list[list[list[int]]]) -> np.ndarray:
+        x = x.copy()
+        x[:, -LEARNED:] = self.evidence.of(near)
+        return self.forest.score(x)
+
+
+def train(findings: DataFrame, words: Dictionary, sample: int = SAMPLE) -> Model:
+    """findings: kind, path, text, start, length (in characters) and label (0 or 1; others don't count). As many of either label as the sample holds, by hash: half the sample each at most."""
+    known = findings.where(F.col("label").isin(0, 1) & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text", "start", "length"))
+    half = [known.where(F.col("label") == y).orderBy("h").limit(sample // 2).drop("h") for y in (0, 1)]
+    got = candidates(half[0].unionByName(half[1]), words).select("features", "near", "label", "text", "start").collect()  # `sample` rows at most
+    got = sorted(got, key=lambda r: (r["text"], r["start"]))
+    x = np.array([r["features"] for r in got], np.float32).reshape(-1, len(FEATURES))
+    return Model(x, [r["near"] for r in got], np.array([r["label"] for r in got], int))
 
 
-def _prepared(docs: DataFrame, findings: DataFrame | None, sample: int, text_col: str, path_col: str | None) -> tuple[Dictionary, Forest]:
+def _prepared(docs: DataFrame, findings: DataFrame | None, sample: int, text_col: str, path_col: str | None) -> tuple[Dictionary, Model]:
     words = Dictionary(counts(docs, text_col))
     if findings is None:
         plain = docs.select(F.col(text_col).alias("text"), (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
-        findings = planted(plain, words, sample)
-    return words, train(findings, sample)
+        findings = written(planted(plain, words, sample))
+    return words, train(findings, words, sample)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """A row for each candidate: doc_id, start and length in characters, sha256 of the candidate, score and is_secret (score >= threshold).
 
-    findings: labelled ones (features of described(), label), such as a reviewer has marked; else planted ones. A null or empty text has no candidates; with no labelled findings nothing is a secret. Rows that repeat an id, or have none, are scanned each for itself. An empty table gives none. Other columns are not read.
+    findings: labelled ones (kind, path, text, start, length, label), such as a reviewer has marked; else planted ones. A null or empty text has no candidates; with no labelled findings nothing is a secret. Rows that repeat an id, or have none, are scanned each for itself. An empty table gives none. Other columns are not read.
     """
-    words, forest = _prepared(docs, findings, sample, text_col, path_col)
+    words, model = _prepared(docs, findings, sample, text_col, path_col)
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,9 +429,9 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
             for lo, _, at in pieces(batch["text"], 4 << 20):
                 some = batch.slice(lo, len(at) - 1)
                 texts = some["text"].to_pylist()
-                spans, x = described(texts, some["path"].to_pylist(), words)
+                spans, x, near = described(texts, some["path"].to_pylist(), words)
                 whose, start, stop = np.array(spans, np.int64).reshape(-1, 3).T
-                yield pa.record_batch([some["doc_id"].take(pa.array(whose)), pa.array(start), pa.array(stop - start), pa.array([texts[k][a:b].encode() for k, a, b in spans], pa.binary()), pa.array(forest.score(x))], ["doc_id", "start", "length", "found", "score"])
+                yield pa.record_batch([some["doc_id"].take(pa.array(whose)), pa.array(start), pa.array(stop - start), pa.array([texts[k][a:b].encode() for k, a, b in spans], pa.binary()), pa.array(model.score(x, near))], ["doc_id", "start", "length", "found", "score"])
 
     out = plain.mapInArrow(run, "doc_id long, start long, length long, found binary, score double")
     return out.select("doc_id", "start", "length", F.sha2("found", 256).alias("sha256"), "score", (F.col("score") >= threshold).alias("is_secret"))
@@ -359,7 +442,7 @@ def redacted(docs: DataFrame, findings: DataFrame | None = None, threshold: floa
 
     Null and empty texts stay as they are, as do rows that repeat an id or have none. An empty table gives none.
     """
-    words, forest = _prepared(docs, findings, sample, text_col, path_col)
+    words, model = _prepared(docs, findings, sample, text_col, path_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,8 +452,8 @@ def redacted(docs: DataFrame, findings: DataFrame | None = None, threshold: floa
                 texts = some[text_col].to_pylist()
                 sizes = some["n_chars"].to_pylist() if "n_chars" in some.schema.names else None
                 paths = [None if x is None else str(x) for x in some[path_col].to_pylist()] if path_col else [None] * len(texts)
-                spans, x = described(texts, paths, words)
-                for (k, a, b), score in zip(reversed(spans), reversed(forest.score(x).tolist()), strict=True):
+                spans, x, near = described(texts, paths, words)
+                for (k, a, b), score in zip(reversed(spans), reversed(model.score(x, near).tolist()), strict=True):
                     if score >= threshold:
                         texts[k] = texts[k][:a] + REDACTED + texts[k][b:]
                         if sizes:
