@@ -277,7 +277,7 @@ class Planter:
 
     def secret(self) -> tuple[str, str, str]:
         """Kind, the text that holds it, the secret."""
-        kind = self.one(["hex", "alnum", "base64", "password", "issued", "issued", "dotted", "bearer", "address", "block"])
+        kind = self.one(["hex", "alnum", "base64", "password", "issued", "issued", "dotted", "bearer", "account", "block"])
         if kind in ("issued", "dotted"):  # an issuer's letters, and what it has drawn
             letters = self.one([ALNUM, ALNUM, ALNUM + "_-", UPPERS + DIGITS, DIGITS + LOWERS])
             start = self.of(self.one([LOWERS, UPPERS]), self.r.integers(2, 7)) + self.one(["-", "_", ".", "", "_" + self.of(LOWERS, 4) + "_"])
@@ -287,7 +287,7 @@ class Planter:
                 value += self.one([".", "-"]) + self.of(letters, self.r.integers(20, 48))
                 value += "." + self.of(letters, 43) if self.r.random() < 0.4 else ""
             return kind, *self.put(self.one([*NAMES, *PLAIN]), value, [*FORMS, "{v}", "{v}", "{v}", "{v}"])
-        if kind == "address":
+        if kind == "account":
             value = self.of(self.one([ALNUM, ALNUM + "!$%*-_"]), self.r.integers(7, 20)) + self.of(DIGITS, 1)
             return kind, f"{self.of(LOWERS, self.r.integers(3, 9))}://{self.one([self.one(self.words), self.of(LOWERS, 5)])}:{value}@{self.one(self.words)}.{self.of(LOWERS, 3)}:{self.of(DIGITS, 4)}/{self.of(LOWERS, 4)}", value
         if kind == "block":
