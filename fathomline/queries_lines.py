@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from . import queries_echoes
 from .functions import rotation
-from .operators import interferometry, optimisation, phases, resampling
+from .operators import across, interferometry, optimisation, phases, resampling
 from .queries import GRAM, query, r6, radargram, table
 from .queries_echoes import COHERENCE
 
@@ -131,3 +131,42 @@ draws AS (SELECT c_custkey, floor(('0x' || substr(md5('1:' || c_custkey || ':' |
 @query(DRAWS + "SELECT c_custkey, round(avg(phase), 6) + 0.0 AS mean FROM draws JOIN parts USING (part) GROUP BY c_custkey")
 def drawn_phase_means(spark, sf_dir):
     return phases.drawn_means(table(spark, sf_dir, "customer"), "c_custkey", 8, 0.7, 1, 20.0).select("c_custkey", r6("mean").alias("mean"))
+
+
+# Places to both sides of a curved track, and the nearest customers on a sphere.
+SIDES = (
+    GRAM
+    + """, ups AS (SELECT product, trace, [cos(la) * cos(lo), cos(la) * sin(lo), sin(la)] AS up FROM (SELECT product, trace, radians(-60 + (trace * 7 + product * 11) % 120 * 0.9 + trace * 0.1) AS la, radians(trace * 1.3 + product * 7) AS lo FROM gram)),
+steps AS (SELECT product, trace, up, coalesce(lead(up) OVER w, up) AS b, coalesce(lag(up) OVER w, up) AS a FROM ups WINDOW w AS (PARTITION BY product ORDER BY trace)),
+level AS (SELECT product, trace, up, list_transform(range(1, 4), lambda i: b[i] - a[i] - (list_inner_product(b, up) - list_inner_product(a, up)) * up[i]) AS l FROM steps),
+alongs AS (SELECT product, trace, up, list_transform(l, lambda x: x / sqrt(list_inner_product(l, l))) AS g FROM level),
+sides AS (SELECT product, trace, o AS side, up, [up[2] * g[3] - up[3] * g[2], up[3] * g[1] - up[1] * g[3], up[1] * g[2] - up[2] * g[1]] AS c FROM alongs, range(-1, 2) AS t(o)),
+points AS (SELECT product, trace, side, list_transform(range(1, 4), lambda i: cos(side * 0.02) * up[i] + sin(side * 0.02) * c[i]) AS p FROM sides) """
+)
+
+
+def _sides(spark, sf_dir):
+    lat = -60 + F.pmod(F.col("trace") * 7 + F.col("product") * 11, F.lit(120)) * 0.9 + F.col("trace") * 0.1
+    rows = radargram(spark, sf_dir).select("product", "trace", lat.alias("lat"), (F.col("trace") * 1.3 + F.col("product") * 7).alias("lon"))
+    return across.places(across.frames(rows, "product", "trace", "lat", "lon"), 20_000.0, 1, 1_000_000.0)
+
+
+@query(SIDES + "SELECT product, trace, side::BIGINT AS side, round(degrees(asin(p[3])), 6) + 0.0 AS lat, round((degrees(atan2(p[2], p[1])) + 360) % 360, 6) % 360 AS lon, round(sqrt(1e12 + 2.25e12 - 3e12 * list_inner_product(p, u.up)), 2) AS metres FROM points JOIN ups u USING (product, trace)")
+def places_across_track(spark, sf_dir):
+    away = across.distance(F.lit(1_500_000.0), "lat", "lon", F.lit(1_000_000.0), "side_lat", "side_lon")
+    return _sides(spark, sf_dir).select("product", "trace", F.col("offset").cast("long").alias("side"), r6("side_lat").alias("lat"), (F.round("side_lon", 6) % 360).alias("lon"), F.round(away, 2).alias("metres"))
+
+
+@query(
+    SIDES
+    + """, grid AS (SELECT c_custkey, [cos(la) * cos(lo), cos(la) * sin(lo), sin(la)] AS q FROM (SELECT c_custkey, radians((c_custkey * 37 % 1601) / 1601.0 * 150 - 75) AS la, radians((c_custkey * 91 % 2003) / 2003.0 * 360) AS lo FROM customer)),
+ranked AS (SELECT product, trace, side, c_custkey, d, row_number() OVER (PARTITION BY product, trace, side ORDER BY d, c_custkey) AS rank FROM (SELECT product, trace, side, c_custkey, sqrt((p[1] - q[1]) ** 2 + (p[2] - q[2]) ** 2 + (p[3] - q[3]) ** 2) AS d FROM points, grid))
+SELECT product, trace, side::BIGINT AS side, rank, c_custkey, round(d, 7) AS distance FROM ranked WHERE rank <= 2"""
+)
+def nearest_cells_across_track(spark, sf_dir):
+    xyz = lambda lat, lon: dict(zip("xyz", across.direction(lat, lon), strict=True))
+    points = _sides(spark, sf_dir).withColumns(xyz("side_lat", "side_lon"))
+    key = F.col("c_custkey")
+    grid = table(spark, sf_dir, "customer").select("c_custkey", ((key * 37 % 1601) / 1601.0 * 150 - 75).alias("lat"), ((key * 91 % 2003) / 2003.0 * 360).alias("lon")).withColumns(xyz("lat", "lon"))
+    out = across.nearest_cells(points, grid, ["product", "trace", "offset"], "c_custkey", ("x", "y", "z"), 2, 0.05)
+    return out.select("product", "trace", F.col("offset").cast("long").alias("side"), F.col("rank").cast("long").alias("rank"), "c_custkey", F.round("distance", 7).alias("distance"))

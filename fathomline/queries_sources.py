@@ -1,7 +1,5 @@
 """Queries of files that Spark derives from the driver's tables and reads again by shares, and the SQL that gives the same rows from the tables."""
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +8,12 @@ from pyspark.sql import functions as F
 from .functions import signal
 from .operators import terrain
 from .plans import incremental
+from .plans.work import folder
 from .queries import GRAM, query, r6, radargram
 from .sources import rasters, splits
 from .streaming import channels
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder where all executors can write."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{at.rstrip('/')}/files/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
 def _written(spark: SparkSession, sf_dir: str, made) -> str:
     """A folder of the files (name, content) that made gives for each product: its number and its traces, in order, as a matrix of whole thousandths."""
 
