@@ -53,8 +53,8 @@ def sampled(df: DataFrame, group: str, pick: str, n: int | DataFrame, seed: int
     return rows.join(n.select(group, F.col("n").alias("n_")), group).where(F.col("turn_") <= F.col("n_")).drop("turn_", "n_")
 
 
-def electron_content(high: DataFrame, low: DataFrame, group: str, channel: str, known: float = 0.0) -> DataFrame:
-    """group, high_id, low_id, tec (per square metre): one for each pick of the higher with each of the lower sounder in a group, beyond the content `known` from a step before.
+def electron_content(high: DataFrame, low: DataFrame, group: str, channel: str, known: float = 0.0, most: int = 1000) -> DataFrame:
+    """group, high_id, low_id, tec (per square metre): one for each pick of the higher with each of the lower sounder in a group, beyond the content `known` from a step before. Of a group with more than `most` picks of a sounder so many are drawn, by a hash of the row.
 
     high: group, id, time (s), altitude (km), height (m); low: these and band. Rows without a time don't count.
     """
@@ -62,7 +62,8 @@ def electron_content(high: DataFrame, low: DataFrame, group: str, channel: str,
     df = 1 / (f * f) - 1 / (HIGH_HZ * HIGH_HZ)
     late = F.col("l.time") - F.col("h.time") - 2 / LIGHT * (F.col("l.height") - F.col("h.height") + 1000 * (F.col("l.altitude") - F.col("h.altitude")))
     tec = late / df * (2 * F.pi() / DELAY) - F.lit(float(known))
-    pairs = high.where("time IS NOT NULL").alias("h").join(low.where("time IS NOT NULL").alias("l"), F.col(f"h.{group}") == F.col(f"l.{group}"))
+    high, low = (sampled(x, group, "time", most) for x in (high, low))
+    pairs = high.alias("h").join(low.alias("l"), F.col(f"h.{group}") == F.col(f"l.{group}"))
     return pairs.select(F.col(f"h.{group}").alias(group), F.col("h.id").alias("high_id"), F.col("l.id").alias("low_id"), tec.alias("tec")).where("tec IS NOT NULL")
 
 

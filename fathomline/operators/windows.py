@@ -60,6 +60,15 @@ def prefix_sum(df: DataFrame, key: str, order: str, value: str, out: str) -> Dat
     return rows.join(base, [key, "chunk_"]).withColumn(out, F.col("base_") + F.sum(value).over(own)).drop("base_", "chunk_")
 
 
+def numbered(df: DataFrame, key: str, chunk: Column, order: list[str], out: str) -> DataFrame:
+    """df with out, the number of each row within its key from 0. chunk: a part of the order, such as a day or thousands of an id, that grows with it; rows are put in order within parts, and the parts' counts added up."""
+    rows = df.withColumn("chunk_", chunk)
+    earlier = Window.partitionBy(key).orderBy("chunk_").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(key, "chunk_").count().withColumn("base_", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
+    own = F.row_number().over(Window.partitionBy(key, "chunk_").orderBy(*order)) - 1
+    return rows.join(base, [key, "chunk_"]).withColumn(out, (F.col("base_") + own).cast("long")).drop("base_", "chunk_")
+
+
 def trace_sums(df: DataFrame, key: str, order: str, samples: str, before: int, after: int) -> DataFrame:
     """df with samples (array of double) summed over `before` traces before to `after` traces after, where all of those are there; other traces have null.
 

@@ -62,7 +62,6 @@ def stages_for(tasks: list[str]) -> list[str]:
 
 
 def processed(files: DataFrame, kind: str = "kind", path: str = "path") -> DataFrame:
-    """kind, products: the products that have a file of each kind, in order, each once; files with other endings than .txt, .h5 and .dat don't count."""
+    """kind, product: which products have a file of each kind, each once; files with other endings than .txt, .h5 and .dat don't count."""
     name = F.element_at(F.split(F.col(path), "/"), -1)
-    rows = files.where(name.rlike(r"\.(txt|h5|dat)$")).select(kind, F.regexp_extract(name, PRODUCT_ID, 0).alias("product")).where("product <> ''").distinct()
-    return rows.groupBy(kind).agg(F.sort_array(F.collect_list("product")).alias("products"))
+    return files.where(name.rlike(r"\.(txt|h5|dat)$")).select(kind, F.regexp_extract(name, PRODUCT_ID, 0).alias("product")).where("product <> ''").distinct()

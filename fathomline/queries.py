@@ -45,13 +45,13 @@ def r6(c) -> F.Column:
 
 
 def radargram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("label").orderBy("vec_id")
-    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("product"), "vec_id", (F.row_number().over(order) - 1).cast("long").alias("trace"), F.transform("embedding", lambda x: x.cast("double")).alias("samples"))
+    rows = windows.numbered(table(spark, sf_dir, "embeddings"), "label", F.floor(F.col("vec_id") / windows.CHUNK), ["vec_id"], "trace")
+    return rows.select(F.col("label").alias("product"), "vec_id", "trace", F.transform("embedding", lambda x: x.cast("double")).alias("samples"))
 
 
 def track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value", (F.row_number().over(order) - 1).cast("long").alias("i"))
+    rows = windows.numbered(table(spark, sf_dir, "events"), "user_id", F.to_date("ts"), ["ts", "event_id"], "i")
+    return rows.select("user_id", "event_id", "ts", "value", "i")
 
 
 GRAM = "WITH gram AS (SELECT label AS product, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS trace, list_transform(embedding, lambda x: x::DOUBLE) AS samples FROM embeddings), cells AS (SELECT product, trace, generate_subscripts(samples, 1) - 1 AS k, unnest(samples) AS x FROM gram) "

@@ -93,4 +93,4 @@ def processed_products(spark, sf_dir):
     files = paths.files(rows, RAW, MADE).join(rows.select("product_id", "o_orderkey"), "product_id")
     there = files.where("(name LIKE 'cmp%' AND o_orderkey % 4 = 0) OR (name = 'srf_txt' AND o_orderkey % 4 = 1) OR (kind = 'clu' AND o_orderkey % 4 = 2) OR (name = 'alt_h5' AND o_orderkey % 4 = 3)")
     out = catalog.processed(there.select("kind", "path"))
-    return out.select("kind", F.size("products").cast("long").alias("n"), F.element_at("products", 1).alias("least"), F.element_at("products", -1).alias("most"))
+    return out.groupBy("kind").agg(F.count("*").alias("n"), F.min("product").alias("least"), F.max("product").alias("most"))

@@ -38,7 +38,7 @@ def test_nearest_cells(spark, k):
     points = np.vstack((r.uniform(0, 1, (60, 3)), r.uniform(-90, 90, (15, 3)), [[7.0, 7.0, 7.5]]))
     g = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(grid)] + [(999, None, 0.0, 0.0)], "c long, x double, y double, z double").repartition(3)
     p = spark.createDataFrame([("p", i, *map(float, x)) for i, x in enumerate(points)] + [("p", 999, 0.0, None, 0.0)], "a string, b int, x double, y double, z double").repartition(2)
-    got = across.nearest_cells(p, g, ["a", "b"], "c", ("x", "y", "z"), k, 0.1)
+    got = across.nearest_cells(p, g, ["a", "b"], "c", ("x", "y", "z"), k, 4.0)
     found = {(r["b"], r["rank"]): (r["c"], round(r["distance"], 9)) for r in got.collect()}
     want = {}
     for i, x in enumerate(points):
@@ -46,10 +46,10 @@ def test_nearest_cells(spark, k):
         for n, j in enumerate(sorted(range(len(grid)), key=lambda j: (d[j], j))[:k]):
             want[i, n + 1] = (j, round(float(d[j]), 9))
     assert found == want
-    few = across.nearest_cells(p, g.limit(0).unionByName(g.where("c = 5 OR c = 6")), ["a", "b"], "c", ("x", "y", "z"), 3, 0.1)
+    few = across.nearest_cells(p, g.limit(0).unionByName(g.where("c = 5 OR c = 6")), ["a", "b"], "c", ("x", "y", "z"), 3, 4.0)
     assert few.count() == 2 * len(points)
-    assert across.nearest_cells(p, g.limit(0), ["a", "b"], "c", ("x", "y", "z"), k).count() == 0
-    assert across.nearest_cells(p.limit(0), g, ["a", "b"], "c", ("x", "y", "z"), k).count() == 0
+    assert across.nearest_cells(p, g.limit(0), ["a", "b"], "c", ("x", "y", "z"), k, 40.0).count() == 0
+    assert across.nearest_cells(p.limit(0), g, ["a", "b"], "c", ("x", "y", "z"), k, 40.0).count() == 0
     assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
 
 
