@@ -4,8 +4,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import queries_echoes
-from .functions import rotation
+from .functions import rotation, traces
 from .operators import across, interferometry, optimisation, phases, resampling
+from .plans import interferometer
 from .queries import GRAM, query, r6, radargram, table
 from .queries_echoes import COHERENCE
 
@@ -170,3 +171,28 @@ def nearest_cells_across_track(spark, sf_dir):
     grid = table(spark, sf_dir, "customer").select("c_custkey", ((key * 37 % 1601) / 1601.0 * 150 - 75).alias("lat"), ((key * 91 % 2003) / 2003.0 * 360).alias("lon")).withColumns(xyz("lat", "lon"))
     out = across.nearest_cells(points, grid, ["product", "trace", "offset"], "c_custkey", ("x", "y", "z"), 2, 0.05)
     return out.select("product", "trace", F.col("offset").cast("long").alias("side"), F.col("rank").cast("long").alias("rank"), "c_custkey", F.round("distance", 7).alias("distance"))
+
+
+# Two antennas that differ by a planted shift, roll and unsteady chirps: with these taken off again the phase is 0 everywhere.
+@query(GRAM + ", n AS (SELECT product, trace // 5 AS look, count(*) AS n FROM gram GROUP BY product, trace // 5 HAVING count(*) = 5) SELECT product, look, k::BIGINT AS k, 0.0::DOUBLE AS phase, 1.0::DOUBLE AS correlation, 2.0::DOUBLE AS shift FROM n, range(63) AS t(k)")
+def interferometer_phases(spark, sf_dir):
+    own = interferometer.Antennas(19.0, 5.0, loopback_reach=3, reach=30, look=5)
+    t = F.col("trace")
+    rows = radargram(spark, sf_dir)
+    mixed = lambda by: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.element_at("samples", (k + by) % 64 + 1) + F.element_at("samples", (k + by + 1) % 64 + 1))
+    rows = rows.withColumns({"re": mixed(0), "im": mixed(19)})  # no energy at the highest frequency, which shifts leave out
+    rolls = rows.select("product", "trace", F.radians((F.floor(t / 5) % 7 - 3) * 0.5).alias("roll"))
+    turn = interferometer.roll_phase(F.radians((F.floor(t / 5) % 7 - 3) * 0.5), own)
+    rolled = lambda x, by: traces.roll(x, by)
+    chirp = F.array(*(F.lit(float(1 + (k * k * 7) % 23)) for k in range(40)))
+    late_a, late_b = F.when(t == 0, 0).otherwise(t % 3 - 1).cast("int"), F.when(t == 0, 0).otherwise(t % 5 - 2).cast("int")
+    other = lambda p, q, s: F.zip_with(p, q, lambda x, y: x * F.cos(turn) + s * y * F.sin(turn))
+    both = rows.select(
+        "product", "trace",
+        rolled(F.col("re"), late_a).alias("ar"), rolled(F.col("im"), late_a).alias("ai"), rolled(chirp, late_a).alias("loop_a"),
+        rolled(other("re", "im", -1), late_b - 2).alias("br"), rolled(other("im", "re", 1), late_b - 2).alias("bi"), rolled(chirp, late_b).alias("loop_b"),
+    )
+    table_ = interferometer.registered(both, rolls, "product", "trace", own)
+    out = interferometer.interferogram(table_, "product", "trace", own)
+    shifts = table_.groupBy("product", F.floor(F.col("trace") / 5).alias("look")).agg(F.round(F.avg("shift"), 6).alias("shift"))
+    return out.join(shifts, ["product", "look"]).select("product", "look", F.col("k").cast("long").alias("k"), (F.round("phase", 5) + 0.0).alias("phase"), F.round("correlation", 5).alias("correlation"), "shift")
