@@ -11,8 +11,6 @@ from ..plans.work import written
 from .terrain import echo_cells
 from .windows import sliding
 
-LIGHT = 299792458.0
-
 
 def direction(lat, lon) -> list[Column]:
     """Unit vector to a place on a sphere, of degrees."""
@@ -49,11 +47,6 @@ def distance(radius, lat, lon, other_radius, other_lat, other_lon) -> Column:
     return F.sqrt(F.greatest(a * a + b * b - 2 * a * b * cosine, F.lit(0.0)))
 
 
-def distance_to_window(opening_s, rise_m) -> Column:
-    """One-way distance from a spacecraft to where its receive window opens, that many seconds after the pulse, less how far the spacecraft is above its lowest place."""
-    return number(opening_s) * (LIGHT / 2) - number(rise_m)
-
-
 def nearest_cells(points: DataFrame, grid: DataFrame, ids: list[str], cell: str, x: tuple[str, str, str], k: int = 1, size: float = 1.0) -> DataFrame:
     """ids, cell, distance, rank (from 1): for each point the k nearest rows of the grid (all, if it has fewer), of equally near ones those of least `cell`. x: names of the three coordinates, the same on both sides; rows with a null among them take no part.
 

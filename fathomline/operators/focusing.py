@@ -7,11 +7,13 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import nearest
 from .kernels import HIGH_HZ, LIGHT, SAMPLE_S
+from .windows import CHUNK
 
 
 def opened(data: np.ndarray, delay_s: np.ndarray, sample_s: float = SAMPLE_S) -> np.ndarray:
@@ -144,3 +146,39 @@ def apertures(df: DataFrame, key: str, order: str, track_m: str, every: int, ape
     for name, at in (("first", "from_"), ("last", "to_")):
         middles = nearest(middles, rows.select(key, "d_", F.col(order).alias(name)), key, at, "d_", name)
     return middles.select(key, "first", "middle", "last")
+
+
+def doppler_looks(df: DataFrame, key: str, order: str, re: str, im: str, place: tuple[str, str, str], ground_m: str, opening: str, width: int, bins: int = 5, ways: int = 1, sample_s: float = SAMPLE_S, chunk: int = CHUNK) -> DataFrame:
+    """key, order, bin, magnitude (array): for each trace the bins -bins to bins of the Doppler spectrum of the `width` + 1 traces around it (width is even), which are first shifted by whole samples to lie as if all were as far from the ground below it.
+
+    place: of the spacecraft, in metres from the centre; ground_m: radius of the ground below; opening: of the receive window, in samples. ways: how often the difference in distance counts, 1 as in the archive's processor, 2 for the way there and back. Traces beyond a product's ends are silent. order counts without gaps. Chunks of a product carry width / 2 traces along on either side, so that no trace is sent once for each aperture that it is in.
+    """
+    half = width // 2
+    rows = df.select(key, order, *(F.col(c).cast("array<double>").alias(n) for c, n in ((re, "re_"), (im, "im_"))), *(F.col(c).cast("double").alias(n) for c, n in zip((*place, ground_m, opening), ("x_", "y_", "z_", "g_", "o_"), strict=True)))
+    rows = rows.withColumn("chunk_", F.explode(F.sequence(F.floor((F.col(order) - half) / chunk), F.floor((F.col(order) + half) / chunk))))
+    turn = np.exp(-2j * np.pi * np.arange(-bins, bins + 1)[:, None] * np.arange(2 * half + 1) / (2 * half + 1))
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by(order).combine_chunks()
+        at, no = t[order].to_numpy(), t["chunk_"][0].as_py()
+        data = np.stack([t[c].chunk(0).flatten().to_numpy().reshape(len(at), -1) for c in ("re_", "im_")])
+        data = data[0] + 1j * data[1]
+        position, n = np.stack([t[c].to_numpy() for c in ("x_", "y_", "z_")], 1), data.shape[1]
+        own = np.flatnonzero(at // chunk == no)
+        out = np.zeros((len(own), 2 * bins + 1, n))
+        for row, i in enumerate(own.tolist()):
+            there = np.arange(max(0, i - half), min(len(at), i + half + 1))
+            there = there[np.abs(at[there] - at[i]) <= half]
+            below = position[i] * (t["g_"][i].as_py() / np.linalg.norm(position[i]))
+            away = np.abs(np.linalg.norm(position[there] - below, axis=1) - np.linalg.norm(position[i] - below))
+            late = ways * away / LIGHT / sample_s - t["o_"].to_numpy()[there] + t["o_"][i].as_py()
+            sample = np.trunc(np.arange(n) + late[:, None]).astype(int)
+            inside = (sample >= 0) & (sample < n)
+            lie = np.where(inside, np.take_along_axis(data[there], np.clip(sample, 0, n - 1), 1), 0)
+            out[row] = np.abs(turn[:, at[there] - at[i] + half] @ lie)
+        many = 2 * bins + 1
+        pick = pa.array(np.repeat(own, many))
+        return pa.table({key: t[key].take(pick), order: t[order].take(pick), "bin": np.tile(np.arange(-bins, bins + 1, dtype=np.int32), len(own)), "magnitude": pa.ListArray.from_arrays(pa.array(np.arange(len(own) * many + 1, dtype=np.int32) * n), pa.array(out.ravel()))})
+
+    kind = _kinds(df)
+    return rows.groupBy(key, "chunk_").applyInArrow(run, f"{key} {kind[key]}, {order} {kind[order]}, bin int, magnitude array<double>")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from . import queries_echoes
 from .functions import rotation, traces
-from .operators import across, interferometry, optimisation, phases, resampling
+from .operators import across, focusing, interferometry, optimisation, phases, resampling
 from .plans import interferometer
 from .queries import GRAM, query, r6, radargram, table
 from .queries_echoes import COHERENCE
@@ -196,3 +196,20 @@ def interferometer_phases(spark, sf_dir):
     out = interferometer.interferogram(table_, "product", "trace", own)
     shifts = table_.groupBy("product", F.floor(F.col("trace") / 5).alias("look")).agg(F.round(F.avg("shift"), 6).alias("shift"))
     return out.join(shifts, ["product", "look"]).select("product", "look", F.col("k").cast("long").alias("k"), (F.round("phase", 5) + 0.0).alias("phase"), F.round("correlation", 5).alias("correlation"), "shift")
+
+
+@query(
+    GRAM
+    + """, placed AS (SELECT product, trace, samples, 3.69e6::DOUBLE + trace AS x, trace * 300.0::DOUBLE AS y, product * 1000.0::DOUBLE AS z, trace % 3 AS o FROM gram),
+pairs AS (SELECT a.product, a.trace, b.trace - a.trace + 2 AS j, b.samples, sqrt(a.x * a.x + a.y * a.y + a.z * a.z) AS r, a.x, a.y, a.z, b.x AS bx, b.y AS b_y, b.z AS bz, a.o - b.o AS o FROM placed a JOIN placed b ON a.product = b.product AND b.trace BETWEEN a.trace - 2 AND a.trace + 2),
+late AS (SELECT product, trace, j, samples, o + abs(sqrt((bx - x * 3.39e6 / r) ** 2 + (b_y - y * 3.39e6 / r) ** 2 + (bz - z * 3.39e6 / r) ** 2) - (r - 3.39e6)) / 299792458 / 0.0375e-6 AS late FROM pairs),
+lies AS (SELECT product, trace, j, k, samples[s + 1] AS re, samples[s + 33] AS im FROM (SELECT product, trace, j, k, samples, trunc(k + late)::INT AS s FROM late, unnest(range(32)) AS t(k)) WHERE s BETWEEN 0 AND 31),
+bins AS (SELECT product, trace, bin, k, sum(re * cos(p) - im * sin(p)) AS re, sum(re * sin(p) + im * cos(p)) AS im FROM (SELECT *, -2 * pi() * bin * j / 5 AS p FROM lies, unnest(range(-1, 2)) AS t(bin)) GROUP BY product, trace, bin, k)
+SELECT product, trace, bin, round(sum(sqrt(re * re + im * im)), 5) AS total, round(max(sqrt(re * re + im * im)), 5) AS peak FROM bins GROUP BY product, trace, bin"""
+)
+def doppler_looks(spark, sf_dir):
+    t = F.col("trace").cast("double")
+    rows = radargram(spark, sf_dir).select("product", "trace", F.slice("samples", 1, 32).alias("re"), F.slice("samples", 33, 32).alias("im"), (3.69e6 + t).alias("x"), (t * 300).alias("y"), (F.col("product") * 1000.0).alias("z"), F.lit(3.39e6).alias("ground"), (F.col("trace") % 3).alias("opening"))
+    out = focusing.doppler_looks(rows, "product", "trace", "re", "im", ("x", "y", "z"), "ground", "opening", 4, 1)
+    total = F.aggregate("magnitude", F.lit(0.0), lambda a, x: a + x)
+    return out.select("product", "trace", F.col("bin").cast("long").alias("bin"), F.round(total, 5).alias("total"), F.round(F.array_max("magnitude"), 5).alias("peak"))

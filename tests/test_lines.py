@@ -196,3 +196,30 @@ def test_drawn_phases(spark):
     assert wide["deviation"] > 30 and wide["mean_deviation"] == pytest.approx(wide["deviation"] / math.sqrt(5), rel=0.05)
     narrow = phases.sample_mean_deviation(spark, 5, 0.95, 8.0).first()
     assert narrow["deviation"] < 30 and narrow["mean_deviation"] == pytest.approx(narrow["deviation"] / math.sqrt(5))
+
+
+@pytest.mark.parametrize("chunk", [7, 4096])
+def test_doppler_looks_of_any_chunk_size(spark, chunk):
+    """Against the definition: every trace moved by whole samples, then a spectrum along track."""
+    from fathomline.operators import focusing
+
+    r = np.random.default_rng(9)
+    n, k, width = 23, 30, 6
+    data = r.standard_normal((n, k)) + 1j * r.standard_normal((n, k))
+    place = np.stack([3.69e6 + r.uniform(0, 50, n), np.arange(n) * 900.0, np.zeros(n)], 1)
+    opening = r.integers(0, 4, n)
+    df = spark.createDataFrame([("a", i, d.real.tolist(), d.imag.tolist(), *map(float, p), 3.39e6, int(o)) for i, (d, p, o) in enumerate(zip(data, place, opening, strict=True))], "p string, i long, re array<double>, im array<double>, x double, y double, z double, g double, o int").repartition(3)
+    got = {(x["i"], x["bin"]): x["magnitude"] for x in focusing.doppler_looks(df, "p", "i", "re", "im", ("x", "y", "z"), "g", "o", width, 2, ways=2, chunk=chunk).collect()}
+    assert len(got) == n * 5
+    for i in range(n):
+        signal = np.zeros((width + 1, k), complex)
+        below = place[i] / np.linalg.norm(place[i]) * 3.39e6
+        for j in range(max(0, i - 3), min(n, i + 4)):
+            away = abs(np.linalg.norm(place[j] - below) - np.linalg.norm(place[i] - below))
+            for m in range(k):
+                s = int(m + 2 * away / 299792458.0 / 0.0375e-6 - opening[j] + opening[i])
+                if 0 <= s < k:
+                    signal[j - i + 3, m] = data[j, s]
+        spectrum = np.abs(np.fft.fft(signal, axis=0))
+        assert all(np.allclose(got[i, b], spectrum[b]) for b in range(-2, 3))
+    assert focusing.doppler_looks(df.limit(0), "p", "i", "re", "im", ("x", "y", "z"), "g", "o", width).count() == 0
