@@ -219,3 +219,51 @@ def test_pipeline(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, kept, "/root/testdata/sf0.001")
     assert pieces.agg(F.sum("length")).first()[0] == pieces.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
     assert pieces.where("start = 0").count() == kept.count()
+
+
+def plain_quality(machine, text):
+    """A score from the text itself: words, hashes, statistics and the machine's formula in plain Python."""
+    import math
+    from collections import Counter
+
+    from fathomline.llm import frames
+
+    data = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0d]+", data)
+    whole = (1 << 64) - 1
+
+    def bucket(word):
+        x = sum(int(frames.BYTE_CODES[b + 32 if 65 <= b < 91 else b]) * pow(int(frames.BASE), i, 1 << 64) for i, b in enumerate(word))
+        x = (x + len(word) * 0x9E3779B97F4A7C15) & whole
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & whole
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & whole
+        return (x ^ (x >> 31)) >> 49
+
+    count = Counter(map(bucket, words))
+    norm = math.sqrt(sum(math.log1p(c) ** 2 for c in count.values()))
+    x = {no: math.log1p(c) / max(norm, 1e-9) for no, c in count.items()}
+    among = lambda ok: sum(map(ok, data)) / max(len(data), 1)
+    n = max(len(words), 1)
+    mark = lambda c: 32 < c < 127 and not chr(c).isalnum()
+    shares = [among(lambda c: 65 <= c < 91), among(lambda c: 97 <= c < 123), among(lambda c: 48 <= c < 58), among(mark), *(among(lambda c, s=s: c in s) for s in (b".,", b"!?", b"|", b"#$%&*@", b"<>{}[]=/\\")), among(lambda c: c >= 128), among(lambda c: c == 10)]
+    share = lambda ok: sum(map(ok, words)) / n
+    shares += [share(lambda w: mark(w[-1])), share(lambda w: w[-1] in b"#$%&*@"), share(lambda w: w[-1] in b"!?"), share(lambda w: len(w) > 1 and all(65 <= c < 91 for c in w)), share(lambda w: len(w) == 1), share(lambda w: len(w) > 20)]
+    shares += [len(count) / n, math.log1p(len(data)) / 20, sum(map(len, words)) / n / 20]
+    for i, s in enumerate(shares):
+        x[quality.BUCKETS + i * quality.BINS + min(int(math.sqrt(min(s, 1.0)) * quality.BINS), quality.BINS - 1)] = 0.25
+    raw = machine.bias + sum(machine.w[no] * v for no, v in x.items())
+    keys = list(x)
+    for f in range(quality.RANK):  # all pairs, without the identity
+        raw += sum(machine.v[a][f] * x[a] * machine.v[b][f] * x[b] for i, a in enumerate(keys) for b in keys[:i])
+    return 1 / (1 + math.exp(-raw))
+
+
+def test_quality_scores_against_plain_python(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    machine = quality.fit(docs.select("doc_id", "text"), labels)
+    short = docs.where("length(text) BETWEEN 1 AND 900").orderBy("doc_id").limit(25).select("doc_id", "text")
+    odd_ = spark.createDataFrame([(-1, None), (-2, ""), (-3, " \n\t"), (-4, "É É!! a.b A1"), (-5, "x" * 30)], "doc_id long, text string")
+    texts = {r["doc_id"]: r["text"] for r in short.unionByName(odd_).collect()}
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs.select("doc_id", "text").unionByName(odd_), labels).where(F.col("doc_id").isin(list(texts))).collect()}
+    assert len(got) == len(texts)
+    assert all(abs(got[i] - plain_quality(machine, t)) < 1e-4 for i, t in texts.items())
