@@ -394,3 +394,12 @@ def telemetry_compressed(spark, sf_dir):
     rows = radargram(spark, sf_dir).select("product", "trace", F.transform("samples", lambda x: x * 1000).alias("samples"), F.lit(120.0).alias("sza"), F.when(trace == 0, 0).otherwise(1).alias("kind"), F.when(trace == 0, F.col("product") % 8).otherwise(7).alias("code"), (trace * 7.0).alias("km"))
     out = chains.compressed(rows, "product", "trace", "samples", "sza", "kind", "code", "km")
     return out.select("product", "trace", F.col("chunk").cast("long").alias("chunk"), (F.array_max("re") + 0.0).alias("re_peak"), (F.array_min("im") + 0.0).alias("im_least"))
+
+
+KONOPLIV = rotation.MODELS["Konopliv2016"]
+
+
+@query(f"SELECT event_id, round(alpha, 6) + 0.0 AS alpha, round(delta, 6) + 0.0 AS delta, round(omega, 4) + 0.0 AS omega FROM (SELECT event_id, {euler(KONOPLIV)} FROM (SELECT event_id, {DAYS} AS t FROM events))")
+def pole_and_meridian_2016(spark, sf_dir):
+    alpha, delta, omega = rotation.angles("t", KONOPLIV)
+    return table(spark, sf_dir, "events").withColumn("t", days()).select("event_id", r6(alpha).alias("alpha"), r6(delta).alias("delta"), (F.round(omega, 4) + 0.0).alias("omega"))

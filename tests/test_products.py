@@ -105,6 +105,8 @@ def test_rotation_models(spark):
             assert math.isclose(r["x"] ** 2 + r["y"] ** 2 + r["z"] ** 2, r["u"] ** 2 + r["v"] ** 2 + r["w"] ** 2, abs_tol=1e-9)
     at = rows.where("t = 0").select(*rotation.angles("t", rotation.MODELS["IAU2000"])).first()
     assert [round(x, 6) for x in at] == [407.68143, 37.1135, 176.63]
+    other = rows.where("t = 0").select(*rotation.angles("t", rotation.MODELS["Konopliv2016"])).first()
+    assert all(abs(x - y) < 0.01 for x, y in zip(other, at, strict=True))  # the models agree at the epoch
     lib = rotation.librations(2.18e-4, 0.2056, (174.79, 4.09))
     assert len(lib.amplitude) == 5 and abs(lib.amplitude[0] - math.degrees(1.5 * 2.18e-4) * (1 - 11 * 0.2056**2 + 959 / 48 * 0.2056**4 - 3641 / 288 * 0.2056**6 + 11359 / 2880 * 0.2056**8 - 247799 / 345600 * 0.2056**10)) < 1e-12
     assert lib.phase[1] == pytest.approx(349.58) and lib.rate[4] == pytest.approx(20.45)
