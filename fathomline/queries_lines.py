@@ -147,8 +147,8 @@ points AS (SELECT product, trace, side, list_transform(range(1, 4), lambda i: co
 
 
 def _sides(spark, sf_dir):
-    lat = -60 + F.pmod(F.col("trace") * 7 + F.col("product") * 11, F.lit(120)) * 0.9 + F.col("trace") * 0.1
-    rows = radargram(spark, sf_dir).select("product", "trace", lat.alias("lat"), (F.col("trace") * 1.3 + F.col("product") * 7).alias("lon"))
+    lat = (F.pmod(F.col("trace") * 7 + F.col("product") * 11, F.lit(120)) * 9 + F.col("trace") - 600) / 10  # whole tenths, as in the SQL's decimals: 90 is the pole, not a place beyond it
+    rows = radargram(spark, sf_dir).select("product", "trace", lat.alias("lat"), ((F.col("trace") * 13 + F.col("product") * 70) / 10).alias("lon"))
     return across.places(across.frames(rows, "product", "trace", "lat", "lon"), 20_000.0, 1, 1_000_000.0)
 
 
