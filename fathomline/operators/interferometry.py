@@ -123,8 +123,8 @@ def phase_differences(df: DataFrame, name: str, keys: list[str], phase: str, bas
     return one.join(two, keys).where(pairs).select("first", "second", *keys, signal.wrap_phase(F.col("second_p") - F.col("first_p")).alias("difference"))
 
 
-def _offset(a: np.ndarray, b: np.ndarray, factor: int, reach: int, zero_mean: bool, subsample: bool) -> tuple[float, float]:
-    """Shift of b, in finer samples, that fits a best within reach, and the peak of their correlation over its mean."""
+def _offset(a: np.ndarray, b: np.ndarray, factor: int, reach: int, zero_mean: bool, subsample: bool, levelled: bool = False) -> tuple[float, float]:
+    """Shift of b, in finer samples, that fits a best within reach, and the peak of their correlation over its mean. levelled: over the root of the energy of a's part that b lies on."""
     a, b = upsampled(a[None], factor)[0], upsampled(b[None], factor)[0]
     if zero_mean:
         a, b = ((x - x.mean()) / (x.std() or 1.0) for x in (a, b))
@@ -132,6 +132,10 @@ def _offset(a: np.ndarray, b: np.ndarray, factor: int, reach: int, zero_mean: bo
     n = 1 << (len(a) + len(core)).bit_length()
     full = np.fft.ifft(np.fft.fft(a, n) * np.conj(np.fft.fft(core, n)))
     rho = np.abs(full[: len(a) - len(core) + 1])
+    if levelled:
+        energy = np.concatenate(([0.0], np.cumsum(np.abs(a) ** 2)))
+        part = energy[len(core) :] - energy[: len(rho)]
+        rho = rho / np.sqrt(np.maximum(part, 1e-12 * energy[-1] or 1.0))
     i = int(rho.argmax())
     place, peak = 0.0, rho[i]
     if subsample and 2 <= i <= len(rho) - 3:
@@ -145,10 +149,10 @@ def _vertex(y: np.ndarray) -> tuple[float, float]:
     return (-b / (2 * a), c - b * b / (4 * a)) if a else (0.0, float(y[2]))
 
 
-def coregister(df: DataFrame, key: str, order: str, a: tuple[str, str], b: tuple[str, str], factor: int = 10, reach: int = 300, zero_mean: bool = False, subsample: bool = False, adaptive: bool = False, quality: float = 4.0, most: int = 16) -> DataFrame:
+def coregister(df: DataFrame, key: str, order: str, a: tuple[str, str], b: tuple[str, str], factor: int = 10, reach: int = 300, zero_mean: bool = False, subsample: bool = False, adaptive: bool = False, quality: float = 4.0, most: int = 16, levelled: bool = False) -> DataFrame:
     """key, order, shift (samples of b to the right, found on traces `factor` times as fine, within `reach` fine samples), quality (peak of the correlation over its mean), b_re and b_im (b so shifted).
 
-    adaptive: a trace below `quality` takes in its neighbours, one more on each side at a time, up to `most` - 1. Chunks of a product carry that many neighbours along.
+    adaptive: a trace below `quality` takes in its neighbours, one more on each side at a time, up to `most` - 1. Chunks of a product carry that many neighbours along. levelled: a part of a with more energy doesn't draw b to it; a copy of a is then found where it lies.
     """
     halo = most - 1 if adaptive else 0
     rows = df.select(key, order, *(F.col(c).cast("array<double>").alias(n) for c, n in zip((*a, *b), ("ar_", "ai_", "br_", "bi_"), strict=True)))
@@ -162,7 +166,7 @@ def coregister(df: DataFrame, key: str, order: str, a: tuple[str, str], b: tuple
         for i in own:
             for more in range(halo + 1):
                 side = slice(max(0, i - more), i + more + 1)
-                best = _offset(x[side].sum(axis=0), y[side].sum(axis=0), factor, reach, zero_mean or more > 0, subsample)
+                best = _offset(x[side].sum(axis=0), y[side].sum(axis=0), factor, reach, zero_mean or more > 0, subsample, levelled)
                 if best[1] >= quality:
                     break
             found.append(best)

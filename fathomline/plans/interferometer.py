@@ -40,7 +40,7 @@ def registered(df: DataFrame, rolls: DataFrame | None, key: str, order: str, ant
     """A written table: key, order, ar, ai, br, bi (arrays), roll (phase): both antennas stabilised, b moved onto a, and the phase that roll takes off; all later steps read it. df: also loop_a and loop_b, the loop-back windows. rolls: key, order, roll in radians; traces without one have none to take off."""
     rows = stabilised(df, key, order, ("ar", "ai"), "loop_a", antennas.loopback_reach)
     rows = stabilised(rows, key, order, ("br", "bi"), "loop_b", antennas.loopback_reach)
-    moved = interferometry.coregister(rows, key, order, ("ar", "ai"), ("br", "bi"), antennas.factor, antennas.reach)
+    moved = interferometry.coregister(rows, key, order, ("ar", "ai"), ("br", "bi"), antennas.factor, antennas.reach, levelled=True)
     out = rows.select(key, order, "ar", "ai").join(moved.select(key, order, "shift", F.col("b_re").alias("br"), F.col("b_im").alias("bi")), [key, order])
     if rolls is None:
         return written(out.withColumn("roll", F.lit(0.0)))

@@ -14,6 +14,14 @@ def embeddings(spark, at, ids, label):
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
 
 
+def test_copies_are_found_whatever_the_energy_beside_them():
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=(3000, 64)) + 1j * rng.normal(size=(3000, 64))
+    a = a + np.roll(a, 1, axis=1)
+    plain, levelled = ([interferometry._offset(x, np.roll(x, -2), 10, 30, False, False, on)[0] for x in a] for on in (False, True))
+    assert set(levelled) == {20.0} and set(plain) != {20.0}
+
+
 def test_the_pole_itself(spark, tmp_path):
     embeddings(spark, tmp_path, range(727), 4)
     got = queries.queries()["places_across_track"](spark, str(tmp_path)).where("trace = 726 AND side = 0").collect()
