@@ -1,5 +1,6 @@
 """Bounded searches without derivatives for what an ionosphere did to traces: all traces of a chunk are searched together, each from its own seed, so that chunks don't change the result."""
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -37,16 +38,23 @@ def descended(f: Callable[[np.ndarray], np.ndarray], low: np.ndarray, high: np.n
     return np.where(fb <= fc, b, c), np.minimum(fb, fc)
 
 
-def minimise(f: Callable[[np.ndarray], np.ndarray], low: float, high: float, seeds: np.ndarray, starts: int = STARTS, hops: int = HOPS, temperature: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+def minimise(f: Callable[[np.ndarray], np.ndarray], low: float, high: float, seeds: np.ndarray, starts: int = STARTS, hops: int = HOPS, temperature: float = 0.05, share: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Basin hopping in one bounded variable for many functions together: f takes a value for each and gives theirs. Where each is least, and the least value.
 
-    A function is looked at on the bounds and once in each of `starts` equal parts between them, and followed down from the best FOLLOWED of these. Then each hop goes to a uniform place within a quarter of the bounds, is followed down, and is kept if it is lower, or by chance if hardly higher (the temperature is relative to the least value). Hops beyond the bounds are refused. A minimum narrower than a part may be missed.
+    A function is looked at on the bounds and once in each of `starts` equal parts between them, and followed down from the best FOLLOWED of these that are no higher than their neighbours, and from further ones while `share` of their value, the least that there may be near them, is below what was found. Then each hop goes to a uniform place within a quarter of the bounds, is followed down, and is kept if it is lower, or by chance if hardly higher (the temperature is relative to the least value). Hops beyond the bounds are refused. A minimum narrower than a part may be missed.
     """
     n, part = len(seeds), (high - low) / starts
     tried = np.stack([*(np.full(n, float(x)) for x in (low, high)), *(low + (i + uniform(seeds, i)) * part for i in range(starts))])
     values = np.stack([f(x) for x in tried])
     x, value = np.full(n, low, float), np.full(n, np.inf)
-    for at in np.argsort(values, axis=0, kind="stable")[:FOLLOWED]:
+    in_order = np.concatenate(([0], np.arange(2, starts + 2), [1]))
+    tried, values = tried[in_order], values[in_order]
+    around = np.pad(values, ((1, 1), (0, 0)), constant_values=np.inf)
+    pits = np.where((values <= around[:-2]) & (values <= around[2:]), values, np.inf)
+    for no, at in enumerate(np.argsort(pits, axis=0, kind="stable")):
+        there = pits[at, np.arange(n)]
+        if not (np.isfinite(there) if no < FOLLOWED else share * there < value).any():
+            break
         near = tried[at, np.arange(n)]
         to, reached = descended(f, np.maximum(near - part, low), np.minimum(near + part, high))
         x, value = np.where(reached < value, to, x), np.minimum(reached, value)
@@ -100,13 +108,19 @@ def _searched(df: DataFrame, key: str, chunk: str, order: str, arrays: list[str]
 
 
 def undispersed(df: DataFrame, key: str, chunk: str, order: str, re: str, im: str, phases: list[float], low: float, high: float, measure: str = "peak", noise: int = 266) -> DataFrame:
-    """key, chunk, order, dispersion, peak: for each spectrum (re, im) the a within the bounds for which turning its bins by a * phases gives the best pulse, and that pulse's highest magnitude times the number of bins. Found to 1e-7 of the bounds where the best pulse is wider than a 32nd of them."""
+    """key, chunk, order, dispersion, peak: for each spectrum (re, im) the a within the bounds for which turning its bins by a * phases gives the best pulse, and that pulse's highest magnitude times the number of bins. Found to 1e-7 of the bounds.
+
+    A pulse varies with a no faster than the spread of the phases does: a start within d of the best one has cos(d * spread / 2) of its magnitude or more. So many starts are taken, and all followed that may lie by the best.
+    """
     turn, small = np.asarray(phases, float), _measure(measure, noise)
+    spread = (turn.max() - turn.min()) * (high - low)
+    starts = max(STARTS, math.ceil(spread / 0.4))
+    share = math.cos(spread / starts / 2) ** 2 if measure == "peak" else 1.0
 
     def run(re_, im_, seeds):
         spectrum = re_ + 1j * im_
         pulses = lambda a: np.fft.ifft(spectrum * np.exp(1j * a[:, None] * turn))
-        a, _ = minimise(lambda a: small(pulses(a)), low, high, seeds)
+        a, _ = minimise(lambda a: small(pulses(a)), low, high, seeds, starts, share=share)
         return {"dispersion": a, "peak": np.abs(pulses(a)).max(1) * spectrum.shape[1]}
 
     return _searched(df, key, chunk, order, [re, im], run, "dispersion double, peak double")
