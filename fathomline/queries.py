@@ -110,8 +110,9 @@ ends AS (SELECT user_id, chunk AS most, chunk > 0 AND km - start < 150 AS short
 SELECT user_id, least(chunk, most - short::INT) AS chunk, count(*) AS n, min(i) AS first_row, max(i) AS last_row FROM walk JOIN ends USING (user_id) GROUP BY ALL"""
 )
 def greedy_distance_chunks(spark, sf_dir):
-    gone = windows.prefix_sum(track(spark, sf_dir).withColumn("step", F.abs(F.round("value", 3))), "user_id", "i", "step", "km")
-    return windows.distance_chunks(gone, "user_id", "i", "km", 300.0).groupBy("user_id", "chunk").agg(F.count("*").alias("n"), F.min("i").alias("first_row"), F.max("i").alias("last_row"))
+    metres = F.round(F.abs(F.round("value", 3)) * 1000).cast("long")  # whole, so that sums don't depend on their order where a chunk is exactly full
+    gone = windows.prefix_sum(track(spark, sf_dir).withColumn("step", metres), "user_id", "i", "step", "m")
+    return windows.distance_chunks(gone, "user_id", "i", "m", 300_000.0).groupBy("user_id", "chunk").agg(F.count("*").alias("n"), F.min("i").alias("first_row"), F.max("i").alias("last_row"))
 
 
 @query(GRAM + ", stacks AS (SELECT product, trace // 4 AS block, k, sum(x) AS s, count(*) AS n FROM cells GROUP BY ALL) SELECT product, block, count(*) AS samples, round(max(s), 6) + 0.0 AS peak FROM stacks WHERE n = 4 GROUP BY product, block")

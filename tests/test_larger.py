@@ -14,6 +14,14 @@ def embeddings(spark, at, ids, label):
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
 
 
+def test_chunks_that_are_exactly_full(spark, tmp_path):
+    rows = [(i, 1, 0.1 if i < 3001 else 100.0) for i in range(3004)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, value double")
+    df.withColumn("ts", F.timestamp_seconds("event_id").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    got = queries.queries()["greedy_distance_chunks"](spark, str(tmp_path)).collect()
+    assert sorted((r["chunk"], r["n"], r["first_row"], r["last_row"]) for r in got) == [(0, 3001, 0, 3000), (1, 3, 3001, 3003)]
+
+
 def test_copies_are_found_whatever_the_energy_beside_them():
     rng = np.random.default_rng(5)
     a = rng.normal(size=(3000, 64)) + 1j * rng.normal(size=(3000, 64))
