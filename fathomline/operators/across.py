@@ -1,7 +1,6 @@
 """Places across the track: local frames along it, points to either side, their distances, and the nearest cells of a grid."""
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,39 +46,67 @@ def distance(radius, lat, lon, other_radius, other_lat, other_lon) -> Column:
     return F.sqrt(F.greatest(a * a + b * b - 2 * a * b * cosine, F.lit(0.0)))
 
 
+#: Rows of the grid in a cube, on average over rows, below which cubes aren't cut further; cubes at the top.
+FULL, TOP = 16, 64
+
+
+def _cubes(cells: DataFrame, size: float) -> tuple[DataFrame, float]:
+    """Cells with q0, q1, q2, the cube that each is in, and the cubes' edge: `size`, or less where cubes of it are too full. Rows of one place can't be told apart by cubes."""
+    cut = lambda edge: cells.withColumns({f"q{i}": F.floor(F.col(c) / edge) for i, c in enumerate("xyz")})
+    full, before = float("inf"), None
+    while True:
+        n = cut(size).groupBy("q0", "q1", "q2").count()
+        got = n.agg(F.sum(F.col("count").cast("double") * F.col("count")) / F.sum("count")).first()[0] or 0.0
+        if got > 0.7 * full:
+            return cut(before), before
+        if got <= FULL:
+            return cut(size), size
+        full, before = got, size
+        size /= 2 ** max(1, math.floor(math.log2(got / FULL) / 2))
+
+
+def _boxes(rows: DataFrame, low: dict, high: dict, n) -> DataFrame:
+    return rows.groupBy("q0", "q1", "q2").agg(*(f(c).alias(name) for f, cols in ((F.min, low), (F.max, high)) for name, c in cols.items()), n.alias("n"))
+
+
 def nearest_cells(points: DataFrame, grid: DataFrame, ids: list[str], cell: str, x: tuple[str, str, str], k: int = 1, size: float = 1.0) -> DataFrame:
-    """ids, cell, distance, rank (from 1): for each point the k nearest rows of the grid (all, if it has fewer), of equally near ones those of least `cell`. x: names of the three coordinates, the same on both sides; rows with a null among them take no part.
+    """ids, cell, distance, rank (from 1): for each point the k nearest rows of the grid (all, if it has fewer), of equally near ones those of least `cell`. x: names of the three coordinates, the same on both sides; rows with one that is null or not finite take no part.
 
-    Space is cut into cubes. A point meets the rows in its cube and the 26 around it; if the kth of these is no farther than a cube's edge, no other row can be nearer. Points for which that doesn't hold ask again among cubes twice as large, until all rows are at hand. size: the first edge; about the grid's spacing is best.
+    Space is cut into cubes of `size`, or smaller where these hold many rows, these are put together by four on a side to larger ones, and so on. A point goes down from the few largest: of a cube only the box around its rows and their number is known, which gives the least and the greatest distance of any of them. Cubes whose least distance is beyond the greatest one of a cube with k rows are left out, so that points far from the grid meet no more rows than points on it.
     """
     there = F.lit(True)
     for c in x:
-        there = there & F.col(c).isNotNull()
-    number_ = lambda df, columns: df.where(there).select(*columns, *(F.col(c).cast("double").alias(f"{c}_") for c in x))
-    open_, cells = number_(points, ids), written(number_(grid.select(F.col(cell).alias("cell_"), *x), ["cell_"]))
-    reach = cells.agg(*(f(F.col(f"{c}_")) for c in x for f in (F.min, F.max))).unionByName(open_.agg(*(f(F.col(f"{c}_")) for c in x for f in (F.min, F.max))))
-    ends = [list(r) for r in reach.collect() if r[0] is not None]
-    span = max((max(e[2 * i + 1] for e in ends) - min(e[2 * i] for e in ends) for i in range(3)), default=0.0)
-    done = []
-    near = Window.partitionBy(*ids).orderBy("distance", "cell_")
-    around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    while True:
-        cube = [F.floor(F.col(f"{c}_") / size) for c in x]
-        asks = open_
-        for i in range(3):
-            asks = asks.withColumn(f"n{i}", around)
-        asks = asks.select(*ids, *(F.col(f"{c}_").alias(f"{c}p") for c in x), *((q + F.col(f"n{i}")).alias(f"q{i}") for i, q in enumerate(cube)))
-        met = asks.join(cells.select("cell_", *(f"{c}_" for c in x), *(q.alias(f"q{i}") for i, q in enumerate(cube))), ["q0", "q1", "q2"])
-        d = F.sqrt(sum((F.col(f"{c}p") - F.col(f"{c}_")) ** 2 for c in x))
-        found = met.select(*ids, "cell_", d.alias("distance")).withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k)
-        whole = size > span
-        mine = Window.partitionBy(*ids)
-        found = written(found.withColumn("sure_", F.lit(whole) | ((F.count(F.lit(1)).over(mine) == k) & (F.max("distance").over(mine) <= size))))
-        done.append(found.where("sure_").drop("sure_"))
-        open_ = written(open_.join(done[-1].select(*ids).distinct(), ids, "left_anti"))
-        if whole or open_.isEmpty():
-            return reduce(DataFrame.unionByName, done).withColumnRenamed("cell_", cell)
-        size *= 2
+        there = there & (F.abs(F.col(c).cast("double")) < float("inf"))
+    number_ = lambda df, columns, names: df.where(there).select(*columns, *(F.col(c).cast("double").alias(n) for c, n in zip(x, names, strict=True)))
+    asks = number_(points, ids, [f"{c}p" for c in "xyz"])
+    cells = written(number_(grid, [F.col(cell).alias("cell_")], "xyz"))
+    placed, _ = _cubes(cells, size)
+    levels = [written(_boxes(placed, {f"{c}l": c for c in "xyz"}, {f"{c}h": c for c in "xyz"}, F.count(F.lit(1))))]
+    ends = {f"{c}{e}": f"{c}{e}" for c in "xyz" for e in "lh"}
+    while levels[-1].count() > TOP:
+        up = levels[-1].withColumns({f"q{i}": F.floor(F.col(f"q{i}") / 4) for i in range(3)})
+        levels.append(written(_boxes(up, {n: c for n, c in ends.items() if n[1] == "l"}, {n: c for n, c in ends.items() if n[1] == "h"}, F.sum("n"))))
+    q, p = ["q0", "q1", "q2"], [f"{c}p" for c in "xyz"]
+    square = lambda d: sum(v * v for v in d)
+    near = square([F.greatest(F.col(f"{c}l") - F.col(f"{c}p"), F.col(f"{c}p") - F.col(f"{c}h"), F.lit(0.0)) for c in "xyz"])
+    far = square([F.greatest(F.abs(F.col(f"{c}p") - F.col(f"{c}l")), F.abs(F.col(f"{c}h") - F.col(f"{c}p"))) for c in "xyz"])
+    mine, slack = Window.partitionBy(*ids), 1 + 1e-9
+    top = [F.struct(*(F.lit(v).alias(n) for n, v in r.asDict().items())) for r in levels[-1].collect()]
+    if not top:
+        return asks.limit(0).select(*ids, F.lit(None).cast(cells.schema["cell_"].dataType).alias(cell), F.lit(0.0).alias("distance"), F.lit(0).alias("rank"))
+    open_ = asks.withColumn("most_", F.lit(float("inf")))
+    for no, boxes in enumerate(reversed(levels)):
+        if no == 0:
+            met = open_.select("*", F.inline(F.array(*top)))
+        else:
+            met = open_.withColumnsRenamed({c: f"u{c}" for c in q}).join(boxes.withColumns({f"u{c}": F.floor(F.col(c) / 4) for c in q}), [f"u{c}" for c in q])
+        met = met.withColumn("near_", near).where(F.col("near_") <= F.col("most_") * slack)
+        met = met.withColumn("most_", F.least("most_", F.min(F.when(F.col("n") >= k, far)).over(mine)))
+        open_ = met.where(F.col("near_") <= F.col("most_") * slack).select(*ids, *p, *q, "most_")
+    d2 = square([F.col(f"{c}p") - F.col(c) for c in "xyz"])
+    found = open_.join(placed, q).where(d2 <= F.col("most_") * slack).select(*ids, "cell_", F.sqrt(sum((F.col(f"{c}p") - F.col(c)) ** 2 for c in "xyz")).alias("distance"))
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*ids).orderBy("distance", "cell_"))).where(F.col("rank") <= k)
+    return ranked.withColumnRenamed("cell_", cell)
 
 
 def side_echoes(cells: DataFrame, echoes: DataFrame, keys: list[str], distance_: str, echo: str) -> DataFrame:
