@@ -137,47 +137,63 @@ def upsample(df: DataFrame, columns: list[str], samples: str, factor: int) -> Da
 
 
 def erf(x: np.ndarray) -> np.ndarray:
-    return np.vectorize(math.erf, otypes=[float])(x)
+    return np.fromiter(map(math.erf, x.ravel().tolist()), float, x.size).reshape(x.shape)
 
 
-def retracked(window_db: np.ndarray, start: tuple[float, float, float] = (100.0, 3.0, 0.05), floor: int = 128, rounds: int = 30) -> np.ndarray:
-    """Noise level, amplitude, place, rise and decay of the five-parameter echo model, by bounded damped least squares on one window in decibels."""
-    t = np.arange(len(window_db), dtype=float)
+def retracked(windows_db: np.ndarray, start: tuple[float, float, float] = (100.0, 3.0, 0.05), floor: int = 128, rounds: int = 30) -> np.ndarray:
+    """Noise level, amplitude, place, rise and decay of the five-parameter echo model, by bounded damped least squares on windows in decibels, one or a row for each. Each has its own damping and number of steps; they are only worked out together."""
+    if windows_db.ndim == 1:
+        return retracked(windows_db[None], start, floor, rounds)[0]
+    t = np.arange(windows_db.shape[1], dtype=float)
     low, high = np.array([-500.0, 0, 0, 1e-6, 0]), np.array([np.inf, np.inf, np.inf, np.inf, 1.0])
-    level = window_db[: min(floor, len(t))].mean()
-    p = np.clip(np.array([level, window_db.max() - level, *start]), low, high)
+    level = windows_db[:, : min(floor, len(t))].mean(axis=1)
+    p = np.clip(np.column_stack((level, windows_db.max(axis=1) - level, *(np.full(len(level), x) for x in start))), low, high)
 
     def model(p):
-        lag = np.where(t < p[2] - 2 * p[3], 0.0, t - (p[2] + 0.5 * p[3]))
-        return p[0] + p[1] * np.exp(np.clip(-p[4] * lag, -50, 50)) * 0.5 * (1 + erf((t - p[2]) / (math.sqrt(2) * p[3])))
+        level, size, place, rise, decay = (c[:, None] for c in p.T)
+        lag = np.where(t < place - 2 * rise, 0.0, t - (place + 0.5 * rise))
+        return level + size * np.exp(np.clip(-decay * lag, -50, 50)) * 0.5 * (1 + erf((t - place) / (math.sqrt(2) * rise)))
 
-    y, damp = model(p), 1e-2
+    y, damp, on = model(p), np.full(len(p), 1e-2), np.arange(len(p))
     for _ in range(rounds):
-        h = 1e-6 * np.maximum(np.abs(p), 1e-2)
-        j = np.stack([(model(p + np.eye(5)[k] * h[k]) - y) / h[k] for k in range(5)], axis=1)
-        a, g = j.T @ j, j.T @ (window_db - y)
-        while damp < 1e12:
-            q = np.clip(p + np.linalg.solve(a + damp * np.diag(np.diag(a) + 1e-9), g), low, high)
-            z = model(q)
-            if ((window_db - z) ** 2).sum() < ((window_db - y) ** 2).sum():
-                break
-            damp *= 4
-        else:
-            break
-        done = np.abs(q - p).max() < 1e-5
-        p, y, damp = q, z, damp / 3
-        if done:
+        if not len(on):
             break
+        x, fit, of = p[on], y[on], windows_db[on]
+        h = 1e-6 * np.maximum(np.abs(x), 1e-2)
+        j = np.stack([(model(x + np.eye(5)[k] * h[:, k : k + 1]) - fit) / h[:, k : k + 1] for k in range(5)], axis=2)
+        a, g = np.stack([m.T @ m for m in j]), np.stack([m.T @ v for m, v in zip(j, of - fit, strict=True)])[:, :, None]
+        ridge = np.diagonal(a, axis1=1, axis2=2) + 1e-9
+        error, d = ((of - fit) ** 2).sum(axis=1), damp[on]
+        step, better = x.copy(), np.zeros(len(on), bool)
+        tries = np.flatnonzero(d < 1e12)
+        while len(tries):
+            q = np.clip(x[tries] + np.linalg.solve(a[tries] + (d[tries, None] * ridge[tries])[:, :, None] * np.eye(5), g[tries])[:, :, 0], low, high)
+            z = model(q)
+            lower = ((of[tries] - z) ** 2).sum(axis=1) < error[tries]
+            step[tries[lower]], fit[tries[lower]], better[tries[lower]] = q[lower], z[lower], True
+            d[tries[~lower]] *= 4
+            tries = tries[~lower & (d[tries] < 1e12)]
+        p[on], y[on], damp[on] = step, fit, np.where(better, d / 3, d)
+        on = on[better & ~(np.abs(step - x).max(axis=1) < 1e-5)]
     return p
 
 
+#: Samples that are fitted together.
+FITTED = 1 << 16
+
+
 def retrack(df: DataFrame, columns: list[str], power: str, first: str) -> DataFrame:
     """columns, delta (the echo's place in the trace), snr (its fitted amplitude in dB). power: a window of the trace that starts at index `first`."""
 
     def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            windows = [10 * np.log10(np.maximum(np.asarray(w, float), 1e-30)) for w in pdf[power]]  # those at a trace's end are shorter
-            fits = np.array([retracked(w, start=(len(w) / 2, 3.0, 0.05), floor=len(w) // 3) for w in windows]).reshape(-1, 5)
+            size = pdf[power].map(len).to_numpy(int)  # those at a trace's end are shorter
+            fits = np.empty((len(pdf), 5))
+            for n in np.unique(size).tolist():
+                at, many = np.flatnonzero(size == n), max(1, FITTED // max(n, 1))
+                for some in (at[i : i + many] for i in range(0, len(at), many)):
+                    windows = 10 * np.log10(np.maximum(np.stack(pdf[power].iloc[some].to_numpy()).astype(float), 1e-30))
+                    fits[some] = retracked(windows, start=(n / 2, 3.0, 0.05), floor=n // 3)
             yield pdf[columns].assign(delta=fits[:, 2] + pdf[first].to_numpy(float), snr=fits[:, 1])
 
     kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fathomline import queries, queries_echoes, queries_lines, queries_products  # noqa: F401
-from fathomline.operators import across, interferometry, optimisation
+from fathomline.operators import across, interferometry, kernels, optimisation
 
 
 def embeddings(spark, at, ids, label):
@@ -54,3 +54,10 @@ def test_full_cubes_are_cut(spark):
     assert size < 4.0 and placed.groupBy("q0", "q1", "q2").count().agg(F.max("count")).first()[0] < 10 * across.FULL
     copies = cells.withColumns({c: F.lit(0.5) for c in "xyz"})
     assert across._cubes(copies, 4.0)[1] == 4.0
+
+
+def test_windows_fitted_together():
+    rng = np.random.default_rng(6)
+    windows = 10 * np.log10(rng.normal(size=(40, 48)) ** 2 + 1e-4)
+    together = kernels.retracked(windows, start=(24.0, 3.0, 0.05), floor=16)
+    assert all((kernels.retracked(w, start=(24.0, 3.0, 0.05), floor=16) == p).all() for w, p in zip(windows, together, strict=True))
