@@ -1,5 +1,7 @@
 """Coordinates and distances on spheres and ellipsoids, as Column expressions. Angles are in degrees."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,35 +61,44 @@ def roll_phase(roll, baseline: float, wavelength: float) -> Column:
     return 2 * F.pi() * baseline / wavelength * F.sin(-number(roll))
 
 
-def ellipsoidal_distance(lat1, lon1, lat2, lon2, a: float, b: float, rounds: int = 8) -> Column:
-    """Length of the geodesic on an ellipsoid of revolution with half-axes a and b, by Vincenty's inverse iteration; 0 for equal points. Nearly opposite points may not converge in the rounds."""
+def geodesic(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray, a: float, b: float, rounds: int) -> np.ndarray:
+    """Vincenty's inverse iteration on arrays of degrees."""
     f = 1 - b / a
-    u1, u2 = (F.atan((1 - f) * F.tan(F.radians(number(x)))) for x in (lat1, lat2))
-    span = F.radians(number(lon2) - number(lon1))
-    s1, c1, s2, c2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
-
-    def angles(x: Column) -> Column:
-        azimuth = F.coalesce(F.try_divide(c1 * c2 * F.sin(x["lam"]), x["sin"]), F.lit(0.0))
-        return let(azimuth, lambda z: F.struct(x["sin"].alias("sin"), x["cos"].alias("cos"), F.atan2(x["sin"], x["cos"]).alias("sigma"), z.alias("azimuth"), (1 - z * z).alias("square"), (x["cos"] - F.coalesce(F.try_divide(2 * s1 * s2, 1 - z * z), F.lit(0.0))).alias("mid")))
-
-    def arc(lam: Column, use) -> Column:
-        left, right = c2 * F.sin(lam), c1 * s2 - s1 * c2 * F.cos(lam)
-        start = F.struct(lam.alias("lam"), F.sqrt(left * left + right * right).alias("sin"), (s1 * s2 + c1 * c2 * F.cos(lam)).alias("cos"))
-        return let(start, lambda x: let(angles(x), use))
-
-    def turned(p: Column) -> Column:
-        c = f / 16 * p["square"] * (4 + f * (4 - 3 * p["square"]))
-        return span + (1 - c) * f * p["azimuth"] * (p["sigma"] + c * p["sin"] * (p["mid"] + c * p["cos"] * (2 * p["mid"] * p["mid"] - 1)))
-
-    def length(p: Column) -> Column:
-        u = p["square"] * (a * a - b * b) / (b * b)
-        big = 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768))
-        small = u / 1024 * (256 + u * (u * (74 - 47 * u) - 128))
-        mid2, sin2 = p["mid"] * p["mid"], p["sin"] * p["sin"]
-        bend = small * p["sin"] * (p["mid"] + small / 4 * (p["cos"] * (2 * mid2 - 1) - small / 6 * p["mid"] * (4 * sin2 - 3) * (4 * mid2 - 3)))
-        return b * big * (p["sigma"] - bend)
-
-    return arc(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), span, lambda lam, _: arc(lam, turned)), length)
+    u1, u2 = (np.arctan((1 - f) * np.tan(np.radians(x))) for x in (lat1, lat2))
+    span = np.radians(lon2 - lon1)
+    s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
+    share = lambda x, y: np.divide(x, y, out=np.zeros_like(x), where=y != 0)
+
+    def angles(lam):
+        left, right = c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam)
+        sin, cos = np.sqrt(left * left + right * right), s1 * s2 + c1 * c2 * np.cos(lam)
+        azimuth = share(c1 * c2 * np.sin(lam), sin)
+        square = 1 - azimuth * azimuth
+        return sin, cos, np.arctan2(sin, cos), azimuth, square, cos - share(2 * s1 * s2, square)
+
+    lam = span
+    for _ in range(rounds):
+        sin, cos, sigma, azimuth, square, mid = angles(lam)
+        c = f / 16 * square * (4 + f * (4 - 3 * square))
+        lam = span + (1 - c) * f * azimuth * (sigma + c * sin * (mid + c * cos * (2 * mid * mid - 1)))
+    sin, cos, sigma, azimuth, square, mid = angles(lam)
+    u = square * (a * a - b * b) / (b * b)
+    big = 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768))
+    small = u / 1024 * (256 + u * (u * (74 - 47 * u) - 128))
+    bend = small * sin * (mid + small / 4 * (cos * (2 * mid * mid - 1) - small / 6 * mid * (4 * sin * sin - 3) * (4 * mid * mid - 3)))
+    return b * big * (sigma - bend)
+
+
+def ellipsoidal_distance(lat1, lon1, lat2, lon2, a: float, b: float, rounds: int = 8) -> Column:
+    """Length of the geodesic on an ellipsoid of revolution with half-axes a and b, by Vincenty's inverse iteration; 0 for equal points. Nearly opposite points may not converge in the rounds. On Arrow batches, as a round has some thirty steps, which higher-order functions would interpret."""
+
+    def run(p: pa.Array, q: pa.Array, r: pa.Array, s: pa.Array) -> pa.Array:
+        at = [x.to_numpy(zero_copy_only=False) for x in (p, q, r, s)]
+        missing = np.logical_or.reduce([x.is_null().to_numpy(zero_copy_only=False) for x in (p, q, r, s)])
+        with np.errstate(invalid="ignore"):
+            return pa.array(geodesic(*at, a, b, rounds), mask=missing)
+
+    return F.arrow_udf(run, "double")(*(number(x) for x in (lat1, lon1, lat2, lon2)))
 
 
 def rotated(q: tuple, x, y, z) -> tuple[Column, Column, Column]:

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fathomline import queries, queries_echoes, queries_lines, queries_products  # noqa: F401
+from fathomline.functions import geometry
 from fathomline.operators import across, interferometry, kernels, optimisation
 
 
@@ -61,3 +62,11 @@ def test_windows_fitted_together():
     windows = 10 * np.log10(rng.normal(size=(40, 48)) ** 2 + 1e-4)
     together = kernels.retracked(windows, start=(24.0, 3.0, 0.05), floor=16)
     assert all((kernels.retracked(w, start=(24.0, 3.0, 0.05), floor=16) == p).all() for w, p in zip(windows, together, strict=True))
+
+
+def test_geodesics_in_batches(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (10.0, 20.0, 10.0, 20.0), (None, 0.0, 1.0, 1.0)], "a double, b double, c double, d double")
+    out = df.select(geometry.ellipsoidal_distance("a", "b", "c", "d", 1000.0, 1000.0).alias("m"))
+    got = [r["m"] for r in out.collect()]
+    assert math.isclose(got[0], 1000 * math.pi / 180, rel_tol=1e-9) and got[1:] == [0.0, None]
+    assert "ArrowEvalPython" in out._jdf.queryExecution().toString()
