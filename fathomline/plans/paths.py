@@ -36,8 +36,8 @@ def joined(*parts: Column | str) -> Column:
     return F.array_join(F.filter(F.array(*columns), lambda x: x != ""), "/")
 
 
-def files(index: DataFrame, raw: str, made: str, kinds: tuple[str, ...] | None = None, variants: dict[str, str] | None = None) -> DataFrame:
-    """product_id, kind, name, path of each file that a product may have. index: of catalog.index. raw and made: roots of raw and of made data; variants: other folders by kind."""
+def files(index: DataFrame, raw: str, made: str, kinds: tuple[str, ...] | None = None, variants: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """product_id, kind, name, path of each file that a product may have. index: of catalog.index. raw and made: roots of raw and of made data; variants: other folders by kind; keep: columns of the index that stay with its files."""
     variants, volume, product = variants or {}, F.col("volume_id"), F.col("product_id")
     below = folder("file_specification_name")
     one = lambda kind, name, path: F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), path.alias("path"))
@@ -45,7 +45,7 @@ def files(index: DataFrame, raw: str, made: str, kinds: tuple[str, ...] | None =
     for kind, name, default, ending in FILES:
         base = (raw, "EDR") if kind == "edr" else (made, kind)
         all_.append(one(kind, name, joined(*base, volume, below, variants.get(kind, default), F.concat(product, F.lit(ending)))))
-    rows = index.select("product_id", F.explode(F.array(*all_)).alias("f")).select("product_id", "f.*")
+    rows = index.select("product_id", *keep, F.explode(F.array(*all_)).alias("f")).select("product_id", "f.*", *keep)
     return rows if kinds is None else rows.where(F.col("kind").isin(*kinds))
 
 

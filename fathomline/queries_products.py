@@ -65,9 +65,8 @@ def unknown_products(spark, sf_dir):
 
 @query(INDEX + "SELECT product_id, CASE WHEN length(product_id) > 0 AND ((o_orderkey % 2 = 0)::INT + (o_orderkey % 3 = 0)::INT) > 0 THEN CASE WHEN o_orderkey % 6 = 0 THEN 'cmp_rad srf_txt' WHEN o_orderkey % 2 = 0 THEN 'cmp_rad' ELSE 'srf_txt' END END AS names FROM idx WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
 def files_present(spark, sf_dir):
-    rows = index(spark, sf_dir)
-    wanted = paths.files(rows, RAW, MADE)
-    there = wanted.join(rows.select("product_id", "o_orderkey"), "product_id").where("(name = 'cmp_rad' AND o_orderkey % 2 = 0) OR (name = 'srf_txt' AND o_orderkey % 3 = 0)")
+    wanted = paths.files(index(spark, sf_dir), RAW, MADE, keep=("o_orderkey",))
+    there = wanted.where("(name = 'cmp_rad' AND o_orderkey % 2 = 0) OR (name = 'srf_txt' AND o_orderkey % 3 = 0)")
     return paths.present(wanted, there).select("product_id", F.array_join("names", " ").alias("names"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fathomline import queries, queries_echoes, queries_lines, queries_products  # noqa: F401
 from fathomline.functions import geometry
 from fathomline.operators import across, interferometry, kernels, optimisation
+from fathomline.plans import paths
 
 
 def embeddings(spark, at, ids, label):
@@ -70,3 +71,9 @@ def test_geodesics_in_batches(spark):
     got = [r["m"] for r in out.collect()]
     assert math.isclose(got[0], 1000 * math.pi / 180, rel_tol=1e-9) and got[1:] == [0.0, None]
     assert "ArrowEvalPython" in out._jdf.queryExecution().toString()
+
+
+def test_files_keep_columns_without_a_join(spark):
+    index = spark.createDataFrame([("mrosh_0001", "data/edr00xxx/edr0000001/e_0000001_001_ss05_700_a.lbl", "e_0000001_001_ss05_700_a", 7)], "volume_id string, file_specification_name string, product_id string, o_orderkey long")
+    out = paths.files(index, "/r", "/m", ("cmp",), keep=("o_orderkey",))
+    assert {(r["name"], r["o_orderkey"]) for r in out.collect()} == {("cmp_rad", 7), ("cmp_tecu", 7)}
