@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 CHUNK = 4096
 #: Traces of a chunk whose samples are summed in one task.
 TRACES = 256
+#: Buckets of keys whose rows are counted together.
+KEYS = 1 << 20
 
 
 def united(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -118,22 +120,24 @@ def islands(df: DataFrame, key: str, order: str, value: str, epsilon: float = 0.
 def neighbours(df: DataFrame, key: str, at: str, post: str, before: str, after: str) -> DataFrame:
     """df with before and after, the last post at or before each row's place and the first at or after it; post: a struct column whose first field is its place, null in rows that are none.
 
-    A key's places are cut into parts of about CHUNK rows each. Parts hand their last and first posts on, so that no key is a single task.
+    Places are cut into parts of about CHUNK rows each, and parts hand their last and first posts on, so that no key is a single task. Rows are counted by buckets of keys, KEYS of them at most: keys of a bucket of fewer than CHUNK rows are one part, and nothing is looked up for them. Rows are put in order once.
     """
     x = F.col(at).cast("double")
-    ends = df.groupBy(key).agg(F.min(x).alias("lo_"), F.max(x).alias("hi_"), F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts_"))
-    share = F.coalesce(F.try_divide(x - F.col("lo_"), F.col("hi_") - F.col("lo_")), F.lit(0.0))
-    rows = df.join(ends, key).withColumn("part_", F.least(F.floor(share * F.col("parts_")), F.col("parts_") - 1)).drop("lo_", "hi_", "parts_")
-    heads = rows.groupBy(key, "part_").agg(F.max(post).alias("last_"), F.min(post).alias("first_"))
+    rows = df.where(F.col(key).isNotNull()).withColumn("bucket_", F.pmod(F.hash(key), F.lit(KEYS)))
+    full = rows.groupBy("bucket_").agg(F.min(x).alias("from_"), F.max(x).alias("to_"), F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts_")).where("parts_ > 1")
+    share = F.coalesce(F.try_divide(x - F.col("from_"), F.col("to_") - F.col("from_")), F.lit(0.0))
+    part = F.least(F.floor(share * F.col("parts_")), F.col("parts_") - 1)
+    rows = rows.join(F.broadcast(full), "bucket_", "left").withColumn("part_", F.coalesce(part, F.lit(0).cast("long"))).withColumn("cut_", F.col("parts_").isNotNull()).drop("bucket_", "from_", "to_", "parts_")
+    heads = rows.where("cut_").groupBy(key, "part_").agg(F.max(post).alias("last_"), F.min(post).alias("first_"))
     earlier = Window.partitionBy(key).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(key).orderBy("part_").rowsBetween(1, Window.unboundedFollowing)
     heads = heads.select(key, "part_", F.last("last_", ignorenulls=True).over(earlier).alias("carried_"), F.first("first_", ignorenulls=True).over(later).alias("coming_"))
-    here = Window.partitionBy(key, "part_").orderBy(x)
-    there = Window.partitionBy(key, "part_").orderBy(x.desc())
-    last = F.last(post, ignorenulls=True).over(here.rangeBetween(Window.unboundedPreceding, 0))
-    first = F.last(post, ignorenulls=True).over(there.rangeBetween(Window.unboundedPreceding, 0))
-    rows = rows.join(heads, [key, "part_"]).withColumns({before: last, after: first})
-    return rows.withColumns({before: F.coalesce(before, "carried_"), after: F.coalesce(after, "coming_")}).drop("part_", "carried_", "coming_")
+    rows = rows.drop("cut_").withColumn("x_", x)
+    upto = Window.partitionBy(key, "part_").orderBy("x_").rangeBetween(Window.unboundedPreceding, 0)
+    following = F.expr(f"lead(`{post}`) IGNORE NULLS OVER (PARTITION BY `{key}`, part_ ORDER BY x_)")
+    rows = rows.withColumns({before: F.last(post, ignorenulls=True).over(upto), after: following}).join(heads, [key, "part_"], "left")
+    here = F.col(before).isNotNull() & F.col(before)[df.schema[post].dataType.names[0]].cast("double").eqNullSafe(F.col("x_"))
+    return rows.withColumns({before: F.coalesce(before, "carried_"), after: F.when(here, F.col(before)).otherwise(F.coalesce(after, "coming_"))}).drop("part_", "x_", "carried_", "coming_")
 
 
 def fixed_chunks(df: DataFrame, key: str, order: str, size: int = 512, least: int = 32, out: str = "chunk") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline import queries, queries_echoes, queries_lines, queries_products  # noqa: F401
 from fathomline.functions import geometry
-from fathomline.operators import across, interferometry, kernels, optimisation
+from fathomline.operators import across, interferometry, joins, kernels, optimisation, windows
 from fathomline.plans import paths
 
 
@@ -77,3 +77,27 @@ def test_files_keep_columns_without_a_join(spark):
     index = spark.createDataFrame([("mrosh_0001", "data/edr00xxx/edr0000001/e_0000001_001_ss05_700_a.lbl", "e_0000001_001_ss05_700_a", 7)], "volume_id string, file_specification_name string, product_id string, o_orderkey long")
     out = paths.files(index, "/r", "/m", ("cmp",), keep=("o_orderkey",))
     assert {(r["name"], r["o_orderkey"]) for r in out.collect()} == {("cmp_rad", 7), ("cmp_tecu", 7)}
+
+
+def nearest_of(spark, n, keys):
+    r = np.random.default_rng(4)
+    rows = [(int(k), float(x), int(i)) for k, x, i in zip(r.integers(0, keys, n), r.integers(0, 40, n) / 4, range(n), strict=True)]
+    posts, asked = rows[::2], rows[1::2]
+    made = lambda rows, at, i: spark.createDataFrame(rows, f"k long, {at} double, {i} long")
+    out = joins.nearest(made(asked, "x", "n"), made(posts, "p", "cell"), "k", "x", "p", "cell")
+    want = {n: min(((abs(p - x), c) for q, p, c in posts if q == k), default=(0, None))[1] for k, x, n in asked}
+    return out, want
+
+
+def test_short_keys_are_put_in_order_once(spark):
+    out, want = nearest_of(spark, 400, 60)
+    assert {r["n"]: r["cell"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Window ") == 1 and "SortMergeJoin" not in plan
+
+
+def test_long_keys_that_are_counted_together(spark, monkeypatch):
+    monkeypatch.setattr(windows, "CHUNK", 5)
+    monkeypatch.setattr(windows, "KEYS", 3)
+    out, want = nearest_of(spark, 400, 7)
+    assert {r["n"]: r["cell"] for r in out.collect()} == want
