@@ -30,15 +30,32 @@ def histogram_quantiles(df: DataFrame, keys: list[str], value: str, shares: tupl
 
 
 def overlapping_cube(df: DataFrame, axes: dict[str, tuple[float, float, float]], value: str, source: str) -> DataFrame:
-    """Statistics over cells that overlap. axes: column to (first edge, step, width); a cell [edge, edge + width) holds a row if its value on each axis does. Empty cells aren't listed."""
-    cells = []
+    """Statistics over cells that overlap. axes: column to (first edge, step, width); a cell [edge, edge + width) holds a row if its value on each axis does. Empty cells aren't listed.
+
+    Rows of the same cells are put together before they are dealt to each of them. Of a source, the cells of the first axis that it is in are bits of a number, 64 cells each, so that its rows aren't dealt to them singly.
+    """
+    rows, (one, *others) = df, axes
     for name, (first, step, width) in axes.items():
-        x = F.col(name).cast("double")
-        low = F.greatest(F.floor((x - first - width) / step) + 1, F.lit(0))
-        df = df.withColumn(f"{name}_cell", F.explode(F.when(x >= first, F.sequence(low, F.greatest(low, F.floor((x - first) / step))))))
-        df = df.where((x >= first + F.col(f"{name}_cell") * step) & (x < first + F.col(f"{name}_cell") * step + width))
-        cells.append(f"{name}_cell")
-    return df.groupBy(*cells).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.countDistinct(source).alias("sources"))
+        x, low, high = F.col(name).cast("double"), F.col(f"{name}_low_"), F.col(f"{name}_high_")
+        rows = rows.where(x >= first).withColumn(f"{name}_low_", F.greatest(F.floor((x - first - width) / step) + 1, F.lit(0)))
+        rows = rows.withColumn(f"{name}_high_", F.greatest(low, F.floor((x - first) / step)))
+        ends = {f"{name}_low_": F.when(x < first + low * step + width, low).otherwise(low + 1), f"{name}_high_": F.when(x >= first + high * step, high).otherwise(high - 1)}
+        rows = rows.withColumns(ends).where(low <= high)
+    cells, spans = [f"{name}_cell" for name in axes], [f"{name}_{end}_" for name in axes for end in ("low", "high")]
+    dealt = lambda df, name: df.withColumn(f"{name}_cell", F.explode(F.sequence(f"{name}_low_", f"{name}_high_")))
+    parts = rows.groupBy(*spans).agg(F.count(value).alias("n_"), F.sum(F.col(value).cast("double")).alias("s_"), F.min(value).alias("least"), F.max(value).alias("most"))
+    masks = rows.where(F.col(source).isNotNull()).select(F.col(source).alias("source_"), *spans)
+    for name in axes:
+        parts = dealt(parts, name)
+    for name in others:
+        masks = dealt(masks, name)
+    out = parts.groupBy(*cells).agg(F.sum("n_").alias("n"), F.try_divide(F.sum("s_"), F.sum("n_")).alias("mean"), F.min("least").alias("least"), F.max("most").alias("most"))
+    masks = masks.withColumn("word_", F.explode(F.sequence(F.floor(F.col(f"{one}_low_") / 64), F.floor(F.col(f"{one}_high_") / 64))))
+    masks = masks.withColumns({"a_": F.greatest(F.col(f"{one}_low_") - F.col("word_") * 64, F.lit(0)).cast("int"), "b_": F.least(F.col(f"{one}_high_") - F.col("word_") * 64, F.lit(63)).cast("int")})
+    masks = masks.groupBy("source_", *cells[1:], "word_").agg(F.bit_or(F.expr("shiftleft(shiftrightunsigned(-1L, 63 - b_ + a_), a_)")).alias("mask_"))
+    masks = masks.withColumn("bit_", F.explode(F.sequence(F.lit(0), F.lit(63)))).where(F.bit_get("mask_", F.col("bit_")) == 1)
+    sources = masks.groupBy((F.col("word_") * 64 + F.col("bit_")).alias(cells[0]), *cells[1:]).agg(F.count(F.lit(1)).alias("sources"))
+    return out.join(sources, cells, "left").withColumn("sources", F.coalesce("sources", F.lit(0).cast("long")))
 
 
 def coherence(df: DataFrame, keys: list[str], re1: str, im1: str, re2: str, im2: str) -> DataFrame:

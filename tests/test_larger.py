@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline import queries, queries_echoes, queries_lines, queries_products  # noqa: F401
 from fathomline.functions import geometry
-from fathomline.operators import across, interferometry, joins, kernels, optimisation, windows
+from fathomline.operators import across, aggregates, interferometry, joins, kernels, optimisation, windows
 from fathomline.plans import paths
 
 
@@ -101,3 +101,28 @@ def test_long_keys_that_are_counted_together(spark, monkeypatch):
     monkeypatch.setattr(windows, "KEYS", 3)
     out, want = nearest_of(spark, 400, 7)
     assert {r["n"]: r["cell"] for r in out.collect()} == want
+
+
+def test_cubes_with_more_cells_than_a_mask(spark):
+    """Cells overlap by 90 on one axis, and have gaps between them on the other; nulls in all columns."""
+    r = np.random.default_rng(8)
+    rows = [(float(x), float(y), int(v), str(s)) for x, y, v, s in zip(r.integers(-20, 900, 60) / 4, r.integers(-2, 12, 60) / 2, r.integers(0, 9, 60), r.integers(0, 5, 60), strict=True)]
+    rows += [(None, 1.0, 1, "0"), (3.0, None, 1, "0"), (40.0, 1.0, None, None), (float("nan"), 1.0, 1, "0"), (500.0, 5.25, None, "9")]
+    df = spark.createDataFrame(rows, "x double, y double, v int, s string")
+    want = {}
+    for x, y, v, s in rows:
+        if x is not None and y is not None:
+            for i in range(260):
+                for j in range(4):
+                    if 2.0 * i + 1 <= x < 2.0 * i + 181 and 1.5 * j <= y < 1.5 * j + 1:
+                        want.setdefault((i, j), []).append((v, s))
+    out = aggregates.overlapping_cube(df, {"x": (1.0, 2.0, 180.0), "y": (0.0, 1.5, 1.0)}, "v", "s")
+    got = {(r["x_cell"], r["y_cell"]): r for r in out.collect()}
+    assert got.keys() == want.keys() and max(i for i, _ in got) > 128
+    for k, all_ in want.items():
+        v = [v for v, _ in all_ if v is not None]
+        assert (got[k]["n"], got[k]["least"], got[k]["most"], got[k]["sources"]) == (len(v), min(v, default=None), max(v, default=None), len({s for _, s in all_ if s}))
+        assert got[k]["mean"] is None if not v else math.isclose(got[k]["mean"], sum(v) / len(v))
+    assert "count(distinct" not in out._jdf.queryExecution().toString()
+    alone = aggregates.overlapping_cube(df, {"y": (0.0, 1.5, 1.0)}, "v", "s").collect()
+    assert all(r["sources"] == len({s for _, y, _, s in rows if y is not None and s and 1.5 * r["y_cell"] <= y < 1.5 * r["y_cell"] + 1}) for r in alone) and alone
