@@ -22,10 +22,10 @@ def tracks(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def index(records: DataFrame, order: str) -> DataFrame:
-    """Product index: trimmed lower-case names, the orbit in them, the last of records with one id."""
+    """Product index: trimmed lower-case names, the orbit in them, the last of records with one id. Few records share one, so that they aren't put in order before they are dealt by it."""
     clean = records.select(order, *(F.lower(F.rtrim(c)).alias(c) for c in ("volume_id", "file_specification_name", "product_id")))
-    last = Window.partitionBy("product_id").orderBy(F.col(order).desc())
-    return clean.withColumn("turn_", F.row_number().over(last)).where("turn_ = 1").drop("turn_").withColumn("orbit", F.substring("product_id", 3, 7))
+    after = F.lead(F.lit(1)).over(Window.partitionBy("product_id").orderBy(order))
+    return clean.withColumn("after_", after).where("after_ IS NULL").drop("after_").withColumn("orbit", F.substring("product_id", 3, 7))
 
 
 def status(files: DataFrame, product: str = "product_id", role: str = "role", mtime: str = "mtime", check_times: bool = True) -> DataFrame:

@@ -27,25 +27,28 @@ FOCUSED = {
 
 def folder(path: Column | str) -> Column:
     """What stands before the last slash, empty without one."""
-    return F.regexp_replace(F.col(path) if isinstance(path, str) else path, r"/?[^/]*$", "")
+    path = F.col(path) if isinstance(path, str) else path
+    return F.substring(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1)
 
 
 def joined(*parts: Column | str) -> Column:
     """Parts of a path with slashes between those that aren't empty."""
-    columns = [F.lit(p) if isinstance(p, str) else p for p in parts]
-    return F.array_join(F.filter(F.array(*columns), lambda x: x != ""), "/")
+    return F.concat_ws("/", *(F.nullif(F.lit(p) if isinstance(p, str) else p, F.lit("")) for p in parts))
 
 
 def files(index: DataFrame, raw: str, made: str, kinds: tuple[str, ...] | None = None, variants: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """product_id, kind, name, path of each file that a product may have. index: of catalog.index. raw and made: roots of raw and of made data; variants: other folders by kind; keep: columns of the index that stay with its files."""
-    variants, volume, product = variants or {}, F.col("volume_id"), F.col("product_id")
-    below = folder("file_specification_name")
-    one = lambda kind, name, path: F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), path.alias("path"))
-    all_ = [one("edr", "edr_lbl", joined(raw, "EDR", volume, F.col("file_specification_name")))]
-    for kind, name, default, ending in FILES:
-        base = (raw, "EDR") if kind == "edr" else (made, kind)
-        all_.append(one(kind, name, joined(*base, volume, below, variants.get(kind, default), F.concat(product, F.lit(ending)))))
-    rows = index.select("product_id", *keep, F.explode(F.array(*all_)).alias("f")).select("product_id", "f.*", *keep)
+    """product_id, kind, name, path of each file that a product may have. index: of catalog.index. raw and made: roots of raw and of made data; variants: other folders by kind; keep: columns of the index that stay with its files.
+
+    A path is made after its row, so that files that aren't asked for cost none.
+    """
+    variants, product, label = variants or {}, F.col("product_id"), F.col("file_specification_name")
+    one = lambda kind, name, variant, ending: F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), F.lit(variant).alias("variant"), F.lit(ending).alias("ending"))
+    all_ = [one("edr", "edr_lbl", "", None), *(one(kind, name, variants.get(kind, default), ending) for kind, name, default, ending in FILES)]
+    rows = index.withColumn("below_", folder(label)).withColumn("f_", F.explode(F.array(*all_)))
+    base = F.when(F.col("f_.kind") == "edr", joined(raw, "EDR")).otherwise(joined(F.lit(made), F.col("f_.kind")))
+    own = joined(F.col("below_"), F.col("f_.variant"), F.concat(product, "f_.ending"))
+    path = joined(base, F.col("volume_id"), F.when(F.col("f_.ending").isNull(), label).otherwise(own))
+    rows = rows.select("product_id", "f_.kind", "f_.name", path.alias("path"), *keep)
     return rows if kinds is None else rows.where(F.col("kind").isin(*kinds))
 
 

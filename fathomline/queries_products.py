@@ -88,8 +88,7 @@ def ranging_pairs(spark, sf_dir):
 
 @query(INDEX + "SELECT kind, count(*) AS n, min(product_id) AS least, max(product_id) AS most FROM (SELECT DISTINCT CASE o_orderkey % 4 WHEN 0 THEN 'cmp' WHEN 1 THEN 'srf' WHEN 2 THEN 'clu' ELSE 'alt' END AS kind, product_id FROM idx) WHERE kind <> 'clu' GROUP BY kind")
 def processed_products(spark, sf_dir):
-    rows = index(spark, sf_dir)
-    files = paths.files(rows, RAW, MADE).join(rows.select("product_id", "o_orderkey"), "product_id")
+    files = paths.files(index(spark, sf_dir), RAW, MADE, keep=("o_orderkey",))
     there = files.where("(name LIKE 'cmp%' AND o_orderkey % 4 = 0) OR (name = 'srf_txt' AND o_orderkey % 4 = 1) OR (kind = 'clu' AND o_orderkey % 4 = 2) OR (name = 'alt_h5' AND o_orderkey % 4 = 3)")
     out = catalog.processed(there.select("kind", "path"))
     return out.groupBy("kind").agg(F.count("*").alias("n"), F.min("product").alias("least"), F.max("product").alias("most"))

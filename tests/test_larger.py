@@ -1,6 +1,7 @@
 """What only larger or odd tables show."""
 
 import math
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from fathomline import queries, queries_echoes, queries_lines, queries_products  # noqa: F401
 from fathomline.functions import geometry
 from fathomline.operators import across, aggregates, interferometry, joins, kernels, optimisation, windows
-from fathomline.plans import paths
+from fathomline.plans import catalog, paths
 
 
 def embeddings(spark, at, ids, label):
@@ -126,3 +127,24 @@ def test_cubes_with_more_cells_than_a_mask(spark):
     assert "count(distinct" not in out._jdf.queryExecution().toString()
     alone = aggregates.overlapping_cube(df, {"y": (0.0, 1.5, 1.0)}, "v", "s").collect()
     assert all(r["sources"] == len({s for _, y, _, s in rows if y is not None and s and 1.5 * r["y_cell"] <= y < 1.5 * r["y_cell"] + 1}) for r in alone) and alone
+
+
+def test_products_are_put_in_order_once_and_joined_with_nothing(spark):
+    out = queries.queries()["processed_products"](spark, "/root/testdata/sf0.001")
+    assert len(out.collect()) == 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "WindowGroupLimit" not in plan
+
+
+def test_odd_paths(spark):
+    odd = ["", "/", "a", "a/", "/a", "a/b", "a//b", "a/b/", "/a/b.c/d e", "\u00e9/\U0001f600/x", "a/b\n", None]
+    df = spark.createDataFrame([(p,) for p in odd], "p string")
+    got = df.select("p", paths.folder("p").alias("folder"), paths.joined("", F.col("p"), "z").alias("joined")).collect()
+    assert all(r["folder"] == (None if r["p"] is None else re.sub(r"/?[^/]*\Z", "", r["p"], count=1)) for r in got)
+    assert all(r["joined"] == (f"{r['p']}/z" if r["p"] else "z") for r in got)
+
+
+def test_the_last_record_of_an_id(spark):
+    rows = [(1, "A "), (3, "A"), (2, "a"), (None, "A"), (5, "B"), (None, "C")]
+    df = spark.createDataFrame([(o, f"V{o}", f"F{o}", p) for o, p in rows], "o int, volume_id string, file_specification_name string, product_id string")
+    assert {(r["product_id"], r["o"]) for r in catalog.index(df, "o").collect()} == {("a", 3), ("b", 5), ("c", None)}
