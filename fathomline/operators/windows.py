@@ -20,6 +20,12 @@ def united(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return one.unionByName(other.withColumn(key, F.explode(F.array(key))), allowMissingColumns=True)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added to those that df has, so that an operator's own columns don't meet its caller's."""
+    taken = {c.lower() for c in df.columns}
+    return [n + "_" * next(i for i in range(len(taken) + 1) if n + "_" * i not in taken) for n in names]
+
+
 def _chunked(df: DataFrame, order: str, before: int, after: int, size: int | None = None) -> DataFrame:
     """Rows once for each chunk that needs them; own: whether the row is the chunk's."""
     size = size or CHUNK
@@ -122,22 +128,23 @@ def neighbours(df: DataFrame, key: str, at: str, post: str, before: str, after:
 
     Places are cut into parts of about CHUNK rows each, and parts hand their last and first posts on, so that no key is a single task. Rows are counted by buckets of keys, KEYS of them at most: keys of a bucket of fewer than CHUNK rows are one part, and nothing is looked up for them. Rows are put in order once.
     """
+    bucket, low, high, parts, part, cut, place, carried, coming = spare(df, "bucket_", "from_", "to_", "parts_", "part_", "cut_", "x_", "carried_", "coming_")
     x = F.col(at).cast("double")
-    rows = df.where(F.col(key).isNotNull()).withColumn("bucket_", F.pmod(F.hash(key), F.lit(KEYS)))
-    full = rows.groupBy("bucket_").agg(F.min(x).alias("from_"), F.max(x).alias("to_"), F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts_")).where("parts_ > 1")
-    share = F.coalesce(F.try_divide(x - F.col("from_"), F.col("to_") - F.col("from_")), F.lit(0.0))
-    part = F.least(F.floor(share * F.col("parts_")), F.col("parts_") - 1)
-    rows = rows.join(F.broadcast(full), "bucket_", "left").withColumn("part_", F.coalesce(part, F.lit(0).cast("long"))).withColumn("cut_", F.col("parts_").isNotNull()).drop("bucket_", "from_", "to_", "parts_")
-    heads = rows.where("cut_").groupBy(key, "part_").agg(F.max(post).alias("last_"), F.min(post).alias("first_"))
-    earlier = Window.partitionBy(key).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(key).orderBy("part_").rowsBetween(1, Window.unboundedFollowing)
-    heads = heads.select(key, "part_", F.last("last_", ignorenulls=True).over(earlier).alias("carried_"), F.first("first_", ignorenulls=True).over(later).alias("coming_"))
-    rows = rows.drop("cut_").withColumn("x_", x)
-    upto = Window.partitionBy(key, "part_").orderBy("x_").rangeBetween(Window.unboundedPreceding, 0)
-    following = F.expr(f"lead(`{post}`) IGNORE NULLS OVER (PARTITION BY `{key}`, part_ ORDER BY x_)")
-    rows = rows.withColumns({before: F.last(post, ignorenulls=True).over(upto), after: following}).join(heads, [key, "part_"], "left")
-    here = F.col(before).isNotNull() & F.col(before)[df.schema[post].dataType.names[0]].cast("double").eqNullSafe(F.col("x_"))
-    return rows.withColumns({before: F.coalesce(before, "carried_"), after: F.when(here, F.col(before)).otherwise(F.coalesce(after, "coming_"))}).drop("part_", "x_", "carried_", "coming_")
+    rows = df.where(F.col(key).isNotNull()).withColumn(bucket, F.pmod(F.hash(key), F.lit(KEYS)))
+    full = rows.groupBy(bucket).agg(F.min(x).alias(low), F.max(x).alias(high), F.ceil(F.count(F.lit(1)) / CHUNK).alias(parts)).where(F.col(parts) > 1)
+    share = F.coalesce(F.try_divide(x - F.col(low), F.col(high) - F.col(low)), F.lit(0.0))
+    own = F.least(F.floor(share * F.col(parts)), F.col(parts) - 1)
+    rows = rows.join(F.broadcast(full), bucket, "left").withColumn(part, F.coalesce(own, F.lit(0).cast("long"))).withColumn(cut, F.col(parts).isNotNull()).drop(bucket, low, high, parts)
+    heads = rows.where(F.col(cut)).groupBy(key, part).agg(F.max(post).alias("last_"), F.min(post).alias("first_"))
+    earlier = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(key).orderBy(part).rowsBetween(1, Window.unboundedFollowing)
+    heads = heads.select(key, part, F.last("last_", ignorenulls=True).over(earlier).alias(carried), F.first("first_", ignorenulls=True).over(later).alias(coming))
+    rows = rows.drop(cut).withColumn(place, x)
+    upto = Window.partitionBy(key, part).orderBy(place).rangeBetween(Window.unboundedPreceding, 0)
+    following = F.expr(f"lead(`{post}`) IGNORE NULLS OVER (PARTITION BY `{key}`, `{part}` ORDER BY `{place}`)")
+    rows = rows.withColumns({before: F.last(post, ignorenulls=True).over(upto), after: following}).join(heads, [key, part], "left")
+    here = F.col(before).isNotNull() & F.col(before)[df.schema[post].dataType.names[0]].cast("double").eqNullSafe(F.col(place))
+    return rows.withColumns({before: F.coalesce(before, carried), after: F.when(here, F.col(before)).otherwise(F.coalesce(after, coming))}).drop(part, place, carried, coming)
 
 
 def fixed_chunks(df: DataFrame, key: str, order: str, size: int = 512, least: int = 32, out: str = "chunk") -> DataFrame:

@@ -148,3 +148,17 @@ def test_the_last_record_of_an_id(spark):
     rows = [(1, "A "), (3, "A"), (2, "a"), (None, "A"), (5, "B"), (None, "C")]
     df = spark.createDataFrame([(o, f"V{o}", f"F{o}", p) for o, p in rows], "o int, volume_id string, file_specification_name string, product_id string")
     assert {(r["product_id"], r["o"]) for r in catalog.index(df, "o").collect()} == {("a", 3), ("b", 5), ("c", None)}
+
+
+def test_callers_columns_are_left_alone(spark, monkeypatch):
+    """Names that the step uses itself, in either case, with keys of one part and of several."""
+    names = ["bucket_", "from_", "To_", "parts_", "part_", "cut_", "x_", "x__", "carried_", "coming_"]
+    df = spark.createDataFrame([("a", float(x), (float(x), x) if x % 3 == 0 else None, *range(x, x + len(names))) for x in range(12)], f"k string, at double, p struct<x:double,v:int>, {', '.join(f'`{n}` int' for n in names)}")
+    for chunk in (4096, 4):
+        monkeypatch.setattr(windows, "CHUNK", chunk)
+        out = windows.neighbours(df, "k", "at", "p", "lo", "hi")
+        assert out.columns == [*df.columns, "lo", "hi"]
+        for r in out.collect():
+            x = int(r["at"])
+            assert [r[n] for n in names] == [*range(x, x + len(names))]
+            assert (r["lo"]["v"], r["hi"] and r["hi"]["v"]) == (x // 3 * 3, -(-x // 3) * 3 if x < 10 else None)
